@@ -93,8 +93,12 @@ def f_urldecode(c) -> Column:
 
 
 def f_urlencode(c) -> Column:
-    """percent-encode, blank as %20."""
-    return F.replace(F.url_encode(col_of(c)), F.lit("+"), F.lit("%20"))
+    """percent-encode with the RFC 3986 unreserved set (``A-Za-z0-9-._~`` kept, blank
+    as %20). ``url_encode`` is form encoding, so three characters are adjusted."""
+    out = F.url_encode(col_of(c))
+    for a, b in (("+", "%20"), ("*", "%2A"), ("%7E", "~")):
+        out = F.replace(out, F.lit(a), F.lit(b))
+    return out
 
 
 # The core HTML entities and the text they stand for (&amp; decoded last,
