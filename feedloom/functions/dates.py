@@ -66,10 +66,18 @@ def _try_parse(v: Column, jfmt: str) -> Column:
     return F.try_to_timestamp(v, F.lit(jfmt))
 
 
+# Two-digit years: 00-29 are 20xx, 30-99 are 19xx (the .NET calendar window).
+TWO_DIGIT_YEAR_MAX = 2029
+
+
 def f_dateparse(c, fmt: str) -> Column:
     """parse text with a .NET-style format; null when it does not parse."""
     jfmt, strip = java_pattern(fmt)
-    return _try_parse(_prepare_value(col_of(c), fmt, strip), jfmt)
+    ts = _try_parse(_prepare_value(col_of(c), fmt, strip), jfmt)
+    if "yy" in fmt and "yyyy" not in fmt:
+        ts = F.when(F.year(ts) > TWO_DIGIT_YEAR_MAX,
+                    ts - F.make_ym_interval(F.lit(100), F.lit(0))).otherwise(ts)
+    return ts
 
 
 def f_timeparse(c, fmt: str, as_of) -> Column:
