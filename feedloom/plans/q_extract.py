@@ -10,7 +10,14 @@ from ..operators.catalog import map_category
 from ..operators.fields import select_attribute, select_field
 from ..operators.query import filter_contains, limit_top, sort_requested
 from ..sources.extract import html_rows
-from .fixtures import CATEGORY_SQL, PAGE_SECTION_MAP_SQL, category_df, page_section_map_df
+from .fixtures import (
+    CATEGORY_SQL,
+    PAGE_SECTION_MAP_SQL,
+    PART_TYPE_MAP_SQL,
+    category_df,
+    page_section_map_df,
+    part_type_map_df,
+)
 from .registry import query
 from .tables import table
 
@@ -76,3 +83,345 @@ LIMIT 100
 
 query("nav_search", SQL_NAV_SEARCH)(nav_search)
 query("A2_html_rows", SQL_NAV_LINKS)(nav_links)
+
+
+# ----------------------------------------------------------------------------- A1
+
+
+@query("A1_scan_payloads", """
+SELECT page_id, url, CAST(length(html) AS BIGINT) AS n_chars, 'text/html' AS content_type FROM pages""")
+def q_a1(spark, sf):
+    from ..sources.extract import scan_payloads
+    df = scan_payloads(spark, f"{sf}/pages.parquet", "parquet")
+    return df.select("page_id", "url", F.length("html").cast("bigint").alias("n_chars"),
+                     F.lit("text/html").alias("content_type"))
+
+
+@query("A2_html_irregular")
+def q_a2_irregular(spark, sf):
+    """Slow path (rows-only check): html.parser over every page, one row per <p>."""
+    from ..sources.extract import html_rows_irregular
+    pages = table(spark, sf, "pages").select("page_id", "html")
+    return html_rows_irregular(pages, "html", "p", ["page_id"]).select(
+        "page_id", F.col("pos").cast("bigint").alias("pos"), F.length("text").cast("bigint").alias("n_chars"))
+
+
+# ----------------------------------------------------------------------------- A3-A7
+
+# Payloads are rendered per (key, block of 1000 ids): bounded size, like a result page.
+PAGE_BLOCK = 1000
+
+
+@query("A3_json_rows", f"""
+SELECT user_id, event_id // {PAGE_BLOCK} AS page,
+       row_number() OVER (PARTITION BY user_id, event_id // {PAGE_BLOCK} ORDER BY event_id) AS pos,
+       event_id AS id, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
+FROM events""")
+def q_a3(spark, sf):
+    from ..sources.extract import json_rows
+    e = table(spark, sf, "events")
+    item = F.struct(F.col("event_id").alias("id"), "event_type",
+                    F.get_json_object("props", "$.k").cast("bigint").alias("k"))
+    payload = (e.groupBy("user_id", F.floor(F.col("event_id") / PAGE_BLOCK).alias("page"))
+                .agg(F.to_json(F.struct(F.array_sort(F.collect_list(item)).alias("data"))).alias("body")))
+    schema = "data ARRAY<STRUCT<id: BIGINT, event_type: STRING, k: BIGINT>>"
+    rows = json_rows(payload, "body", "data", schema, keep=["user_id", "page"])
+    return rows.select("user_id", "page", F.col("pos").cast("bigint").alias("pos"), "item.*")
+
+
+def _xml_escape(c):
+    from ..functions.chain import f_htmlencode
+    return f_htmlencode(c)
+
+
+XML_SCHEMA = ("channel STRUCT<item: ARRAY<STRUCT<guid: BIGINT, title: STRING, "
+              "enclosure: STRUCT<_url: STRING, _length: BIGINT>, attr: ARRAY<STRUCT<_name: STRING, _value: STRING>>>>>")
+
+
+@query("A4_xml_rows", f"""
+SELECT p_brand AS brand, p_partkey // 100 AS block,
+       row_number() OVER (PARTITION BY p_brand, p_partkey // 100 ORDER BY p_partkey) AS pos,
+       p_partkey AS guid, p_name AS title, 'https://parts.example/' || CAST(p_partkey AS VARCHAR) || '.torrent' AS link,
+       CAST(p_size AS BIGINT) AS length, CAST(p_size AS VARCHAR) AS size, p_type AS type
+FROM part""")
+def q_a4(spark, sf):
+    from ..sources.extract import xml_pairs, xml_rows
+    p = table(spark, sf, "part")
+    item_xml = F.concat(
+        F.lit("<item><guid>"), F.col("p_partkey").cast("string"), F.lit("</guid><title>"), _xml_escape(F.col("p_name")),
+        F.lit('</title><enclosure url="https://parts.example/'), F.col("p_partkey").cast("string"),
+        F.lit('.torrent" length="'), F.col("p_size").cast("string"), F.lit('"/><attr name="size" value="'),
+        F.col("p_size").cast("string"), F.lit('"/><attr name="type" value="'), _xml_escape(F.col("p_type")),
+        F.lit('"/></item>'))
+    feed = (p.groupBy(F.col("p_brand").alias("brand"), F.floor(F.col("p_partkey") / 100).alias("block"))
+             .agg(F.array_sort(F.collect_list(F.struct("p_partkey", item_xml.alias("x")))).alias("items"))
+             .select("brand", "block", F.concat(F.lit("<rss><channel>"),
+                                                F.array_join(F.transform("items", lambda i: i["x"]), ""),
+                                                F.lit("</channel></rss>")).alias("body")))
+    rows = xml_rows(feed, "body", XML_SCHEMA, "channel.item", keep=["brand", "block"])
+    pairs = xml_pairs(F.col("item.attr"))
+    return rows.select("brand", "block", F.col("pos").cast("bigint").alias("pos"),
+                       F.col("item.guid").alias("guid"), F.col("item.title").alias("title"),
+                       F.col("item.enclosure._url").alias("link"), F.col("item.enclosure._length").alias("length"),
+                       F.element_at(pairs, F.lit("size")).alias("size"), F.element_at(pairs, F.lit("type")).alias("type"))
+
+
+NESTED_SCHEMA = ("results ARRAY<STRUCT<key: BIGINT, priority: STRING, "
+                 "items: ARRAY<STRUCT<l_linenumber: INT, l_quantity: DOUBLE>>>>")
+
+
+def _order_payloads(spark, sf, returned_only: bool):
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    li = table(spark, sf, "lineitem")
+    if returned_only:
+        li = li.filter(F.col("l_returnflag") == "R")
+    kids = li.groupBy("l_orderkey").agg(
+        F.array_sort(F.collect_list(F.struct("l_linenumber", "l_quantity"))).alias("items"))
+    j = o.join(kids, o.o_orderkey == kids.l_orderkey, "left")
+    items = F.coalesce(F.col("items"), F.array().cast("array<struct<l_linenumber:int,l_quantity:double>>"))
+    body = F.to_json(F.struct(F.array(F.struct(F.col("o_orderkey").alias("key"),
+                                               F.col("o_orderpriority").alias("priority"),
+                                               items.alias("items"))).alias("results")))
+    return j.select("o_orderkey", F.size(items).alias("total"), body.alias("body"))
+
+
+@query("A5_nested_rows", """
+SELECT o_orderkey AS key, o_orderpriority AS priority,
+       row_number() OVER (PARTITION BY o_orderkey ORDER BY l_linenumber, l_quantity) AS pos, l_linenumber, l_quantity
+FROM orders JOIN lineitem ON o_orderkey = l_orderkey""")
+def q_a5(spark, sf):
+    from ..sources.extract import json_rows, nested_rows
+    pay = _order_payloads(spark, sf, returned_only=False)
+    res = json_rows(pay, "body", "results", NESTED_SCHEMA, pos="rpos", item="r")
+    kids = nested_rows(res.select("r.key", "r.priority", "r.items"), "items", ["key", "priority"])
+    return kids.select("key", "priority", F.col("pos").cast("bigint").alias("pos"),
+                       "child.l_linenumber", "child.l_quantity")
+
+
+@query("A6_nested_rows_guard", """
+SELECT o_orderkey AS key,
+       CASE WHEN l_linenumber IS NULL THEN NULL
+            ELSE row_number() OVER (PARTITION BY o_orderkey ORDER BY l_linenumber, l_quantity) END AS pos,
+       l_linenumber
+FROM orders LEFT JOIN (SELECT * FROM lineitem WHERE l_returnflag = 'R') l ON o_orderkey = l_orderkey""")
+def q_a6(spark, sf):
+    from ..sources.extract import json_rows, nested_rows_guard
+    pay = _order_payloads(spark, sf, returned_only=True)
+    res = json_rows(pay, "body", "results", NESTED_SCHEMA, pos="rpos", item="r")
+    kids = nested_rows_guard(res.select("r.key", "r.items"), "items", ["key"], keep_empty=True)
+    return kids.select("key", F.col("pos").cast("bigint").alias("pos"), "child.l_linenumber")
+
+
+@query("A7_unwrap_attribute", """
+SELECT p_partkey AS id, p_name AS name, p_brand AS brand, CAST(p_size AS BIGINT) AS size FROM part""")
+def q_a7(spark, sf):
+    from ..sources.extract import unwrap_attribute
+    p = table(spark, sf, "part")
+    body = F.to_json(F.struct(F.struct(F.col("p_partkey").alias("id"),
+                                       F.struct(F.col("p_name").alias("name"), F.col("p_brand").alias("brand"),
+                                                F.col("p_size").cast("bigint").alias("size")).alias("attributes"))
+                              .alias("data")))
+    parsed = p.select(F.from_json(body, "data STRUCT<id: BIGINT, attributes: STRUCT<name: STRING, brand: STRING, "
+                                        "size: BIGINT>>").alias("j"))
+    return unwrap_attribute(parsed.select("j.data.id", "j.data.attributes"), "attributes", keep=["id"])
+
+
+# ----------------------------------------------------------------------------- A8-A12
+
+
+@query("A8_merge_following_rows", """
+SELECT conv_id, turn // 2 AS record, min(turn) AS turn, string_agg(text, ' ' ORDER BY turn) AS merged,
+       count(*) AS n_rows
+FROM conversations GROUP BY conv_id, turn // 2""")
+def q_a8(spark, sf):
+    from ..sources.extract import merge_following_rows
+    c = table(spark, sf, "conversations")
+    return merge_following_rows(c, ["conv_id"], "turn", after=1, text="text", dense_from=0).select(
+        "conv_id", F.col("record").cast("bigint").alias("record"), "turn", "merged", "n_rows")
+
+
+@query("A9_carry_header", """
+WITH h AS (SELECT event_id, user_id, event_type,
+                  CASE WHEN event_type = 'signup' THEN strftime(ts, '%Y-%m-%d') END AS hdr FROM events)
+SELECT event_id, user_id, event_type, header_date FROM (
+  SELECT *, last_value(hdr IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id
+                                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS header_date
+  FROM h) WHERE hdr IS NULL""")
+def q_a9(spark, sf):
+    from ..sources.extract import carry_header
+    e = table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts")
+    hdr = F.when(F.col("event_type") == "signup", F.date_format("ts", "yyyy-MM-dd"))
+    return carry_header(e, ["user_id"], "event_id", hdr, "header_date").select(
+        "event_id", "user_id", "event_type", "header_date")
+
+
+@query("A10_row_count_guard", """
+SELECT o_orderkey AS key, row_number() OVER (PARTITION BY o_orderkey ORDER BY l_linenumber, l_quantity) AS pos, l_linenumber
+FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE l_returnflag = 'R'""")
+def q_a10(spark, sf):
+    from ..sources.extract import json_rows, nested_rows, row_count_guard
+    pay = row_count_guard(_order_payloads(spark, sf, returned_only=True), "total")
+    res = json_rows(pay, "body", "results", NESTED_SCHEMA, pos="rpos", item="r")
+    kids = nested_rows(res.select("r.key", "r.items"), "items", ["key"])
+    return kids.select("key", F.col("pos").cast("bigint").alias("pos"), "child.l_linenumber")
+
+
+_PRE_STEPS = [("re_replace", r"(?s)<script\b[^>]*>.*?</script>", ""),
+              ("re_replace", r"(?s)<style\b[^>]*>.*?</style>", ""),
+              ("re_replace", r"(?s)<!--.*?-->", "")]
+
+
+@query("A11_preprocess_payload", """
+WITH c AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html,
+             '(?s)<script\\b[^>]*>.*?</script>', '', 'g'), '(?s)<style\\b[^>]*>.*?</style>', '', 'g'),
+             '(?s)<!--.*?-->', '', 'g') AS body FROM pages)
+SELECT page_id, CAST(len(regexp_extract_all(body, '<p>')) AS BIGINT) AS n_paragraphs,
+       CAST(length(body) AS BIGINT) AS n_chars
+FROM c""")
+def q_a11(spark, sf):
+    from ..sources.extract import preprocess_payload
+    p = preprocess_payload(table(spark, sf, "pages").select("page_id", "html"), "html", _PRE_STEPS)
+    return p.select("page_id", F.size(F.regexp_extract_all("html", F.lit("<p>"), 0)).cast("bigint").alias("n_paragraphs"),
+                    F.length("html").cast("bigint").alias("n_chars"))
+
+
+@query("A12_decode_charset", "SELECT doc_id, text AS utf16, text AS utf8 FROM documents")
+def q_a12(spark, sf):
+    from ..sources.extract import decode_charset
+    d = table(spark, sf, "documents")
+    return d.select("doc_id", decode_charset(F.encode("text", "UTF-16LE"), "UTF-16LE").alias("utf16"),
+                    decode_charset(F.encode("text", "UTF-8"), "UTF-8").alias("utf8"))
+
+
+# ----------------------------------------------------------------------------- A13-A17
+
+_TYPES = ["view", "click", "signup", "purchase", "error"]
+
+
+@query("A13_fan_in_paths", """
+SELECT event_id, CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'signup' THEN 3
+                 WHEN 'purchase' THEN 4 WHEN 'error' THEN 5 END AS path_id, event_type, user_id
+FROM events""")
+def q_a13(spark, sf):
+    from ..sources.extract import fan_in_paths
+    e = table(spark, sf, "events").select("event_id", "event_type", "user_id")
+    paths = {i + 1: e.filter(F.col("event_type") == t) for i, t in enumerate(_TYPES)}
+    return fan_in_paths(paths).select("event_id", "path_id", "event_type", "user_id")
+
+
+_PATHS = [(1, [5000, 5030, 5040]), (2, [2000, 2040, 2045]), (3, None)]
+
+
+@query("A14_route_paths", f"""
+WITH m AS (SELECT * FROM {PART_TYPE_MAP_SQL}),
+r AS (SELECT p_partkey, list(m.cat_code) FILTER (WHERE m.cat_code IS NOT NULL) AS cats
+      FROM part LEFT JOIN m ON p_type = m.site_id GROUP BY p_partkey),
+p AS (SELECT * FROM (VALUES (1, [5000, 5030, 5040]), (2, [2000, 2040, 2045]), (3, NULL)) AS t(path_id, path_categories))
+SELECT r.p_partkey, CAST(p.path_id AS BIGINT) AS path_id FROM r JOIN p
+  ON p.path_categories IS NULL OR list_has_any(r.cats, p.path_categories)""")
+def q_a14(spark, sf):
+    from ..operators.catalog import map_category_multi
+    from ..sources.extract import route_paths
+    part = table(spark, sf, "part").select("p_partkey", F.lit("parts").alias("source"), F.col("p_type").alias("site_id"))
+    req = map_category_multi(part, part_type_map_df(spark)).select(
+        "p_partkey", F.col("categories").alias("req_categories"))
+    paths = spark.createDataFrame(_PATHS, "path_id bigint, path_categories array<bigint>")
+    return route_paths(req, paths).select("p_partkey", "path_id")
+
+
+DOCUMENT_SCHEMA = (
+    "key STRING, version INT, content STRUCT<id: STRING, name: STRING, type: STRING, language: STRING, "
+    "encoding: STRING, links: ARRAY<STRING>, mappings: ARRAY<STRUCT<id: STRING, cat: STRING, descr: STRING, "
+    "is_default: BOOLEAN>>, modes: MAP<STRING, ARRAY<STRING>>, settings: ARRAY<STRUCT<name: STRING, type: STRING, "
+    "label: STRING, default: STRING, options: MAP<STRING, STRING>>>, fields: MAP<STRING, STRUCT<selector: STRING, "
+    "attribute: STRING, text: STRING, optional: BOOLEAN, default: STRING, filters: ARRAY<STRUCT<name: STRING, "
+    "args: ARRAY<STRING>>>>>, replaces: ARRAY<STRING>>")
+
+
+def documents_nested(spark, sf):
+    """Definition-like documents as JSON lines, built from orders + customer: one document
+    per (customer, block of 1000 order keys), so no document grows with the data."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+    m = (o.groupBy("o_custkey", F.floor(F.col("o_orderkey") / PAGE_BLOCK).alias("blk"))
+          .agg(F.array_sort(F.collect_list(F.struct(
+              F.col("o_orderkey").alias("k"), F.col("o_orderkey").cast("string").alias("id"),
+              F.col("o_orderpriority").alias("cat"), F.col("o_orderstatus").alias("descr"),
+              (F.col("o_orderstatus") == "F").alias("is_default")))).alias("maps")))
+    j = m.join(c, m.o_custkey == c.c_custkey, "inner")
+    key = F.concat(F.lit("c"), F.col("c_custkey").cast("string"), F.lit("-"), F.col("blk").cast("string"))
+    filt = F.array(F.struct(F.lit("re_replace").alias("name"), F.array(F.lit("\\s+"), F.lit(" ")).alias("args")),
+                   F.struct(F.lit("trim").alias("name"), F.array().cast("array<string>").alias("args")))
+    content = F.struct(
+        key.alias("id"), F.col("c_name").alias("name"),
+        F.when(F.col("c_acctbal") < 0, F.lit("private")).otherwise(F.lit("public")).alias("type"),
+        F.lit("en-US").alias("language"), F.lit("UTF-8").alias("encoding"),
+        F.array(F.concat(F.lit("https://c"), F.col("c_custkey").cast("string"), F.lit(".example/"))).alias("links"),
+        F.transform("maps", lambda x: x.dropFields("k")).alias("mappings"),
+        F.create_map(F.lit("search"), F.array(F.lit("q")), F.lit("tv-search"),
+                     F.array(F.lit("q"), F.lit("season"), F.lit("ep"))).alias("modes"),
+        F.array(F.struct(F.lit("sort").alias("name"), F.lit("select").alias("type"), F.lit("Sort").alias("label"),
+                         F.lit("time").alias("default"),
+                         F.create_map(F.lit("time"), F.lit("created"), F.lit("size"), F.lit("size")).alias("options"))
+                ).alias("settings"),
+        F.create_map(F.lit("title"), F.struct(F.lit("td a").alias("selector"), F.lit(None).cast("string").alias("attribute"),
+                                              F.lit(None).cast("string").alias("text"), F.lit(False).alias("optional"),
+                                              F.lit(None).cast("string").alias("default"), filt.alias("filters"))
+                     ).alias("fields"),
+        F.array().cast("array<string>").alias("replaces"))
+    doc = F.struct(key.alias("key"), F.lit(11).alias("version"), content.alias("content"))
+    return j.select(F.to_json(doc).alias("json"))
+
+
+@query("A15_flatten_documents", f"""
+SELECT 'c' || CAST(o_custkey AS VARCHAR) || '-' || CAST(o_orderkey // {PAGE_BLOCK} AS VARCHAR) AS key,
+       row_number() OVER (PARTITION BY o_custkey, o_orderkey // {PAGE_BLOCK} ORDER BY o_orderkey) AS pos,
+       CAST(o_orderkey AS VARCHAR) AS id, o_orderpriority AS cat, o_orderstatus AS descr,
+       o_orderstatus = 'F' AS is_default
+FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer)""")
+def q_a15(spark, sf):
+    from ..sources.extract import flatten_documents
+    docs = documents_nested(spark, sf).select(F.from_json("json", DOCUMENT_SCHEMA).alias("d")).select("d.*")
+    parts = flatten_documents(docs, "key", "content")
+    return parts["mappings"].select("key", F.col("pos").cast("bigint").alias("pos"), "id", "cat", "descr", "is_default")
+
+
+@query("A15_flatten_filters", f"""
+SELECT key, 'title' AS field, pos, filter FROM
+  (SELECT DISTINCT 'c' || CAST(o_custkey AS VARCHAR) || '-' || CAST(o_orderkey // {PAGE_BLOCK} AS VARCHAR) AS key
+   FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer)) k,
+  (VALUES (CAST(1 AS BIGINT), 're_replace'), (CAST(2 AS BIGINT), 'trim')) AS f(pos, filter)""")
+def q_a15_filters(spark, sf):
+    from ..sources.extract import flatten_documents
+    docs = documents_nested(spark, sf).select(F.from_json("json", DOCUMENT_SCHEMA).alias("d")).select("d.*")
+    parts = flatten_documents(docs, "key", "content")
+    return parts["filters"].select("key", "field", F.col("pos").cast("bigint").alias("pos"), "filter")
+
+
+@query("A16_write_records", """
+SELECT event_type, count(*) AS n, CAST(sum(user_id) AS BIGINT) AS user_sum FROM events GROUP BY event_type""")
+def q_a16(spark, sf):
+    import uuid
+
+    from ..session import scratch_path
+    from ..sources.sinks import write_records
+    out = scratch_path(spark, f"write_records/{uuid.uuid4().hex}")
+    e = table(spark, sf, "events").select("event_id", "user_id", "event_type")
+    write_records(e, out, ["event_type"], "overwrite")
+    back = spark.read.parquet(out)
+    return back.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("user_id").cast("bigint").alias("user_sum"))
+
+
+@query("A17_scan_keyvalue", """
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+                  unnest(range(1, len(string_split(text, chr(10))) + 1)) AS line_no FROM documents),
+t AS (SELECT doc_id, line_no, trim(line) AS line FROM l)
+SELECT * FROM (
+  SELECT doc_id, CAST(line_no AS BIGINT) AS line_no, trim(split_part(line, '=', 1)) AS key,
+         trim(substr(line, strpos(line, '=') + 1)) AS value
+  FROM t WHERE NOT starts_with(line, '#') AND contains(line, '=')) WHERE key <> ''""")
+def q_a17(spark, sf):
+    from ..sources.extract import scan_keyvalue
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    kv = scan_keyvalue(d, "text", keep=["doc_id"])
+    return kv.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), "key", "value")

@@ -68,24 +68,29 @@ def html_rows_irregular(df: DataFrame, body: str, tag: str, key_cols: Sequence[s
         import pandas as pd
 
         class P(HTMLParser):
+            """Elements of ``tag`` do not nest: a new start tag (or the end of the
+            document) closes an open one, as browsers do for p / li / td."""
+
             def __init__(self):
                 super().__init__(convert_charrefs=True)
-                self.out, self.depth, self.buf, self.attrs = [], 0, [], None
+                self.out, self.open, self.buf, self.attrs = [], False, [], None
+
+            def _close(self):
+                if self.open:
+                    self.out.append(("".join(self.buf).strip(), json.dumps(self.attrs)))
+                    self.open = False
 
             def handle_starttag(self, t, a):
                 if t == tag:
-                    if self.depth == 0:
-                        self.buf, self.attrs = [], dict(a)
-                    self.depth += 1
+                    self._close()
+                    self.open, self.buf, self.attrs = True, [], dict(a)
 
             def handle_endtag(self, t):
-                if t == tag and self.depth:
-                    self.depth -= 1
-                    if self.depth == 0:
-                        self.out.append(("".join(self.buf).strip(), json.dumps(self.attrs)))
+                if t == tag:
+                    self._close()
 
             def handle_data(self, d):
-                if self.depth:
+                if self.open:
                     self.buf.append(d)
 
         for pdf in batches:
@@ -93,6 +98,8 @@ def html_rows_irregular(df: DataFrame, body: str, tag: str, key_cols: Sequence[s
             for rec in pdf.itertuples(index=False):
                 p = P()
                 p.feed(getattr(rec, body) or "")
+                p.close()
+                p._close()
                 for i, (txt, at) in enumerate(p.out, 1):
                     rows.append((*[getattr(rec, k) for k in key_cols], i, txt, at))
             yield pd.DataFrame(rows, columns=[*key_cols, "pos", "text", "attrs"])
@@ -271,19 +278,20 @@ def flatten_documents(df: DataFrame, key: str, content: str) -> dict[str, DataFr
     """Nested definition documents -> child tables (links, mappings, modes, settings,
     options, fields, filters). Each child is an explode of the parent row: no shuffle."""
     c = F.col(content)
-    links = df.select(key, F.posexplode(c["links"]).alias("pos", "link"))
+    one = F.col("pos") + 1  # positions are 1-based like every extractor's
+    links = df.select(key, F.posexplode(c["links"]).alias("pos", "link")).withColumn("pos", one)
     mappings = df.select(key, F.posexplode(c["mappings"]).alias("pos", "m")).select(
-        key, "pos", "m.*")
+        key, one.alias("pos"), "m.*")
     modes = df.select(key, F.explode(c["modes"]).alias("mode", "params")).select(
         key, "mode", F.explode("params").alias("param"))
     settings = df.select(key, F.posexplode(c["settings"]).alias("pos", "st")).select(
-        key, "pos", "st.name", "st.type", "st.label", "st.default", "st.options")
+        key, one.alias("pos"), "st.name", "st.type", "st.label", "st.default", "st.options")
     options = settings.select(key, F.col("name").alias("setting"),
                               F.explode("options").alias("opt_key", "opt_value"))
     fields = df.select(key, F.explode(c["fields"]).alias("field", "f")).select(
         key, "field", "f.selector", "f.attribute", "f.text", "f.optional", "f.default", "f.filters")
     filters = fields.select(key, "field", F.posexplode("filters").alias("pos", "flt")).select(
-        key, "field", "pos", F.col("flt.name").alias("filter"), F.col("flt.args").alias("args"))
+        key, "field", one.alias("pos"), F.col("flt.name").alias("filter"), F.col("flt.args").alias("args"))
     return {"links": links, "mappings": mappings, "modes": modes,
             "settings": settings.drop("options"), "options": options,
             "fields": fields.drop("filters"), "filters": filters}
