@@ -9,6 +9,7 @@ AQE decides at run time from the measured size of the built side
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -99,15 +100,17 @@ def custom_code(site_id) -> Column:
     return (F.lit(100000) + F.pmod(F.xxhash64(col_of(site_id)), F.lit(900000))).cast("bigint")
 
 
-# Spelling variants fixed before lookup (variant, canonical).
-CATEGORY_RENAMES = [("XBox", "Xbox"), ("Mobile-Other", "Mobile/Other")]
+# Category-name clean-up applied before lookup, in order; each pattern
+# matches case-insensitively anywhere in the name (pattern, replacement).
+CATEGORY_RENAMES = [("xbox", "XBox"), ("ebook", "EBook"), ("XBox One", "XBox One"),
+                    ("WiiWare/VC", "Wiiware"), ("Pc", "PC")]
 
 
 def category_rename(c, renames: Sequence[tuple[str, str]] = tuple(CATEGORY_RENAMES)) -> Column:
-    """Replace chain of spelling variants."""
+    """Fix spelling variants of category names (ordered, case-insensitive)."""
     out = col_of(c)
     for a, b in renames:
-        out = F.replace(out, F.lit(a), F.lit(b))
+        out = F.regexp_replace(out, "(?i)" + re.escape(a), b.replace("$", "\\$"))
     return out
 
 
