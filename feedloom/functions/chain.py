@@ -10,6 +10,7 @@ import re
 import unicodedata
 from collections.abc import Callable, Iterable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -133,7 +134,6 @@ def f_htmldecode(c, full: bool = False) -> Column:
 def _html_unescape_udf():
     import html
 
-    import pandas as pd
     from pyspark.sql.functions import pandas_udf
 
     @pandas_udf("string")
