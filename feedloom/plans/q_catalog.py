@@ -190,8 +190,8 @@ def q_c12(spark, sf):
         F.when(mx > 99.9, "size").when(mx > 99, "seeders").otherwise("bogus").alias("user_value"))
     user = user.withColumn("name", F.lit("sort"))
     defaults = user.select("source").withColumn("name", F.lit("sort")).withColumn("default", F.lit("time"))
-    opts = defaults.select("source", "name").crossJoin(
-        F.broadcast(spark.createDataFrame([("time",), ("size",), ("seeders",)], "opt_key string")))
+    opts = defaults.select("source", "name",
+                           F.explode(F.array(F.lit("time"), F.lit("size"), F.lit("seeders"))).alias("opt_key"))
     r = C.filtered_settings(defaults, user, options=opts)
     return r.select("source", "name", "default", "user_value", "value")
 

@@ -170,12 +170,23 @@ NESTED_SCHEMA = ("results ARRAY<STRUCT<key: BIGINT, priority: STRING, "
                  "items: ARRAY<STRUCT<l_linenumber: INT, l_quantity: DOUBLE>>>>")
 
 
+CHILDREN_PER_PAYLOAD = 100
+
+
 def _order_payloads(spark, sf, returned_only: bool):
+    """One nested-JSON payload per (order, chunk of at most 100 children): children are
+    numbered per order with the skew-safe two-level numbering, so an order holding a third
+    of all lines still becomes many bounded payloads."""
+    from ..operators.sync import number_within
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
     li = table(spark, sf, "lineitem")
     if returned_only:
         li = li.filter(F.col("l_returnflag") == "R")
-    kids = li.groupBy("l_orderkey").agg(
+    li = li.select("l_orderkey", "l_linenumber", "l_quantity",
+                   F.format_string("%010d|%020.4f|%d|%d", "l_linenumber", "l_quantity", "l_partkey",
+                                   "l_suppkey").alias("_ord"))
+    li = number_within(li, ["l_orderkey"], "_ord")
+    kids = li.groupBy("l_orderkey", F.floor((F.col("rn") - 1) / CHILDREN_PER_PAYLOAD).alias("chunk")).agg(
         F.array_sort(F.collect_list(F.struct("l_linenumber", "l_quantity"))).alias("items"))
     j = o.join(kids, o.o_orderkey == kids.l_orderkey, "left")
     items = F.coalesce(F.col("items"), F.array().cast("array<struct<l_linenumber:int,l_quantity:double>>"))

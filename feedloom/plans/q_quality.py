@@ -65,13 +65,14 @@ def q_l5(spark, sf):
     return L.check(_props(spark, sf), "event_id", [L.dq_key_pattern("props", [r"^[a-z]$", r"^q_\w+$"], "props")])
 
 
-@query("L6_dq_unique_items", """
-SELECT user_id, 'event_types' AS path, 'unique_items' AS rule, CAST(count(*) AS VARCHAR) AS value
-FROM events GROUP BY user_id HAVING count(*) <> count(DISTINCT event_type)""")
+@query("L6_dq_unique_items", f"""
+WITH h AS (SELECT page_id, regexp_extract_all(html, '{NAV_ITEM}') AS items FROM pages)
+SELECT page_id, 'nav/items' AS path, 'unique_items' AS rule, CAST(len(items) AS VARCHAR) AS value FROM h
+WHERE len(items) <> len(list_distinct(items))""")
 def q_l6(spark, sf):
-    e = table(spark, sf, "events")
-    per_user = e.groupBy("user_id").agg(F.collect_list("event_type").alias("types"))
-    return L.check(per_user, "user_id", [L.dq_unique_items("types", "event_types")])
+    """Lists inside one document (here: a page's nav items) must not repeat."""
+    p = table(spark, sf, "pages").select("page_id", F.regexp_extract_all("html", F.lit(NAV_ITEM), 0).alias("items"))
+    return L.check(p, "page_id", [L.dq_unique_items("items", "nav/items")])
 
 
 @query("L7_dq_one_of", """
