@@ -59,21 +59,60 @@ def _prepare_value(c: Column, fmt: str, strip_weekday: bool) -> Column:
     return v
 
 
-def _try_parse(v: Column, jfmt: str) -> Column:
-    if "XXX" in jfmt:  # +08:00 and +0800 are different Java tokens: try both
-        return F.coalesce(F.try_to_timestamp(v, F.lit(jfmt)),
-                          F.try_to_timestamp(v, F.lit(jfmt.replace("XXX", "xx"))))
-    return F.try_to_timestamp(v, F.lit(jfmt))
+_TOKEN = re.compile(r"'[^']*'|([A-Za-z])\1*|.", re.S)
+_DIGIT_LETTERS = set("yYuMLdDHhKkmsSnNAQqwWeFc")
+
+
+def shape_regex(jfmt: str) -> str:
+    """A loose regex every text that the Java pattern can parse also matches.
+
+    It is a necessary condition only (digit fields take 1-9 digits, text fields any
+    non-digit run), used to skip parses that would fail: a failed ``try_to_timestamp``
+    costs a JVM exception per row, a failed ``rlike`` costs nothing."""
+    out = []
+    for m in _TOKEN.finditer(jfmt):
+        tok = m.group(0)
+        if tok.startswith("'"):
+            out.append(re.escape(tok[1:-1] or "'"))
+        elif tok[0].isalpha():
+            c = tok[0]
+            if c in ("X", "x", "Z", "O", "V", "z"):
+                out.append(r"(?:Z|[+-][0-9]{2}(?::?[0-9]{2})?|[A-Za-z/_]+)")
+            elif c == "M" and len(tok) >= 3 or c in ("a", "E", "G", "B"):
+                out.append(r"[^\s0-9]+")
+            elif c in _DIGIT_LETTERS:
+                out.append(r"[0-9]{1,9}")
+            else:
+                out.append(r".+?")
+        elif tok.isspace():
+            out.append(r"\s+")
+        else:
+            out.append(re.escape(tok))
+    return "^" + "".join(out) + "$"
+
+
+def _try_parse(v: Column, jfmt: str, guard: bool = False) -> Column:
+    """+08:00 and +0800 are different Java tokens: the zone form of the value picks XXX
+    or xx (one cheap test instead of a failed parse). With ``guard``, values of the wrong
+    shape are not parsed at all: for candidate lists where most formats do not fit."""
+    if "XXX" in jfmt:
+        colon = v.rlike(r"[+-][0-9]{2}:[0-9]{2}$") | v.endswith("Z")
+        parsed = F.when(colon, F.try_to_timestamp(v, F.lit(jfmt))).otherwise(
+            F.try_to_timestamp(v, F.lit(jfmt.replace("XXX", "xx"))))
+    else:
+        parsed = F.try_to_timestamp(v, F.lit(jfmt))
+    return F.when(v.rlike(shape_regex(jfmt)), parsed) if guard else parsed
 
 
 # Two-digit years: 00-29 are 20xx, 30-99 are 19xx (the .NET calendar window).
 TWO_DIGIT_YEAR_MAX = 2029
 
 
-def f_dateparse(c, fmt: str) -> Column:
-    """parse text with a .NET-style format; null when it does not parse."""
+def f_dateparse(c, fmt: str, guard: bool = False) -> Column:
+    """parse text with a .NET-style format; null when it does not parse.
+    ``guard`` skips values whose shape cannot fit the format (see ``shape_regex``)."""
     jfmt, strip = java_pattern(fmt)
-    ts = _try_parse(_prepare_value(col_of(c), fmt, strip), jfmt)
+    ts = _try_parse(_prepare_value(col_of(c), fmt, strip), jfmt, guard)
     if "yy" in fmt and "yyyy" not in fmt:
         ts = F.when(F.year(ts) > TWO_DIGIT_YEAR_MAX,
                     ts - F.make_ym_interval(F.lit(100), F.lit(0))).otherwise(ts)
@@ -174,7 +213,7 @@ def f_fuzzytime(c, as_of, formats: list[str] | None = None) -> Column:
         branches = branches.when(t.rlike(r"\b" + name + r"\b"), _at_day(a, back, tod))
     rel = F.regexp_replace(t, r"\s+", " ").rlike(r"\bago\b|^\s*[0-9.]+\s*[a-z]+(\s+[0-9.]+\s*[a-z]+)*\s*$")
     branches = branches.when(rel, _minus_seconds(a, ago_seconds(t)))
-    parsed = [f_dateparse(col_of(c), f) for f in (formats or [])]
+    parsed = [f_dateparse(col_of(c), f, guard=True) for f in (formats or [])]
     return F.coalesce(branches, *parsed, F.try_to_timestamp(F.trim(col_of(c))))
 
 
@@ -187,7 +226,7 @@ def to_timestamp_any(c, formats: list[str] | None, as_of) -> Column:
     epoch = (F.when(x.rlike(r"^\d{9,11}$"), F.timestamp_seconds(x.try_cast("bigint")))
              .when(x.rlike(r"^\d{12,13}$"), F.timestamp_millis(x.try_cast("bigint"))))
     return F.coalesce(epoch, F.try_to_timestamp(x),
-                      *[f_dateparse(x, f) for f in (formats or [])],
+                      *[f_dateparse(x, f, guard=True) for f in (formats or [])],
                       f_fuzzytime(x, as_of))
 
 
@@ -226,14 +265,23 @@ MONTH_NAMES = {
 LANG_FORMS = {"fr": ["fr"], "de": ["de"], "es": ["es"], "ru": ["ru_gen", "ru", "ru_short"]}
 
 
-def localised_months(c, lang: str) -> Column:
-    """Month names of ``lang`` -> English short names (whole words, case-insensitive,
-    longest names first so a short form never cuts a long one)."""
-    pairs = []
-    for form in LANG_FORMS[lang]:
-        pairs += list(zip(MONTH_NAMES[form], MONTHS_EN))
-    pairs.sort(key=lambda p: -len(p[0]))
-    out = col_of(c)
-    for name, en in pairs:
-        out = F.regexp_replace(out, r"(?iu)(?<!\p{L})" + re.escape(name) + r"\.?(?!\p{L})", en)
-    return out
+def localised_months(c, lang: str | list[str]) -> Column:
+    """A month name of ``lang`` (one language or several) -> the English short name
+    (whole word, case-insensitive).
+
+    One regex finds the name (longest alternatives first, so a short form never cuts a
+    long one), a map lookup gives the English name, and a literal replace puts it in:
+    a single pass per row however many names the languages have."""
+    langs = [lang] if isinstance(lang, str) else list(lang)
+    names: dict[str, str] = {}
+    for lg in langs:
+        for form in LANG_FORMS[lg]:
+            for n, en in zip(MONTH_NAMES[form], MONTHS_EN):
+                names.setdefault(n.lower(), en)
+    alt = "|".join(re.escape(n) for n in sorted(names, key=lambda n: -len(n)))
+    pat = r"(?iu)(?<!\p{L})(?:" + alt + r")\.?(?!\p{L})"
+    lookup = F.create_map(*[x for n, en in names.items() for x in (F.lit(n), F.lit(en))])
+    x = col_of(c)
+    whole = F.regexp_extract(x, pat, 0)
+    en = F.element_at(lookup, F.lower(F.rtrim(whole, F.lit("."))))
+    return F.when(whole != "", F.replace(x, whole, en)).otherwise(x)

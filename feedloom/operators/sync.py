@@ -21,6 +21,19 @@ def content_hash(c) -> Column:
     return F.sha2(col_of(c), 256)
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into the shared checkpoint folder and cut its lineage.
+
+    The change set is read by several later steps (renames, block list, versions, report);
+    without this each of them would rescan and rejoin both snapshots. ``checkpoint`` writes
+    to ``spark.checkpoint.dir`` (shared storage on a cluster), so a lost executor does not
+    force the full outer join to run again."""
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 # ----------------------------------------------------------------------------- M1, M2
 
 

@@ -22,7 +22,7 @@ SELECT doc_id, regexp_replace(regexp_replace(text, '([0-9]+)', '<\1>', 'g'),
                               '([A-Za-z]+)@([A-Za-z]+)', '\2 at \1', 'g') AS out
 FROM documents""")
 def q_f1(spark, sf):
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", spread=True)
     out = C.apply_chain("text", [("re_replace", r"([0-9]+)", "<$1>"),
                                  ("re_replace", r"([A-Za-z]+)@([A-Za-z]+)", "$2 at $1")])
     return d.select("doc_id", out.alias("out"))
@@ -33,7 +33,7 @@ SELECT doc_id, regexp_extract(text, '([A-Z][a-z]+) ([a-z]+)', 1) AS first_word,
        regexp_extract(text, '[0-9]{3,}', 0) AS digits
 FROM documents""")
 def q_f2(spark, sf):
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", spread=True)
     return d.select("doc_id", C.f_regexp("text", r"([A-Z][a-z]+) ([a-z]+)").alias("first_word"),
                     C.f_regexp("text", r"[0-9]{3,}").alias("digits"))
 
@@ -41,7 +41,7 @@ def q_f2(spark, sf):
 @query("F3_replace", """
 SELECT doc_id, replace(replace(text, 'the', 'THE'), '\n', ' | ') AS out FROM documents""")
 def q_f3(spark, sf):
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", spread=True)
     return d.select("doc_id", C.apply_chain("text", [("replace", "the", "THE"),
                                                      ("replace", "\n", " | ")]).alias("out"))
 
@@ -49,7 +49,7 @@ def q_f3(spark, sf):
 @query("F4_append", """
 SELECT p_partkey, p_name || ' / ' || p_brand || '.torrent' AS out FROM part""")
 def q_f4(spark, sf):
-    p = table(spark, sf, "part")
+    p = table(spark, sf, "part", spread=True)
     return p.select("p_partkey", C.apply_chain("p_name", [("append", " / "), ("append", F.col("p_brand")),
                                                            ("append", ".torrent")]).alias("out"))
 
@@ -57,7 +57,7 @@ def q_f4(spark, sf):
 @query("F5_prepend", """
 SELECT p_partkey, 'https://parts.example/' || p_type || '/' || p_name AS out FROM part""")
 def q_f5(spark, sf):
-    p = table(spark, sf, "part")
+    p = table(spark, sf, "part", spread=True)
     return p.select("p_partkey", C.apply_chain("p_name", [("prepend", "/"), ("prepend", F.col("p_type")),
                                                            ("prepend", "https://parts.example/")]).alias("out"))
 
@@ -67,7 +67,7 @@ SELECT page_id, split_part(url, '/', 3) AS host, split_part(url, '/', -1) AS las
        split_part(url, '/', 9) AS missing, split_part(split_part(url, '?', 1), '.', -2) AS domain_word
 FROM pages""")
 def q_f6(spark, sf):
-    p = table(spark, sf, "pages")
+    p = table(spark, sf, "pages", spread=True)
     return p.select("page_id", C.f_split("url", "/", 2).alias("host"),
                     C.f_split("url", "/", -1).alias("last_part"),
                     C.f_split("url", "/", 8).alias("missing"),
@@ -77,20 +77,20 @@ def q_f6(spark, sf):
 @query("F7_trim", """
 SELECT doc_id, trim(text) AS blank_trim, trim(text, '.!?, ' || chr(10)) AS char_trim FROM documents""")
 def q_f7(spark, sf):
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", spread=True)
     return d.select("doc_id", C.f_trim("text").alias("blank_trim"),
                     C.f_trim("text", ".!?, \n").alias("char_trim"))
 
 
 @query("F8_tolower", "SELECT doc_id, lower(text) AS out FROM documents")
 def q_f8(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", C.f_tolower("text").alias("out"))
+    return table(spark, sf, "documents", spread=True).select("doc_id", C.f_tolower("text").alias("out"))
 
 
 # DuckDB's upper keeps the single-character capital sharp s where Java writes "SS"
 @query("F9_toupper", "SELECT doc_id, replace(upper(text), 'ẞ', 'SS') AS out FROM documents")
 def q_f9(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", C.f_toupper("text").alias("out"))
+    return table(spark, sf, "documents", spread=True).select("doc_id", C.f_toupper("text").alias("out"))
 
 
 # ----------------------------------------------------------------------------- F10-F17
@@ -102,7 +102,7 @@ SELECT page_id, regexp_extract(url, '[?&]page=([^&#]*)', 1) AS page,
        regexp_extract(url, '[?&]ref=([^&#]*)', 1) AS ref
 FROM pages""")
 def q_f10(spark, sf):
-    p = table(spark, sf, "pages")
+    p = table(spark, sf, "pages", spread=True)
     return p.select("page_id", C.f_querystring("url", "page").alias("page"),
                     C.f_querystring("url", "utm_source").alias("utm_source"),
                     C.f_querystring("url", "ref").alias("ref"))
@@ -110,13 +110,13 @@ def q_f10(spark, sf):
 
 @query("F11_urldecode", "SELECT doc_id, text AS out FROM documents")
 def q_f11(spark, sf):
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", spread=True)
     return d.select("doc_id", C.f_urldecode(F.url_encode("text")).alias("out"))
 
 
 @query("F12_urlencode", "SELECT doc_id, url_encode(text) AS out FROM documents")
 def q_f12(spark, sf):
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", spread=True)
     return d.select("doc_id", C.f_urlencode("text").alias("out"))
 
 
@@ -129,7 +129,7 @@ for _ent, _ch in C.HTML_ENTITIES:
 WITH t AS (SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS html_title FROM pages)
 SELECT page_id, {_ENT_SQL} AS once, {_ENT_SQL.replace('html_title', '(' + _ENT_SQL + ')', 1)} AS twice FROM t""")
 def q_f13(spark, sf):
-    p = table(spark, sf, "pages")
+    p = table(spark, sf, "pages", spread=True)
     t = p.select("page_id", F.regexp_extract("html", r"<title>([^<]*)</title>", 1).alias("html_title"))
     return t.select("page_id", C.f_htmldecode("html_title").alias("once"),
                     C.apply_chain("html_title", [("htmldecode",), ("htmldecode",)]).alias("twice"))
@@ -139,12 +139,12 @@ def q_f13(spark, sf):
 SELECT doc_id, replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'),
        '"', '&quot;'), '''', '&#39;') AS out FROM documents""")
 def q_f14(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", C.f_htmlencode("text").alias("out"))
+    return table(spark, sf, "documents", spread=True).select("doc_id", C.f_htmlencode("text").alias("out"))
 
 
 @query("F15_diacritics", "SELECT doc_id, strip_accents(text) AS out FROM documents")
 def q_f15(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", C.f_diacritics("text").alias("out"))
+    return table(spark, sf, "documents", spread=True).select("doc_id", C.f_diacritics("text").alias("out"))
 
 
 VALID_WORDS = ["the", "and", "of", "la", "le", "der", "die", "el", "de", "los"]
@@ -155,14 +155,14 @@ SELECT doc_id, array_to_string(list_filter(regexp_split_to_array(text, '[,;/|\\s
        lambda w: lower(w) IN ({', '.join(repr(w) for w in VALID_WORDS)})), ',') AS out
 FROM documents""")
 def q_f16(spark, sf):
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", spread=True)
     return d.select("doc_id", C.f_validate("text", VALID_WORDS).alias("out"))
 
 
 @query("F17_validfilename", """
 SELECT doc_id, translate(text, '<>:"/\\|?*', '_________') AS out FROM documents""")
 def q_f17(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", C.f_validfilename("text").alias("out"))
+    return table(spark, sf, "documents", spread=True).select("doc_id", C.f_validfilename("text").alias("out"))
 
 
 # ----------------------------------------------------------------------------- F18-F22
@@ -199,7 +199,7 @@ def _f18_sql():
 
 @query("F18_dateparse", _f18_sql())
 def q_f18(spark, sf):
-    o = table(spark, sf, "orders")
+    o = table(spark, sf, "orders", spread=True)
     ts = F.col("o_orderdate").cast("timestamp")
     cols = []
     for i, (fmt, render, off) in enumerate(ROUND_TRIP_FORMATS, 1):
@@ -212,7 +212,7 @@ def q_f18(spark, sf):
 SELECT event_id, TIMESTAMP '{AS_OF[:10]} 00:00:00' + to_hours(hour(ts)) + to_minutes(minute(ts)) AS at_time
 FROM events""")
 def q_f19(spark, sf):
-    e = table(spark, sf, "events")
+    e = table(spark, sf, "events", spread=True)
     txt = F.date_format("ts", "HH:mm")
     return e.select("event_id", D.f_timeparse(txt, "HH:mm", AS_OF).cast("timestamp_ntz").alias("at_time"))
 
@@ -222,7 +222,7 @@ SELECT event_id, TIMESTAMP '{AS_OF}' - to_days(CAST(user_id % 30 AS INTEGER)) -
        - to_minutes(minute(ts)) AS posted
 FROM events""")
 def q_f20(spark, sf):
-    e = table(spark, sf, "events")
+    e = table(spark, sf, "events", spread=True)
     txt = F.concat((F.col("user_id") % 30).cast("string"), F.lit(" days, "),
                    F.hour("ts").cast("string"), F.lit(" hours and "),
                    F.minute("ts").cast("string"), F.lit(" mins ago"))
@@ -233,7 +233,7 @@ def q_f20(spark, sf):
 SELECT event_id, TIMESTAMP '{AS_OF}' - to_weeks(CAST(user_id % 5 AS INTEGER)) - to_seconds(CAST(second(ts) AS BIGINT)) AS posted
 FROM events""")
 def q_f21(spark, sf):
-    e = table(spark, sf, "events")
+    e = table(spark, sf, "events", spread=True)
     txt = F.concat((F.col("user_id") % 5).cast("string"), F.lit("w "),
                    F.second("ts").cast("string"), F.lit("s"))
     return e.select("event_id", D.f_reltime(txt, AS_OF).cast("timestamp_ntz").alias("posted"))
@@ -263,7 +263,7 @@ SELECT event_id,
   END AS posted
 FROM e""")
 def q_f22(spark, sf):
-    e = table(spark, sf, "events")
+    e = table(spark, sf, "events", spread=True)
     return e.select("event_id", D.f_fuzzytime(_fuzzy_text(), AS_OF).cast("timestamp_ntz").alias("posted"))
 
 
@@ -274,7 +274,7 @@ def q_f22(spark, sf):
 SELECT event_id, event_type || '|u' || CAST(user_id AS VARCHAR) || '|' || json_extract_string(props, '$.k') AS out
 FROM events""")
 def q_f23(spark, sf):
-    e = table(spark, sf, "events")
+    e = table(spark, sf, "events", spread=True)
     doc = F.to_json(F.struct(F.array(F.col("event_type"), F.concat(F.lit("u"), F.col("user_id").cast("string")),
                                      F.get_json_object("props", "$.k")).alias("tags")))
     return e.select("event_id", C.f_jsonjoinarray(doc, "$.tags", "|").alias("out"))
@@ -294,7 +294,7 @@ TITLE_RULES = [
 SELECT o_orderkey, 'Show ' || printf('S%02dE%02d', o_orderkey % 20, o_custkey % 30) || ' ' || o_orderpriority AS title
 FROM orders""")
 def q_f24(spark, sf):
-    o = table(spark, sf, "orders")
+    o = table(spark, sf, "orders", spread=True)
     raw = F.concat(F.lit("Show season "), (F.col("o_orderkey") % 20).cast("string"), F.lit(" EPISODE "),
                    (F.col("o_custkey") % 30).cast("string"), F.lit(" "), F.col("o_orderpriority"))
     return o.select("o_orderkey", C.f_cleanup_titles(raw, TITLE_RULES).alias("title"))
@@ -304,7 +304,7 @@ def q_f24(spark, sf):
 
 
 def _events_fields(spark, sf):
-    e = table(spark, sf, "events")
+    e = table(spark, sf, "events", spread=True)
     return e.select("event_id", "user_id", "event_type",
                     F.when(F.col("event_type") == "purchase", F.lit("yes")).alias("_paid"),
                     F.when(F.col("value") > 50, F.col("value").cast("string")).alias("_big"),
@@ -349,7 +349,7 @@ def q_t4(spark, sf):
 SELECT user_id, string_agg(event_type, ',' ORDER BY event_type) AS types
 FROM (SELECT DISTINCT user_id, event_type FROM events) GROUP BY user_id""")
 def q_t5(spark, sf):
-    e = table(spark, sf, "events")
+    e = table(spark, sf, "events", spread=True)
     g = e.groupBy("user_id").agg(F.array_sort(F.collect_set("event_type")).alias("types"))
     return g.select("user_id", TP.tpl_join("types", ",").alias("types"))
 
@@ -358,7 +358,7 @@ def q_t5(spark, sf):
 SELECT user_id, string_agg('[' || event_type || ']', '' ORDER BY event_type) AS rendered
 FROM (SELECT DISTINCT user_id, event_type FROM events) GROUP BY user_id""")
 def q_t6(spark, sf):
-    e = table(spark, sf, "events")
+    e = table(spark, sf, "events", spread=True)
     g = e.groupBy("user_id").agg(F.array_sort(F.collect_set("event_type")).alias("types"))
     return g.select("user_id", TP.tpl_range("types", lambda x: F.concat(F.lit("["), x, F.lit("]")))
                     .alias("rendered"))
@@ -367,7 +367,7 @@ def q_t6(spark, sf):
 @query("T7_re_replace", r"""
 SELECT doc_id, regexp_replace(text, '[^A-Za-z0-9]+', '.', 'g') AS slug FROM documents""")
 def q_t7(spark, sf):
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", spread=True)
     return d.select("doc_id", TP.tpl_re_replace(F.col("text"), r"[^A-Za-z0-9]+", ".").alias("slug"))
 
 
@@ -377,7 +377,7 @@ SELECT p_partkey, 'widget' AS param_q, CAST(year(TIMESTAMP '{AS_OF}') AS INTEGER
        contains(p_name, 'widget') AS matches
 FROM part""")
 def q_t8(spark, sf):
-    p = table(spark, sf, "part").select("p_partkey", "p_name")
+    p = table(spark, sf, "part", spread=True).select("p_partkey", "p_name")
     v = TP.tpl_vars(p, {"q": "widget"}, as_of=AS_OF)
     return v.select("p_partkey", "param_q", "param_today_year", "param_true", "param_false",
                     F.col("p_name").contains(F.col("param_q")).alias("matches"))
@@ -387,6 +387,6 @@ def q_t8(spark, sf):
 SELECT p_partkey, 'Part ' || p_name || ' (' || coalesce(CASE WHEN p_size > 25 THEN 'big' END, '') || ')' AS label
 FROM part""")
 def q_t9(spark, sf):
-    p = table(spark, sf, "part")
+    p = table(spark, sf, "part", spread=True)
     big = F.when(F.col("p_size") > 25, F.lit("big"))
     return p.select("p_partkey", TP.tpl_concat("Part ", F.col("p_name"), " (", big, ")").alias("label"))

@@ -30,7 +30,7 @@ SQL_ATTR = "regexp_extract({x}, '\\b{name}\\s*=\\s*[\"'']([^\"'']*)[\"'']', 1)"
 
 def nav_links(spark: SparkSession, sf: str) -> DataFrame:
     """pages -> nav list items with position, href, text, section and page number."""
-    pages = table(spark, sf, "pages").select("page_id", "url", "html")
+    pages = table(spark, sf, "pages", spread=True).select("page_id", "url", "html")
     rows = html_rows(pages, "html", NAV_ITEM, keep=["page_id", "url"])
     return rows.select(
         "page_id", F.col("pos").cast("bigint").alias("pos"),
@@ -101,7 +101,7 @@ def q_a1(spark, sf):
 def q_a2_irregular(spark, sf):
     """Slow path (rows-only check): html.parser over every page, one row per <p>."""
     from ..sources.extract import html_rows_irregular
-    pages = table(spark, sf, "pages").select("page_id", "html")
+    pages = table(spark, sf, "pages", spread=True).select("page_id", "html")
     return html_rows_irregular(pages, "html", "p", ["page_id"]).select(
         "page_id", F.col("pos").cast("bigint").alias("pos"), F.length("text").cast("bigint").alias("n_chars"))
 
@@ -174,20 +174,23 @@ CHILDREN_PER_PAYLOAD = 100
 
 
 def _order_payloads(spark, sf, returned_only: bool):
-    """One nested-JSON payload per (order, chunk of at most 100 children): children are
-    numbered per order with the skew-safe two-level numbering, so an order holding a third
-    of all lines still becomes many bounded payloads."""
-    from ..operators.sync import number_within
+    """Nested-JSON payloads of orders with their lines: one payload per (order, chunk),
+    where an order with n lines is cut into ceil(n / 100) chunks by a hash of the line.
+    Line counts come from a map-side-combined count, and the lines are shuffled by
+    (order, chunk), so an order holding a third of all lines still becomes many bounded
+    payloads spread over many tasks."""
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
     li = table(spark, sf, "lineitem")
     if returned_only:
         li = li.filter(F.col("l_returnflag") == "R")
-    li = li.select("l_orderkey", "l_linenumber", "l_quantity",
-                   F.format_string("%010d|%020.4f|%d|%d", "l_linenumber", "l_quantity", "l_partkey",
-                                   "l_suppkey").alias("_ord"))
-    li = number_within(li, ["l_orderkey"], "_ord")
-    kids = li.groupBy("l_orderkey", F.floor((F.col("rn") - 1) / CHILDREN_PER_PAYLOAD).alias("chunk")).agg(
-        F.array_sort(F.collect_list(F.struct("l_linenumber", "l_quantity"))).alias("items"))
+    li = li.select("l_orderkey", "l_linenumber", "l_quantity", "l_partkey", "l_suppkey")
+    n = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_n"))
+    chunks = F.ceil(F.col("_n") / F.lit(CHILDREN_PER_PAYLOAD))
+    li = li.join(n, "l_orderkey").withColumn(
+        "chunk", F.pmod(F.xxhash64("l_linenumber", "l_quantity", "l_partkey", "l_suppkey"), chunks))
+    kids = (li.repartition("l_orderkey", "chunk")
+              .groupBy("l_orderkey", "chunk")
+              .agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_quantity"))).alias("items")))
     j = o.join(kids, o.o_orderkey == kids.l_orderkey, "left")
     items = F.coalesce(F.col("items"), F.array().cast("array<struct<l_linenumber:int,l_quantity:double>>"))
     body = F.to_json(F.struct(F.array(F.struct(F.col("o_orderkey").alias("key"),
@@ -291,7 +294,7 @@ SELECT page_id, CAST(len(regexp_extract_all(body, '<p>')) AS BIGINT) AS n_paragr
 FROM c""")
 def q_a11(spark, sf):
     from ..sources.extract import preprocess_payload
-    p = preprocess_payload(table(spark, sf, "pages").select("page_id", "html"), "html", _PRE_STEPS)
+    p = preprocess_payload(table(spark, sf, "pages", spread=True).select("page_id", "html"), "html", _PRE_STEPS)
     return p.select("page_id", F.size(F.regexp_extract_all("html", F.lit("<p>"), 0)).cast("bigint").alias("n_paragraphs"),
                     F.length("html").cast("bigint").alias("n_chars"))
 
@@ -299,7 +302,7 @@ def q_a11(spark, sf):
 @query("A12_decode_charset", "SELECT doc_id, text AS utf16, text AS utf8 FROM documents")
 def q_a12(spark, sf):
     from ..sources.extract import decode_charset
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", spread=True)
     return d.select("doc_id", decode_charset(F.encode("text", "UTF-16LE"), "UTF-16LE").alias("utf16"),
                     decode_charset(F.encode("text", "UTF-8"), "UTF-8").alias("utf8"))
 
@@ -433,6 +436,6 @@ SELECT * FROM (
   FROM t WHERE NOT starts_with(line, '#') AND contains(line, '=')) WHERE key <> ''""")
 def q_a17(spark, sf):
     from ..sources.extract import scan_keyvalue
-    d = table(spark, sf, "documents").select("doc_id", "text")
+    d = table(spark, sf, "documents", spread=True).select("doc_id", "text")
     kv = scan_keyvalue(d, "text", keep=["doc_id"])
     return kv.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), "key", "value")

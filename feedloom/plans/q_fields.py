@@ -19,7 +19,7 @@ SELECT page_id, {SQL_STRIP.format(x="regexp_extract(html, '<h1>.*?</h1>', 0)")}
        {SQL_STRIP.format(x="regexp_extract(html, '<footer>.*?</footer>', 0)")} AS footer
 FROM pages""")
 def q_b1(spark, sf):
-    p = table(spark, sf, "pages")
+    p = table(spark, sf, "pages", spread=True)
     return p.select("page_id", B.select_field("html", r"<h1>.*?</h1>").alias("title"),
                     B.select_field("html", r"<footer>.*?</footer>").alias("footer"))
 
@@ -30,7 +30,7 @@ SELECT page_id, regexp_extract(html, '\blang\s*=\s*["'']([^"'']*)["'']', 1) AS l
        regexp_extract(html, '\bclass\s*=\s*["'']([^"'']*)["'']', 1) AS first_class
 FROM pages""")
 def q_b2(spark, sf):
-    p = table(spark, sf, "pages")
+    p = table(spark, sf, "pages", spread=True)
     return p.select("page_id", B.select_attribute("html", "lang").alias("lang"),
                     B.select_attribute("html", "href").alias("first_href"),
                     B.select_attribute("html", "class").alias("first_class"))
@@ -39,7 +39,7 @@ def q_b2(spark, sf):
 @query("B3_literal_text", """
 SELECT p_partkey, 'parts' AS source, CAST(0 AS BIGINT) AS grabs, p_brand || ':' || p_name AS title FROM part""")
 def q_b3(spark, sf):
-    p = table(spark, sf, "part")
+    p = table(spark, sf, "part", spread=True)
     return p.select("p_partkey", B.literal_text("parts").alias("source"),
                     B.literal_text(F.lit(0).cast("bigint")).alias("grabs"),
                     B.literal_text(F.concat_ws(":", "p_brand", "p_name")).alias("title"))
@@ -50,7 +50,7 @@ SELECT doc_id, coalesce(nullif(regexp_extract(text, '(?i)licen[sc]ed? under the
        coalesce(nullif(regexp_extract(text, '[A-Za-z0-9._]+@[A-Za-z0-9.-]+', 0), ''), source) AS contact
 FROM documents""")
 def q_b4(spark, sf):
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", spread=True)
     lic = F.regexp_extract("text", r"(?i)licen[sc]ed? under the ([A-Za-z0-9 .-]+?) License", 1)
     mail = F.regexp_extract("text", r"[A-Za-z0-9._]+@[A-Za-z0-9.-]+", 0)
     return d.select("doc_id", B.optional_default(lic, "unknown").alias("license"),
@@ -66,7 +66,7 @@ SELECT doc_id, title,
        WHEN infohash = '' THEN 'missing: infohash' END AS reject_reason
 FROM f""")
 def q_b5(spark, sf):
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", spread=True)
     f = d.select("doc_id", F.regexp_extract("text", r"^([A-Z][^.\n]*)", 1).alias("title"),
                  F.regexp_extract("text", r"[A-Fa-f0-9]{40}", 0).alias("infohash"))
     good, bad = B.required_field(f, ["title", "infohash"])
@@ -83,7 +83,7 @@ SELECT o_orderkey, CASE lower(o_orderstatus) WHEN 'f' THEN 'finished' WHEN 'o' T
        CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS priority
 FROM orders""")
 def q_b6(spark, sf):
-    o = table(spark, sf, "orders")
+    o = table(spark, sf, "orders", spread=True)
     return o.select("o_orderkey", B.case_value("o_orderstatus", {"F": "finished", "O": "open", "*": "pending"})
                     .alias("status"),
                     B.case_value("o_orderpriority", _PRIORITY_CODES).cast("bigint").alias("priority"))
@@ -95,7 +95,7 @@ SELECT l_orderkey, l_linenumber,
        WHEN l_quantity > 40 THEN 'bulk' ELSE 'normal' END AS kind
 FROM lineitem""")
 def q_b7(spark, sf):
-    li = table(spark, sf, "lineitem")
+    li = table(spark, sf, "lineitem", spread=True)
     k = B.case_predicate([(F.col("l_discount") >= 0.08, "deep"), (F.col("l_returnflag") == "R", "returned"),
                           (F.col("l_quantity") > 40, "bulk")], "normal")
     return li.select("l_orderkey", "l_linenumber", k.alias("kind"))
@@ -109,14 +109,14 @@ def _remove_sql(x, tag):
 @query("B8_remove_elements", f"""
 SELECT page_id, {SQL_STRIP.format(x=_remove_sql(_remove_sql("html", "script"), "b"))} AS body_text FROM pages""")
 def q_b8(spark, sf):
-    p = table(spark, sf, "pages")
+    p = table(spark, sf, "pages", spread=True)
     return p.select("page_id", B.select_field(B.remove_elements("html", ["script", "b"])).alias("body_text"))
 
 
 @query("B9_private_fields", """
 SELECT p_partkey, p_name || ' [' || p_brand || ']' AS title, CAST(p_size AS BIGINT) * 1048576 AS size FROM part""")
 def q_b9(spark, sf):
-    p = table(spark, sf, "part")
+    p = table(spark, sf, "part", spread=True)
     f = p.select("p_partkey", F.col("p_name").alias("_name"), F.col("p_brand").alias("_brand"),
                  F.concat(F.col("p_size").cast("string"), F.lit(" MB")).alias("_size"))
     f = f.withColumns({"title": F.concat(F.col("_name"), F.lit(" ["), F.col("_brand"), F.lit("]")),
@@ -130,7 +130,7 @@ SELECT p_partkey, upper(p_type) AS _kind, lower(p_type) || '-' || p_name AS slug
        CASE WHEN p_size > 25 THEN 'https://parts.example/' || lower(p_type) || '-' || p_name || '/big' END AS download
 FROM part""")
 def q_b10(spark, sf):
-    p = table(spark, sf, "part")
+    p = table(spark, sf, "part", spread=True)
     chain = {
         "_kind": lambda f: F.upper(f["p_type"]),
         "slug": lambda f: F.concat(F.lower(f["_kind"]), F.lit("-"), f["p_name"]),
@@ -148,7 +148,7 @@ SELECT o_orderkey,
 FROM orders""")
 def q_b11(spark, sf):
     from ..functions.dates import as_of_col, f_dateparse
-    o = table(spark, sf, "orders")
+    o = table(spark, sf, "orders", spread=True)
     ts = F.col("o_orderdate").cast("timestamp")
     v1 = F.when(F.col("o_orderstatus") == "F", F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
     v2 = F.when(F.col("o_orderstatus") == "O", F.date_format(ts + F.expr("INTERVAL 12 HOURS"), "dd.MM.yyyy HH:mm"))
@@ -166,7 +166,7 @@ SELECT event_id,
   'u' || CAST(user_id AS VARCHAR) AS replaced
 FROM events""")
 def q_b12(spark, sf):
-    e = table(spark, sf, "events")
+    e = table(spark, sf, "events", spread=True)
     a = F.array(F.col("event_type"))
     b = F.array(F.concat(F.lit("k"), F.get_json_object("props", "$.k")))
     return e.select("event_id",
@@ -182,7 +182,7 @@ SELECT p_name AS title, CAST(p_size AS BIGINT) * 1048576 AS size, CAST(p_size AS
        CAST(1.0 AS DOUBLE) AS downloadvolumefactor
 FROM part""")
 def q_b13(spark, sf):
-    p = table(spark, sf, "part")
+    p = table(spark, sf, "part", spread=True)
     rec = p.select(F.lit("parts").alias("source"), F.col("p_partkey").alias("pos"), F.col("p_name").alias("title"),
                    N.to_bytes(F.concat(F.col("p_size").cast("string"), F.lit("MB"))).alias("size"),
                    F.col("p_size").cast("string").alias("seeders"),

@@ -23,7 +23,7 @@ SELECT p_partkey,
   CAST(p_size AS BIGINT) * 1073741824 AS local_unit_bytes
 FROM part""")
 def q_n1(spark, sf):
-    p = table(spark, sf, "part")
+    p = table(spark, sf, "part", spread=True)
     unit = F.element_at(F.array(*[F.lit(u) for u in ("KB", "MB", "GB", "TB", "PB")]),
                         (F.col("p_partkey") % 5 + 1).cast("int"))
     t1 = F.concat(F.col("p_size").cast("string"), F.lit(" "), unit)
@@ -55,7 +55,7 @@ SELECT event_id,
   END AS parsed
 FROM events""")
 def q_n2(spark, sf):
-    e = table(spark, sf, "events")
+    e = table(spark, sf, "events", spread=True)
     return e.select("event_id", D.to_timestamp_any(_any_text(), ["dd.MM.yyyy HH:mm"], AS_OF)
                     .cast("timestamp_ntz").alias("parsed"))
 
@@ -63,7 +63,7 @@ def q_n2(spark, sf):
 @query("N3_attach_zone", """
 SELECT o_orderkey, o_orderdate - INTERVAL 8 HOUR AS utc_date FROM orders""")
 def q_n3(spark, sf):
-    o = table(spark, sf, "orders")
+    o = table(spark, sf, "orders", spread=True)
     txt = F.date_format(F.col("o_orderdate").cast("timestamp"), "yyyy-MM-dd HH:mm")
     zoned = D.attach_zone(txt, "+08:00")
     return o.select("o_orderkey", D.f_dateparse(zoned, "yyyy-MM-dd HH:mm zzz")
@@ -80,7 +80,7 @@ SELECT o_orderkey,
   o_orderdate AS two_digit
 FROM o""")
 def q_n4(spark, sf):
-    o = table(spark, sf, "orders")
+    o = table(spark, sf, "orders", spread=True)
     ts = F.col("o_orderdate").cast("timestamp")
     no_year = D.two_digit_and_partial_dates(F.date_format(ts, "MMM d"), "MMM d", AS_OF)
     two = D.two_digit_and_partial_dates(F.date_format(ts, "dd/MM/yy"), "dd/MM/yy", AS_OF)
@@ -94,7 +94,7 @@ _LANGS = ["fr", "de", "es", "ru"]
 @query("N5_localised_months", """
 SELECT o_orderkey, o_orderdate AS parsed FROM orders""")
 def q_n5(spark, sf):
-    o = table(spark, sf, "orders")
+    o = table(spark, sf, "orders", spread=True)
     ts = F.col("o_orderdate").cast("timestamp")
     k = (F.col("o_orderkey") % 4).cast("int")
     forms = {"fr": "fr", "de": "de", "es": "es", "ru": "ru_gen"}
@@ -104,10 +104,7 @@ def q_n5(spark, sf):
         v = F.element_at(arr, F.month(ts))
         name = F.when(k == i, v) if name is None else name.when(k == i, v)
     txt = F.concat(F.dayofmonth(ts).cast("string"), F.lit(" "), name, F.lit(" "), F.year(ts).cast("string"))
-    parsed = None
-    for i, lang in enumerate(_LANGS):
-        p = D.f_dateparse(D.localised_months(txt, lang), "d MMM yyyy")
-        parsed = F.when(k == i, p) if parsed is None else parsed.when(k == i, p)
+    parsed = D.f_dateparse(D.localised_months(txt, _LANGS), "d MMM yyyy")
     return o.select("o_orderkey", parsed.cast("timestamp_ntz").alias("parsed"))
 
 
@@ -118,7 +115,7 @@ def q_n5(spark, sf):
 SELECT p_partkey, CAST(round(p_retailprice * 1000) AS BIGINT) AS grabs, CAST(0 AS BIGINT) AS junk
 FROM part""")
 def q_n6(spark, sf):
-    p = table(spark, sf, "part")
+    p = table(spark, sf, "part", spread=True)
     return p.select("p_partkey", N.to_count(F.format_number(F.col("p_retailprice") * 1000, 0)).alias("grabs"),
                     N.to_count(F.lit("n/a")).alias("junk"))
 
@@ -127,7 +124,7 @@ def q_n6(spark, sf):
 SELECT page_id, page_id AS imdbid, CAST(regexp_extract(url, '/([0-9]+)', 1) AS BIGINT) AS path_id
 FROM pages""")
 def q_n7(spark, sf):
-    p = table(spark, sf, "pages")
+    p = table(spark, sf, "pages", spread=True)
     link = F.concat(F.lit("https://www.imdb.com/title/tt"), F.lpad(F.col("page_id").cast("string"), 7, "0"), F.lit("/"))
     return p.select("page_id", N.external_ids(link, "imdb").alias("imdbid"),
                     N.external_ids(F.regexp_extract("url", r"/([0-9]+)", 0), "any").alias("path_id"))
@@ -136,14 +133,14 @@ def q_n7(spark, sf):
 @query("N8_infohash_or_magnet", r"""
 SELECT doc_id, lower(regexp_extract(text, '([A-Fa-f0-9]{40})', 1)) AS infohash FROM documents""")
 def q_n8(spark, sf):
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", spread=True)
     return d.select("doc_id", N.infohash_or_magnet("text").alias("infohash"))
 
 
 @query("N8_magnet_name", """
 SELECT p_partkey, sha1(p_name) AS infohash, p_name AS name FROM part""")
 def q_n8b(spark, sf):
-    p = table(spark, sf, "part")
+    p = table(spark, sf, "part", spread=True)
     mag = F.concat(F.lit("magnet:?xt=urn:btih:"), F.upper(F.sha1("p_name")), F.lit("&dn="), F.url_encode("p_name"),
                    F.lit("&tr=udp%3A%2F%2Ftracker.example%3A80"))
     return p.select("p_partkey", N.infohash_or_magnet(mag).alias("infohash"), N.magnet_name(mag).alias("name"))
@@ -155,7 +152,7 @@ SELECT l_orderkey, l_linenumber,
   CAST(l_linenumber AS DOUBLE) AS uploadvolumefactor
 FROM lineitem""")
 def q_n9(spark, sf):
-    li = table(spark, sf, "lineitem")
+    li = table(spark, sf, "lineitem", spread=True)
     pct = F.concat(F.round(F.col("l_discount") * 100).cast("int").cast("string"), F.lit("%"))
     mult = F.concat(F.col("l_linenumber").cast("string"), F.lit("x"))
     dvf = N.volume_factors(pct, flags=F.col("l_returnflag") == "R")
@@ -167,9 +164,9 @@ def q_n9(spark, sf):
 SELECT s_suppkey, CAST(0.5 + n_regionkey * 0.25 AS DOUBLE) AS minimumratio, CAST(86400 * (n_regionkey + 1) AS BIGINT) AS minimumseedtime
 FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey""")
 def q_n10(spark, sf):
-    s = table(spark, sf, "supplier").select("s_suppkey", F.col("s_nationkey").alias("source"))
+    s = table(spark, sf, "supplier", spread=True).select("s_suppkey", F.col("s_nationkey").alias("source"))
     # nation is a fixed 25-row dimension: its size does not grow with the scale factor
-    pol = table(spark, sf, "nation").select(
+    pol = table(spark, sf, "nation", spread=True).select(
         F.col("n_nationkey").alias("source"),
         (F.lit(0.5) + F.col("n_regionkey") * 0.25).alias("minimumratio"),
         (F.lit(86400) * (F.col("n_regionkey") + 1)).cast("bigint").alias("minimumseedtime"))
@@ -179,7 +176,7 @@ def q_n10(spark, sf):
 @query("N11_genre_array", """
 SELECT p_partkey, replace(p_name, ' ', '_') || '|' || p_type AS genres FROM part""")
 def q_n11(spark, sf):
-    p = table(spark, sf, "part")
+    p = table(spark, sf, "part", spread=True)
     txt = F.concat_ws(", ", "p_name", "p_type", "p_name")
     return p.select("p_partkey", F.array_join(N.genre_array(txt), "|").alias("genres"))
 
@@ -189,7 +186,7 @@ SELECT event_id, CASE event_type WHEN 'click' THEN TRUE WHEN 'view' THEN FALSE W
                                  WHEN 'purchase' THEN FALSE END AS flag
 FROM events""")
 def q_n12(spark, sf):
-    e = table(spark, sf, "events")
+    e = table(spark, sf, "events", spread=True)
     txt = (F.when(F.col("event_type") == "click", "True").when(F.col("event_type") == "view", "false")
            .when(F.col("event_type") == "signup", "1").when(F.col("event_type") == "purchase", "off")
            .otherwise("maybe"))
@@ -204,7 +201,7 @@ SELECT page_id, CAST(pos AS BIGINT) AS pos,
   regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) || '/' || ltrim(regexp_extract(element, 'href="([^"]*)"', 1), '/') AS link
 FROM r""")
 def q_n13(spark, sf):
-    p = table(spark, sf, "pages").select("page_id", "url", "html")
+    p = table(spark, sf, "pages", spread=True).select("page_id", "url", "html")
     rows = html_rows(p, "html", r'<li><a href="[^"]*">[^<]*</a></li>', keep=["page_id", "url"])
     base = F.regexp_extract("url", r"^([a-z]+://[^/?#]+)", 1)
     return rows.select("page_id", F.col("pos").cast("bigint").alias("pos"),

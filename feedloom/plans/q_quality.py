@@ -15,7 +15,7 @@ SQL_DOCS = r"""(SELECT doc_id, regexp_extract(text, '^([A-Z][^.\n]*)', 1) AS tit
 
 
 def _docs(spark, sf):
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", spread=True)
     return d.select("doc_id", F.regexp_extract("text", TITLE, 1).alias("title"), "lang", "source", "n_chars", "text")
 
 

@@ -16,7 +16,7 @@ FIRST_LINE = r"^([^\n]*)"
 
 
 def _doc_records(spark, sf):
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", spread=True)
     return d.select("doc_id", F.regexp_extract("text", FIRST_LINE, 1).alias("title"), "text", "lang", "source")
 
 
@@ -126,7 +126,7 @@ SELECT conv_id, turn, trim(regexp_replace(regexp_replace(lower(regexp_replace(q,
        '[^\w\s]+', ' ', 'g'), '\s+', ' ', 'g')) AS keywords
 FROM q""")
 def q_q9(spark, sf):
-    c = table(spark, sf, "conversations")
+    c = table(spark, sf, "conversations", spread=True)
     qf = c.select("conv_id", "turn", F.concat(F.col("text"), F.lit(" Show S0"), (F.col("turn") % 9).cast("string"),
                                               F.lit("E0"), (F.col("conv_id") % 9).cast("string")).alias("q"))
     return Q.keyword_rewrite(qf, "q", _REWRITE).select("conv_id", "turn", "keywords")
@@ -163,7 +163,7 @@ def q_q11(spark, sf):
 
 @query("Q12_filter_contains", "SELECT doc_id, source FROM documents WHERE contains(text, 'token')")
 def q_q12(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", "source", "text")
+    d = table(spark, sf, "documents", spread=True).select("doc_id", "source", "text")
     return Q.filter_contains(d, "text", "token").select("doc_id", "source")
 
 
@@ -172,7 +172,7 @@ SELECT page_id FROM pages
 WHERE regexp_matches(html, '<nav>') AND regexp_matches(html, '<footer>')
   AND NOT regexp_matches(url, 'spam-farm') AND starts_with(url, 'https://')""")
 def q_q13(spark, sf):
-    p = table(spark, sf, "pages").select("page_id", "url", "html")
+    p = table(spark, sf, "pages", spread=True).select("page_id", "url", "html")
     r = Q.filter_row_shape(p, "html", has=["<nav>", "<footer>"])
     r = Q.filter_row_shape(r, "url", has_not=["spam-farm"], prefix="https://")
     return r.select("page_id")
@@ -292,7 +292,7 @@ def q_u1(spark, sf):
 @query("U2_dedupe_records", """
 SELECT sha256(text) AS content_hash, min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY sha256(text)""")
 def q_u2(spark, sf):
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", spread=True)
     r = d.select(F.sha2("text", 256).alias("content_hash"), "doc_id", (-F.col("doc_id")).alias("_pref"))
     copies = r.groupBy("content_hash").agg(F.count(F.lit(1)).alias("copies"))
     one = Q.dedupe_records(r, ["content_hash"], prefer="_pref").select("content_hash", "doc_id")

@@ -56,8 +56,9 @@ full_status AS (SELECT key, status, CAST(NULL AS VARCHAR) AS renamed_from FROM d
 
 
 def _diff(spark, sf):
+    """The change set, computed once (it feeds several steps of each sync query)."""
     old, new = snapshots(spark, sf)
-    return M.snapshot_diff(old, new)
+    return M.materialize(M.snapshot_diff(old, new))
 
 
 @query("M1_snapshot_diff", f"WITH {SQL_SNAP} SELECT key, status, old_hash, new_hash FROM d")

@@ -11,6 +11,23 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 AS_OF = "2026-01-20 12:00:00"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Lazy parquet scan; Catalyst prunes columns and pushes filters into it."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """Lazy parquet scan; Catalyst prunes columns and pushes filters into it.
+
+    ``spread=True`` for queries whose work is per-row text / regex / date parsing (see
+    ``spread_small_scan``); relational queries shuffle by key anyway and skip it."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_small_scan(df) if spread else df
+
+
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    """Give a scan at least one partition per core.
+
+    A large input is already split by the scan (one task per 256 MB), so nothing changes
+    there. A small input, such as one file with one row group, would otherwise put every
+    per-row regex and date parse of the stage on a single core. Filters and column pruning
+    still reach the scan below the repartition."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        return df.repartition(par)
+    return df

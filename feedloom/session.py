@@ -20,7 +20,18 @@ BASE_CONF = {
     # windows-1251 and other legacy charsets for decode()
     "spark.sql.legacy.javaCharsets": "true",
     "spark.ui.enabled": "false",
+    # Large inputs: 256 MB scan splits and AQE-sized shuffle partitions; the initial shuffle
+    # partition count is high on a cluster (see CLUSTER_SHUFFLE_PARTITIONS) and AQE coalesces
+    # it down to the advisory size, so small stages do not pay for it.
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
 }
+# Initial shuffle width on a cluster (no explicit master). Most plans here shuffle a narrow
+# projection (keys and hashes), a few TB at 100 TB of input: 32k partitions keep reducers near
+# the advisory size; AQE coalesces the stages that shuffle less. A session that already sets
+# spark.sql.shuffle.partitions keeps its own value.
+CLUSTER_SHUFFLE_PARTITIONS = 32_768
 
 
 def build_session(master: str | None = None, app: str = "feedloom",
@@ -36,6 +47,8 @@ def build_session(master: str | None = None, app: str = "feedloom",
     conf = dict(BASE_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    elif not master and "spark.sql.shuffle.partitions" not in (extra or {}):
+        conf["spark.sql.shuffle.partitions"] = str(CLUSTER_SHUFFLE_PARTITIONS)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
