@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
+_SPREAD_ALL = os.environ.get("FEEDLOOM_SPREAD_ALL") == "1"
+
 # The explicit "now" of every registered query (never the wall clock).
 AS_OF = "2026-01-20 12:00:00"
 
@@ -17,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) ->
     ``spread=True`` for queries whose work is per-row text / regex / date parsing (see
     ``spread_small_scan``); relational queries shuffle by key anyway and skip it."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_small_scan(df) if spread else df
+    return spread_small_scan(df) if spread or _SPREAD_ALL else df
 
 
 def spread_small_scan(df: DataFrame) -> DataFrame:
