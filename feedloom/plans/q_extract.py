@@ -92,7 +92,8 @@ query("A2_html_rows", SQL_NAV_LINKS)(nav_links)
 SELECT page_id, url, CAST(length(html) AS BIGINT) AS n_chars, 'text/html' AS content_type FROM pages""")
 def q_a1(spark, sf):
     from ..sources.extract import scan_payloads
-    df = scan_payloads(spark, f"{sf}/pages.parquet", "parquet")
+    schema = "page_id BIGINT, url STRING, html STRING"  # declared, never inferred
+    df = scan_payloads(spark, f"{sf}/pages.parquet", "parquet", schema)
     return df.select("page_id", "url", F.length("html").cast("bigint").alias("n_chars"),
                      F.lit("text/html").alias("content_type"))
 

@@ -34,7 +34,7 @@ def scan_payloads(spark: SparkSession, path: str, fmt: str = "parquet",
                   schema: T.StructType | None = None, **options) -> DataFrame:
     """A1: read captures with a declared schema (no inference in production reads)."""
     r = spark.read.format(fmt).options(**options)
-    if schema is not None and fmt != "parquet":
+    if schema is not None:
         r = r.schema(schema)
     return r.load(path)
 
