@@ -81,12 +81,20 @@ def rename_detect(diff: DataFrame, key: str = "key") -> DataFrame:
 
 def with_renames(diff: DataFrame, key: str = "key") -> DataFrame:
     """M1 + M2: statuses A / M / D / R; a rename replaces its D row and A row by one R row
-    keyed by the new key (with ``renamed_from``)."""
+    keyed by the new key (with ``renamed_from``).
+
+    The rename pairs are used once: each pair becomes two marker rows (drop the old key,
+    turn the new key into R) that meet the change set in a single left join."""
     r = rename_detect(diff, key)
-    gone = r.select(F.col("old_key").alias(key)).unionByName(r.select(F.col("new_key").alias(key)))
-    rest = diff.join(gone, key, "left_anti").withColumn("renamed_from", F.lit(None).cast("string"))
-    rr = r.select(F.col("new_key").alias(key), F.lit("R").alias("status"), F.col("old_key").alias("renamed_from"))
-    return rest.select(key, "status", "renamed_from").unionByName(rr)
+    marks = r.select(F.explode(F.array(
+        F.struct(F.col("old_key").alias(key), F.lit("drop").alias("_mark"),
+                 F.lit(None).cast("string").alias("_from")),
+        F.struct(F.col("new_key").alias(key), F.lit("R").alias("_mark"), F.col("old_key").alias("_from")))
+    ).alias("m")).select("m.*")
+    j = diff.select(key, "status").join(marks, key, "left")
+    return (j.filter(F.col("_mark").isNull() | (F.col("_mark") != "drop"))
+             .select(key, F.coalesce(F.col("_mark"), F.col("status")).alias("status"),
+                     F.col("_from").alias("renamed_from")))
 
 
 # ----------------------------------------------------------------------------- M3, M4

@@ -180,8 +180,8 @@ def _order_payloads(spark, sf, returned_only: bool):
     Line counts come from a map-side-combined count, and the lines are shuffled by
     (order, chunk), so an order holding a third of all lines still becomes many bounded
     payloads spread over many tasks."""
-    o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
-    li = table(spark, sf, "lineitem")
+    o = table(spark, sf, "orders", spread=True).select("o_orderkey", "o_orderpriority")
+    li = table(spark, sf, "lineitem", spread=True)
     if returned_only:
         li = li.filter(F.col("l_returnflag") == "R")
     li = li.select("l_orderkey", "l_linenumber", "l_quantity", "l_partkey", "l_suppkey")
@@ -356,7 +356,7 @@ DOCUMENT_SCHEMA = (
 def documents_nested(spark, sf):
     """Definition-like documents as JSON lines, built from orders + customer: one document
     per (customer, block of 1000 order keys), so no document grows with the data."""
-    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    o = table(spark, sf, "orders", spread=True).select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
     m = (o.groupBy("o_custkey", F.floor(F.col("o_orderkey") / PAGE_BLOCK).alias("blk"))
           .agg(F.array_sort(F.collect_list(F.struct(

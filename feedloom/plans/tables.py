@@ -33,5 +33,7 @@ def spread_small_scan(df: DataFrame) -> DataFrame:
     still reach the scan below the repartition."""
     par = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < par:
-        return df.repartition(par)
+        # hash of the first column (the table's id): deterministic on retry without the
+        # sort a round-robin repartition needs, and column pruning still applies
+        return df.repartition(par, df.columns[0])
     return df
