@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import col_of, lit_str, nz, s
+from ..functions.text import col_of, lit_str, nz
 
 # ----------------------------------------------------------------------------- B1-B4
 

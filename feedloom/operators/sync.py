@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import col_of
+from .numbering import number_within
 from .quality import Rule, failures
 
 
@@ -49,24 +50,6 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str = "key") -> DataFrame
     return j.withColumn("status", status).filter(F.col("status").isNotNull())
 
 
-def number_within(df: DataFrame, group: Sequence[str], order: str, buckets: int = 64,
-                  out: str = "rn") -> DataFrame:
-    """1-based numbering of rows inside each group, skew-safe.
-
-    Rows are spread over ``buckets`` sub-groups by hash of ``order``; each sub-group is
-    numbered by its own window (bounded work per task), and a small table of sub-group
-    sizes gives each sub-group its offset. The numbering is deterministic: by
-    (bucket, order)."""
-    b = df.withColumn("_b", F.pmod(F.xxhash64(col_of(order)), F.lit(buckets)))
-    local = b.withColumn("_lrn", F.row_number().over(Window.partitionBy(*group, "_b").orderBy(order)))
-    sizes = b.groupBy(*group, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offs = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    return (local.join(offs, [*group, "_b"], "inner")
-                 .withColumn(out, (F.col("_off") + F.col("_lrn")).cast("bigint"))
-                 .drop("_b", "_lrn", "_off"))
-
-
 def rename_detect(diff: DataFrame, key: str = "key") -> DataFrame:
     """M2: a removed key and an added key with the same content are a rename (R).
 

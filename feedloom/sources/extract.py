@@ -188,12 +188,14 @@ def merge_following_rows(df: DataFrame, part: Sequence[str], order: str, after:
     With ``dense_from`` set, ``order`` is already a dense position starting there (the
     ``pos`` every extractor emits), so the record number is arithmetic and no window runs:
     the shuffle is on ``(payload, record)``, and a payload holding a third of all rows still
-    spreads over every task. Without it, a ``row_number`` window per payload numbers rows
-    first. Each group holds at most ``after + 1`` rows.
+    spreads over every task. Without it, rows are numbered first by the two-level exact
+    numbering of ``operators.numbering`` (numeric ``order``). Each group holds at most
+    ``after + 1`` rows.
     """
     if dense_from is None:
-        w = Window.partitionBy(*part).orderBy(order)
-        idx = F.row_number().over(w) - 1
+        from ..operators.numbering import number_in_order
+        df = number_in_order(df, part, order, out="_rn")
+        idx = F.col("_rn") - 1
     else:
         idx = F.col(order) - F.lit(dense_from)
     g = F.floor(idx / F.lit(after + 1))

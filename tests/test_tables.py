@@ -108,3 +108,19 @@ def test_best_version_and_missing_rules(spark):
     sets = {1: [L.dq_required("title")], 2: [L.dq_required("title"), L.dq_enum("lang", ["en"])]}
     got = {r.id: (r.best_version, r.top_fails) for r in L.best_version(df, "id", sets).collect()}
     assert got == {1: (2, False), 2: (1, True), 3: (0, True)}
+
+
+def test_numbering_matches_row_number(spark):
+    from pyspark.sql import Window
+
+    from feedloom.operators.numbering import number_in_order, number_within
+    df = spark.createDataFrame([(g, i * 7 % 101) for g in ("a", "b") for i in range(101)] + [("c", 5)],
+                               "g string, o int")
+    got = number_in_order(df, ["g"], "o", block=8)
+    ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("o")))
+    assert sorted(map(tuple, got.select("g", "o", "rn").collect())) == sorted(map(tuple, ref.collect()))
+    nw = number_within(df, ["g"], "o", buckets=4)
+    per = {}
+    for r in nw.collect():
+        per.setdefault(r.g, []).append(r.rn)
+    assert all(sorted(v) == list(range(1, len(v) + 1)) for v in per.values())
