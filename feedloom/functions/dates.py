@@ -198,7 +198,8 @@ def f_fuzzytime(c, as_of, formats: list[str] | None = None) -> Column:
     """today / yesterday / weekday / relative / formatted / ISO text -> timestamp.
 
     Weekday names resolve to the latest earlier date with that weekday (1-7 days back),
-    a [choice]. Unparseable text gives null.
+    a [choice]. Unparseable text gives null. The input is read by every branch: pass a
+    column (by name), not an expression, so the text is computed once per row.
     """
     a = as_of_col(as_of)
     t = F.lower(F.trim(col_of(c)))
@@ -221,7 +222,8 @@ def f_fuzzytime(c, as_of, formats: list[str] | None = None) -> Column:
 
 
 def to_timestamp_any(c, formats: list[str] | None, as_of) -> Column:
-    """Epoch seconds / millis, ISO-8601, formatted, relative, ``now``."""
+    """Epoch seconds / millis, ISO-8601, formatted, relative, ``now``. Pass a column,
+    not an expression: every candidate reads it."""
     x = F.trim(col_of(c))
     epoch = (F.when(x.rlike(r"^\d{9,11}$"), F.timestamp_seconds(x.try_cast("bigint")))
              .when(x.rlike(r"^\d{12,13}$"), F.timestamp_millis(x.try_cast("bigint"))))

@@ -226,7 +226,8 @@ def q_f20(spark, sf):
     txt = F.concat((F.col("user_id") % 30).cast("string"), F.lit(" days, "),
                    F.hour("ts").cast("string"), F.lit(" hours and "),
                    F.minute("ts").cast("string"), F.lit(" mins ago"))
-    return e.select("event_id", D.f_timeago(txt, AS_OF).cast("timestamp_ntz").alias("posted"))
+    e = e.select("event_id", txt.alias("txt"))
+    return e.select("event_id", D.f_timeago("txt", AS_OF).cast("timestamp_ntz").alias("posted"))
 
 
 @query("F21_reltime", f"""
@@ -236,7 +237,8 @@ def q_f21(spark, sf):
     e = table(spark, sf, "events", spread=True)
     txt = F.concat((F.col("user_id") % 5).cast("string"), F.lit("w "),
                    F.second("ts").cast("string"), F.lit("s"))
-    return e.select("event_id", D.f_reltime(txt, AS_OF).cast("timestamp_ntz").alias("posted"))
+    e = e.select("event_id", txt.alias("txt"))
+    return e.select("event_id", D.f_reltime("txt", AS_OF).cast("timestamp_ntz").alias("posted"))
 
 
 def _fuzzy_text():
@@ -263,8 +265,8 @@ SELECT event_id,
   END AS posted
 FROM e""")
 def q_f22(spark, sf):
-    e = table(spark, sf, "events", spread=True)
-    return e.select("event_id", D.f_fuzzytime(_fuzzy_text(), AS_OF).cast("timestamp_ntz").alias("posted"))
+    e = table(spark, sf, "events", spread=True).select("event_id", _fuzzy_text().alias("txt"))
+    return e.select("event_id", D.f_fuzzytime("txt", AS_OF).cast("timestamp_ntz").alias("posted"))
 
 
 # ----------------------------------------------------------------------------- F23-F24

@@ -29,8 +29,9 @@ def q_n1(spark, sf):
     t1 = F.concat(F.col("p_size").cast("string"), F.lit(" "), unit)
     t2 = F.concat(F.format_number("p_retailprice", 2), F.lit(" KiB"))
     t3 = F.concat(F.col("p_size").cast("string"), F.lit(" ГБ"))
-    return p.select("p_partkey", N.to_bytes(t1).alias("size_bytes"),
-                    N.to_bytes(t2).alias("price_kib_bytes"), N.to_bytes(t3).alias("local_unit_bytes"))
+    p = p.select("p_partkey", t1.alias("t1"), t2.alias("t2"), t3.alias("t3"))
+    return p.select("p_partkey", N.to_bytes("t1").alias("size_bytes"),
+                    N.to_bytes("t2").alias("price_kib_bytes"), N.to_bytes("t3").alias("local_unit_bytes"))
 
 
 # ----------------------------------------------------------------------------- N2-N5
@@ -55,8 +56,8 @@ SELECT event_id,
   END AS parsed
 FROM events""")
 def q_n2(spark, sf):
-    e = table(spark, sf, "events", spread=True)
-    return e.select("event_id", D.to_timestamp_any(_any_text(), ["dd.MM.yyyy HH:mm"], AS_OF)
+    e = table(spark, sf, "events", spread=True).select("event_id", _any_text().alias("txt"))
+    return e.select("event_id", D.to_timestamp_any("txt", ["dd.MM.yyyy HH:mm"], AS_OF)
                     .cast("timestamp_ntz").alias("parsed"))
 
 
@@ -104,7 +105,9 @@ def q_n5(spark, sf):
         v = F.element_at(arr, F.month(ts))
         name = F.when(k == i, v) if name is None else name.when(k == i, v)
     txt = F.concat(F.dayofmonth(ts).cast("string"), F.lit(" "), name, F.lit(" "), F.year(ts).cast("string"))
-    parsed = D.f_dateparse(D.localised_months(txt, _LANGS), "d MMM yyyy")
+    # render once, then parse the column (the parser reads its input several times)
+    o = o.select("o_orderkey", txt.alias("txt"))
+    parsed = D.f_dateparse(D.localised_months("txt", _LANGS), "d MMM yyyy")
     return o.select("o_orderkey", parsed.cast("timestamp_ntz").alias("parsed"))
 
 
