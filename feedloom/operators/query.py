@@ -244,16 +244,23 @@ def top_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], k:
                   rank: str = "rank") -> DataFrame:
     """The first ``k`` rows of every group by ``order``.
 
-    Two phases so a hot group is not one task: rows are spread over ``salt_buckets``
-    sub-groups (hash of ``salt_cols``), each keeps its own top ``k``; the final ranking
-    per group then sees at most ``k * salt_buckets`` candidates.
+    ``row_number() <= k`` is planned with a partial ``WindowGroupLimit`` before the shuffle,
+    so every map task forwards at most ``k`` rows per group and a group holding a third of
+    all rows is cut down map-side. Above the planner's threshold
+    (``spark.sql.optimizer.windowGroupLimitThreshold``), the same thing is done by hand in
+    two phases: salted sub-groups (hash of ``salt_cols``) keep their own top ``k``, then the
+    final ranking per group sees at most ``k * salt_buckets`` candidates.
     """
+    spark = df.sparkSession
+    limit = int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    w = Window.partitionBy(*by).orderBy(*order)
+    if k <= limit:
+        return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= k)
     salt_cols = list(salt_cols or df.columns)
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*salt_cols), F.lit(salt_buckets)))
     w1 = Window.partitionBy(*by, "_salt").orderBy(*order)
     cand = salted.withColumn("_r1", F.row_number().over(w1)).filter(F.col("_r1") <= k)
-    w2 = Window.partitionBy(*by).orderBy(*order)
-    return (cand.withColumn(rank, F.row_number().over(w2)).filter(F.col(rank) <= k)
+    return (cand.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= k)
                 .drop("_salt", "_r1"))
 
 

@@ -261,7 +261,7 @@ SELECT l_returnflag, rank, l_orderkey, l_linenumber, l_extendedprice FROM (
                                                                   l_partkey, l_suppkey) AS rank
   FROM lineitem) WHERE rank <= 3""")
 def q_o4(spark, sf):
-    li = table(spark, sf, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_partkey",
+    li = table(spark, sf, "lineitem", spread=True).select("l_returnflag", "l_orderkey", "l_linenumber", "l_partkey",
                                              "l_suppkey", "l_extendedprice")
     order = [F.col("l_extendedprice").desc(), F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"),
              F.col("l_suppkey")]

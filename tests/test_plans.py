@@ -31,3 +31,8 @@ def test_native_chain_has_no_python(spark, sf_dir):
     for key in ("F1_re_replace", "F22_fuzzytime", "N1_to_bytes", "B10_field_chain", "L14_report_all"):
         p = plan(queries()[key](spark, sf_dir))
         assert "Python" not in p, key
+
+
+def test_top_k_is_cut_map_side(spark, sf_dir):
+    p = plan(queries()["O4_top_per_group"](spark, sf_dir))
+    assert "WindowGroupLimit" in p and "Partial" in p
