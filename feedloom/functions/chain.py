@@ -215,6 +215,27 @@ def f_cleanup_titles(c, rules: Sequence[tuple[str, str]]) -> Column:
     return out
 
 
+def cleanup_titles_by_source(df, col: str, rules, source: str = "source", out: str | None = None,
+                             max_rules: int = 10_000):
+    """F24 with rules that differ per source: ``rules`` is a table
+    ``(source, seq, pattern, replacement)``.
+
+    Rule tables come from definitions (their size is bounded by the definitions, not by the
+    captured data) and are read once on the driver, after a size check, to build one
+    ``CASE source WHEN .. THEN chain`` Column. The records themselves stay distributed and
+    are rewritten in one projection."""
+    n = rules.limit(max_rules + 1).count()
+    if n > max_rules:
+        raise ValueError(f"more than {max_rules} rewrite rules; split the rule table by source")
+    by_src: dict[str, list[tuple[str, str]]] = {}
+    for r in rules.orderBy(source, "seq").collect():
+        by_src.setdefault(r[source], []).append((r["pattern"], r["replacement"]))
+    expr = F.col(col)
+    for src, rs in by_src.items():
+        expr = F.when(F.col(source) == src, f_cleanup_titles(F.col(col), rs)).otherwise(expr)
+    return df.withColumn(out or col, expr)
+
+
 # --------------------------------------------------------------------------- apply_chain
 
 Step = tuple | Callable[[Column], Column]

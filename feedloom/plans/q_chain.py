@@ -392,3 +392,20 @@ def q_t9(spark, sf):
     p = table(spark, sf, "part", spread=True)
     big = F.when(F.col("p_size") > 25, F.lit("big"))
     return p.select("p_partkey", TP.tpl_concat("Part ", F.col("p_name"), " (", big, ")").alias("label"))
+
+
+# Our per-source rule table for F24 (definition-sized: a handful of rules per source)
+SOURCE_RULES = [("src0", 1, r"(?i)\btoken\b", "TOKEN"), ("src0", 2, r"TOKEN = ", "TOKEN: "),
+                ("src1", 1, r"[0-9]+", "#")]
+
+
+@query("F24_cleanup_by_source", r"""
+SELECT doc_id, CASE source
+    WHEN 'src0' THEN regexp_replace(regexp_replace(text, '(?i)\btoken\b', 'TOKEN', 'g'), 'TOKEN = ', 'TOKEN: ', 'g')
+    WHEN 'src1' THEN regexp_replace(text, '[0-9]+', '#', 'g')
+    ELSE text END AS out
+FROM documents""")
+def q_f24_by_source(spark, sf):
+    d = table(spark, sf, "documents", spread=True).select("doc_id", "source", "text")
+    rules = spark.createDataFrame(SOURCE_RULES, "source string, seq int, pattern string, replacement string")
+    return C.cleanup_titles_by_source(d, "text", rules, out="out").select("doc_id", "out")

@@ -43,11 +43,16 @@ def scan_payloads(spark: SparkSession, path: str, fmt: str = "parquet",
 
 
 def html_rows(df: DataFrame, body: str, item_pattern: str, keep: Sequence[str] = (),
-              pos: str = "pos", element: str = "element") -> DataFrame:
-    """A2: one row per repeated element (regex over regular markup), position 1-based."""
+              pos: str = "pos", element: str = "element", cells: str | None = None) -> DataFrame:
+    """A2: one row per repeated element (regex over regular markup), position 1-based.
+    With ``cells`` (a pattern with one group, e.g. ``<td[^>]*>(.*?)</td>``) each row also
+    gets its ``cells`` array, for nth-cell fields (W4)."""
     items = F.regexp_extract_all(col_of(body), F.lit(item_pattern), 0)
-    return (df.select(*keep, F.posexplode(items).alias(pos, element))
-              .withColumn(pos, F.col(pos) + 1))
+    out = (df.select(*keep, F.posexplode(items).alias(pos, element))
+             .withColumn(pos, F.col(pos) + 1))
+    if cells:
+        out = out.withColumn("cells", F.regexp_extract_all(F.col(element), F.lit(cells), 1))
+    return out
 
 
 def html_rows_irregular(df: DataFrame, body: str, tag: str, key_cols: Sequence[str]) -> DataFrame:
@@ -140,15 +145,21 @@ def json_rows_variant(df: DataFrame, body: str, path: str, keep: Sequence[str] =
 
 
 def xml_rows(df: DataFrame, body: str, schema: T.StructType | str, row_path: str,
-             keep: Sequence[str] = (), pos: str = "pos", item: str = "item") -> DataFrame:
+             keep: Sequence[str] = (), pos: str = "pos", item: str = "item",
+             pairs: str | None = None) -> DataFrame:
     """A4: XML payload (one document per row) -> one row per repeated element.
 
     ``schema`` describes the root element's children (``from_xml``); attributes carry the
     ``_`` prefix (``enclosure._url``), text of an element with attributes is ``_VALUE``.
+    With ``pairs`` (the name of a repeated ``<x name=".." value=".."/>`` child), each row
+    also gets ``attrs``, a name -> value map read with ``element_at``.
     """
     parsed = F.from_xml(col_of(body), schema)
-    return (df.select(*keep, F.posexplode(_dotted(parsed, row_path)).alias(pos, item))
-              .withColumn(pos, F.col(pos) + 1))
+    out = (df.select(*keep, F.posexplode(_dotted(parsed, row_path)).alias(pos, item))
+             .withColumn(pos, F.col(pos) + 1))
+    if pairs:
+        out = out.withColumn("attrs", xml_pairs(F.col(item).getField(pairs)))
+    return out
 
 
 def xml_pairs(arr: Column, name_field: str = "_name", value_field: str = "_value") -> Column:

@@ -124,3 +124,25 @@ def test_numbering_matches_row_number(spark):
     for r in nw.collect():
         per.setdefault(r.g, []).append(r.rn)
     assert all(sorted(v) == list(range(1, len(v) + 1)) for v in per.values())
+
+
+def test_cleanup_titles_by_source(spark):
+    from feedloom.functions.chain import cleanup_titles_by_source
+    rules = spark.createDataFrame([("a", 1, r"(?i)season (\d)", "S0$1"), ("a", 2, "S0", "s0"),
+                                   ("b", 1, "x", "y")], "source string, seq int, pattern string, replacement string")
+    df = spark.createDataFrame([("a", "Show Season 2"), ("b", "xx"), ("c", "Season 3")], "source string, title string")
+    got = {r.source: r.title for r in cleanup_titles_by_source(df, "title", rules).collect()}
+    assert got == {"a": "Show s02", "b": "yy", "c": "Season 3"}
+
+
+def test_html_cells_and_xml_pairs(spark):
+    from feedloom.sources.extract import html_rows, xml_rows
+    html = "<table><tr><td>a</td><td>1</td></tr><tr><td>b</td><td>2</td></tr></table>"
+    df = spark.createDataFrame([(1, html)], "id int, body string")
+    rows = html_rows(df, "body", r"<tr>.*?</tr>", keep=["id"], cells=r"<td[^>]*>(.*?)</td>").collect()
+    assert [(r.pos, r.cells) for r in rows] == [(1, ["a", "1"]), (2, ["b", "2"])]
+    xml = '<rss><channel><item><title>t</title><attr name="size" value="5"/></item></channel></rss>'
+    x = spark.createDataFrame([(xml,)], "body string")
+    schema = "channel STRUCT<item: ARRAY<STRUCT<title: STRING, attr: ARRAY<STRUCT<_name: STRING, _value: STRING>>>>>"
+    r = xml_rows(x, "body", schema, "channel.item", pairs="attr").collect()[0]
+    assert r.attrs == {"size": "5"} and r.item.title == "t"
