@@ -353,12 +353,20 @@ DOCUMENT_SCHEMA = (
     "args: ARRAY<STRING>>>>>, replaces: ARRAY<STRING>>")
 
 
+MAPPINGS_PER_DOCUMENT = 1000
+
+
 def documents_nested(spark, sf):
     """Definition-like documents as JSON lines, built from orders + customer: one document
-    per (customer, block of 1000 order keys), so no document grows with the data."""
+    per customer with its orders as mappings, cut into ceil(n / 1000) documents by a hash of
+    the order key when a customer has more than 1000 orders, so no document grows with the
+    data (order counts are combined map-side, lines shuffled by (customer, chunk))."""
     o = table(spark, sf, "orders", spread=True).select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
-    m = (o.groupBy("o_custkey", F.floor(F.col("o_orderkey") / PAGE_BLOCK).alias("blk"))
+    n = o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("_n"))
+    o = o.join(n, "o_custkey").withColumn(
+        "blk", F.pmod(F.xxhash64("o_orderkey"), F.ceil(F.col("_n") / F.lit(MAPPINGS_PER_DOCUMENT))))
+    m = (o.repartition("o_custkey", "blk").groupBy("o_custkey", "blk")
           .agg(F.array_sort(F.collect_list(F.struct(
               F.col("o_orderkey").alias("k"), F.col("o_orderkey").cast("string").alias("id"),
               F.col("o_orderpriority").alias("cat"), F.col("o_orderstatus").alias("descr"),
@@ -389,8 +397,9 @@ def documents_nested(spark, sf):
 
 
 @query("A15_flatten_documents", f"""
-SELECT 'c' || CAST(o_custkey AS VARCHAR) || '-' || CAST(o_orderkey // {PAGE_BLOCK} AS VARCHAR) AS key,
-       row_number() OVER (PARTITION BY o_custkey, o_orderkey // {PAGE_BLOCK} ORDER BY o_orderkey) AS pos,
+SELECT 'c' || CAST(o_custkey AS VARCHAR) || '-' ||
+         CAST(CASE WHEN count(*) OVER (PARTITION BY o_custkey) <= {MAPPINGS_PER_DOCUMENT} THEN 0 END AS VARCHAR) AS key,
+       row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS pos,
        CAST(o_orderkey AS VARCHAR) AS id, o_orderpriority AS cat, o_orderstatus AS descr,
        o_orderstatus = 'F' AS is_default
 FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer)""")
@@ -403,7 +412,8 @@ def q_a15(spark, sf):
 
 @query("A15_flatten_filters", f"""
 SELECT key, 'title' AS field, pos, filter FROM
-  (SELECT DISTINCT 'c' || CAST(o_custkey AS VARCHAR) || '-' || CAST(o_orderkey // {PAGE_BLOCK} AS VARCHAR) AS key
+  (SELECT DISTINCT 'c' || CAST(o_custkey AS VARCHAR) || '-' ||
+          CAST(CASE WHEN count(*) OVER (PARTITION BY o_custkey) <= {MAPPINGS_PER_DOCUMENT} THEN 0 END AS VARCHAR) AS key
    FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer)) k,
   (VALUES (CAST(1 AS BIGINT), 're_replace'), (CAST(2 AS BIGINT), 'trim')) AS f(pos, filter)""")
 def q_a15_filters(spark, sf):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import quality as L
-from .q_extract import DOCUMENT_SCHEMA, NAV_ITEM, PAGE_BLOCK, documents_nested
+from .q_extract import DOCUMENT_SCHEMA, MAPPINGS_PER_DOCUMENT, NAV_ITEM, documents_nested
 from .registry import query
 from .tables import table
 
@@ -125,8 +125,9 @@ def q_l10(spark, sf):
 
 
 @query("L11_dq_nested", f"""
-SELECT 'c' || CAST(o_custkey AS VARCHAR) || '-' || CAST(o_orderkey // {PAGE_BLOCK} AS VARCHAR) AS key,
-       'mappings/' || CAST(row_number() OVER (PARTITION BY o_custkey, o_orderkey // {PAGE_BLOCK} ORDER BY o_orderkey) AS VARCHAR) AS path,
+SELECT 'c' || CAST(o_custkey AS VARCHAR) || '-' ||
+         CAST(CASE WHEN count(*) OVER (PARTITION BY o_custkey) <= {MAPPINGS_PER_DOCUMENT} THEN 0 END AS VARCHAR) AS key,
+       'mappings/' || CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS VARCHAR) AS path,
        'descr_enum' AS rule, o_orderstatus AS value, o_orderstatus AS status
 FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer)
 QUALIFY status NOT IN ('F', 'O')""")
