@@ -146,3 +146,13 @@ def test_html_cells_and_xml_pairs(spark):
     schema = "channel STRUCT<item: ARRAY<STRUCT<title: STRING, attr: ARRAY<STRUCT<_name: STRING, _value: STRING>>>>>"
     r = xml_rows(x, "body", schema, "channel.item", pairs="attr").collect()[0]
     assert r.attrs == {"size": "5"} and r.item.title == "t"
+
+
+def test_irregular_parser_agrees_with_regex_on_regular_markup(spark, sf_dir):
+    from feedloom.operators.fields import select_field
+    from feedloom.sources.extract import html_rows, html_rows_irregular
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "html")
+    slow = html_rows_irregular(pages, "html", "li", ["page_id"]).select("page_id", "pos", "text")
+    fast = html_rows(pages, "html", r'<li><a href="[^"]*">[^<]*</a></li>', keep=["page_id"]).select(
+        "page_id", "pos", select_field("element").alias("text"))
+    assert sorted(map(tuple, slow.collect())) == sorted(map(tuple, fast.collect()))
