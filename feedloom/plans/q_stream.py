@@ -12,26 +12,23 @@ from .registry import query
 
 
 def _transform(df):
-    # the batch field logic, applied to the stream: item key = (user, type, hour)
-    return df.select("event_id", "captured_at", "user_id", "event_type",
-                     F.date_trunc("hour", "captured_at").alias("hour"))
+    # the batch field logic, applied to the stream: capture time, item key = (user, type, hour)
+    return df.select("event_id", F.col("ts").cast("timestamp").alias("captured_at"), "user_id", "event_type",
+                     F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("hour"))
 
 
 @query("S1_incremental_feed", """
 SELECT DISTINCT user_id, event_type, date_trunc('hour', ts) AS hour FROM events""")
 def q_s1(spark, sf):
-    """All captures arrive in one micro-batch here, so every key is emitted exactly once;
-    the rows kept per key are not compared (only the key columns are returned)."""
+    """Reads the capture files in place (the events file of the table folder). All of them
+    arrive in one micro-batch here, so every key is emitted exactly once; only the key
+    columns are returned (which duplicate is kept is not compared)."""
     run = uuid.uuid4().hex
     out = scratch_path(spark, f"incremental_feed/{run}/out")
     ckpt = scratch_path(spark, f"incremental_feed/{run}/checkpoint")
-    src = spark.read.parquet(f"{sf}/events.parquet")
-    schema = src.withColumnRenamed("ts", "captured_at").schema
-    # the capture folder: the events file, with the capture time column named as in payloads
-    staged = scratch_path(spark, f"incremental_feed/{run}/in")
-    src.withColumnRenamed("ts", "captured_at").write.mode("overwrite").parquet(staged)
-    q = incremental_feed(spark, staged, schema, out, ckpt, "1 hour", ["user_id", "event_type", "hour"],
-                         transform=_transform)
+    schema = spark.read.parquet(f"{sf}/events.parquet").schema
+    q = incremental_feed(spark, sf, schema, out, ckpt, "1 hour", ["user_id", "event_type", "hour"],
+                         transform=_transform, options={"pathGlobFilter": "events.parquet"})
     q.awaitTermination()
     res = spark.read.parquet(out)
     return res.select("user_id", "event_type", F.col("hour").cast("timestamp_ntz").alias("hour"))

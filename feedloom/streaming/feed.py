@@ -22,20 +22,21 @@ def incremental_feed(spark: SparkSession, in_path: str, schema: T.StructType, ou
                      checkpoint: str, watermark: str, key: Sequence[str], event_time: str = "captured_at",
                      transform: Callable[[DataFrame], DataFrame] | None = None,
                      fmt: str = "parquet", max_files_per_trigger: int | None = None,
-                     available_now: bool = True) -> StreamingQuery:
+                     available_now: bool = True, options: dict | None = None) -> StreamingQuery:
     """Start the stream and return its handle (call ``awaitTermination`` for a run-once job).
 
-    ``event_time`` must be a TIMESTAMP column (a zone-less TIMESTAMP_NTZ is cast first:
-    watermarks need the zoned type).
+    ``transform`` runs first (the batch field logic); ``event_time`` must then be a
+    TIMESTAMP column (a zone-less TIMESTAMP_NTZ is cast: watermarks need the zoned type).
+    ``options`` go to the file source (e.g. ``pathGlobFilter`` to pick capture files).
     """
-    r = spark.readStream.format(fmt).schema(schema)
+    r = spark.readStream.format(fmt).schema(schema).options(**(options or {}))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     src = r.load(in_path)
-    if isinstance(src.schema[event_time].dataType, T.TimestampNTZType):
-        src = src.withColumn(event_time, F.col(event_time).cast("timestamp"))
     if transform is not None:
         src = transform(src)
+    if isinstance(src.schema[event_time].dataType, T.TimestampNTZType):
+        src = src.withColumn(event_time, F.col(event_time).cast("timestamp"))
     deduped = src.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark(list(key))
     w = (deduped.writeStream.format(fmt).outputMode("append")
          .option("checkpointLocation", checkpoint).option("path", out_path))
