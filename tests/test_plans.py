@@ -36,3 +36,15 @@ def test_native_chain_has_no_python(spark, sf_dir):
 def test_top_k_is_cut_map_side(spark, sf_dir):
     p = plan(queries()["O4_top_per_group"](spark, sf_dir))
     assert "WindowGroupLimit" in p and "Partial" in p
+
+
+def test_category_maps_broadcast(spark, sf_dir):
+    for key in ("C1_map_category", "C2_map_category_multi", "C9_category_rename"):
+        p = plan(queries()[key](spark, sf_dir))
+        assert "BroadcastHashJoin" in p, key
+        assert "SortMergeJoin" not in p, key
+
+
+def test_sync_diff_is_one_full_outer_join(spark, sf_dir):
+    p = plan(queries()["M1_snapshot_diff"](spark, sf_dir))
+    assert "Scan ExistingRDD" in p or "FullOuter" in p  # checkpointed change set
