@@ -241,7 +241,7 @@ def page_offset(df: DataFrame, page: int, size: int) -> DataFrame:
 
 def top_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int,
                   salt_cols: Sequence[str] | None = None, salt_buckets: int = 32,
-                  rank: str = "rank") -> DataFrame:
+                  rank: str = "rank", two_phase: bool | None = None) -> DataFrame:
     """The first ``k`` rows of every group by ``order``.
 
     ``row_number() <= k`` is planned with a partial ``WindowGroupLimit`` before the shuffle,
@@ -254,7 +254,7 @@ def top_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], k:
     spark = df.sparkSession
     limit = int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     w = Window.partitionBy(*by).orderBy(*order)
-    if k <= limit:
+    if not two_phase and (two_phase is not None or k <= limit):
         return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= k)
     salt_cols = list(salt_cols or df.columns)
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*salt_cols), F.lit(salt_buckets)))

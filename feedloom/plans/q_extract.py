@@ -450,3 +450,36 @@ def q_a17(spark, sf):
     d = table(spark, sf, "documents", spread=True).select("doc_id", "text")
     kv = scan_keyvalue(d, "text", keep=["doc_id"])
     return kv.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), "key", "value")
+
+
+# --------------------------------------------------------------------------- skew-safe paths, small blocks
+
+
+@query("A8_merge_numbered", """
+SELECT conv_id, turn // 2 AS record, min(turn) AS turn, string_agg(text, ' ' ORDER BY turn) AS merged,
+       count(*) AS n_rows
+FROM conversations GROUP BY conv_id, turn // 2""")
+def q_a8_numbered(spark, sf):
+    """A8 without dense positions: rows are numbered by the exact two-level numbering with
+    blocks of 2 turns, so a conversation spans several blocks and the offsets matter."""
+    from ..sources.extract import merge_following_rows
+    c = table(spark, sf, "conversations")
+    return merge_following_rows(c, ["conv_id"], "turn", after=1, text="text", block=2).select(
+        "conv_id", F.col("record").cast("bigint").alias("record"), "turn", "merged", "n_rows")
+
+
+@query("A9_carry_header_blocks", """
+WITH h AS (SELECT event_id, user_id, event_type,
+                  CASE WHEN event_type = 'signup' THEN strftime(ts, '%Y-%m-%d') END AS hdr FROM events)
+SELECT event_id, user_id, event_type, header_date FROM (
+  SELECT *, last_value(hdr IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id
+                                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS header_date
+  FROM h) WHERE hdr IS NULL""")
+def q_a9_blocks(spark, sf):
+    """A9 with blocks of 64 event ids: most headers are carried in from earlier blocks
+    through the per-block table, the path a huge payload takes."""
+    from ..sources.extract import carry_header
+    e = table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts")
+    hdr = F.when(F.col("event_type") == "signup", F.date_format("ts", "yyyy-MM-dd"))
+    return carry_header(e, ["user_id"], "event_id", hdr, "header_date", block_rows=64).select(
+        "event_id", "user_id", "event_type", "header_date")

@@ -316,3 +316,19 @@ def q_w4(spark, sf):
     cells = F.regexp_extract_all("html", F.lit(r'<li><a href="[^"]*">([^<]*)</a></li>'), 1)
     return p.select("page_id", Q.nth_position(cells, 2).alias("second"), Q.nth_position(cells, -1).alias("last"),
                     Q.nth_position(cells, 9).alias("ninth"))
+
+
+@query("O4_top_per_group_two_phase", """
+SELECT l_returnflag, rank, l_orderkey, l_linenumber, l_extendedprice FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber,
+                                                                  l_partkey, l_suppkey) AS rank
+  FROM lineitem) WHERE rank <= 25""")
+def q_o4_two_phase(spark, sf):
+    """O4 through the salted two-phase path (used above the planner's group-limit threshold)."""
+    li = table(spark, sf, "lineitem", spread=True).select("l_returnflag", "l_orderkey", "l_linenumber", "l_partkey",
+                                                          "l_suppkey", "l_extendedprice")
+    order = [F.col("l_extendedprice").desc(), F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"),
+             F.col("l_suppkey")]
+    r = Q.top_per_group(li, ["l_returnflag"], order, 25, two_phase=True)
+    return r.select("l_returnflag", F.col("rank").cast("bigint").alias("rank"), "l_orderkey", "l_linenumber",
+                    "l_extendedprice")

@@ -331,3 +331,27 @@ def q_u4(spark, sf):
     e = table(spark, sf, "events")
     return M.keys_except(e.filter(F.col("event_type") == "click").select("user_id"),
                          e.filter(F.col("event_type") == "error").select("user_id"))
+
+
+@query("M2_rename_pairs_with_copies", """
+WITH o AS (SELECT o_orderkey AS k, o_orderstatus || '|' || o_orderpriority AS content FROM orders),
+d AS (SELECT sha256(content) AS h, count(*) AS nd FROM o WHERE k % 3 = 0 GROUP BY 1),
+a AS (SELECT sha256(content) AS h, count(*) AS na FROM o WHERE k % 3 = 1 GROUP BY 1)
+SELECT d.h AS content_hash, least(nd, na) AS pairs, least(nd, na) AS old_keys, least(nd, na) AS new_keys
+FROM d JOIN a ON d.h = a.h""")
+def q_m2_copies(spark, sf):
+    """Rename pairing when one content has thousands of copies on both sides (content is
+    only status and priority): every removed key pairs with at most one added key, so a
+    hash yields min(removed, added) pairs, never all pairs."""
+    o = table(spark, sf, "orders")
+    content = F.concat_ws("|", "o_orderstatus", "o_orderpriority")
+    k = F.col("o_orderkey")
+    rows = o.select(F.concat(F.lit("o"), k.cast("string")).alias("key"), M.content_hash(content).alias("h"),
+                    (k % 3).alias("side")).filter(F.col("side") < 2)
+    diff = rows.select("key", F.when(F.col("side") == 0, "D").otherwise("A").alias("status"),
+                       F.when(F.col("side") == 0, F.col("h")).alias("old_hash"),
+                       F.when(F.col("side") == 1, F.col("h")).alias("new_hash"))
+    r = M.rename_detect(diff)
+    return r.groupBy("content_hash").agg(F.count(F.lit(1)).alias("pairs"),
+                                         F.countDistinct("old_key").alias("old_keys"),
+                                         F.countDistinct("new_key").alias("new_keys"))

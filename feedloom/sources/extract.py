@@ -193,7 +193,7 @@ def unwrap_attribute(df: DataFrame, struct_col: str, keep: Sequence[str] = ()) -
 
 def merge_following_rows(df: DataFrame, part: Sequence[str], order: str, after: int,
                          text: str, sep: str = " ", out: str = "merged",
-                         dense_from: int | None = None) -> DataFrame:
+                         dense_from: int | None = None, block: int = 65536) -> DataFrame:
     """A record spans ``after + 1`` consecutive rows; join their text in order.
 
     With ``dense_from`` set, ``order`` is already a dense position starting there (the
@@ -205,7 +205,7 @@ def merge_following_rows(df: DataFrame, part: Sequence[str], order: str, after:
     """
     if dense_from is None:
         from ..operators.numbering import number_in_order
-        df = number_in_order(df, part, order, out="_rn")
+        df = number_in_order(df, part, order, out="_rn", block=block)
         idx = F.col("_rn") - 1
     else:
         idx = F.col(order) - F.lit(dense_from)
