@@ -242,3 +242,46 @@ def keys_intersect(a: DataFrame, b: DataFrame) -> DataFrame:
 def keys_except(a: DataFrame, b: DataFrame) -> DataFrame:
     """U4: keys only in ``a`` (set semantics, like ``comm -23`` on sorted unique lists)."""
     return a.subtract(b)
+
+
+# ----------------------------------------------------------------------------- the whole sync
+
+
+def run_sync(old: DataFrame, new: DataFrame, out_path: str, rule_sets: Mapping[int, Sequence[Rule]],
+             next_version: int, blocked: DataFrame | None = None, pairs: DataFrame | None = None,
+             key: str = "key", max_changes: int | None = None) -> DataFrame | None:
+    """One sync run, as one plan ending in one write (returns the per-status report, or
+    None when there is nothing to do).
+
+    1. change set: full outer join of the snapshots, computed once (``materialize``);
+    2. guards: nothing to do -> no write (M15); more than ``max_changes`` -> refuse (O6);
+    3. block list: added keys on it are dropped (M8);
+    4. replaces: keys replaced by a new item disappear in every version (M9);
+    5. versions: each item goes to its best passing version or ``next_version`` (M10); a
+       *modified* item that moves keeps its old row at its old version (M11);
+    6. write: partitioned by version, dynamic overwrite (A16).
+    """
+    from ..sources.sinks import write_records
+
+    diff = materialize(snapshot_diff(old, new, key))
+    if nothing_to_do(diff):
+        return None
+    if max_changes is not None:
+        from .query import cap_guard
+        cap_guard(diff, max_changes, "changes")
+    status = diff.select(key, "status")
+    if blocked is not None:
+        status = blocklist(status, blocked, key)
+    items = new.join(status.filter(F.col("status") == "A").select(key), key, "left_semi").unionByName(
+        new.join(diff.select(key), key, "left_anti"))  # unblocked additions + unchanged keys
+    items = items.unionByName(new.join(status.filter(F.col("status") == "M").select(key), key, "left_semi"))
+    if pairs is not None:
+        items = replaces(items, pairs, key)
+    moves = relocate_version(items, key, "version", rule_sets, next_version)
+    placed = items.join(moves.select(key, "to_version", "from_version"), key, "inner")
+    rows = placed.select(key, F.col("to_version").alias("version"), "content")
+    modified = status.filter(F.col("status") == "M").select(key)
+    kept_old = (placed.filter(F.col("to_version") != F.col("from_version")).join(modified, key, "left_semi")
+                      .select(key).join(old.select(key, "version", "content"), key, "inner"))
+    write_records(rows.unionByName(kept_old), out_path, ["version"], "overwrite")
+    return change_report(status)

@@ -355,3 +355,37 @@ def q_m2_copies(spark, sf):
     return r.groupBy("content_hash").agg(F.count(F.lit(1)).alias("pairs"),
                                          F.countDistinct("old_key").alias("old_keys"),
                                          F.countDistinct("new_key").alias("new_keys"))
+
+
+@query("M_sync_run", f"""
+WITH {SQL_SNAP},
+blocked AS (SELECT 'n' || CAST(k AS VARCHAR) AS key FROM o WHERE k % 142 = 0),
+replaced AS (SELECT 'o' || CAST(k + 1 AS VARCHAR) AS key FROM o WHERE k % 71 = 0 AND k % 142 <> 0),
+kept AS (SELECT new.key, new.content FROM new
+         WHERE new.key NOT IN (SELECT key FROM d WHERE status = 'A' AND key IN (SELECT key FROM blocked))
+           AND new.key NOT IN (SELECT key FROM replaced)),
+placed AS (SELECT key, content, CASE WHEN contains(content, 'changed') THEN 10 ELSE 11 END AS version FROM kept)
+SELECT key, CAST(version AS INTEGER) AS version, content FROM placed
+UNION ALL
+SELECT old.key, 11, old.content FROM old JOIN placed ON old.key = placed.key
+WHERE placed.version <> 11 AND old.key IN (SELECT key FROM d WHERE status = 'M')""")
+def q_m_sync_run(spark, sf):
+    """The whole sync run on the order snapshots. Block list: added keys 'n' with k % 142 = 0.
+    Replaces: every other added item replaces the next order key. Rules: v10 needs content,
+    v11 also refuses changed content. Returns the written catalogue, read back."""
+    import uuid
+
+    from ..session import scratch_path
+    old, new = snapshots(spark, sf)
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"))
+    blocked = o.filter(F.col("k") % 142 == 0).select(F.concat(F.lit("n"), F.col("k").cast("string")).alias("key"))
+    src = o.filter((F.col("k") % 71 == 0) & (F.col("k") % 142 != 0))
+    pairs = src.select(F.concat(F.lit("n"), F.col("k").cast("string")).alias("key"),
+                       F.concat(F.lit("o"), (F.col("k") + 1).cast("string")).alias("replaced"))
+    rules = {10: [L.dq_required("content", "content")],
+             11: [L.dq_required("content", "content"),
+                  L.dq_value_pattern("content", "changed", negate=True, path="content")]}
+    out = scratch_path(spark, f"sync_run/{uuid.uuid4().hex}")
+    report = M.run_sync(old, new, out, rules, 12, blocked=blocked, pairs=pairs)
+    assert report is not None
+    return spark.read.parquet(out).select("key", F.col("version").cast("int").alias("version"), "content")
