@@ -110,18 +110,19 @@ def apply_changes(base: DataFrame, changes: DataFrame, key: str = "key") -> Data
 
 
 def conflict_policy(ours: DataFrame, theirs: DataFrame, classes: Mapping[str, str],
-                    key: str = "key", path: str = "path") -> DataFrame:
+                    key: str = "key", path: str = "path",
+                    upstream: Sequence[str] = ("definitions",)) -> DataFrame:
     """M5: for keys present on both sides with different content, the winner by class of
-    path: each class maps to ``theirs`` (upstream) or ``ours``; unlisted classes -> ours."""
+    path (``classes``: name -> path pattern, first match wins): classes in ``upstream`` take
+    ``theirs``, every other class (docs, workflows, schemas, unmatched) keeps ``ours``."""
     o = ours.select(key, path, F.col("content").alias("ours"))
     t = theirs.select(key, F.col("content").alias("theirs"))
     j = o.join(t, key, "inner").filter(F.col("ours") != F.col("theirs"))
     cls = F.lit("other")
-    for name, pattern in classes.items():
+    for name, pattern in reversed(list(classes.items())):
         cls = F.when(F.col(path).rlike(pattern), F.lit(name)).otherwise(cls)
     j = j.withColumn("path_class", cls)
-    upstream = [n for n, _ in classes.items() if n == "definitions"]
-    win = F.when(F.col("path_class").isin(upstream), F.lit("theirs")).otherwise(F.lit("ours"))
+    win = F.when(F.col("path_class").isin(list(upstream)), F.lit("theirs")).otherwise(F.lit("ours"))
     return (j.withColumn("winner", win)
              .withColumn("content", F.when(F.col("winner") == "theirs", F.col("theirs")).otherwise(F.col("ours"))))
 
