@@ -178,15 +178,14 @@ _TIME = r"(\d{1,2}):(\d{2})(?::(\d{2}))?\s*(am|pm)?"
 
 
 def time_of_day_seconds(t: Column) -> Column:
-    """'6:00 am' -> 21600; no time -> 0."""
-    h = F.regexp_extract(t, _TIME, 1)
-    m = F.regexp_extract(t, _TIME, 2)
-    sec = F.regexp_extract(t, _TIME, 3)
-    ampm = F.regexp_extract(t, _TIME, 4)
-    hh = F.coalesce(h.try_cast("int"), F.lit(0))
-    hh = (F.when(ampm == "pm", hh % 12 + 12).when(ampm == "am", hh % 12).otherwise(hh))
-    return (hh * 3600 + F.coalesce(m.try_cast("int"), F.lit(0)) * 60
-            + F.coalesce(sec.try_cast("int"), F.lit(0)))
+    """'6:00 am' -> 21600; no time -> 0. One regex finds the time; its parts are split."""
+    tm = F.regexp_extract(t, _TIME, 0)
+    parts = F.split(F.regexp_replace(tm, r"\s*[ap]m$", ""), ":")
+    h = F.coalesce(F.try_element_at(parts, F.lit(1)).try_cast("int"), F.lit(0))
+    m = F.coalesce(F.try_element_at(parts, F.lit(2)).try_cast("int"), F.lit(0))
+    s = F.coalesce(F.try_element_at(parts, F.lit(3)).try_cast("int"), F.lit(0))
+    hh = F.when(tm.endswith("pm"), h % 12 + 12).when(tm.endswith("am"), h % 12).otherwise(h)
+    return hh * 3600 + m * 60 + s
 
 
 def _at_day(as_of: Column, days_back: Column, tod: Column) -> Column:
@@ -194,6 +193,10 @@ def _at_day(as_of: Column, days_back: Column, tod: Column) -> Column:
     return F.timestamp_seconds(F.unix_seconds(midnight) - days_back * 86400 + tod)
 
 
+_WEEKDAY_RE = r"\b(" + "|".join(WEEKDAYS) + r")\b"
+_REL_RE = r"\bago\b|^\s*[0-9.]+\s*[a-z]+(\s+[0-9.]+\s*[a-z]+)*\s*$"
+
+
 def f_fuzzytime(c, as_of, formats: list[str] | None = None) -> Column:
     """today / yesterday / weekday / relative / formatted / ISO text -> timestamp.
 
@@ -204,16 +207,15 @@ def f_fuzzytime(c, as_of, formats: list[str] | None = None) -> Column:
     a = as_of_col(as_of)
     t = F.lower(F.trim(col_of(c)))
     tod = time_of_day_seconds(t)
-    dow_asof = F.dayofweek(a)  # 1 = Sunday .. 7 = Saturday
-    branches = F.when(t.contains("now"), a)
-    branches = branches.when(t.startswith("today"), _at_day(a, F.lit(0), tod))
-    branches = branches.when(t.startswith("yesterday"), _at_day(a, F.lit(1), tod))
-    for i, name in enumerate(WEEKDAYS):
-        spark_dow = (i + 1) % 7 + 1  # monday -> 2 .. sunday -> 1
-        back = ((dow_asof - F.lit(spark_dow) + 6) % 7) + 1
-        branches = branches.when(t.rlike(r"\b" + name + r"\b"), _at_day(a, back, tod))
-    rel = F.regexp_replace(t, r"\s+", " ").rlike(r"\bago\b|^\s*[0-9.]+\s*[a-z]+(\s+[0-9.]+\s*[a-z]+)*\s*$")
-    branches = branches.when(rel, _minus_seconds(a, ago_seconds(t)))
+    # ISO day of week: monday = 1 .. sunday = 7, for the as_of date and the named day
+    wd = F.array_position(F.array(*[F.lit(d) for d in WEEKDAYS]), F.regexp_extract(t, _WEEKDAY_RE, 1))
+    dow_asof = (F.dayofweek(a) + 5) % 7 + 1
+    back = ((dow_asof - wd + 6) % 7) + 1
+    branches = (F.when(t.contains("now"), a)
+                .when(t.startswith("today"), _at_day(a, F.lit(0), tod))
+                .when(t.startswith("yesterday"), _at_day(a, F.lit(1), tod))
+                .when(wd > 0, _at_day(a, back, tod))
+                .when(F.regexp_replace(t, r"\s+", " ").rlike(_REL_RE), _minus_seconds(a, ago_seconds(t))))
     parsed = [f_dateparse(col_of(c), f, guard=True) for f in (formats or [])]
     return F.coalesce(branches, *parsed, F.try_to_timestamp(F.trim(col_of(c))))
 
