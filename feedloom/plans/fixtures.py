@@ -74,7 +74,9 @@ def values_sql(rows, cols) -> str:
             return "NULL"
         if isinstance(v, bool):
             return "TRUE" if v else "FALSE"
-        if isinstance(v, (int, float)):
+        if isinstance(v, int):
+            return f"CAST({v} AS BIGINT)"  # the Spark side holds these as bigint
+        if isinstance(v, float):
             return repr(v)
         if isinstance(v, (list, tuple)):
             return "[" + ", ".join(lit(x) for x in v) + "]"
