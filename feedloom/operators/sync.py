@@ -53,13 +53,21 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str = "key") -> DataFrame
 def rename_detect(diff: DataFrame, key: str = "key") -> DataFrame:
     """M2: a removed key and an added key with the same content are a rename (R).
 
-    Removed and added rows of one content hash are numbered and paired 1:1, so many
-    copies of one content never multiply. Returns ``(old_key, new_key, content_hash)``."""
-    d = diff.filter(F.col("status") == "D").select(F.col(key).alias("old_key"), F.col("old_hash").alias("content_hash"))
-    a = diff.filter(F.col("status") == "A").select(F.col(key).alias("new_key"), F.col("new_hash").alias("content_hash"))
-    dn = number_within(d, ["content_hash"], "old_key")
-    an = number_within(a, ["content_hash"], "new_key")
-    return dn.join(an, ["content_hash", "rn"], "inner").select("old_key", "new_key", "content_hash")
+    Removed and added rows are numbered together, per (content hash, side), by one
+    skew-safe two-level numbering; rows of the two sides with the same number form a pair
+    (a group of at most two rows, so the final step is a small aggregation, not a join).
+    Many copies of one content therefore give min(removed, added) pairs, never all pairs.
+    Returns ``(old_key, new_key, content_hash)``."""
+    d = diff.filter(F.col("status") == "D").select(F.col(key).alias("_k"), F.col("old_hash").alias("content_hash"),
+                                                   F.lit("D").alias("_side"))
+    a = diff.filter(F.col("status") == "A").select(F.col(key).alias("_k"), F.col("new_hash").alias("content_hash"),
+                                                   F.lit("A").alias("_side"))
+    n = number_within(d.unionByName(a), ["content_hash", "_side"], "_k")
+    pairs = n.groupBy("content_hash", "rn").agg(
+        F.max(F.when(F.col("_side") == "D", F.col("_k"))).alias("old_key"),
+        F.max(F.when(F.col("_side") == "A", F.col("_k"))).alias("new_key"))
+    return (pairs.filter(F.col("old_key").isNotNull() & F.col("new_key").isNotNull())
+                 .select("old_key", "new_key", "content_hash"))
 
 
 def with_renames(diff: DataFrame, key: str = "key") -> DataFrame:
