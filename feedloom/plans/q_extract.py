@@ -483,3 +483,54 @@ def q_a9_blocks(spark, sf):
     hdr = F.when(F.col("event_type") == "signup", F.date_format("ts", "yyyy-MM-dd"))
     return carry_header(e, ["user_id"], "event_id", hdr, "header_date", block_rows=64).select(
         "event_id", "user_id", "event_type", "header_date")
+
+
+# --------------------------------------------------------------------------- file sources
+
+
+def _scratch(spark, name):
+    import uuid
+
+    from ..session import scratch_path
+    return scratch_path(spark, f"{name}/{uuid.uuid4().hex}")
+
+
+@query("A1_scan_xml_files", """
+SELECT p_partkey AS guid, p_name AS title, p_brand AS brand, CAST(p_size AS BIGINT) AS size FROM part""")
+def q_a1_xml(spark, sf):
+    """Bulk XML capture files read with the XML source and a declared row schema
+    (``rowTag``), no inference. A capture file holds one feed document: one per brand and
+    block of 1000 part keys, so no document grows with the data."""
+    from ..functions.chain import f_htmlencode
+    from ..sources.extract import scan_payloads
+    p = table(spark, sf, "part")
+    item = F.concat(F.lit("<item><guid>"), F.col("p_partkey").cast("string"), F.lit("</guid><title>"),
+                    f_htmlencode(F.col("p_name")), F.lit("</title><brand>"), f_htmlencode(F.col("p_brand")),
+                    F.lit("</brand><size>"), F.col("p_size").cast("string"), F.lit("</size></item>"))
+    doc = F.concat(F.regexp_replace("p_brand", "[^0-9A-Za-z]", "_"), F.lit("_"),
+                   F.floor(F.col("p_partkey") / 1000).cast("string"))
+    feeds = (p.groupBy(doc.alias("doc"))
+              .agg(F.array_sort(F.collect_list(F.struct("p_partkey", item.alias("x")))).alias("items"))
+              .select("doc", F.concat(F.lit("<rss><channel>"), F.array_join(F.transform("items", lambda i: i["x"]), ""),
+                                      F.lit("</channel></rss>")).alias("value")))
+    path = _scratch(spark, "xml_files")
+    # one file per feed document: the XML reader takes one root element per file
+    feeds.repartition("doc").write.mode("overwrite").partitionBy("doc").text(path)
+    schema = "guid BIGINT, title STRING, brand STRING, size BIGINT"
+    return scan_payloads(spark, path, "xml", schema, rowTag="item").select("guid", "title", "brand", "size")
+
+
+@query("A1_scan_json_lines", """
+SELECT event_id, user_id, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""")
+def q_a1_json(spark, sf):
+    """JSON-lines capture files read with a declared schema (bad lines would land in the
+    corrupt-record column instead of failing the job)."""
+    from ..sources.extract import scan_payloads
+    e = table(spark, sf, "events")
+    path = _scratch(spark, "json_lines")
+    e.select(F.to_json(F.struct("event_id", "user_id", "event_type",
+                                F.get_json_object("props", "$.k").cast("bigint").alias("k"))).alias("value")) \
+        .write.mode("overwrite").text(path)
+    schema = "event_id BIGINT, user_id BIGINT, event_type STRING, k BIGINT, _corrupt_record STRING"
+    df = scan_payloads(spark, path, "json", schema, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record")
+    return df.select("event_id", "user_id", "event_type", "k")
