@@ -35,6 +35,8 @@ def main() -> None:
     ap.add_argument("--sf-dir", default=os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1"))
     ap.add_argument("--runs", type=int, default=int(os.environ.get("BENCH_RUNS", "3")))
     ap.add_argument("--all", action="store_true", help="every registered query, not only the headline set")
+    ap.add_argument("--event-log", default=os.environ.get("BENCH_EVENT_LOG"),
+                    help="write Spark's event log here (scratch folder); jobs are tagged with the query key")
     ap.add_argument("keys", nargs="*")
     a = ap.parse_args()
 
@@ -42,13 +44,17 @@ def main() -> None:
     from feedloom.session import build_session
 
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8))
-    spark = build_session(f"local[{cpus}]", app="feedloom-bench", shuffle_partitions=int(cpus) * 2,
-                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
+    if a.event_log:  # task metrics per query: python tools/stage_times.py <dir>
+        os.makedirs(a.event_log, exist_ok=True)
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": a.event_log})
+    spark = build_session(f"local[{cpus}]", app="feedloom-bench", shuffle_partitions=int(cpus) * 2, extra=extra)
     qs = queries()
     keys = a.keys or (list(qs) if a.all else [k for k in HEADLINE if k in qs])
     times: dict[str, float] = {}
     errors: dict[str, str] = {}
     for k in keys:
+        spark.sparkContext.setJobDescription(k)
         try:
             qs[k](spark, a.sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
             runs = []
