@@ -48,7 +48,8 @@ def main() -> None:
     if a.event_log:  # task metrics per query: python tools/stage_times.py <dir>
         os.makedirs(a.event_log, exist_ok=True)
         extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": a.event_log})
-    spark = build_session(f"local[{cpus}]", app="feedloom-bench", shuffle_partitions=int(cpus) * 2, extra=extra)
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(int(cpus) * 2)))
+    spark = build_session(f"local[{cpus}]", app="feedloom-bench", shuffle_partitions=parts, extra=extra)
     qs = queries()
     keys = a.keys or (list(qs) if a.all else [k for k in HEADLINE if k in qs])
     times: dict[str, float] = {}
