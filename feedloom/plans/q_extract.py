@@ -30,15 +30,16 @@ SQL_ATTR = "regexp_extract({x}, '\\b{name}\\s*=\\s*[\"'']([^\"'']*)[\"'']', 1)"
 
 def nav_links(spark: SparkSession, sf: str) -> DataFrame:
     """pages -> nav list items with position, href, text, section and page number."""
-    pages = table(spark, sf, "pages", spread=True).select("page_id", "url", "html")
-    rows = html_rows(pages, "html", NAV_ITEM, keep=["page_id", "url"])
+    # page-level fields are computed once per page, before the list items are exploded
+    pages = table(spark, sf, "pages", spread=True).select(
+        "page_id", "html", f_split(f_split("url", "?", 0), "/", 3).alias("site_id"),
+        f_querystring("url", "page").alias("page"))
+    rows = html_rows(pages, "html", NAV_ITEM, keep=["page_id", "site_id", "page"])
     return rows.select(
         "page_id", F.col("pos").cast("bigint").alias("pos"),
         select_attribute("element", "href").alias("href"),
         select_field("element").alias("title"),
-        f_split(f_split("url", "?", 0), "/", 3).alias("site_id"),
-        f_querystring("url", "page").alias("page"),
-        F.lit("pages").alias("source"))
+        "site_id", "page", F.lit("pages").alias("source"))
 
 
 SQL_NAV_LINKS = f"""
