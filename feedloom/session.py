@@ -27,6 +27,8 @@ BASE_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
 }
+# Of these, sizes that depend on the cluster: a session that sets them keeps its own.
+SIZE_CONF = {k for k in BASE_CONF if k.endswith(("maxPartitionBytes", "InBytes"))}
 # Initial shuffle width on a cluster (no explicit master). Most plans here shuffle a narrow
 # projection (keys and hashes), a few TB at 100 TB of input: 32k partitions keep reducers near
 # the advisory size; AQE coalesces the stages that shuffle less. A session that already sets
