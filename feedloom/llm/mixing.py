@@ -6,9 +6,9 @@ no target exceeds ``cap`` times its source's size, and the excess is shared agai
 and once more with probability t - floor(t). Who gets the extra copy is drawn by the cube
 method: within blocks of a source, the probabilities of three open documents move along the
 null space of the balancing equations (documents, words) until one of them is 0 or 1, so both
-totals hold exactly. Each block leaves at most two open documents; blocks of open documents
+totals hold exactly. Each block leaves at most six open documents; blocks of open documents
 are joined and moved again, level by level, until one small landing problem a source is left:
-the open documents and the smallest ones of the last block, rounded nearest to the target.
+at most 13 open documents, of which the rounding nearest to the target is taken.
 
 Defined results: rows equal in (doc_id, source, size) are one unit and share the decision; a
 null text has size 0; the null source is a source of its own and sorts last; an empty table
@@ -30,8 +30,8 @@ from .common import drop_saved, saved, word_count
 EPS = 1e-9
 #: Mean number of units in a block of the flight phase.
 BLOCK = 2048
-#: The smallest units of a source, left open for its landing problem.
-LANDING = 10
+#: Units of spaced sizes that a source's last block and any other block leave open.
+LANDING, SPARED = 11, 4
 #: The table of sources is broadcast up to this many rows; else it is joined.
 BROADCAST_SOURCES = 100_000
 
@@ -59,11 +59,12 @@ def source_targets(sized: DataFrame, weights: Sequence[float], epochs: float, ca
 
 def _flight(p: np.ndarray, a: np.ndarray, rng: np.random.Generator, keep: int = 0) -> np.ndarray:
     """Move probabilities ``p`` along the null space of ``a`` (columns: units, words), three
-    open units at a time, until at most two are open or no move is left. The last ``keep``
-    units do not take part: they are left for the landing."""
+    open units at a time, until at most two are open or no move is left. ``keep`` units of
+    spaced sizes, the smaller ones, do not take part: they are left for the landing."""
     p, draw = p.copy(), iter(rng.random(2 * len(p) + 8))
     start = np.flatnonzero((p > EPS) & (p < 1 - EPS))
-    todo, open_ = iter(start[:max(len(start) - keep, 0)].tolist()), []
+    spared = start[np.unique(np.linspace(0.3 * len(start), len(start) - 1, keep).astype(int))] if keep and len(start) else []
+    todo, open_ = iter(start[~np.isin(start, spared)].tolist()), []
     while True:
         while len(open_) < 3 and (k := next(todo, None)) is not None:
             open_.append(k)
@@ -103,7 +104,7 @@ def _move(last: bool):
         m = t["copies"].to_numpy().astype(float)
         a = np.column_stack([m, m * t["size"].to_numpy()])
         seed = zlib.crc32(f"{t['source'][0].as_py()}|{t['block'][0].as_py()}|{len(t)}".encode())
-        p = _flight(t["p"].to_numpy(), a, np.random.default_rng(seed), LANDING if last else 0)
+        p = _flight(t["p"].to_numpy(), a, np.random.default_rng(seed), LANDING if last else SPARED)
         p = _land(p, a) if last else p
         return t.set_column(t.schema.get_field_index("p"), "p", pa.array(p))
     return block
@@ -122,7 +123,7 @@ def draw_extra(units: DataFrame) -> DataFrame:
         done.append(out.where(~open_))
         if most <= 1:
             break
-        fewer = F.ceil(F.col("blocks") / F.lit(BLOCK // 2))
+        fewer = F.ceil(F.col("blocks") / F.lit(BLOCK // 8))
         level = out.where(open_).withColumn("blocks", fewer).withColumn("block", F.pmod("block", "blocks"))
     result = done[0]
     for d in done[1:]:
