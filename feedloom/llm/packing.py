@@ -33,11 +33,13 @@ from .shingles import mix64
 LENGTH, END = 2048, 1
 BINS, DIMS, BITS = 1024, 4, 8
 #: Words whose ids a Python worker remembers, at most.
-REMEMBER = 400_000
+REMEMBER = 600_000
 #: Rows whose keys set the range bounds, and ranges for each shuffle partition.
 SAMPLE, RANGES_PER_PARTITION = 5_000, 4
 #: Characters that Python, but not the tokenizer, takes for white space.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
+#: Beyond these letters, lower case may differ between Python and the tokenizer.
+_BEYOND_LATIN = re.compile("[^\x00-\u024f]")
 
 
 class Encoder:
@@ -59,22 +61,39 @@ class Encoder:
         ends = np.cumsum([len(w) + 1 for w in words])
         ids = np.array(enc.ids, self.kind)
         word = np.searchsorted(ends, np.array([a for a, _ in enc.offsets], np.int64), side="right")
-        cut = np.searchsorted(word, np.arange(len(words) + 1))
+        cut = np.searchsorted(word, np.arange(len(words) + 1)).tolist()
         new = {w: ids[cut[i]:cut[i + 1]].tobytes() for i, w in enumerate(words)}
         if len(self.known) < REMEMBER:
             self.known.update(new)
         return new
 
-    def encode(self, text: str) -> bytes:
-        if _ODD_SPACE.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-        words = text.split()
-        try:
-            return b"".join([self.known[w] for w in words])
-        except KeyError:
-            known = self.known
-            new = self._learn([w for w in dict.fromkeys(words) if w not in known])
-            return b"".join([known[w] if w in known else new[w] for w in words])
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text; words that are new in the batch are encoded together."""
+        out, split, missing = [], [], {}
+        get = self.known.get
+        for text in texts:
+            if text and _ODD_SPACE.search(text):
+                out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes())
+                split.append(None)
+                continue
+            text = text or ""
+            if text.isascii() or not _BEYOND_LATIN.search(text):
+                text = text.lower()  # as the tokenizer does, so more words are known
+            words = text.split()
+            parts = list(map(get, words))
+            if None in parts:
+                missing.update((w, None) for w, p in zip(words, parts, strict=True) if p is None)
+                split.append((words, parts))
+                out.append(b"")
+            else:
+                split.append(None)
+                out.append(b"".join(parts))
+        if missing:
+            new = self._learn(list(missing))
+            for i, both in enumerate(split):
+                if both:
+                    out[i] = b"".join([new[w] if p is None else p for w, p in zip(*both, strict=True)])
+        return out
 
 
 _LOW = -(1 << 63)
@@ -146,12 +165,11 @@ def _encode(path: str, bounds: list[tuple[int, int]]):
         place = (mix64(np.arange(enc.tokenizer.get_vocab_size(), dtype=np.uint64)) % np.uint64(BINS)).astype(np.int64)
         end = np.array([END], enc.kind).tobytes()
         for b in batches:
-            ids, vectors = [], np.zeros((b.num_rows, DIMS))
-            for i, text in enumerate(b.column(1).to_pylist()):
-                data = enc.encode(text or "")
+            coded, vectors = enc.encode(b.column(1).to_pylist()), np.zeros((b.num_rows, DIMS))
+            for i, data in enumerate(coded):
                 count = np.bincount(place[np.frombuffer(data, enc.kind)], minlength=BINS).astype(float)
                 vectors[i] = count @ _PROJECTION / max(np.sqrt((count * count).sum()), 1.0)
-                ids.append(data + end)
+            ids = [data + end for data in coded]
             curve = curve_key(vectors)
             bucket = _bucket(curve, b.column(0).to_pylist(), bounds)
             yield pa.record_batch([b.column(0), pa.array(bucket.astype(np.int32)), pa.array(curve), pa.array(ids, pa.binary())],
