@@ -9,8 +9,9 @@ guarantees that all such pairs meet under a key. With 14 chunks of 5 symbols and
 that is every pair within 27 of 70 symbols, and a pair of Jaccard similarity 0.75 (expected
 distance 17.5) shares a key with probability 1 - 8e-7.
 
-Equal sets are one class from the start, so copies are never paired. Under each key, members
-are first compared with the key's smallest member; confirmed links are merged into components.
+Equal sets are one class from the start, so copies are never paired. Shingles that stand in one
+candidate's set only can be in no intersection, which bounds every pair's similarity from three
+numbers; pairs that cannot reach 0.75 are never made. Under each key, members are first compared with the key's smallest member; confirmed links are merged into components.
 Only keys that still hold several components are looked at again: members outside the key's
 largest component meet the key's other members in an equi-join that keeps pairs of different
 components within the distance threshold. Every link is confirmed on the full sets.
@@ -115,20 +116,39 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
+def _node_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, items): the full sets of some nodes (node, text_hash), from the texts again."""
+    rows = docs.join(small(nodes, BROADCAST_IDS), (docs["doc_id"] == nodes["node"]) & (docs["text_hash"] == nodes["text_hash"]))
+    return rows.select("node", "text").mapInArrow(_sets, "node long, items array<long>")
+
+
+def _bounds(sets: DataFrame) -> DataFrame:
+    """(node, n, c): size of a node's set, and how many of its shingles stand in another
+    candidate's set as well. No intersection is larger than c. A shingle that stands in one
+    set only names its node by the minimum, so one aggregation finds c."""
+    lone = (sets.select("node", F.explode("items").alias("item")).groupBy("item")
+                .agg(F.count(F.lit(1)).alias("df"), F.min("node").alias("node")).where(F.col("df") == 1)
+                .groupBy("node").agg(F.count(F.lit(1)).alias("lone")))
+    sizes = sets.groupBy("node").agg(F.min(F.size("items")).alias("n"), F.max(F.size("items")).alias("most"),
+                                     F.count(F.lit(1)).alias("sets"))
+    # a doc_id with several texts keeps the widest bound
+    c = F.when(F.col("sets") == 1, F.col("n") - F.coalesce("lone", F.lit(0))).otherwise(F.col("most"))
+    return sizes.join(lone, "node", "left").select("node", "n", c.cast("int").alias("c"))
+
+
+def _possible(x: str, y: str):
+    """Whether two sets can be similar: their intersection is at most the smaller bound."""
+    c = F.least(f"c{x}", f"c{y}", f"n{x}", f"n{y}")
+    return c * 100 >= (F.col(f"n{x}") + F.col(f"n{y}") - c) * 75
+
+
+def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b): pairs whose full sets have 100 * intersection >= 75 * union."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    ids = saved(wanted.join(reps.select("node", "text_hash"), "node"), "wanted")
-    rows = docs.join(small(ids, BROADCAST_IDS), (docs["doc_id"] == ids["node"]) & (docs["text_hash"] == ids["text_hash"]))
-    texts = rows.select("node", "text")
-    sets = saved(texts.mapInArrow(_sets, "node long, items array<long>"), "sets")
     left = pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("x")), "a")
     both = left.join(sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
     ok = common * 100 >= (F.size("x") + F.size("y") - common) * 75
-    out = saved(both.where(ok).select("a", "b"), "confirmed")
-    drop_saved(sets)
-    return out
+    return saved(both.where(ok).select("a", "b"), "confirmed")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -136,38 +156,48 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     plain = _plain(docs, key, text)
     sigs = saved(signatures(docs, key, text), "signatures")
     # one node per distinct set: the smallest doc_id that has it, with a text to read it from
-    least = F.min(F.struct("doc_id", "text_hash", "n_shingles", "sig"))
+    least = F.min(F.struct("doc_id", "text_hash", "sig"))
     reps = saved(sigs.where(F.col("cls").isNotNull() & F.col("doc_id").isNotNull())
                      .groupBy("cls").agg(least.alias("r"))
-                     .select("cls", F.col("r.doc_id").alias("node"), "r.text_hash", "r.n_shingles", "r.sig"), "classes")
+                     .select("cls", F.col("r.doc_id").alias("node"), "r.text_hash", "r.sig"), "classes")
     keys = reps.select("node", "sig").mapInArrow(_keys, "node long, key long")
-    heads = keys.groupBy("key").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    shared = saved(keys.join(heads.select("key", "head"), "key"), "shared-keys")
+    many = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    shared = saved(keys.join(many.select("key"), "key"), "shared-keys")
+    nodes = saved(reps.select("node", "text_hash").join(shared.select("node").distinct(), "node", "left_semi"), "candidates")
+    sets = saved(_node_sets(plain, nodes), "sets")
+    # candidates that can be similar to any other
+    bounds = _bounds(sets).where(F.col("c") * 100 >= F.col("n") * 75)
+    member = saved(shared.join(bounds, "node"), "members")
+    drop_saved(shared)
 
     def near(pairs: DataFrame) -> DataFrame:
-        """Distinct pairs of nodes whose sizes allow the similarity and whose signatures are near."""
+        """Distinct pairs whose signatures are within the distance threshold."""
         p = pairs.distinct()
         for x in "ab":
-            p = p.join(reps.select(F.col("node").alias(x), F.col("sig").alias(f"s{x}"), F.col("n_shingles").alias(f"n{x}")), x)
-        p = p.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * 75)
+            p = p.join(reps.select(F.col("node").alias(x), F.col("sig").alias(f"s{x}")), x)
         return saved(p.select("a", "b", "sa", "sb").mapInArrow(_near, "a long, b long").distinct(), "pairs")
 
-    star = near(shared.where(F.col("node") != F.col("head")).select(F.col("head").alias("a"), F.col("node").alias("b")))
-    found = saved(components(_confirm(star, plain, reps)), "components")
-    # keys that still hold several components
-    member = saved(shared.join(found, "node", "left").select(
-        "key", "node", F.coalesce("component", "node").alias("component")), "members")
-    drop_saved(shared)
+    def side(df: DataFrame, x: str, *more) -> DataFrame:
+        return df.select("key", *(F.col(c).alias(f"{c}{x}") for c in ("node", "n", "c")), *more)
+
+    heads = side(member.groupBy("key").agg(F.min_by(F.struct("node", "n", "c"), "node").alias("h"))
+                       .select("key", "h.*"), "a")
+    star = (side(member, "b").join(heads, "key").where((F.col("nodea") != F.col("nodeb")) & _possible("a", "b"))
+            .select(F.col("nodea").alias("a"), F.col("nodeb").alias("b")))
+    found = saved(components(_confirm(near(star), sets)), "components")
+    # keys that still hold several components: who is outside a key's largest one meets the others
+    member = saved(member.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), "members")
     sizes = member.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
     tops = (sizes.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("top"),
                                      F.count(F.lit(1)).alias("parts")).where(F.col("parts") > 1))
     open_ = member.join(tops.select("key", "top"), "key")
-    left = open_.where(F.col("component") != F.col("top")).select("key", F.col("node").alias("a"), F.col("component").alias("ca"))
-    right = open_.select("key", F.col("node").alias("b"), F.col("component").alias("cb"), "top")
+    left = side(open_.where(F.col("component") != F.col("top")), "a", F.col("component").alias("ca_"))
+    right = side(open_, "b", F.col("component").alias("cb_"), "top")
     cross = (left.join(right, "key")
-                 .where((F.col("ca") != F.col("cb")) & ((F.col("a") < F.col("b")) | (F.col("cb") == F.col("top"))))
-                 .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-    more = _confirm(near(cross), plain, reps)
+                 .where((F.col("ca_") != F.col("cb_")) & _possible("a", "b")
+                        & ((F.col("nodea") < F.col("nodeb")) | (F.col("cb_") == F.col("top"))))
+                 .select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b")))
+    more = _confirm(near(cross), sets)
     final = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     named = reps.select("cls", "node").join(final, "node", "left").select(
         F.col("cls").alias("_cls"), F.coalesce("component", "node").alias("component"))
