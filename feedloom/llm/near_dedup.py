@@ -12,9 +12,11 @@ distance 17.5) shares a key with probability 1 - 8e-7.
 Equal sets are one class from the start, so copies are never paired. Shingles that stand in one
 candidate's set only can be in no intersection, which bounds every pair's similarity from three
 numbers; pairs that cannot reach 0.75 are never made. Under each key, members are first compared with the key's smallest member; confirmed links are merged into components.
-Only keys that still hold several components are looked at again: members outside the key's
-largest component meet the key's other members in an equi-join that keeps pairs of different
-components within the distance threshold. Every link is confirmed on the full sets.
+Only keys that still hold several components are looked at again. There, shingles of many
+holders (heavy) and of few (light) are told apart: two documents can be similar by their heavy
+shingles alone, and then meet under the key, or they share a light one, and then meet under
+that; either way only pairs of different components with one outside the key's largest one
+are made. Every link is confirmed on the full sets.
 
 Defined results: null or blank texts have an empty set, link to nothing and are kept; rows
 that share a doc_id count as one document, so their links are joined; rows without a doc_id
@@ -40,6 +42,8 @@ SYMBOLS = CHUNKS * WIDTH
 #: Pairs further apart than this are not confirmed: 4.5 standard deviations beyond the
 #: expected distance at a similarity of 0.75 (one pair in 300,000 there).
 MAX_DISTANCE = 34
+#: A shingle is light if at most so many of the documents in open keys hold it.
+LIGHT = 16
 #: Ids of texts to read again for confirmation are broadcast up to this many; else joined.
 BROADCAST_IDS = 1_000_000
 _SEEDS = mix64(np.arange(1, SYMBOLS + 1, dtype=np.uint64)) | np.uint64(1)
@@ -136,6 +140,35 @@ def _bounds(sets: DataFrame) -> DataFrame:
     return sizes.join(lone, "node", "left").select("node", "n", c.cast("int").alias("c"))
 
 
+def _split_items(sets: DataFrame, open_: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Shingles of the nodes in open keys, split by how many of these nodes hold them.
+
+    heavy: (node, n, c) with c the number of a node's shingles that more than LIGHT nodes hold;
+    light: (node, component, out, item) of the others that two nodes or more hold."""
+    nodes = open_.groupBy("node").agg(F.first("component").alias("component"), F.first("n").alias("n"), F.max("out").alias("out"))
+    nodes = saved(nodes, "open-nodes")
+    items = saved(sets.join(nodes, "node").select("node", "component", "out", F.explode("items").alias("item")), "open-items")
+    held = items.groupBy("item").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > 1)
+    marked = saved(items.join(held, "item"), "open-items")
+    many = marked.where(F.col("df") > LIGHT).groupBy("node").agg(F.count(F.lit(1)).alias("c"))
+    heavy = nodes.join(many, "node", "left").select("node", "n", F.coalesce("c", F.lit(0)).cast("int").alias("c"))
+    return saved(heavy, "heavy"), marked.where(F.col("df") <= LIGHT).drop("df")
+
+
+def _light_pairs(heavy: DataFrame, light: DataFrame) -> DataFrame:
+    """Pairs of different components that share a light shingle and may be similar: their
+    intersection is at most their light overlap, counted here, and the smaller heavy count. A
+    light shingle has at most LIGHT holders, so the pairs grow with the rows."""
+    x = light.where("out").select("item", F.col("node").alias("x"), F.col("component").alias("cx"))
+    y = light.select("item", F.col("node").alias("y"), F.col("component").alias("cy"), F.col("out").alias("oy"))
+    w = (x.join(y, "item").where((F.col("cx") != F.col("cy")) & ((F.col("x") < F.col("y")) | ~F.col("oy")))
+          .groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count(F.lit(1)).alias("w")))
+    for v in "ab":
+        w = w.join(heavy.select(F.col("node").alias(v), F.col("c").alias(f"c{v}"), F.col("n").alias(f"n{v}")), v)
+    most = F.col("w") + F.least("ca", "cb")
+    return w.where(most * 100 >= (F.col("na") + F.col("nb") - most) * 75).select("a", "b")
+
+
 def _possible(x: str, y: str):
     """Whether two sets can be similar: their intersection is at most the smaller bound."""
     c = F.least(f"c{x}", f"c{y}", f"n{x}", f"n{y}")
@@ -190,13 +223,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     sizes = member.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
     tops = (sizes.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("top"),
                                      F.count(F.lit(1)).alias("parts")).where(F.col("parts") > 1))
-    open_ = member.join(tops.select("key", "top"), "key")
-    left = side(open_.where(F.col("component") != F.col("top")), "a", F.col("component").alias("ca_"))
-    right = side(open_, "b", F.col("component").alias("cb_"), "top")
-    cross = (left.join(right, "key")
-                 .where((F.col("ca_") != F.col("cb_")) & _possible("a", "b")
-                        & ((F.col("nodea") < F.col("nodeb")) | (F.col("cb_") == F.col("top"))))
-                 .select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b")))
+    open_ = saved(member.drop("c").join(tops.select("key", "top"), "key")
+                        .withColumn("out", F.col("component") != F.col("top")), "open-keys")
+    heavy, light = _split_items(sets, open_)
+    open_ = open_.drop("n").join(heavy, "node")
+    left = side(open_.where("out"), "a", F.col("component").alias("ca_"))
+    right = side(open_, "b", F.col("component").alias("cb_"), "out")
+    by_key = (left.join(right, "key")
+                  .where((F.col("ca_") != F.col("cb_")) & _possible("a", "b") & ((F.col("nodea") < F.col("nodeb")) | ~F.col("out")))
+                  .select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b")))
+    cross = by_key.unionByName(_light_pairs(heavy, light))
     more = _confirm(near(cross), sets)
     final = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     named = reps.select("cls", "node").join(final, "node", "left").select(
