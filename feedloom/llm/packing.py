@@ -17,6 +17,7 @@ each other; rows without a doc_id come first within their key; an empty table gi
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from bisect import bisect_right
@@ -33,11 +34,12 @@ from .shingles import mix64
 LENGTH, END = 2048, 1
 BINS, DIMS, BITS = 1024, 4, 8
 #: Words whose ids a Python worker remembers, at most.
-REMEMBER = 600_000
+REMEMBER = 400_000
 #: Rows whose keys set the range bounds, and ranges for each shuffle partition.
 SAMPLE, RANGES_PER_PARTITION = 5_000, 4
 #: Characters that Python, but not the tokenizer, takes for white space.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
+_MARKS = ".,;:!?#$%&*|"
 #: Beyond these letters, lower case may differ between Python and the tokenizer.
 _BEYOND_LATIN = re.compile("[^\x00-\u024f]")
 
@@ -56,15 +58,35 @@ class Encoder:
         self.known: dict[str, bytes] = {}
 
     def _learn(self, words: list[str]) -> dict[str, bytes]:
-        """Encode new words joined by blanks; tokens go back to words by their place."""
-        enc = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        ends = np.cumsum([len(w) + 1 for w in words])
-        ids = np.array(enc.ids, self.kind)
-        word = np.searchsorted(ends, np.array([a for a, _ in enc.offsets], np.int64), side="right")
-        cut = np.searchsorted(word, np.arange(len(words) + 1)).tolist()
-        new = {w: ids[cut[i]:cut[i + 1]].tobytes() for i, w in enumerate(words)}
-        if len(self.known) < REMEMBER:
-            self.known.update(new)
+        """Encode new words, joined by blanks in lines; tokens go back to words by their place."""
+        lines = [words[i:i + 50] for i in range(0, len(words), 50)]
+        new = {}
+        for line, enc in zip(lines, self.tokenizer.encode_batch([" ".join(x) for x in lines], add_special_tokens=False), strict=True):
+            ends = np.cumsum([len(w) + 1 for w in line])
+            ids = np.array(enc.ids, self.kind)
+            word = np.searchsorted(ends, np.array([a for a, _ in enc.offsets], np.int64), side="right")
+            cut = (np.searchsorted(word, np.arange(len(line) + 1)) * ids.itemsize).tolist()
+            data = ids.tobytes()
+            new.update((w, data[cut[i]:cut[i + 1]]) for i, w in enumerate(line))
+        return new
+
+    def _resolve(self, missing: list[str]) -> dict[str, bytes]:
+        """Ids of words that are not known. A word that ends in marks after a letter is its
+        core's ids and the marks' ids, as the tokenizer splits there."""
+        known, todo, parts = self.known, {}, {}
+        for w in missing:
+            core = w.rstrip(_MARKS)
+            if core and core != w and core[-1].isalpha():
+                parts[w] = core, w[len(core):]
+                todo.update((x, None) for x in parts[w] if x not in known)
+            else:
+                todo[w] = None
+        new = self._learn(list(todo)) if todo else {}
+        find = lambda x: new[x] if x in new else known[x]
+        for w, (core, marks) in parts.items():
+            new[w] = find(core) + find(marks)
+        if len(known) < REMEMBER:
+            known.update(new)
         return new
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -89,7 +111,7 @@ class Encoder:
                 split.append(None)
                 out.append(b"".join(parts))
         if missing:
-            new = self._learn(list(missing))
+            new = self._resolve(list(missing))
             for i, both in enumerate(split):
                 if both:
                     out[i] = b"".join([new[w] if p is None else p for w, p in zip(*both, strict=True)])
@@ -104,6 +126,7 @@ _ENCODERS: dict[str, Encoder] = {}
 def encoder(path: str) -> Encoder:
     """One encoder for each Python worker."""
     if path not in _ENCODERS:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
 
