@@ -26,6 +26,8 @@ join no links, have a null component_id and are kept; an empty table gives an em
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +46,9 @@ SYMBOLS = CHUNKS * WIDTH
 MAX_DISTANCE = 34
 #: A shingle is light if at most so many of the documents in open keys hold it.
 LIGHT = 16
+#: Hash parts of the heavy shingles' numbers.
+PARTS = 16
+_H = [f"h{i}_" for i in range(PARTS)]
 #: Ids of texts to read again for confirmation are broadcast up to this many; else joined.
 BROADCAST_IDS = 1_000_000
 _SEEDS = mix64(np.arange(1, SYMBOLS + 1, dtype=np.uint64)) | np.uint64(1)
@@ -143,15 +148,17 @@ def _bounds(sets: DataFrame) -> DataFrame:
 def _split_items(sets: DataFrame, open_: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Shingles of the nodes in open keys, split by how many of these nodes hold them.
 
-    heavy: (node, n, c) with c the number of a node's shingles that more than LIGHT nodes hold;
-    light: (node, component, out, item) of the others that two nodes or more hold."""
+    heavy: (node, n, h0, h1, ...) with the numbers of a node's shingles that more than LIGHT
+    nodes hold, by PARTS hash parts; the sum of two nodes' smaller numbers bounds their heavy
+    intersection. light: (node, component, out, item) of the others that two nodes hold."""
     nodes = open_.groupBy("node").agg(F.first("component").alias("component"), F.first("n").alias("n"), F.max("out").alias("out"))
     nodes = saved(nodes, "open-nodes")
     items = saved(sets.join(nodes, "node").select("node", "component", "out", F.explode("items").alias("item")), "open-items")
     held = items.groupBy("item").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > 1)
     marked = saved(items.join(held, "item"), "open-items")
-    many = marked.where(F.col("df") > LIGHT).groupBy("node").agg(F.count(F.lit(1)).alias("c"))
-    heavy = nodes.join(many, "node", "left").select("node", "n", F.coalesce("c", F.lit(0)).cast("int").alias("c"))
+    part = F.pmod("item", F.lit(PARTS))
+    many = marked.where(F.col("df") > LIGHT).groupBy("node").agg(*(F.count_if(part == i).cast("int").alias(h) for i, h in enumerate(_H)))
+    heavy = nodes.join(many, "node", "left").select("node", "n", *(F.coalesce(h, F.lit(0)).alias(h) for h in _H))
     return saved(heavy, "heavy"), marked.where(F.col("df") <= LIGHT).drop("df")
 
 
@@ -164,15 +171,21 @@ def _light_pairs(heavy: DataFrame, light: DataFrame) -> DataFrame:
     w = (x.join(y, "item").where((F.col("cx") != F.col("cy")) & ((F.col("x") < F.col("y")) | ~F.col("oy")))
           .groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count(F.lit(1)).alias("w")))
     for v in "ab":
-        w = w.join(heavy.select(F.col("node").alias(v), F.col("c").alias(f"c{v}"), F.col("n").alias(f"n{v}")), v)
-    most = F.col("w") + F.least("ca", "cb")
-    return w.where(most * 100 >= (F.col("na") + F.col("nb") - most) * 75).select("a", "b")
+        w = w.join(heavy.select(F.col("node").alias(v), *(F.col(c).alias(c + v) for c in ("n", *_H))), v)
+    return w.where(_reaches(F.col("w") + _heavy_bound())).select("a", "b")
 
 
-def _possible(x: str, y: str):
-    """Whether two sets can be similar: their intersection is at most the smaller bound."""
-    c = F.least(f"c{x}", f"c{y}", f"n{x}", f"n{y}")
-    return c * 100 >= (F.col(f"n{x}") + F.col(f"n{y}") - c) * 75
+def _reaches(common):
+    """Whether sets of na and nb shingles with at most ``common`` in common can be similar."""
+    return common * 100 >= (F.col("na") + F.col("nb") - common) * 75
+
+
+def _possible():
+    return _reaches(F.least("ca", "cb", "na", "nb"))
+
+
+def _heavy_bound():
+    return reduce(add, (F.least(f"{h}a", f"{h}b") for h in _H))
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -210,12 +223,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
             p = p.join(reps.select(F.col("node").alias(x), F.col("sig").alias(f"s{x}")), x)
         return saved(p.select("a", "b", "sa", "sb").mapInArrow(_near, "a long, b long").distinct(), "pairs")
 
-    def side(df: DataFrame, x: str, *more) -> DataFrame:
-        return df.select("key", *(F.col(c).alias(f"{c}{x}") for c in ("node", "n", "c")), *more)
+    def side(df: DataFrame, x: str, *more, numbers=("n", "c")) -> DataFrame:
+        return df.select("key", *(F.col(c).alias(f"{c}{x}") for c in ("node", *numbers)), *more)
 
     heads = side(member.groupBy("key").agg(F.min_by(F.struct("node", "n", "c"), "node").alias("h"))
                        .select("key", "h.*"), "a")
-    star = (side(member, "b").join(heads, "key").where((F.col("nodea") != F.col("nodeb")) & _possible("a", "b"))
+    star = (side(member, "b").join(heads, "key").where((F.col("nodea") != F.col("nodeb")) & _possible())
             .select(F.col("nodea").alias("a"), F.col("nodeb").alias("b")))
     found = saved(components(_confirm(near(star), sets)), "components")
     # keys that still hold several components: who is outside a key's largest one meets the others
@@ -227,10 +240,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
                         .withColumn("out", F.col("component") != F.col("top")), "open-keys")
     heavy, light = _split_items(sets, open_)
     open_ = open_.drop("n").join(heavy, "node")
-    left = side(open_.where("out"), "a", F.col("component").alias("ca_"))
-    right = side(open_, "b", F.col("component").alias("cb_"), "out")
+    left = side(open_.where("out"), "a", F.col("component").alias("ca_"), numbers=("n", *_H))
+    right = side(open_, "b", F.col("component").alias("cb_"), "out", numbers=("n", *_H))
     by_key = (left.join(right, "key")
-                  .where((F.col("ca_") != F.col("cb_")) & _possible("a", "b") & ((F.col("nodea") < F.col("nodeb")) | ~F.col("out")))
+                  .where((F.col("ca_") != F.col("cb_")) & _reaches(_heavy_bound()) & ((F.col("nodea") < F.col("nodeb")) | ~F.col("out")))
                   .select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b")))
     cross = by_key.unionByName(_light_pairs(heavy, light))
     more = _confirm(near(cross), sets)
