@@ -21,8 +21,8 @@ def bounded_batches(spark: SparkSession) -> None:
     """Arrow batches are cut by bytes, so very long texts do not add up in a Python worker."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get("spark.feedloom.arrowBatch", None) is None:
-        spark.conf.set(key, str(8 * 1024 * 1024))
-        spark.conf.set("spark.feedloom.arrowBatch", "8m")
+        spark.conf.set(key, str(2 * 1024 * 1024))
+        spark.conf.set("spark.feedloom.arrowBatch", "2m")
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:

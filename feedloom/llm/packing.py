@@ -34,7 +34,7 @@ from .shingles import mix64
 LENGTH, END = 2048, 1
 BINS, DIMS, BITS = 1024, 4, 8
 #: Words whose ids a Python worker remembers, at most.
-REMEMBER = 400_000
+REMEMBER = 300_000
 #: Rows whose keys set the range bounds, and ranges for each shuffle partition.
 SAMPLE, RANGES_PER_PARTITION = 5_000, 4
 #: Characters that Python, but not the tokenizer, takes for white space.
@@ -118,6 +118,19 @@ class Encoder:
         return out
 
 
+    def encode_all(self, texts: list[str | None], chars: int = 500_000) -> list[bytes]:
+        """``encode`` over groups of texts of about ``chars`` characters: a word takes ten
+        times its bytes while it is looked up."""
+        out, group, size = [], [], 0
+        for text in texts:
+            group.append(text)
+            size += len(text or "")
+            if size >= chars:
+                out += self.encode(group)
+                group, size = [], 0
+        return out + self.encode(group)
+
+
 _LOW = -(1 << 63)
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -188,7 +201,7 @@ def _encode(path: str, bounds: list[tuple[int, int]]):
         place = (mix64(np.arange(enc.tokenizer.get_vocab_size(), dtype=np.uint64)) % np.uint64(BINS)).astype(np.int64)
         end = np.array([END], enc.kind).tobytes()
         for b in batches:
-            coded, vectors = enc.encode(b.column(1).to_pylist()), np.zeros((b.num_rows, DIMS))
+            coded, vectors = enc.encode_all(b.column(1).to_pylist()), np.zeros((b.num_rows, DIMS))
             for i, data in enumerate(coded):
                 count = np.bincount(place[np.frombuffer(data, enc.kind)], minlength=BINS).astype(float)
                 vectors[i] = count @ _PROJECTION / max(np.sqrt((count * count).sum()), 1.0)
