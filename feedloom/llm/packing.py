@@ -34,7 +34,7 @@ from .shingles import mix64
 LENGTH, END = 2048, 1
 BINS, DIMS, BITS = 1024, 4, 8
 #: Words whose ids a Python worker remembers, at most.
-REMEMBER = 300_000
+REMEMBER = 400_000
 #: Rows whose keys set the range bounds, and ranges for each shuffle partition.
 SAMPLE, RANGES_PER_PARTITION = 5_000, 4
 #: Characters that Python, but not the tokenizer, takes for white space.
@@ -118,7 +118,7 @@ class Encoder:
         return out
 
 
-    def encode_all(self, texts: list[str | None], chars: int = 500_000) -> list[bytes]:
+    def encode_all(self, texts: list[str | None], chars: int = 2_000_000) -> list[bytes]:
         """``encode`` over groups of texts of about ``chars`` characters: a word takes ten
         times its bytes while it is looked up."""
         out, group, size = [], [], 0

@@ -140,21 +140,20 @@ def votes_of(code: np.ndarray) -> np.ndarray:
 def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 300) -> tuple[float, np.ndarray]:
     """(share of bad documents, posterior of bad per pattern) by expectation-maximisation.
 
-    patterns: (n, labellers) of 0 bad, 1 abstain, 2 good. Each labeller has one accuracy for
-    its bad and one for its good votes; an abstention says nothing. Accuracies start at 0.8 and
-    carry a weak prior of it, so a labeller that rarely votes stays near it; none may
-    fall to chance, which fixes which of the two classes is the bad one."""
+    patterns: (n, labellers) of 0 bad, 1 abstain, 2 good. Each labeller has one accuracy of its
+    votes; an abstention says nothing. Accuracies start at 0.8 and carry a weak prior of it, so
+    a labeller that rarely votes stays near it; none may fall to chance, which fixes which of
+    the two classes is the bad one."""
     n = counts.sum()
     if not n:
         return 0.0, np.zeros(0)
-    votes = np.concatenate([patterns == 0, patterns == 2], axis=1).astype(float)
-    sign = np.r_[np.ones(patterns.shape[1]), -np.ones(patterns.shape[1])]
-    accuracy, share, post = np.full(len(sign), 0.8), 0.2, np.zeros(len(counts))
+    bad, good = (patterns == 0).astype(float), (patterns == 2).astype(float)
+    accuracy, share, post = np.full(patterns.shape[1], 0.8), 0.2, np.zeros(len(counts))
     for _ in range(rounds):
-        odds = votes @ (sign * np.log(accuracy / (1 - accuracy))) + np.log(share / (1 - share))
+        odds = (bad - good) @ np.log(accuracy / (1 - accuracy)) + np.log(share / (1 - share))
         new = 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
-        right = np.where(sign > 0, (counts * new) @ votes, (counts * (1 - new)) @ votes)
-        accuracy = np.clip((right + 8) / (counts @ votes + 10), 0.55, 0.99)
+        right = (counts * new) @ bad + (counts * (1 - new)) @ good
+        accuracy = np.clip((right + 8) / (counts @ (bad + good) + 10), 0.55, 0.99)
         share = float(np.clip((counts @ new + 1) / (n + 2), 0.01, 0.99))
         moved, post = np.abs(new - post).max(), new
         if moved < 1e-6:
