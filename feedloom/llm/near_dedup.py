@@ -263,7 +263,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     ids = ids.select(F.col("doc_id").alias("_kept")).distinct()
     rows = docs.join(ids, docs[key] == ids["_kept"], "left").where(F.col("_kept").isNotNull() | F.col(key).isNull())
     twice = rows.where(F.col("_kept").isNotNull()).groupBy("_kept").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    return rows if twice.isEmpty() else _first_rows(rows, key, text)
+    return rows.drop("_kept") if twice.isEmpty() else _first_rows(rows, key, text)
 
 
 def _first_rows(rows: DataFrame, key: str, text: str) -> DataFrame:
