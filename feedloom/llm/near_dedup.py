@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, drop_saved, saved, small
+from .common import bounded_batches, drop_saved, lean, saved, small
 from .components import components
 from .shingles import mix64, shingles
 
@@ -90,7 +90,7 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     null if the set is empty."""
     bounded_batches(docs.sparkSession)
     return _plain(docs, key, text).mapInArrow(
-        _signatures, "doc_id long, text_hash long, n_shingles long, cls binary, sig binary")
+        lean(_signatures), "doc_id long, text_hash long, n_shingles long, cls binary, sig binary")
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,7 +128,7 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _node_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, items): the full sets of some nodes (node, text_hash), from the texts again."""
     rows = docs.join(small(nodes, BROADCAST_IDS), (docs["doc_id"] == nodes["node"]) & (docs["text_hash"] == nodes["text_hash"]))
-    return rows.select("node", "text").mapInArrow(_sets, "node long, items array<long>")
+    return rows.select("node", "text").mapInArrow(lean(_sets), "node long, items array<long>")
 
 
 def _bounds(sets: DataFrame) -> DataFrame:
@@ -206,7 +206,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     reps = saved(sigs.where(F.col("cls").isNotNull() & F.col("doc_id").isNotNull())
                      .groupBy("cls").agg(least.alias("r"))
                      .select("cls", F.col("r.doc_id").alias("node"), "r.text_hash", "r.sig"), "classes")
-    keys = reps.select("node", "sig").mapInArrow(_keys, "node long, key long")
+    keys = reps.select("node", "sig").mapInArrow(lean(_keys), "node long, key long")
     many = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     shared = saved(keys.join(many.select("key"), "key"), "shared-keys")
     nodes = saved(reps.select("node", "text_hash").join(shared.select("node").distinct(), "node", "left_semi"), "candidates")
@@ -221,7 +221,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         p = pairs.distinct()
         for x in "ab":
             p = p.join(reps.select(F.col("node").alias(x), F.col("sig").alias(f"s{x}")), x)
-        return saved(p.select("a", "b", "sa", "sb").mapInArrow(_near, "a long, b long").distinct(), "pairs")
+        return saved(p.select("a", "b", "sa", "sb").mapInArrow(lean(_near), "a long, b long").distinct(), "pairs")
 
     def side(df: DataFrame, x: str, *more, numbers=("n", "c")) -> DataFrame:
         return df.select("key", *(F.col(c).alias(f"{c}{x}") for c in ("node", *numbers)), *more)

@@ -19,6 +19,8 @@ from __future__ import annotations
 
 import os
 import re
+import threading
+import time
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -28,13 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches
+from .common import bounded_batches, give_back_memory, lean
 from .shingles import mix64
 
 LENGTH, END = 2048, 1
 BINS, DIMS, BITS = 1024, 4, 8
 #: Words whose ids a Python worker remembers, at most.
-REMEMBER = 400_000
+REMEMBER = 300_000
 #: Rows whose keys set the range bounds, and ranges for each shuffle partition.
 SAMPLE, RANGES_PER_PARTITION = 5_000, 4
 #: Characters that Python, but not the tokenizer, takes for white space.
@@ -134,10 +136,27 @@ class Encoder:
 _LOW = -(1 << 63)
 
 _ENCODERS: dict[str, Encoder] = {}
+_USED = [0.0]
+#: Seconds after which a worker that encodes no more gives up its encoder.
+IDLE = 8
+
+
+def _rest() -> None:
+    if time.monotonic() - _USED[0] >= IDLE - 0.5:
+        _ENCODERS.clear()
+        give_back_memory()
+
+
+def _task_done() -> None:
+    _USED[0] = time.monotonic()
+    timer = threading.Timer(IDLE, _rest)
+    timer.daemon = True
+    timer.start()
 
 
 def encoder(path: str) -> Encoder:
-    """One encoder for each Python worker."""
+    """One encoder for each Python worker, kept from task to task."""
+    _USED[0] = time.monotonic()
     if path not in _ENCODERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         _ENCODERS[path] = Encoder(path)
@@ -210,7 +229,8 @@ def _encode(path: str, bounds: list[tuple[int, int]]):
             bucket = _bucket(curve, b.column(0).to_pylist(), bounds)
             yield pa.record_batch([b.column(0), pa.array(bucket.astype(np.int32)), pa.array(curve), pa.array(ids, pa.binary())],
                                   ["doc_id", "bucket", "curve", "ids"])
-    return run
+        _task_done()
+    return lean(run)
 
 
 def _bounds(docs: DataFrame, tokenizer: str, ranges: int) -> list[tuple[int, int]]:

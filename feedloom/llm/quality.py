@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches
+from .common import bounded_batches, give_back_memory
 from .shingles import _SPACE, mix64, raw_bytes, words
 
 #: The scorer is fitted on at most this many rows, those of least hash of their text.
@@ -120,7 +120,8 @@ class Shapes:
 
 
 def _pieces(texts: pa.Array, rows: int = 512):
-    return (texts.slice(i, rows) for i in range(0, len(texts), rows))
+    yield from (texts.slice(i, rows) for i in range(0, len(texts), rows))
+    give_back_memory()
 
 
 def _pattern(texts: pa.Array) -> pa.Array:
