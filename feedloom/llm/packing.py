@@ -36,7 +36,7 @@ from .shingles import mix64
 LENGTH, END = 2048, 1
 BINS, DIMS, BITS = 1024, 4, 8
 #: Words whose ids a Python worker remembers, at most.
-REMEMBER = 300_000
+REMEMBER = 450_000
 #: Rows whose keys set the range bounds, and ranges for each shuffle partition.
 SAMPLE, RANGES_PER_PARTITION = 5_000, 4
 #: Characters that Python, but not the tokenizer, takes for white space.
@@ -72,54 +72,49 @@ class Encoder:
             new.update((w, data[cut[i]:cut[i + 1]]) for i, w in enumerate(line))
         return new
 
-    def _resolve(self, missing: list[str]) -> dict[str, bytes]:
+    def _resolve(self, missing: set[str]) -> dict[str, bytes]:
         """Ids of words that are not known. A word that ends in marks after a letter is its
         core's ids and the marks' ids, as the tokenizer splits there."""
-        known, todo, parts = self.known, {}, {}
+        known, todo, parts = self.known, [], []
         for w in missing:
             core = w.rstrip(_MARKS)
-            if core and core != w and core[-1].isalpha():
-                parts[w] = core, w[len(core):]
-                todo.update((x, None) for x in parts[w] if x not in known)
+            if len(core) < len(w) and core and core[-1].isalpha():
+                parts.append((w, core, w[len(core):]))
             else:
-                todo[w] = None
-        new = self._learn(list(todo)) if todo else {}
-        find = lambda x: new[x] if x in new else known[x]
-        for w, (core, marks) in parts.items():
-            new[w] = find(core) + find(marks)
-        if len(known) < REMEMBER:
-            known.update(new)
+                todo.append(w)
+        todo += {x for p in parts for x in p[1:]}.difference(known, missing)
+        new = self._learn(todo)
+        for w, core, marks in parts:
+            new[w] = (known.get(core) or new[core]) + (known.get(marks) or new[marks])
         return new
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text; words that are new in the batch are encoded together."""
-        out, split, missing = [], [], {}
-        get = self.known.get
-        for text in texts:
-            if text and _ODD_SPACE.search(text):
-                out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes())
-                split.append(None)
-                continue
+        """Ids of each text; words that are new in the group are encoded together."""
+        split: list[list[str] | bytes] = []
+        for k, text in enumerate(texts):
             text = text or ""
-            if text.isascii() or not _BEYOND_LATIN.search(text):
-                text = text.lower()  # as the tokenizer does, so more words are known
-            words = text.split()
-            parts = list(map(get, words))
-            if None in parts:
-                missing.update((w, None) for w, p in zip(words, parts, strict=True) if p is None)
-                split.append((words, parts))
-                out.append(b"")
+            if k and text == texts[k - 1]:  # copies often stand together
+                split.append(split[-1])
+            elif _ODD_SPACE.search(text):
+                split.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes())
+            else:
+                # lower case first, as the tokenizer does, so more words are known
+                split.append((text.lower() if text.isascii() or not _BEYOND_LATIN.search(text) else text).split())
+        known, full = self.known, len(self.known) >= REMEMBER
+        missing = set().union(*(x for x in split if isinstance(x, list))).difference(known)
+        new = self._resolve(missing) if missing else {}
+        known.update(new)
+        out: list[bytes] = []
+        for k, words in enumerate(split):
+            if k and words is split[k - 1]:
+                out.append(out[-1])
             else:
-                split.append(None)
-                out.append(b"".join(parts))
-        if missing:
-            new = self._resolve(list(missing))
-            for i, both in enumerate(split):
-                if both:
-                    out[i] = b"".join([new[w] if p is None else p for w, p in zip(*both, strict=True)])
+                out.append(words if isinstance(words, bytes) else b"".join(map(known.__getitem__, words)))
+        if full:  # no room: forget the group's new words
+            for w in new:
+                del known[w]
         return out
 
-
     def encode_all(self, texts: list[str | None], chars: int = 2_000_000) -> list[bytes]:
         """``encode`` over groups of texts of about ``chars`` characters: a word takes ten
         times its bytes while it is looked up."""
