@@ -36,9 +36,9 @@ from .shingles import mix64
 LENGTH, END = 2048, 1
 BINS, DIMS, BITS = 1024, 4, 8
 #: Words whose ids a Python worker remembers, at most.
-REMEMBER = 450_000
+REMEMBER = 650_000
 #: Rows whose keys set the range bounds, and ranges for each shuffle partition.
-SAMPLE, RANGES_PER_PARTITION = 5_000, 4
+SAMPLE, RANGES_PER_PARTITION = 2_000, 4
 #: Characters that Python, but not the tokenizer, takes for white space.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _MARKS = ".,;:!?#$%&*|"
@@ -133,7 +133,7 @@ _LOW = -(1 << 63)
 _ENCODERS: dict[str, Encoder] = {}
 _USED = [0.0]
 #: Seconds after which a worker that encodes no more gives up its encoder.
-IDLE = 8
+IDLE = 25
 
 
 def _rest() -> None:
@@ -217,8 +217,11 @@ def _encode(path: str, bounds: list[tuple[int, int]]):
         for b in batches:
             coded, vectors = enc.encode_all(b.column(1).to_pylist()), np.zeros((b.num_rows, DIMS))
             for i, data in enumerate(coded):
-                count = np.bincount(place[np.frombuffer(data, enc.kind)], minlength=BINS).astype(float)
-                vectors[i] = count @ _PROJECTION / max(np.sqrt((count * count).sum()), 1.0)
+                if i and data is coded[i - 1]:
+                    vectors[i] = vectors[i - 1]
+                    continue
+                count = np.bincount(place[np.frombuffer(data, enc.kind)], minlength=BINS)
+                vectors[i] = count @ _PROJECTION / max(np.sqrt(count @ count), 1.0)
             ids = [data + end for data in coded]
             curve = curve_key(vectors)
             bucket = _bucket(curve, b.column(0).to_pylist(), bounds)
