@@ -44,7 +44,7 @@ def main() -> None:
     from feedloom.session import build_session
 
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8))
-    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
+    extra = {"spark.feedloom.spreadPartitions": cpus, "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
     if a.event_log:  # task metrics per query: python tools/stage_times.py <dir>
         os.makedirs(a.event_log, exist_ok=True)
         extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": a.event_log})

@@ -155,10 +155,10 @@ def f_htmlencode(c) -> Column:
 
 
 def _accent_table() -> tuple[str, str]:
-    """Latin letters U+00C0..U+024F whose canonical decomposition starts with an ASCII
+    """Latin letters U+00C0..U+024F and U+1E00..U+1EFF whose canonical decomposition starts with an ASCII
     letter map to that letter (built from the Unicode data, not written out)."""
     src, dst = [], []
-    for cp in range(0x00C0, 0x0250):
+    for cp in (*range(0x00C0, 0x0250), *range(0x1E00, 0x1F00)):
         ch = chr(cp)
         base = unicodedata.normalize("NFD", ch)[0]
         if base != ch and base.isascii() and base.isalpha():
@@ -174,16 +174,21 @@ def f_diacritics(c, mode: str = "replace") -> Column:
     """strip accents (mode ``replace``, the only one in use)."""
     if mode != "replace":
         raise ValueError(f"unsupported diacritics mode {mode!r}")
-    return F.translate(col_of(c), _ACCENT_SRC, _ACCENT_DST)
+    # combining accents go, letters with a built-in accent become their base letter
+    return F.translate(F.regexp_replace(col_of(c), r"[\u0300-\u036f]", ""), _ACCENT_SRC, _ACCENT_DST)
 
 
 VALIDATE_SPLIT = r"[,;/|\s]+"
 
 
-def f_validate(c, allowed: Iterable[str]) -> Column:
-    """F16: keep the words found in ``allowed`` (case-insensitive), joined by ','."""
+def f_validate(c, allowed: Iterable[str] | str) -> Column:
+    """F16: keep the words found in ``allowed`` (case-insensitive), joined by ','. One string
+    is a comma-separated list. If an allowed entry has several words, values are split at
+    marks only, so that such an entry can match."""
+    allowed = [a.strip() for a in allowed.split(",")] if isinstance(allowed, str) else list(allowed)
     allowed_l = F.array(*[F.lit(a.lower()) for a in allowed])
-    words = F.split(col_of(c), VALIDATE_SPLIT)
+    several = any(" " in a for a in allowed)
+    words = F.split(F.trim(col_of(c)) if several else col_of(c), r"\s*[,;/|]+\s*" if several else VALIDATE_SPLIT)
     kept = F.filter(words, lambda w: F.array_contains(allowed_l, F.lower(w)))
     return F.array_join(kept, ",")
 
@@ -215,25 +220,16 @@ def f_cleanup_titles(c, rules: Sequence[tuple[str, str]]) -> Column:
     return out
 
 
-def cleanup_titles_by_source(df, col: str, rules, source: str = "source", out: str | None = None,
-                             max_rules: int = 10_000):
+def cleanup_titles_by_source(df, col: str, rules, source: str = "source", out: str | None = None):
     """F24 with rules that differ per source: ``rules`` is a table
-    ``(source, seq, pattern, replacement)``.
-
-    Rule tables come from definitions (their size is bounded by the definitions, not by the
-    captured data) and are read once on the driver, after a size check, to build one
-    ``CASE source WHEN .. THEN chain`` Column. The records themselves stay distributed and
-    are rewritten in one projection."""
-    n = rules.limit(max_rules + 1).count()
-    if n > max_rules:
-        raise ValueError(f"more than {max_rules} rewrite rules; split the rule table by source")
-    by_src: dict[str, list[tuple[str, str]]] = {}
-    for r in rules.orderBy(source, "seq").collect():
-        by_src.setdefault(r[source], []).append((r["pattern"], r["replacement"]))
-    expr = F.col(col)
-    for src, rs in by_src.items():
-        expr = F.when(F.col(source) == src, f_cleanup_titles(F.col(col), rs)).otherwise(expr)
-    return df.withColumn(out or col, expr)
+    ``(source, seq, pattern, replacement)``. The rules of a source become one ordered array,
+    which is joined to its records and folded over the text; no rule passes the driver."""
+    per = rules.groupBy(source).agg(F.array_sort(F.collect_list(F.struct("seq", "pattern", "replacement"))).alias("_rules"))
+    joined = df.join(per, source, "left")
+    none = F.array().cast(joined.schema["_rules"].dataType)
+    folded = F.aggregate(F.coalesce("_rules", none), F.col(col),
+                         lambda acc, r: F.regexp_replace(acc, r["pattern"], r["replacement"]))
+    return joined.withColumn(out or col, folded).drop("_rules")
 
 
 # --------------------------------------------------------------------------- apply_chain

@@ -158,11 +158,14 @@ def _minus_seconds(as_of: Column, secs: Column) -> Column:
     return F.timestamp_micros(F.unix_micros(as_of) - F.round(secs * 1_000_000).cast("bigint"))
 
 
+_NOW_RE = r"\bnow\b"
+
+
 def f_timeago(c, as_of) -> Column:
-    """relative text -> ``as_of`` minus the amount; ``now`` -> ``as_of``."""
+    """relative text -> ``as_of`` minus the amount; the word ``now`` -> ``as_of``."""
     a = as_of_col(as_of)
     t = F.lower(col_of(c))
-    return F.when(t.contains("now"), a).otherwise(_minus_seconds(a, ago_seconds(t)))
+    return F.when(t.rlike(_NOW_RE), a).otherwise(_minus_seconds(a, ago_seconds(t)))
 
 
 def f_reltime(c, as_of) -> Column:
@@ -194,6 +197,9 @@ def _at_day(as_of: Column, days_back: Column, tod: Column) -> Column:
 
 
 _WEEKDAY_RE = r"\b(" + "|".join(WEEKDAYS) + r")\b"
+# a time without a day, and text that starts as an ISO date does
+_BARE_TIME_RE = r"^t?\d{1,2}:\d{2}(:\d{2})?\s*([ap]m)?$"
+_ISO_RE = r"^\d{4}-\d{1,2}"
 _REL_RE = r"\bago\b|^\s*[0-9.]+\s*[a-z]+(\s+[0-9.]+\s*[a-z]+)*\s*$"
 
 
@@ -211,25 +217,31 @@ def f_fuzzytime(c, as_of, formats: list[str] | None = None) -> Column:
     wd = F.array_position(F.array(*[F.lit(d) for d in WEEKDAYS]), F.regexp_extract(t, _WEEKDAY_RE, 1))
     dow_asof = (F.dayofweek(a) + 5) % 7 + 1
     back = ((dow_asof - wd + 6) % 7) + 1
-    branches = (F.when(t.contains("now"), a)
+    branches = (F.when(t.rlike(_NOW_RE), a)
+                .when(t.rlike(_BARE_TIME_RE), _at_day(a, F.lit(0), tod))
                 .when(t.startswith("today"), _at_day(a, F.lit(0), tod))
                 .when(t.startswith("yesterday"), _at_day(a, F.lit(1), tod))
                 .when(wd > 0, _at_day(a, back, tod))
                 .when(F.regexp_replace(t, r"\s+", " ").rlike(_REL_RE), _minus_seconds(a, ago_seconds(t))))
     parsed = [f_dateparse(col_of(c), f, guard=True) for f in (formats or [])]
-    return F.coalesce(branches, *parsed, F.try_to_timestamp(F.trim(col_of(c))))
+    return F.coalesce(branches, *parsed, _iso(F.trim(col_of(c))))
 
 
 # ----------------------------------------------------------------------------- N2-N5
 
 
+def _iso(x: Column) -> Column:
+    """ISO text only: other shapes (a bare time, a number) would take the wall clock's day or a year."""
+    return F.when(x.rlike(_ISO_RE), F.try_to_timestamp(x))
+
+
 def to_timestamp_any(c, formats: list[str] | None, as_of) -> Column:
     """Epoch seconds / millis, ISO-8601, formatted, relative, ``now``. Pass a column,
     not an expression: every candidate reads it."""
     x = F.trim(col_of(c))
-    epoch = (F.when(x.rlike(r"^\d{9,11}$"), F.timestamp_seconds(x.try_cast("bigint")))
+    epoch = (F.when(x.rlike(r"^\d{1,11}$"), F.timestamp_seconds(x.try_cast("bigint")))
              .when(x.rlike(r"^\d{12,13}$"), F.timestamp_millis(x.try_cast("bigint"))))
-    return F.coalesce(epoch, F.try_to_timestamp(x),
+    return F.coalesce(epoch, _iso(x),
                       *[f_dateparse(x, f, guard=True) for f in (formats or [])],
                       f_fuzzytime(x, as_of))
 

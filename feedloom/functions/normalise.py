@@ -28,16 +28,27 @@ def localise_size_units(c) -> Column:
 
 
 def to_bytes(c) -> Column:
-    """N1: '1.5 GB' / '512 MB' / '1 ГБ' / '1,024 KiB' -> bytes as BIGINT (1024 base)."""
+    """N1: '1.5 GB' / '512 MB' / '1 ГБ' / '1,024 KiB' / '1,5 GB' -> bytes as BIGINT (1024 base).
+
+    With both separators the last one is the decimal one. One kind alone is a thousands
+    separator if it stands more than once, or is a comma before exactly three digits. A size
+    beyond BIGINT gives null."""
     t = localise_size_units(col_of(c))
     num = F.regexp_extract(t, _SIZE, 1)
     unit = F.lower(F.regexp_extract(t, _SIZE, 2))
-    num = F.regexp_replace(num, ",", "")  # thousands separators
+    num = F.regexp_replace(num, r"[.,]+$", "")
+    comma_last = F.instr(F.reverse(num), ",") < F.instr(F.reverse(num), ".")
+    european = F.replace(F.replace(num, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
+    plain = F.replace(num, F.lit(","), F.lit(""))
+    num = (F.when(num.contains(",") & num.contains("."), F.when(comma_last, european).otherwise(plain))
+            .when(num.rlike(r"^\d{1,3}(,\d{3})+$"), plain)
+            .when(num.rlike(r"^\d+(\.\d{3}){2,}$"), european)
+            .otherwise(F.replace(num, F.lit(","), F.lit("."))))
     power = F.coalesce(F.element_at(F.create_map(*[x for k, v in SIZE_POWERS.items()
                                                      for x in (F.lit(k), F.lit(v))]),
                                     F.substring(unit, 1, 1)), F.lit(0))
     val = num.try_cast("double") * F.pow(F.lit(1024.0), power)
-    return F.round(val).cast("bigint")
+    return F.round(val).try_cast("bigint")
 
 
 def to_count(c) -> Column:

@@ -62,22 +62,19 @@ def required_field(df: DataFrame, names: Sequence[str]) -> tuple[DataFrame, Data
 
 def case_value(c, mapping: Mapping[str, object], otherwise=None) -> Column:
     """Value -> value; key ``*`` is the else branch. Keys compare case-folded (payloads
-    write ``True`` where rule files hold ``true``). Long maps use one ``create_map`` lookup."""
+    write ``True`` where rule files hold ``true``); of keys equal so, the first counts. A key may
+    map to null."""
     m = dict(mapping)
     if "*" in m:
         otherwise = m.pop("*")
     key = F.lower(col_of(c).cast("string"))
-    if len(m) > 8:
-        cmap = F.create_map(*[x for k, v in m.items() for x in (F.lit(str(k).lower()), F.lit(v))])
-        hit = F.element_at(cmap, key)
-        return F.coalesce(hit, F.lit(otherwise)) if otherwise is not None else hit
-    out = None
+    folded: dict[str, object] = {}
     for k, v in m.items():
-        cond = key == F.lit(str(k).lower())
-        out = F.when(cond, F.lit(v)) if out is None else out.when(cond, F.lit(v))
-    if out is None:
+        folded.setdefault(str(k).lower(), v)
+    if not folded:
         return F.lit(otherwise)
-    return out.otherwise(F.lit(otherwise)) if otherwise is not None else out
+    cmap = F.create_map(*[x for k, v in folded.items() for x in (F.lit(k), F.lit(v))])
+    return F.when(F.map_contains_key(cmap, key), F.element_at(cmap, key)).otherwise(F.lit(otherwise))
 
 
 def case_predicate(cases: Sequence[tuple[Column, object]], otherwise=None) -> Column:
@@ -178,12 +175,12 @@ CANONICAL_SCHEMA = T.StructType([
     T.StructField("album", T.StringType()), T.StructField("comments", T.StringType()),
 ])
 CANONICAL_NAMES = [f.name for f in CANONICAL_SCHEMA.fields]
-_SUFFIX = re.compile(r"^([a-z]+?)(?:_[a-z0-9]+)?$")
 
 
 def canonical_project(df: DataFrame, strict: bool = True) -> DataFrame:
     """Project to the canonical record: cast every known field, add missing ones as
-    null, drop private ``_x`` fields; an unknown public name is an error when ``strict``."""
+    null, drop private ``_x`` fields; an unknown public name is an error when ``strict``. A value
+    that does not fit its type becomes null (reject such rows with ``required_field``)."""
     public = [c for c in df.columns if not c.startswith("_")]
     unknown = [c for c in public if c not in CANONICAL_NAMES]
     if unknown and strict:
@@ -191,7 +188,7 @@ def canonical_project(df: DataFrame, strict: bool = True) -> DataFrame:
     cols = []
     for f in CANONICAL_SCHEMA.fields:
         if f.name in df.columns:
-            cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
+            cols.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
     return df.select(*cols)

@@ -35,15 +35,15 @@ def number_within(df: DataFrame, group: Sequence[str], order: str, buckets: int
 
 
 def number_in_order(df: DataFrame, group: Sequence[str], order: str, out: str = "rn",
-                    block: int = 65536) -> DataFrame:
+                    block: int = 65536, ties: Sequence[str] = ()) -> DataFrame:
     """Exact 1-based ``row_number`` by numeric ``order`` inside each group, skew-safe.
 
     Sub-groups are blocks of ``block`` consecutive ``order`` values, so rows keep their
     true order: a row's number is its number inside its block plus the sizes of all
-    earlier blocks of the group. ``order`` should be unique within a group, as for
-    ``row_number``."""
+    earlier blocks of the group. ``order`` with ``ties`` should be unique within a
+    group, as for ``row_number``."""
     b = df.withColumn("_blk", F.floor(col_of(order) / F.lit(block)))
-    local = b.withColumn("_lrn", F.row_number().over(Window.partitionBy(*group, "_blk").orderBy(order)))
+    local = b.withColumn("_lrn", F.row_number().over(Window.partitionBy(*group, "_blk").orderBy(order, *ties)))
     sizes = b.groupBy(*group, "_blk").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*group).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     offs = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")

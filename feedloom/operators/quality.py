@@ -139,10 +139,14 @@ def dq_map_values(map_col, type_: str, path: str | None = None) -> Rule:
 
 def normalise_keys(m, lower_bool_values: bool = False) -> Column:
     """Boolean keys (``True``/``False``) become lower-case text; with
-    ``lower_bool_values`` (options and case maps) boolean values do too; numbers stay."""
+    ``lower_bool_values`` (options and case maps) boolean values do too; numbers stay.
+    Of keys that become equal the one smallest before counts."""
     def fix(x):
         return F.when(x.isin("True", "False"), F.lower(x)).otherwise(x)
-    out = F.transform_keys(col_of(m), lambda k, v: fix(k.cast("string")))
+    entries = F.map_entries(col_of(m))
+    keys = F.array_distinct(F.transform(entries, lambda e: fix(e["key"].cast("string"))))
+    out = F.map_from_arrays(keys, F.transform(keys, lambda k: F.array_min(
+        F.filter(entries, lambda e: fix(e["key"].cast("string")) == k))["value"]))
     if lower_bool_values:
         out = F.transform_values(out, lambda k, v: fix(v.cast("string")))
     return out
@@ -212,9 +216,10 @@ def best_version(df: DataFrame, key: str, rule_sets: Mapping[int, Sequence[Rule]
 
 
 def resolve_version(df: DataFrame, key: str, version: str, current: int, content: str = "content") -> DataFrame:
-    """Per key, the highest version at or below ``current`` (partial aggregation)."""
+    """Per key, the highest version at or below ``current`` (partial aggregation); of
+    several contents of that version the largest."""
     return (df.filter(F.col(version) <= current)
-              .groupBy(key).agg(F.max(version).alias(version), F.max_by(content, version).alias(content)))
+              .groupBy(key).agg(F.max(version).alias(version), F.max_by(content, F.struct(version, content)).alias(content)))
 
 
 def load_failure(df: DataFrame, key: str, body: str) -> DataFrame:
@@ -225,7 +230,7 @@ def load_failure(df: DataFrame, key: str, body: str) -> DataFrame:
     obj = F.from_json(b, "map<string,string>")
     bad = obj.isNull() | ~F.rtrim(b).endswith("}") | F.try_parse_json(b).isNull()
     return (df.select(key, F.when(bad, F.lit("load")).alias("rule"),
-                      F.when(bad, F.substring(b, 1, 80)).alias("value"))
+                      F.when(bad, b).alias("value"))
               .filter("rule IS NOT NULL"))
 
 

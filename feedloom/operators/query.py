@@ -269,7 +269,8 @@ def first_per_group(df: DataFrame, by: Sequence[str], order: str, asc: bool = Tr
     ``min_by``/``max_by`` over a struct aggregate partially on the map side."""
     others = [c for c in df.columns if c not in by]
     packed = F.struct(*[F.col(c) for c in others])
-    pick = F.min_by(packed, F.col(order)) if asc else F.max_by(packed, F.col(order))
+    by_row = F.struct(F.col(order), packed)
+    pick = F.min_by(packed, by_row) if asc else F.max_by(packed, by_row)
     return df.groupBy(*by).agg(pick.alias("_r")).select(*by, "_r.*")
 
 
@@ -287,13 +288,15 @@ def union_sources(dfs: Sequence[DataFrame]) -> DataFrame:
 
 
 def dedupe_records(df: DataFrame, keys: Sequence[str], prefer: str | None = None) -> DataFrame:
-    """One row per key; with ``prefer``, the row with the largest ``prefer`` value
+    """One row per key: the largest row, or with ``prefer`` the one with the largest
+    ``prefer`` value, ties by the row
     (``max_by`` over the row: a hash aggregate with map-side combine, skew-safe)."""
-    if prefer is None:
-        return df.dropDuplicates(list(keys))
     others = [c for c in df.columns if c not in keys]
+    if not others:
+        return df.dropDuplicates(list(keys))
+    row = F.struct(*[F.col(c) for c in others])
     return (df.groupBy(*keys)
-              .agg(F.max_by(F.struct(*[F.col(c) for c in others]), F.col(prefer)).alias("_r"))
+              .agg(F.max_by(row, F.struct(F.col(prefer), row) if prefer else row).alias("_r"))
               .select(*keys, "_r.*"))
 
 

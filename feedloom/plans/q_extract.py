@@ -161,14 +161,14 @@ def q_a4(spark, sf):
                                                 F.array_join(F.transform("items", lambda i: i["x"]), ""),
                                                 F.lit("</channel></rss>")).alias("body")))
     rows = xml_rows(feed, "body", XML_SCHEMA, "channel.item", keep=["brand", "block"])
-    pairs = xml_pairs(F.col("item.attr"))
+    pairs = xml_pairs(F.col("item.attr"))  # name -> values
     return rows.select("brand", "block", F.col("pos").cast("bigint").alias("pos"),
                        F.col("item.guid").alias("guid"), F.col("item.title").alias("title"),
                        F.col("item.enclosure._url").alias("link"), F.col("item.enclosure._length").alias("length"),
-                       F.element_at(pairs, F.lit("size")).alias("size"), F.element_at(pairs, F.lit("type")).alias("type"))
+                       F.try_element_at(pairs, F.lit("size"))[0].alias("size"), F.try_element_at(pairs, F.lit("type"))[0].alias("type"))
 
 
-NESTED_SCHEMA = ("results ARRAY<STRUCT<key: BIGINT, priority: STRING, "
+NESTED_SCHEMA = ("results ARRAY<STRUCT<key: BIGINT, priority: STRING, start: BIGINT, "
                  "items: ARRAY<STRUCT<l_linenumber: INT, l_quantity: DOUBLE>>>>")
 
 
@@ -176,27 +176,27 @@ CHILDREN_PER_PAYLOAD = 100
 
 
 def _order_payloads(spark, sf, returned_only: bool):
-    """Nested-JSON payloads of orders with their lines: one payload per (order, chunk),
-    where an order with n lines is cut into ceil(n / 100) chunks by a hash of the line.
-    Line counts come from a map-side-combined count, and the lines are shuffled by
-    (order, chunk), so an order holding a third of all lines still becomes many bounded
-    payloads spread over many tasks."""
+    """Nested-JSON payloads of orders with their lines: one payload per order and 100 lines,
+    by the lines' number in the order. Each payload carries how many lines come before it.
+    The numbering has two levels and the payloads are grouped by (order, chunk), so an order
+    holding a third of all lines is spread over many tasks."""
+    from ..operators.numbering import number_in_order
     o = table(spark, sf, "orders", spread=True).select("o_orderkey", "o_orderpriority")
     li = table(spark, sf, "lineitem", spread=True)
     if returned_only:
         li = li.filter(F.col("l_returnflag") == "R")
-    li = li.select("l_orderkey", "l_linenumber", "l_quantity", "l_partkey", "l_suppkey")
-    n = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_n"))
-    chunks = F.ceil(F.col("_n") / F.lit(CHILDREN_PER_PAYLOAD))
-    li = li.join(n, "l_orderkey").withColumn(
-        "chunk", F.pmod(F.xxhash64("l_linenumber", "l_quantity", "l_partkey", "l_suppkey"), chunks))
-    kids = (li.repartition("l_orderkey", "chunk")
-              .groupBy("l_orderkey", "chunk")
-              .agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_quantity"))).alias("items")))
+    li = number_in_order(li.select("l_orderkey", "l_linenumber", "l_quantity"), ["l_orderkey"], "l_linenumber",
+                         ties=["l_quantity"])
+    li = li.withColumn("chunk", F.floor((F.col("rn") - 1) / CHILDREN_PER_PAYLOAD))
+    kids = (li.groupBy("l_orderkey", "chunk")
+              .agg(F.array_sort(F.collect_list(F.struct("rn", "l_linenumber", "l_quantity"))).alias("items")))
     j = o.join(kids, o.o_orderkey == kids.l_orderkey, "left")
-    items = F.coalesce(F.col("items"), F.array().cast("array<struct<l_linenumber:int,l_quantity:double>>"))
+    none = F.array().cast("array<struct<rn:bigint,l_linenumber:int,l_quantity:double>>")
+    items = F.transform(F.coalesce(F.col("items"), none), lambda i: F.struct(i["l_linenumber"].alias("l_linenumber"),
+                                                                             i["l_quantity"].alias("l_quantity")))
+    start = F.coalesce(F.col("chunk"), F.lit(0)) * CHILDREN_PER_PAYLOAD
     body = F.to_json(F.struct(F.array(F.struct(F.col("o_orderkey").alias("key"),
-                                               F.col("o_orderpriority").alias("priority"),
+                                               F.col("o_orderpriority").alias("priority"), start.alias("start"),
                                                items.alias("items"))).alias("results")))
     return j.select("o_orderkey", F.size(items).alias("total"), body.alias("body"))
 
@@ -209,7 +209,7 @@ def q_a5(spark, sf):
     from ..sources.extract import json_rows, nested_rows
     pay = _order_payloads(spark, sf, returned_only=False)
     res = json_rows(pay, "body", "results", NESTED_SCHEMA, pos="rpos", item="r")
-    kids = nested_rows(res.select("r.key", "r.priority", "r.items"), "items", ["key", "priority"])
+    kids = nested_rows(res.select("r.key", "r.priority", "r.start", "r.items"), "items", ["key", "priority"], start="start")
     return kids.select("key", "priority", F.col("pos").cast("bigint").alias("pos"),
                        "child.l_linenumber", "child.l_quantity")
 
@@ -224,7 +224,7 @@ def q_a6(spark, sf):
     from ..sources.extract import json_rows, nested_rows_guard
     pay = _order_payloads(spark, sf, returned_only=True)
     res = json_rows(pay, "body", "results", NESTED_SCHEMA, pos="rpos", item="r")
-    kids = nested_rows_guard(res.select("r.key", "r.items"), "items", ["key"], keep_empty=True)
+    kids = nested_rows_guard(res.select("r.key", "r.start", "r.items"), "items", ["key"], keep_empty=True, start="start")
     return kids.select("key", F.col("pos").cast("bigint").alias("pos"), "child.l_linenumber")
 
 
@@ -278,7 +278,7 @@ def q_a10(spark, sf):
     from ..sources.extract import json_rows, nested_rows, row_count_guard
     pay = row_count_guard(_order_payloads(spark, sf, returned_only=True), "total")
     res = json_rows(pay, "body", "results", NESTED_SCHEMA, pos="rpos", item="r")
-    kids = nested_rows(res.select("r.key", "r.items"), "items", ["key"])
+    kids = nested_rows(res.select("r.key", "r.start", "r.items"), "items", ["key"], start="start")
     return kids.select("key", F.col("pos").cast("bigint").alias("pos"), "child.l_linenumber")
 
 
@@ -301,6 +301,25 @@ def q_a11(spark, sf):
                     F.length("html").cast("bigint").alias("n_chars"))
 
 
+# a charset column: Cyrillic and Central European text in the charsets that feeds use
+_CHARSETS = ["windows-1251", "ISO-8859-2", "windows-1250", "UTF-8"]
+_SAMPLES = ["Фильм", "Żółw", "Łódź", "日本"]
+
+
+@query("A12_decode_per_row", """
+SELECT event_id, ['Фильм', 'Żółw', 'Łódź', '日本'][event_id % 4 + 1] || ' ' || coalesce(event_type, '') AS decoded, false AS malformed
+FROM events""")
+def q_a12_per_row(spark, sf):
+    from ..sources.extract import decode_charset, malformed
+    e = table(spark, sf, "events").select("event_id", "event_type")
+    pick = lambda xs: F.element_at(F.array(*map(F.lit, xs)), (F.col("event_id") % 4 + 1).cast("int"))
+    text = F.concat(pick(_SAMPLES), F.lit(" "), F.coalesce("event_type", F.lit("")))
+    e = e.withColumn("charset", pick(_CHARSETS))
+    e = e.withColumn("bytes", F.call_function("encode", text, F.col("charset")))
+    e = e.withColumn("decoded", decode_charset("bytes", F.col("charset")))
+    return e.select("event_id", "decoded", malformed("decoded").alias("malformed"))
+
+
 @query("A12_decode_charset", "SELECT doc_id, text AS utf16, text AS utf8 FROM documents")
 def q_a12(spark, sf):
     from ..sources.extract import decode_charset
@@ -319,10 +338,10 @@ SELECT event_id, CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'si
                  WHEN 'purchase' THEN 4 WHEN 'error' THEN 5 END AS path_id, event_type, user_id
 FROM events""")
 def q_a13(spark, sf):
-    from ..sources.extract import fan_in_paths
+    from ..sources.extract import tag_paths
     e = table(spark, sf, "events").select("event_id", "event_type", "user_id")
-    paths = {i + 1: e.filter(F.col("event_type") == t) for i, t in enumerate(_TYPES)}
-    return fan_in_paths(paths).select("event_id", "path_id", "event_type", "user_id")
+    return tag_paths(e, "event_type", {t: i + 1 for i, t in enumerate(_TYPES)}).select(
+        "event_id", "path_id", "event_type", "user_id")
 
 
 _PATHS = [(1, [5000, 5030, 5040]), (2, [2000, 2040, 2045]), (3, None)]
@@ -359,15 +378,13 @@ MAPPINGS_PER_DOCUMENT = 1000
 
 def documents_nested(spark, sf):
     """Definition-like documents as JSON lines, built from orders + customer: one document
-    per customer with its orders as mappings, cut into ceil(n / 1000) documents by a hash of
-    the order key when a customer has more than 1000 orders, so no document grows with the
-    data (order counts are combined map-side, lines shuffled by (customer, chunk))."""
+    per customer and 1000 orders, by the order's number in the customer, so no document grows
+    with the data; a document's mappings count from 1. The numbering has two levels."""
+    from ..operators.numbering import number_in_order
     o = table(spark, sf, "orders", spread=True).select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
-    n = o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("_n"))
-    o = o.join(n, "o_custkey").withColumn(
-        "blk", F.pmod(F.xxhash64("o_orderkey"), F.ceil(F.col("_n") / F.lit(MAPPINGS_PER_DOCUMENT))))
-    m = (o.repartition("o_custkey", "blk").groupBy("o_custkey", "blk")
+    o = number_in_order(o, ["o_custkey"], "o_orderkey").withColumn("blk", F.floor((F.col("rn") - 1) / MAPPINGS_PER_DOCUMENT))
+    m = (o.groupBy("o_custkey", "blk")
           .agg(F.array_sort(F.collect_list(F.struct(
               F.col("o_orderkey").alias("k"), F.col("o_orderkey").cast("string").alias("id"),
               F.col("o_orderpriority").alias("cat"), F.col("o_orderstatus").alias("descr"),
@@ -398,12 +415,11 @@ def documents_nested(spark, sf):
 
 
 @query("A15_flatten_documents", f"""
-SELECT 'c' || CAST(o_custkey AS VARCHAR) || '-' ||
-         CAST(CASE WHEN count(*) OVER (PARTITION BY o_custkey) <= {MAPPINGS_PER_DOCUMENT} THEN 0 END AS VARCHAR) AS key,
-       row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS pos,
+WITH n AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS i FROM orders)
+SELECT 'c' || o_custkey || '-' || (i // {MAPPINGS_PER_DOCUMENT}) AS key, i % {MAPPINGS_PER_DOCUMENT} + 1 AS pos,
        CAST(o_orderkey AS VARCHAR) AS id, o_orderpriority AS cat, o_orderstatus AS descr,
        o_orderstatus = 'F' AS is_default
-FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer)""")
+FROM n WHERE o_custkey IN (SELECT c_custkey FROM customer)""")
 def q_a15(spark, sf):
     from ..sources.extract import flatten_documents
     docs = documents_nested(spark, sf).select(F.from_json("json", DOCUMENT_SCHEMA).alias("d")).select("d.*")
@@ -413,8 +429,8 @@ def q_a15(spark, sf):
 
 @query("A15_flatten_filters", f"""
 SELECT key, 'title' AS field, pos, filter FROM
-  (SELECT DISTINCT 'c' || CAST(o_custkey AS VARCHAR) || '-' ||
-          CAST(CASE WHEN count(*) OVER (PARTITION BY o_custkey) <= {MAPPINGS_PER_DOCUMENT} THEN 0 END AS VARCHAR) AS key
+  (SELECT DISTINCT 'c' || o_custkey || '-' || ((row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1)
+          // {MAPPINGS_PER_DOCUMENT}) AS key
    FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer)) k,
   (VALUES (CAST(1 AS BIGINT), 're_replace'), (CAST(2 AS BIGINT), 'trim')) AS f(pos, filter)""")
 def q_a15_filters(spark, sf):

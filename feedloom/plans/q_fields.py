@@ -74,8 +74,7 @@ def q_b5(spark, sf):
                 .unionByName(bad.select("doc_id", "title", "reject_reason")))
 
 
-_PRIORITY_CODES = {"1-URGENT": 1, "2-HIGH": 2, "3-MEDIUM": 3, "4-NOT SPECIFIED": 4, "5-LOW": 5,
-                   "6-X": 6, "7-Y": 7, "8-Z": 8, "9-W": 9}
+_PRIORITY_CODES = {"1-URGENT": 1, "2-HIGH": 2, "3-MEDIUM": 3, "4-NOT SPECIFIED": 4, "5-LOW": 5}
 
 
 @query("B6_case_value", """

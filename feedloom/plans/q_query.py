@@ -25,9 +25,9 @@ def _doc_records(spark, sf):
 
 @query("Q1_search_q", r"""
 WITH d AS (SELECT doc_id, regexp_extract(text, '^([^\n]*)', 1) AS title FROM documents)
-SELECT doc_id, title FROM d WHERE contains(lower(title), 'the') AND contains(lower(title), 'of')""")
+SELECT doc_id, title FROM d JOIN documents USING (doc_id) WHERE contains(lower(text), 'the') AND contains(lower(text), 'of')""")
 def q_q1(spark, sf):
-    return Q.search_q(_doc_records(spark, sf), "The  OF", "title").select("doc_id", "title")
+    return Q.search_q(_doc_records(spark, sf), "The  OF", "text").select("doc_id", "title")
 
 
 def _episode_records(spark, sf):
@@ -90,7 +90,7 @@ SELECT o_orderkey FROM orders
 WHERE (lower(substr(o_orderpriority, 3)) = 'urgent' OR lower(o_orderstatus) = 'urgent') AND year(o_orderdate) = 1997""")
 def q_q6(spark, sf):
     o = table(spark, sf, "orders")
-    r = o.select("o_orderkey", F.array(F.col("o_orderstatus"), F.substring("o_orderpriority", 3, 100)).alias("genre"),
+    r = o.select("o_orderkey", F.array(F.col("o_orderstatus"), F.substr("o_orderpriority", F.lit(3))).alias("genre"),
                  F.year("o_orderdate").alias("year"))
     return Q.search_genre_year(r, "Urgent", 1997).select("o_orderkey")
 
@@ -112,7 +112,8 @@ def q_q8(spark, sf):
     return e.select("event_id", F.array_join(F.array_sort(F.map_keys(Q.empty_inputs(m))), ",").alias("kept_keys"))
 
 
-_REWRITE = [("re_replace", r"(?i)\bS0?(\d+)E0?(\d+)\b", "сезон $1 сері $2"),
+# our own rule: numbered parts are spelt out
+_REWRITE = [("re_replace", r"(?i)\bpart#(\d+)/(\d+)\b", "volume $2 part $1"),
             ("tolower",),
             ("re_replace", r"[^\w\s]+", " "),
             ("re_replace", r"\s+", " "),
@@ -120,15 +121,15 @@ _REWRITE = [("re_replace", r"(?i)\bS0?(\d+)E0?(\d+)\b", "сезон $1 сері
 
 
 @query("Q9_keyword_rewrite", r"""
-WITH q AS (SELECT conv_id, turn, text || ' Show S0' || CAST(turn % 9 AS VARCHAR) || 'E0' || CAST(conv_id % 9 AS VARCHAR) AS q
+WITH q AS (SELECT conv_id, turn, text || ' Show part#' || CAST(turn % 9 AS VARCHAR) || '/' || CAST(conv_id % 9 AS VARCHAR) AS q
            FROM conversations)
-SELECT conv_id, turn, trim(regexp_replace(regexp_replace(lower(regexp_replace(q, '(?i)\bS0?(\d+)E0?(\d+)\b', 'сезон \1 сері \2', 'g')),
+SELECT conv_id, turn, trim(regexp_replace(regexp_replace(lower(regexp_replace(q, '(?i)\bpart#(\d+)/(\d+)\b', 'volume \2 part \1', 'g')),
        '[^\w\s]+', ' ', 'g'), '\s+', ' ', 'g')) AS keywords
 FROM q""")
 def q_q9(spark, sf):
     c = table(spark, sf, "conversations", spread=True)
-    qf = c.select("conv_id", "turn", F.concat(F.col("text"), F.lit(" Show S0"), (F.col("turn") % 9).cast("string"),
-                                              F.lit("E0"), (F.col("conv_id") % 9).cast("string")).alias("q"))
+    qf = c.select("conv_id", "turn", F.concat(F.col("text"), F.lit(" Show part#"), (F.col("turn") % 9).cast("string"),
+                                              F.lit("/"), (F.col("conv_id") % 9).cast("string")).alias("q"))
     return Q.keyword_rewrite(qf, "q", _REWRITE).select("conv_id", "turn", "keywords")
 
 
@@ -178,18 +179,16 @@ def q_q13(spark, sf):
     return r.select("page_id")
 
 
-@query("Q14_andmatch", r"""
-WITH d AS (SELECT doc_id, regexp_extract(text, '^([^\n]*)', 1) AS title FROM documents)
-SELECT doc_id FROM d WHERE contains(lower(strip_accents(title)), 'ere') AND contains(lower(strip_accents(title)), 'de')""")
+@query("Q14_andmatch", """
+SELECT doc_id FROM documents WHERE contains(lower(strip_accents(text)), 'ere') AND contains(lower(strip_accents(text)), 'de')""")
 def q_q14(spark, sf):
-    return Q.andmatch(_doc_records(spark, sf), "title", "Ère, DE").select("doc_id")
+    return Q.andmatch(_doc_records(spark, sf), "text", "Ère, DE").select("doc_id")
 
 
-@query("Q15_andmatch_prefix", r"""
-WITH d AS (SELECT doc_id, regexp_extract(text, '^([^\n]*)', 1) AS title FROM documents)
-SELECT doc_id FROM d WHERE contains(lower(strip_accents(title)), 'tion')""")
+@query("Q15_andmatch_prefix", """
+SELECT doc_id FROM documents WHERE contains(lower(strip_accents(text)), 'tion')""")
 def q_q15(spark, sf):
-    return Q.andmatch_prefix(_doc_records(spark, sf), "title", "tion enfants pour", 4).select("doc_id")
+    return Q.andmatch_prefix(_doc_records(spark, sf), "text", "tion enfants pour", 4).select("doc_id")
 
 
 @query("Q16_capability_filter", f"""
@@ -280,12 +279,12 @@ def q_o6(spark, sf):
 
 @query("U1_union_sources", """
 SELECT event_id, event_type, CASE WHEN event_type IN ('view', 'click') THEN value END AS value,
-       CASE WHEN event_type NOT IN ('view', 'click') THEN props END AS props
+       CASE WHEN coalesce(event_type NOT IN ('view', 'click'), true) THEN props END AS props
 FROM events""")
 def q_u1(spark, sf):
     e = table(spark, sf, "events")
     a = e.filter(F.col("event_type").isin("view", "click")).select("event_id", "event_type", "value")
-    b = e.filter(~F.col("event_type").isin("view", "click")).select("event_id", "event_type", "props")
+    b = e.filter(~F.coalesce(F.col("event_type").isin("view", "click"), F.lit(False))).select("event_id", "event_type", "props")
     return Q.union_sources([a, b]).select("event_id", "event_type", "value", "props")
 
 
@@ -294,9 +293,8 @@ SELECT sha256(text) AS content_hash, min(doc_id) AS doc_id, count(*) AS copies F
 def q_u2(spark, sf):
     d = table(spark, sf, "documents", spread=True)
     r = d.select(F.sha2("text", 256).alias("content_hash"), "doc_id", (-F.col("doc_id")).alias("_pref"))
-    copies = r.groupBy("content_hash").agg(F.count(F.lit(1)).alias("copies"))
-    one = Q.dedupe_records(r, ["content_hash"], prefer="_pref").select("content_hash", "doc_id")
-    return one.join(copies, "content_hash")
+    best = r.groupBy("content_hash").agg(F.max_by(F.struct("doc_id"), "_pref").alias("r"), F.count(F.lit(1)).alias("copies"))
+    return best.select("content_hash", "r.doc_id", "copies")
 
 
 @query("W3_first_per_group", """

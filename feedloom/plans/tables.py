@@ -18,22 +18,10 @@ AS_OF = "2026-01-20 12:00:00"
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """Lazy parquet scan; Catalyst prunes columns and pushes filters into it.
 
-    ``spread=True`` for queries whose work is per-row text / regex / date parsing (see
-    ``spread_small_scan``); relational queries shuffle by key anyway and skip it."""
+    ``spread=True`` marks queries whose work is per-row text / regex / date parsing. Their scans
+    are dealt over ``spark.feedloom.spreadPartitions`` partitions if the session sets that (a
+    local run over one-file tables does); by default a scan's own splits are kept."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_small_scan(df) if spread or _SPREAD_ALL else df
-
-
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Give a scan at least one partition per core.
-
-    A large input is already split by the scan (one task per 256 MB), so nothing changes
-    there. A small input, such as one file with one row group, would otherwise put every
-    per-row regex and date parse of the stage on a single core. Filters and column pruning
-    still reach the scan below the repartition."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < par:
-        # hash of the first column (the table's id): deterministic on retry without the
-        # sort a round-robin repartition needs, and column pruning still applies
-        return df.repartition(par, df.columns[0])
-    return df
+    n = df.sparkSession.conf.get("spark.feedloom.spreadPartitions", None)
+    # a hash of the first two columns: deterministic on retry, and one key's rows are split
+    return df.repartition(int(n), *df.columns[:2]) if n and (spread or _SPREAD_ALL) else df

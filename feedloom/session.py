@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -19,6 +20,8 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # windows-1251 and other legacy charsets for decode()
     "spark.sql.legacy.javaCharsets": "true",
+    # a malformed byte becomes U+FFFD instead of failing the job
+    "spark.sql.legacy.codingErrorAction": "true",
     "spark.ui.enabled": "false",
     # Large inputs: 256 MB scan splits and AQE-sized shuffle partitions; the initial shuffle
     # partition count is high on a cluster (see CLUSTER_SHUFFLE_PARTITIONS) and AQE coalesces
@@ -69,12 +72,14 @@ def build_session(master: str | None = None, app: str = "feedloom",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; only when it is unset (local tests) do we
-    create one of our own.
+    A cluster names a shared folder there. Only a local session may leave it unset: it gets
+    a folder of its own.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
+    if not d and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="feedloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)

@@ -152,7 +152,7 @@ def xml_rows(df: DataFrame, body: str, schema: T.StructType | str, row_path: str
     ``schema`` describes the root element's children (``from_xml``); attributes carry the
     ``_`` prefix (``enclosure._url``), text of an element with attributes is ``_VALUE``.
     With ``pairs`` (the name of a repeated ``<x name=".." value=".."/>`` child), each row
-    also gets ``attrs``, a name -> value map read with ``element_at``.
+    also gets ``attrs``, a name -> list of values map: feeds repeat an attribute name.
     """
     parsed = F.from_xml(col_of(body), schema)
     out = (df.select(*keep, F.posexplode(_dotted(parsed, row_path)).alias(pos, item))
@@ -163,24 +163,28 @@ def xml_rows(df: DataFrame, body: str, schema: T.StructType | str, row_path: str
 
 
 def xml_pairs(arr: Column, name_field: str = "_name", value_field: str = "_value") -> Column:
-    """A4: ``<attr name=".." value=".."/>`` list -> map (then ``element_at`` by name)."""
-    return F.map_from_entries(F.transform(arr, lambda a: F.struct(a.getField(name_field),
-                                                                  a.getField(value_field))))
+    """A4: ``<attr name=".." value=".."/>`` list -> map of name -> values in document order."""
+    named = F.filter(arr, lambda a: a.getField(name_field).isNotNull())
+    names = F.array_distinct(F.transform(named, lambda a: a.getField(name_field)))
+    return F.map_from_arrays(names, F.transform(names, lambda n: F.transform(
+        F.filter(named, lambda a: a.getField(name_field) == n), lambda a: a.getField(value_field))))
 
 
 def nested_rows(df: DataFrame, children: str, parent_cols: Sequence[str],
-                keep_empty: bool = False, pos: str = "pos", child: str = "child") -> DataFrame:
+                keep_empty: bool = False, pos: str = "pos", child: str = "child", start: str | None = None) -> DataFrame:
     """One row per child with the parent's columns; a parent without children gives
-    no row (``keep_empty=False``, the guard) or one row with a null child."""
+    no row (``keep_empty=False``, the guard) or one row with a null child. ``start`` names the
+    number of children in earlier parts of a parent that is stored in several."""
     ex = F.posexplode_outer if keep_empty else F.posexplode
-    return (df.select(*parent_cols, ex(col_of(children)).alias(pos, child))
-              .withColumn(pos, F.col(pos) + 1))
+    first = [col_of(start).alias("_start")] if start else []
+    rows = df.select(*parent_cols, *first, ex(col_of(children)).alias(pos, child))
+    return rows.withColumn(pos, F.col(pos) + 1 + (F.col("_start") if start else F.lit(0))).drop("_start")
 
 
 def nested_rows_guard(df: DataFrame, children: str, parent_cols: Sequence[str],
-                      keep_empty: bool) -> DataFrame:
+                      keep_empty: bool, start: str | None = None) -> DataFrame:
     """A6."""
-    return nested_rows(df, children, parent_cols, keep_empty=keep_empty)
+    return nested_rows(df, children, parent_cols, keep_empty=keep_empty, start=start)
 
 
 def unwrap_attribute(df: DataFrame, struct_col: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -264,10 +268,24 @@ def preprocess_payload(df: DataFrame, body: str, steps) -> DataFrame:
     return df.withColumn(body, apply_chain(col_of(body), steps))
 
 
-def decode_charset(c, charset: str) -> Column:
-    """Bytes -> text by declared charset (legacy charsets such as windows-1251 need
-    ``spark.sql.legacy.javaCharsets=true``, set by ``build_session``)."""
-    return F.decode(col_of(c), charset)
+def decode_charset(c, charset) -> Column:
+    """Bytes -> text by declared charset: a name, or a column with one name per row
+    (legacy charsets such as windows-1251 need ``spark.sql.legacy.javaCharsets``). A malformed
+    byte becomes U+FFFD (``spark.sql.legacy.codingErrorAction``; both are set by
+    ``build_session``); ``malformed`` finds such rows."""
+    return F.call_function("decode", col_of(c), charset if isinstance(charset, Column) else F.lit(charset))
+
+
+def malformed(text) -> Column:
+    """Whether decoding replaced a byte, for a quarantine column."""
+    return col_of(text).contains("\ufffd")
+
+
+def tag_paths(df: DataFrame, column: str, paths: Mapping[str, int]) -> DataFrame:
+    """A13 over one table: each row's ``path_id`` by the value of ``column`` in one scan; other
+    and null values keep their rows, with a null path."""
+    ids = F.create_map(*[x for k, v in paths.items() for x in (F.lit(k), F.lit(v))])
+    return df.withColumn("path_id", F.when(F.col(column).isNotNull(), F.try_element_at(ids, F.col(column))))
 
 
 def fan_in_paths(dfs: Mapping[int, DataFrame]) -> DataFrame:

@@ -12,13 +12,7 @@ def write_records(df: DataFrame, path: str, partition_by: Sequence[str] = (), mo
     """Write records partitioned by ``partition_by``. Overwrite is dynamic: only the
     partitions present in ``df`` are replaced, the others stay (a version directory is
     rewritten without touching the rest)."""
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        w = df.write.mode(mode).format(fmt)
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.save(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    w = df.write.mode(mode).format(fmt).option("partitionOverwriteMode", "dynamic")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.save(path)

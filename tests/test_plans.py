@@ -50,13 +50,12 @@ def test_sync_diff_is_one_full_outer_join(spark, sf_dir):
     assert "Scan ExistingRDD" in p or "FullOuter" in p  # checkpointed change set
 
 
-def test_spread_only_for_small_scans(spark, sf_dir, tmp_path):
-    from feedloom.plans.tables import spread_small_scan
-    small = spark.read.parquet(f"{sf_dir}/events.parquet")
-    assert "Exchange" in plan(spread_small_scan(small))
-    par = spark.sparkContext.defaultParallelism
-    path = str(tmp_path / "events_split")
-    small.repartition(par * 2).write.parquet(path)
-    big = spark.read.parquet(path)
-    assert big.rdd.getNumPartitions() >= par
-    assert "Exchange" not in plan(spread_small_scan(big))
+def test_scans_are_spread_only_when_the_session_says_so(spark, sf_dir):
+    from feedloom.plans.tables import table
+    assert "Exchange" not in plan(table(spark, sf_dir, "events", spread=True))
+    spark.conf.set("spark.feedloom.spreadPartitions", "4")
+    try:
+        assert "Exchange" in plan(table(spark, sf_dir, "events", spread=True))
+        assert "Exchange" not in plan(table(spark, sf_dir, "events"))
+    finally:
+        spark.conf.unset("spark.feedloom.spreadPartitions")
