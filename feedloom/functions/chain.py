@@ -10,7 +10,6 @@ import re
 import unicodedata
 from collections.abc import Callable, Iterable, Sequence
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -117,30 +116,37 @@ HTML_ENTITIES = [
 ]
 
 
+_ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+
+
 def f_htmldecode(c, full: bool = False) -> Column:
     """decode entities.
 
-    ``full=False``: the core named entities as a JVM replace chain.
-    ``full=True``: every named/numeric entity through an Arrow-batched pandas UDF.
+    ``full=False``: the core named entities, one after another.
+    ``full=True``: every named and numeric entity in one pass over the text, so decoded text is
+    not decoded again; unknown names and impossible numbers stay as they are.
     """
-    if full:
-        return _html_unescape_udf()(col_of(c))
     out = col_of(c)
+    if full:
+        between, found = F.split(out, _ENTITY, -1), F.regexp_extract_all(out, F.lit(_ENTITY), F.lit(0))
+        return F.array_join(F.zip_with(between, F.transform(found, _entity_text),
+                                       lambda text, e: F.concat(text, F.coalesce(e, F.lit("")))), "")
     for ent, ch in HTML_ENTITIES:
         out = F.replace(out, F.lit(ent), F.lit(ch))
     return out
 
 
-def _html_unescape_udf():
-    import html
-
-    from pyspark.sql.functions import pandas_udf
-
-    @pandas_udf("string")
-    def unescape(v: pd.Series) -> pd.Series:
-        return v.map(lambda x: None if x is None else html.unescape(x))
-
-    return unescape
+def _entity_text(e: Column) -> Column:
+    """The text of one entity: a number's character, or a name of the HTML standard's list."""
+    from html.entities import html5
+    names = F.create_map(*[F.lit(x) for k, v in sorted(html5.items()) if k.endswith(";") for x in (k[:-1], v)])
+    inner = F.substr(e, F.lit(2), F.length(e) - 2)
+    hexed = F.when(inner.rlike("^#[xX]"), F.substr(inner, F.lit(3))).when(
+        inner.startswith("#"), F.conv(F.substr(inner, F.lit(2)), 10, 16))
+    code = F.conv(hexed, 16, 10).cast("long")
+    fine = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+    number = F.decode(F.unhex(F.lpad(hexed, 8, "0")), "UTF-32")
+    return F.when(hexed.isNotNull(), F.when(fine, number).otherwise(e)).otherwise(F.coalesce(F.try_element_at(names, inner), e))
 
 
 def f_htmlencode(c) -> Column:

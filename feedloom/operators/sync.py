@@ -38,11 +38,13 @@ def materialize(df: DataFrame) -> DataFrame:
 # ----------------------------------------------------------------------------- M1, M2
 
 
-def snapshot_diff(old: DataFrame, new: DataFrame, key: str = "key") -> DataFrame:
-    """M1: two snapshots -> A / M / D per key (unchanged keys dropped).
-    One full outer join on ``key`` (sort-merge, shuffled by key)."""
-    o = old.select(key, F.col("content_hash").alias("old_hash"), F.col("content").alias("old_content"))
-    n = new.select(key, F.col("content_hash").alias("new_hash"), F.col("content").alias("new_content"))
+def snapshot_diff(old: DataFrame, new: DataFrame, key: str | Sequence[str] = "key") -> DataFrame:
+    """M1: two snapshots -> A / M / D per key (unchanged keys dropped). A catalogue that holds
+    a key in several versions is compared by ``key=("version", "key")``.
+    One full outer join on the key (sort-merge, shuffled by key)."""
+    key = [key] if isinstance(key, str) else list(key)
+    o = old.select(*key, F.col("content_hash").alias("old_hash"), F.col("content").alias("old_content"))
+    n = new.select(*key, F.col("content_hash").alias("new_hash"), F.col("content").alias("new_content"))
     j = o.join(n, key, "full_outer")
     status = (F.when(F.col("old_hash").isNull(), F.lit("A"))
               .when(F.col("new_hash").isNull(), F.lit("D"))
@@ -265,10 +267,13 @@ def run_sync(old: DataFrame, new: DataFrame, out_path: str, rule_sets: Mapping[i
     1. change set: full outer join of the snapshots, computed once (``materialize``);
     2. guards: nothing to do -> no write (M15); more than ``max_changes`` -> refuse (O6);
     3. block list: added keys on it are dropped (M8);
-    4. replaces: keys replaced by a new item disappear in every version (M9);
-    5. versions: each item goes to its best passing version or ``next_version`` (M10); a
-       *modified* item that moves keeps its old row at its old version (M11);
-    6. write: partitioned by version, dynamic overwrite (A16).
+    4. replaces: keys replaced by an item that was added and not blocked disappear in every
+       version (M9);
+    5. versions: an added or modified item goes to its best passing version or
+       ``next_version`` (M10), and a *modified* one that moves keeps its old row at its old
+       version (M11); unchanged items stay where they are;
+    6. write: the whole catalogue, partitioned by version (A16), so a version that ends empty
+       leaves no rows behind.
     """
     from ..sources.sinks import write_records
 
@@ -281,16 +286,18 @@ def run_sync(old: DataFrame, new: DataFrame, out_path: str, rule_sets: Mapping[i
     status = diff.select(key, "status")
     if blocked is not None:
         status = blocklist(status, blocked, key)
-    items = new.join(status.filter(F.col("status") == "A").select(key), key, "left_semi").unionByName(
-        new.join(diff.select(key), key, "left_anti"))  # unblocked additions + unchanged keys
-    items = items.unionByName(new.join(status.filter(F.col("status") == "M").select(key), key, "left_semi"))
+    added = status.filter(F.col("status") == "A").select(key)
+    items = new.join(status.filter(F.col("status").isin("A", "M")).select(key), key, "left_semi")
+    unchanged = new.join(diff.select(key), key, "left_anti")
     if pairs is not None:
-        items = replaces(items, pairs, key)
+        pairs = pairs.join(added, key, "left_semi")
+        items, unchanged = replaces(items, pairs, key), replaces(unchanged, pairs, key)
     moves = relocate_version(items, key, "version", rule_sets, next_version)
     placed = items.join(moves.select(key, "to_version", "from_version"), key, "inner")
-    rows = placed.select(key, F.col("to_version").alias("version"), "content")
+    rows = placed.select(key, F.col("to_version").alias("version"), "content").unionByName(
+        unchanged.select(key, "version", "content"))
     modified = status.filter(F.col("status") == "M").select(key)
     kept_old = (placed.filter(F.col("to_version") != F.col("from_version")).join(modified, key, "left_semi")
                       .select(key).join(old.select(key, "version", "content"), key, "inner"))
-    write_records(rows.unionByName(kept_old), out_path, ["version"], "overwrite")
+    write_records(rows.unionByName(kept_old), out_path, ["version"], "overwrite", dynamic=False)
     return change_report(status)

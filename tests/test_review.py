@@ -10,6 +10,7 @@ from feedloom.functions import normalise as N
 from feedloom.operators import fields as B
 from feedloom.operators import quality as L
 from feedloom.operators import query as Q
+from feedloom.operators import sync as M
 from feedloom.operators.numbering import number_in_order
 from feedloom.sources import extract as X
 
@@ -80,6 +81,15 @@ def test_accents_and_lists_of_allowed_values(spark):
     assert values(spark, ["the cat,AND"], C.f_validate("x", "the,and")) == ["the,AND"]
 
 
+def test_entities_are_decoded_in_one_pass(spark):
+    import html
+    rows = ["&#8211;x&eacute;", "&#38;lt; &amp;lt; &amp;amp;", "&#x1F600;&#39;", "&nosuch; &#0; &#55296; & &;", "", "no", "a &copy;&nbsp;b &hearts;"]
+    got = values(spark, rows, C.f_htmldecode("x", full=True))
+    keep = {3: rows[3]}
+    assert got == [keep.get(i, html.unescape(r)) for i, r in enumerate(rows)]
+    assert values(spark, [None], C.f_htmldecode("x", full=True)) == [None]
+
+
 def test_rules_by_source_fold_in_order(spark):
     df = spark.createDataFrame([("a", "x1"), ("b", "x1"), (None, "x1")], "source string, t string")
     rules = spark.createDataFrame([("a", 2, "y", "z"), ("a", 1, "x", "y")], "source string, seq int, pattern string, replacement string")
@@ -108,6 +118,29 @@ def test_a_parent_in_parts_numbers_its_children_through(spark):
     assert got == {"a": 1, "b": 2, "c": 101}
 
 
+def test_a_snapshot_with_versions_does_not_differ_from_itself(spark):
+    snap = spark.createDataFrame([(10, "k", "a", "h1"), (11, "k", "b", "h2")], "version int, key string, content string, content_hash string")
+    assert M.snapshot_diff(snap, snap, ("version", "key")).count() == 0
+    changed = spark.createDataFrame([(10, "k", "a", "h1"), (11, "k", "c", "h3")], snap.schema)
+    assert [(r["version"], r["status"]) for r in M.snapshot_diff(snap, changed, ("version", "key")).collect()] == [(11, "M")]
+
+
+def test_sync_moves_changed_items_only_and_leaves_no_stale_version(spark, tmp_path):
+    make = lambda rows: spark.createDataFrame(rows, "version int, key string, content string").withColumn(
+        "content_hash", M.content_hash("content"))
+    rules = {10: [L.dq_required("content", "content")],
+             11: [L.dq_required("content", "content"), L.dq_value_pattern("content", "v10 only", negate=True, path="content")]}
+    old = make([(10, "a", "x"), (11, "same", "v10 only"), (11, "victim", "x"), (11, "mod", "x")])
+    new = make([(11, "same", "v10 only"), (11, "victim", "x"), (11, "mod", "v10 only"), (11, "new", "x"), (11, "blocked", "x")])
+    blocked = spark.createDataFrame([("blocked",)], "key string")
+    pairs = spark.createDataFrame([("blocked", "victim"), ("same", "mod")], "key string, replaced string")
+    out = str(tmp_path / "out")
+    M.run_sync(make([(9, "z", "x")]), make([(9, "z", "x"), (10, "a", "x")]), out, rules, 12)
+    M.run_sync(old, new, out, rules, 12, blocked=blocked, pairs=pairs)
+    got = {(r["version"], r["key"]) for r in spark.read.parquet(out).collect()}
+    assert got == {(11, "same"), (11, "victim"), (10, "mod"), (11, "mod"), (11, "new")}
+
+
 def test_orders_and_customers_beyond_one_payload(spark, tmp_path):
     import duckdb
 
