@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -90,6 +91,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per session, so Python workers can import it
+    wherever they start. The archive is made on the driver; Spark copies it to each executor."""
+    sc = spark.sparkContext
+    if getattr(sc, "_feedloom_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="feedloom-py-"), "feedloom-package.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    sc.addPyFile(archive)
+    sc._feedloom_shipped = True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A location for intermediate tables under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
