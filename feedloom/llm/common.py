@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, ship_package
 
 #: White space that separates words: blank, tab, line feed, vertical tab, form feed, return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -22,7 +22,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Arrow batches are cut by bytes, so very long texts do not add up in a Python worker."""
+    """Python workers can import this package, and Arrow batches are cut by bytes, so very long
+    texts do not add up in a worker."""
+    ship_package(spark)
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get("spark.feedloom.arrowBatch", None) is None:
         spark.conf.set(key, str(2 * 1024 * 1024))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import drop_saved, saved, word_count
+from .common import bounded_batches, drop_saved, saved, word_count
 
 EPS = 1e-9
 #: Mean number of units in a block of the flight phase.
@@ -134,6 +134,7 @@ def draw_extra(units: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id",
         weights: Sequence[float] = (5, 2, 1), epochs: float = 1.5, cap: float = 2.0) -> DataFrame:
     """(key, source, size) -> source_size, target, n: how often each unit is taken."""
+    bounded_batches(docs.sparkSession)
     sized = docs.select(F.col(key).alias("key"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"))
     rows = saved(sized.groupBy("key", "source", "size").agg(F.count(F.lit(1)).alias("copies")), "mix-units")
     each = rows.select("source", (F.col("size") * F.col("copies")).alias("size"), "copies")

@@ -28,7 +28,7 @@ TRAIN_ROWS = 4000
 #: Hashed feature space.
 BINS = 1024
 #: A document is rejected from this probability of bad quality on.
-REJECT = 0.5
+REJECT = 0.6
 #: Texts with fewer words give no votes.
 LEAST_WORDS = 8
 #: Labellers that see one defect vote bad or abstain; prose and flow see several and vote both ways.
