@@ -4,9 +4,9 @@ A page is read as a stream of tags and texts. Inline tags join their text to the
 stand in; every block has a path of block tags from the root. Text length and punctuation are
 added up per path and divided by the number of blocks on the path; the two ratios are fused,
 smoothed over neighbouring blocks in page order, and blocks at or above one standard deviation
-of the page's scores are content. The article is the deepest element that holds most of the
-content text, and its blocks are kept whole and in order, short ones and headings too. Parts
-that HTML itself names as not being the article (menus, headers, footers, sidebars, notices,
+of the page's scores are content. The article is the article or main element around all
+content blocks, else the nearest element that holds all of them and their headline; its blocks
+are kept whole and in order, short ones and headings too. Parts that HTML itself names as not being the article (menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles, comments, hidden parts), by tag, role, or class and id words,
 are left out before.
 
@@ -57,8 +57,9 @@ _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "t
            "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"thead", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}}
 _SCOPE = {"li": {"ul", "ol", "menu", "dir"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"},
           "option": {"select"}, "thead": {"table"}, "tbody": {"table"}, "tfoot": {"table"}}
-#: Share of the content text that the article's element must hold.
-MOST = 0.8
+ARTICLE = frozenset(("article", "main"))
+#: Elements that can hold a whole article.
+HOLDERS = ARTICLE | {"html", "body", "div", "center"}
 
 
 def _left_out(tag: str, attributes: str, inside: bool) -> bool:
@@ -166,23 +167,36 @@ def scores(paths: list[str], texts: list[str]) -> np.ndarray:
     return np.convolve(padded, kernel / kernel.sum(), mode="valid")
 
 
+def _holder(ids: tuple[int, ...], path: str) -> tuple[int, ...]:
+    """The open elements down to the article's: the outermost article or main, else the deepest
+    element of HOLDERS (a list, table, quote or section is a part of something larger)."""
+    tags = path.split("/")[:len(ids)]
+    last = max((i for i, t in enumerate(tags) if t in HOLDERS), default=-1)
+    return ids[:next((i for i, t in enumerate(tags) if t in ARTICLE), last) + 1]
+
+
+def _common(a: tuple[int, ...], b: tuple[int, ...]) -> tuple[int, ...]:
+    n = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+    return a[:n]
+
+
 def main_text(page: str | None) -> str:
     found = blocks(page or "")
     if not found:
         return ""
-    texts = [t for _, _, t in found]
-    score = scores([p for _, p, _ in found], texts)
-    content = score >= min(score.std(), score.max())
-    held: dict[int, int] = {}
-    depth: dict[int, int] = {}
-    for (ids, _, text), ok in zip(found, content, strict=True):
-        for d, i in enumerate(ids):
-            depth[i] = d
-            held[i] = held.get(i, 0) + (len(text) if ok else 0)
-    need = MOST * sum(len(t) for t, ok in zip(texts, content, strict=True) if ok)
-    leaf = {ids[-1] for ids, path, _ in found if ids and path.rsplit("/", 1)[-1] in ("p", "pre", "li", "td", "th", "dd", "dt", *_HEADINGS)}
-    best = max((i for i in held if held[i] >= need and i not in leaf), key=lambda i: depth[i], default=None)
-    return "\n".join(t for ids, _, t in found if best is None or best in ids)
+    score = scores([p for _, p, _ in found], [t for _, _, t in found])
+    content = np.flatnonzero(score >= min(score.std(), score.max())).tolist()
+    ids, path, _ = found[content[0]]
+    for k in content:
+        ids = _common(ids, found[k][0])
+    ids = _holder(ids, path)
+    # a headline that stands outside: the nearest h1 before the content, else the nearest heading
+    tops = [k for k in range(content[0] + 1) if found[k][1].rsplit("/", 1)[-1] in _HEADINGS]
+    tops = [k for k in tops if found[k][1].rsplit("/", 1)[-1] == "h1"] or tops
+    held = any(x[:len(ids)] == ids and p.rsplit("/", 1)[-1] == "h1" for x, p, _ in found)
+    if tops and not held:
+        ids = _holder(_common(ids, found[tops[-1]][0]), path)
+    return "\n".join(t for x, _, t in found if x[:len(ids)] == ids)
 
 
 _HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")

@@ -164,6 +164,24 @@ def test_main_text(page, text):
     assert html_extract.main_text(page) == text
 
 
+LONG = "<p>A sentence, with marks; and more of it. Then another one!</p>"
+WHOLE = "A sentence, with marks; and more of it. Then another one!"
+
+
+@pytest.mark.parametrize("page,text", [
+    (f"<article><h1>T</h1><p>lead</p><div class=body>{LONG * 9}</div></article>", ["T", "lead", *[WHOLE] * 9]),
+    (f"<div><h1>T</h1><p>lead</p><div class=body>{LONG * 9}</div></div>", ["T", "lead", *[WHOLE] * 9]),
+    (f"<div><div><h1>T</h1></div><div class=body><h2>S</h2>{LONG * 9}</div></div>", ["T", "S", *[WHOLE] * 9]),
+    (f"<article><section>{LONG * 17}</section><section>{LONG * 3}</section></article>", [WHOLE] * 20),
+    (f"<div><section>{LONG * 17}</section><section><h2>S</h2>{LONG * 3}</section></div>", [*[WHOLE] * 17, "S", *[WHOLE] * 3]),
+    (f"<article><p>lead</p><ul>{'<li>' + WHOLE}{('<li>' + WHOLE) * 9}</ul><p>end</p></article>", ["lead", *[WHOLE] * 10, "end"]),
+    (f"<div><p>lead</p><blockquote>{LONG * 9}</blockquote><p>end</p></div>", ["lead", *[WHOLE] * 9, "end"]),
+    (f"<div><p>lead</p><table>{f'<tr><td>{WHOLE}' * 9}</table><p>end</p></div>", ["lead", *[WHOLE] * 9, "end"]),
+])
+def test_articles_are_kept_whole(page, text):
+    assert html_extract.main_text(f"<body><nav>Menu</nav>{page}<footer>foot</footer>").split("\n") == text
+
+
 def test_long_pages_are_read_whole():
     body = "".join(f"<p>Sentence {i}, and more.</p>" for i in range(20000))
     assert html_extract.main_text(f"<body><div class=nav>m</div><article>{body}</article>").count("\n") == 19999
