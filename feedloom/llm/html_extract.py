@@ -8,7 +8,10 @@ of the page's scores are content. The article is the article or main element aro
 content blocks, else the nearest element that holds all of them and their headline; its blocks
 are kept whole and in order, short ones and headings too. Parts that HTML itself names as not being the article (menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles, comments, hidden parts), by tag, role, or class and id words,
-are left out before.
+are left out before. An article element is never left out for its names, and a name, role or
+form is overruled if it stands on what is around the page's article, or holds MOST of the scored
+text, or if nothing with a score would be left; this is looked at where the parts left out by
+name hold an article element or more text than the rest.
 
 Defined results: null or empty html and pages without text give an empty string; unclosed and
 misnested tags close as browsers close them; the whole page is read whatever its length;
@@ -41,7 +44,7 @@ BLOCK = frozenset(
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html li main menu nav ol optgroup option p pre section select summary table tbody "
     "td tfoot th thead tr ul".split())
 #: Parts that are not the article, by tag.
-LEFT_OUT = frozenset("head nav footer aside form dialog menu button select option svg canvas object script style noscript "
+LEFT_OUT = frozenset("head nav footer aside dialog menu button select option svg canvas object script style noscript "
                      "template iframe textarea title xmp".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar note".split())
 #: ... and by a word of class or id.
@@ -60,34 +63,48 @@ _SCOPE = {"li": {"ul", "ol", "menu", "dir"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {
 ARTICLE = frozenset(("article", "main"))
 #: Elements that can hold a whole article.
 HOLDERS = ARTICLE | {"html", "body", "div", "center"}
+#: A named part with this share of the scored text is the article's wrapper, not a part beside it.
+MOST = 0.8
+#: How an element is left out: by a name, role or form, which the scores can overrule, or always.
+NAMED, ALWAYS = 1, 2
 
 
-def _left_out(tag: str, attributes: str, inside: bool) -> bool:
-    """inside: within an article or main element, whose own header holds its headline."""
+def _left_out(tag: str, attributes: str, inside: bool) -> int:
+    """0, NAMED or ALWAYS; inside: within an article or main element, whose own header holds its headline."""
     if tag in LEFT_OUT or tag == "header" and not inside:
-        return True
+        return ALWAYS
     if tag in ("html", "body", "main"):
-        return False
+        return 0
+    out = NAMED if tag == "form" else 0
     for m in _ATTRIBUTE.finditer(attributes) if "=" in attributes or "hidden" in attributes else ():
         name, value = (m[1] or "hidden").lower(), (m[2] or m[3] or m[4] or "").lower()
-        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in ROLES:
-            return True
+        if name == "hidden" or name == "aria-hidden" and value == "true":
+            return ALWAYS
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
+            return ALWAYS
+        if tag == "article":
+            continue
+        if name == "role" and value in ROLES:
+            out = NAMED
         if name in ("class", "id"):
             for one in value.split():
                 found = set(_WORDS.findall(one))
                 hits = found & NAMES - ({"header"} if inside else set())
                 if hits and not found & _NOT_A_PART:
-                    return True
-    return False
+                    out = NAMED
+    return out
 
 
-def blocks(page: str) -> list[tuple[tuple[int, ...], str, str]]:
-    """(ids of the open elements, tag path, text) of every block with text, in page order."""
+def blocks(page: str, kept: frozenset[int] | None = frozenset()) -> tuple[list[tuple[tuple[int, ...], str, str]], set[int], bool]:
+    """(ids of the open elements, tag path, text) of every block with text, in page order; the
+    ids of the named parts; and whether those left out hold an article, or more text than is read.
+
+    kept: ids of named parts that are read all the same; None: all are, inline ones as blocks."""
     out, words, at, serial = [], [], 0, 0
-    stack: list[tuple[str, int, bool]] = []  # tag, id, left out
-    hidden = 0
+    stack: list[tuple[str, int, int]] = []  # tag, id, how left out
+    hidden = always = read = left = 0
+    named: set[int] = set()
+    article = False
 
     def flush() -> None:
         if words:
@@ -97,14 +114,18 @@ def blocks(page: str) -> list[tuple[tuple[int, ...], str, str]]:
                 out.append((tuple(x[1] for x in stack), "/".join(x[0] for x in stack), text))
 
     def pop(k: int) -> None:
-        nonlocal hidden
-        hidden -= sum(x[2] for x in stack[k:])
+        nonlocal hidden, always
+        hidden -= sum(x[2] > 0 for x in stack[k:])
+        always -= sum(x[2] == ALWAYS for x in stack[k:])
         del stack[k:]
 
     while at < len(page):
         m = _TOKEN.search(page, at)
         if not hidden:
             words.append(page[at:m.start() if m else len(page)])
+            read += len(words[-1].strip())
+        elif not always:
+            left += len(page[at:m.start() if m else len(page)].strip())
         if not m:
             break
         at = m.end()
@@ -115,7 +136,7 @@ def blocks(page: str) -> list[tuple[tuple[int, ...], str, str]]:
         block = tag in BLOCK
         if slash:
             k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), -1)
-            if block:
+            if block or kept is None and k >= 0:
                 flush()
             if k >= 0 and (block or not any(x[0] in BLOCK for x in stack[k + 1:])):
                 pop(k)
@@ -144,13 +165,20 @@ def blocks(page: str) -> list[tuple[tuple[int, ...], str, str]]:
                 if stack[i][0] in _CLOSES.get(tag, ()):
                     pop(i)
                     break
-        out_here = _left_out(tag, attributes, any(x[0] in ("article", "main") for x in stack))
-        if (block or out_here) and not attributes.endswith("/"):
-            serial += 1
-            stack.append((tag, serial, out_here))
-            hidden += out_here
+        kind = _left_out(tag, attributes, any(x[0] in ARTICLE for x in stack))
+        serial += 1
+        if kind == NAMED:
+            named.add(serial)
+            if kept is None:
+                flush()
+        here = kind if kind == ALWAYS or kept is not None and serial not in kept else 0
+        if (block or here or kind and kept is None) and not attributes.endswith("/"):
+            article |= tag in ARTICLE and hidden > 0 and not always
+            stack.append((tag, serial, here))
+            hidden += here > 0
+            always += here == ALWAYS
     flush()
-    return out
+    return out, named, article or left > read
 
 
 def scores(paths: list[str], texts: list[str]) -> np.ndarray:
@@ -167,6 +195,52 @@ def scores(paths: list[str], texts: list[str]) -> np.ndarray:
     return np.convolve(padded, kernel / kernel.sum(), mode="valid")
 
 
+def _content(found: list[tuple[tuple[int, ...], str, str]]) -> list[int]:
+    score = scores([p for _, p, _ in found], [t for _, _, t in found])
+    return np.flatnonzero(score >= min(score.std(), score.max())).tolist()
+
+
+def _overruled(page: str) -> frozenset[int]:
+    """Named parts that are read all the same: what is around the page's article, what holds MOST
+    of the scored text, and every named part if nothing with a score is left without them."""
+    found, named, _ = blocks(page, None)
+    scored = set(_content(found)) if found else set()
+    rows = [(ids, path.split("/"), len(t) * (k in scored)) for k, (ids, path, t) in enumerate(found)]
+    kept: set[int] = set()
+
+    def total() -> int:
+        return sum(n for *_, n in rows)
+
+    def removed() -> bool:
+        out = named - kept
+        return total() > 0 and all(not out.isdisjoint(ids) for ids, _, n in rows if n)
+
+    for inner in (ARTICLE, frozenset(("article",))):  # an article or main; then an article in it
+        held: dict[int, int] = {}
+        around: dict[int, tuple[int, ...]] = {}
+        for ids, tags, n in rows:
+            d = next((i for i, t in enumerate(tags[:len(ids)]) if t in inner), None)
+            if d is not None:
+                held[ids[d]] = held.get(ids[d], 0) + n
+                around[ids[d]] = ids[:d]
+        one = max(held, key=lambda i: held[i], default=None)
+        if one is None:
+            continue
+        wrappers = named & set(around[one])
+        if inner == ARTICLE and not wrappers or 2 * held[one] > total() or removed():
+            kept |= wrappers
+            rows = [r for r in rows if one in r[0]]
+    parts: dict[int, int] = {}
+    for ids, _, n in rows:
+        for i in (x for x in ids if x in named) if n else ():
+            parts[i] = parts.get(i, 0) + n
+    least = MOST * total()
+    kept |= {i for i, n in parts.items() if n >= least}
+    if removed():
+        kept |= named & {i for ids, *_ in rows for i in ids}
+    return frozenset(kept)
+
+
 def _holder(ids: tuple[int, ...], path: str) -> tuple[int, ...]:
     """The open elements down to the article's: the outermost article or main, else the deepest
     element of HOLDERS (a list, table, quote or section is a part of something larger)."""
@@ -181,11 +255,12 @@ def _common(a: tuple[int, ...], b: tuple[int, ...]) -> tuple[int, ...]:
 
 
 def main_text(page: str | None) -> str:
-    found = blocks(page or "")
+    found, _, doubtful = blocks(page or "")
+    if doubtful and (kept := _overruled(page)):
+        found = blocks(page, kept)[0]
     if not found:
         return ""
-    score = scores([p for _, p, _ in found], [t for _, _, t in found])
-    content = np.flatnonzero(score >= min(score.std(), score.max())).tolist()
+    content = _content(found)
     ids, path, _ = found[content[0]]
     for k in content:
         ids = _common(ids, found[k][0])

@@ -182,6 +182,28 @@ def test_articles_are_kept_whole(page, text):
     assert html_extract.main_text(f"<body><nav>Menu</nav>{page}<footer>foot</footer>").split("\n") == text
 
 
+NINE = "T\n" + "\n".join([WHOLE] * 9)
+
+
+@pytest.mark.parametrize("page,text", [
+    (f"<article class='post category-social'><h1>T</h1>{LONG * 9}</article>", NINE),
+    (f"<div id=content class='layout-sidebar'><h1>T</h1>{LONG * 9}</div>", NINE),
+    (f"<div id=content class='layout-sidebar'><article><h1>T</h1>{LONG * 9}</article></div><div class=widget>{LONG * 4}</div>", NINE),
+    (f"<form action=x><div class=menu>m</div><div><h1>T</h1>{LONG * 9}<input></div></form>", NINE),
+    (f"<form><article class=social><h1>T</h1>{LONG * 9}<div class=share>Share, now!</div></article></form>", NINE),
+    (f"<main><div class='entry no-ads social'><article><h1>T</h1>{LONG * 9}</article></div></main>", NINE),
+    (f"<main><div class='entry social'><h1>T</h1>{LONG * 9}</div><div class=related>{LONG}</div></main>", NINE),
+    (f"<div class=post><h1>T</h1>{LONG * 9}</div><section id=comments><article class=comment>{LONG * 3}</article></section>", NINE),
+    (f"<article><h1>T</h1>{LONG * 9}</article><section id=comments>{f'<article>{LONG * 3}</article>' * 4}</section>", NINE),
+    (f"<div class=social><h1>T</h1>{LONG * 5}</div><div class=social>{LONG * 4}</div>", NINE),
+    (f"<article><h1>T</h1>{LONG * 9}<form>{LONG * 2}</form><p class=ad>{WHOLE}</p></article>", NINE),
+    (f"<div class=ad>{LONG * 9}</div><article><h1>T</h1><p>Short.</article>", "T\nShort."),
+    (f"<div class=social hidden>{LONG * 9}</div><div role=form><h1>T</h1>{LONG * 9}</div>", NINE),
+])
+def test_names_do_not_remove_the_article(page, text):
+    assert html_extract.main_text(f"<body><nav>Menu</nav>{page}<footer>foot</footer>") == text
+
+
 def test_long_pages_are_read_whole():
     body = "".join(f"<p>Sentence {i}, and more.</p>" for i in range(20000))
     assert html_extract.main_text(f"<body><div class=nav>m</div><article>{body}</article>").count("\n") == 19999
