@@ -5,11 +5,14 @@ votes of all documents are counted per pattern (at most 3 ** labellers rows). Ex
 maximisation estimates each labeller's vote distribution on good and on bad documents and the
 share of bad ones, without any given label. The posterior of each pattern labels a bounded
 sample of documents, on which a logistic regression over hashed features of word shapes is
-trained. Its score, the probability of bad quality, is then computed for every whole text.
+trained. The sample is drawn from the good and from the bad patterns separately, and its rows
+stand for as many texts as they were drawn from, a class for LEAST_SHARE at least: a class too
+rare to move the regression would never be found. The score, the probability of bad quality, is
+then computed for every whole text.
 
 Defined results: null and empty texts, and texts of fewer than LEAST_WORDS words, have no
 evidence: they score the share of bad documents, at most half the rejection limit, and are
-kept; so is every document if all posteriors agree. Repeated rows score alike; an empty table
+kept; so is every document if the posteriors of all documents agree. Repeated rows score alike; an empty table
 gives an empty result; columns named quality_score and rejected are replaced.
 """
 
@@ -20,11 +23,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, give_back_memory
+from .common import bounded_batches, drop_saved, give_back_memory, saved
 from .shingles import _SPACE, mix64, raw_bytes, words
 
-#: The scorer is fitted on at most this many rows, those of least hash of their text.
+#: The scorer is fitted on at most this many rows, those of least hash of their text in each class;
+#: a class gets its share of them, and a quarter at least if it has as many texts.
 TRAIN_ROWS = 4000
+#: Least share of the training weight of the good and of the bad class.
+LEAST_SHARE = 0.1
 #: Hashed feature space.
 BINS = 1024
 #: A document is rejected from this probability of bad quality on.
@@ -162,14 +168,15 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 300) -> tup
     return share, post
 
 
-def fit_scorer(x: np.ndarray, y: np.ndarray, l2: float = 1e-3, steps: int = 200) -> np.ndarray:
+def fit_scorer(x: np.ndarray, y: np.ndarray, weight: np.ndarray, l2: float = 1e-3, steps: int = 200) -> np.ndarray:
     """Logistic regression on soft labels by accelerated descent; the last weight is the bias."""
+    weight = weight / weight.sum()
     x = np.hstack([x, np.ones((len(x), 1))]).astype(np.float32)
     w, speed = np.zeros(x.shape[1]), np.zeros(x.shape[1])
     rate = 4.0 / max((x * x).sum(axis=1).mean(), 1e-9)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w.astype(np.float32), -50, 50)))
-        g = x.T @ (p - y).astype(np.float32) / len(x) + l2 * np.r_[w[:-1], 0]
+        g = x.T @ ((p - y) * weight).astype(np.float32) + l2 * np.r_[w[:-1], 0]
         speed = 0.9 * speed - 0.3 * rate * g
         w = w + speed
     return w
@@ -185,26 +192,48 @@ def fit(docs: DataFrame, text: str = "text") -> dict:
     bounded_batches(docs.sparkSession)
     texts = docs.select(F.col(text).alias("t")).where(F.col("t").isNotNull())
     pattern, packed = F.arrow_udf(_pattern, "int"), F.arrow_udf(_packed, "binary")
-    counted = (texts.select(pattern("t").alias("code")).where(F.col("code").isNotNull())
-                    .groupBy("code").agg(F.count(F.lit(1)).alias("n")).collect())  # at most 3 ** 8 rows
+    marks = saved(texts.select(F.xxhash64("t").alias("h"), pattern("t").alias("code")).where(F.col("code").isNotNull())
+                       .groupBy("h", "code").agg(F.count(F.lit(1)).alias("n")), "votes")
+    counted = marks.groupBy("code").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts")).collect()  # at most 3 ** 8 rows
     code = np.array([r["code"] for r in counted], np.int64)
     share, post = estimate(votes_of(code), np.array([r["n"] for r in counted], float))
     model = {"share": share, "posterior": dict(zip(code.tolist(), post.tolist(), strict=True)), "weights": None}
-    # the sample: distinct texts of least hash, so copies cannot fill it
-    cut = (texts.select(F.xxhash64("t").alias("h")).distinct().orderBy("h").limit(TRAIN_ROWS).agg(F.max("h")).first()[0])
-    if cut is None:
+    bad = post > 0.5
+    distinct = np.array([r["texts"] for r in counted], np.int64)
+    texts_of = {True: int(distinct[bad].sum()), False: int(distinct[~bad].sum())}
+    if not min(texts_of.values()):
+        drop_saved(marks)
         return model
-    rows = (texts.withColumn("h", F.xxhash64("t")).where(F.col("h") <= F.lit(cut))
-                 .select("h", pattern("t").alias("code"), packed("t").alias("x")).where(F.col("code").isNotNull())
-                 .dropDuplicates(["h"]).collect())  # at most TRAIN_ROWS rows of 2 KB
+    # the sample: distinct texts of least hash, so copies cannot fill it
+    weight_of: dict[int, float] = {}
+    rows_of = sample_sizes(texts_of[True], texts_of[False])
+    for kind, rows in zip((True, False), rows_of, strict=True):
+        of_kind = F.col("code").isin(code[bad].tolist()) == F.lit(kind)
+        top = -2**63 + min(2 * rows * 2**64 // texts_of[kind], 2**64 - 1)  # holds about twice as many rows
+        least = sorted(r["h"] for r in marks.where(of_kind & (F.col("h") <= F.lit(top))).select("h").collect())[:rows]
+        part = max(texts_of[kind] / sum(texts_of.values()), LEAST_SHARE)
+        part = min(part, 1 - LEAST_SHARE)
+        weight_of |= dict.fromkeys(least, part / max(len(least), 1))
+    drop_saved(marks)
+    picked = F.broadcast(docs.sparkSession.createDataFrame([(h,) for h in weight_of], "h long"))  # at most TRAIN_ROWS rows
+    rows = (texts.withColumn("h", F.xxhash64("t")).join(picked, "h").dropDuplicates(["h"])
+                 .select("h", pattern("t").alias("code"), packed("t").alias("x")).collect())  # 2 KB each
     rows = sorted(rows, key=lambda r: r["h"])
     y = np.array([model["posterior"][r["code"]] for r in rows])
-    if len(rows) and (y > 0.5).any() and (y <= 0.5).any():
-        x = np.stack([np.frombuffer(r["x"], np.float16) for r in rows]).astype(np.float32)
-        model["weights"] = fit_scorer(x, y)
+    x = np.stack([np.frombuffer(r["x"], np.float16) for r in rows]).astype(np.float32)
+    model["weights"] = fit_scorer(x, y, np.array([weight_of[r["h"]] for r in rows]))
     return model
 
 
+def sample_sizes(bad: int, good: int) -> tuple[int, int]:
+    """Rows of the sample from so many bad and good texts."""
+    if bad + good <= TRAIN_ROWS:
+        return bad, good
+    few = min(bad, good)
+    few = min(few, max(TRAIN_ROWS // 4, round(TRAIN_ROWS * few / (bad + good))))
+    return (few, TRAIN_ROWS - few) if bad <= good else (TRAIN_ROWS - few, few)
+
+
 def score(text: Column, model: dict) -> Column:
     """Probability of bad quality of a whole text."""
     weights, share = model["weights"], model["share"]

@@ -146,6 +146,22 @@ def test_classifier_agrees_with_held_out_labels(spark, sf_dir):
     assert np.mean(bad) > 0.9 and np.mean(good) < 0.01
 
 
+def test_rare_bad_documents_are_rejected(spark, monkeypatch):
+    big = "/root/testdata/sf0.01"
+    labelled = spark.read.parquet(f"{big}/documents.parquet").join(spark.read.parquet(f"{big}/labels.parquet"), "doc_id")
+    # the sample of least hashes of all texts holds no bad one
+    few = labelled.where("quality = 0").orderBy(F.xxhash64("text").desc()).limit(3)
+    docs = labelled.where("quality = 1").unionByName(few)
+    monkeypatch.setattr(quality, "TRAIN_ROWS", 100)
+    rows = quality.classify(docs).select("quality", "rejected").collect()
+    assert len(rows) > 300 and Counter((r["quality"], r["rejected"]) for r in rows if r["quality"] == 0 or r["rejected"]) == {(0, True): 3}
+
+
+def test_sample_holds_both_classes():
+    assert quality.sample_sizes(1, 10**9) == (1, 3999) and quality.sample_sizes(10**9, 10**6) == (3000, 1000)
+    assert quality.sample_sizes(10**6, 10**6) == (2000, 2000) and quality.sample_sizes(5, 70) == (5, 70)
+
+
 def test_classifier_edges(spark, docs_of):
     df = docs_of([(1, None, "s"), (2, "", "s"), (3, "Short text.", None), (None, " \n", "s")], "Rejected")
     out = quality.classify(df)
