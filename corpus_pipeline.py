@@ -19,8 +19,9 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that stand on many sites; n_chars follows the text."""
-    out = line_dedup.remove_boilerplate(docs)
+    """Documents without the lines that stand on many sites, whatever share of the document they
+    are; documents of nothing else are left to the near-duplicates. n_chars follows the text."""
+    out = line_dedup.remove_boilerplate(docs, max_share=None)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("removed_lines") > 0, F.length("text").cast(docs.schema["n_chars"].dataType))
                                          .otherwise(F.col("n_chars")))

@@ -4,9 +4,10 @@ Every distinct line of a document counts for the document's site. A HyperLogLog
 line hash estimates on how many sites the line stands; sketches merge by aggregation, so a
 line that a third of all documents share costs one small sketch per task. Lines whose
 estimate lies near the threshold get an exact distinct count. Lines on ``min_sites`` sites or
-more are cross-site boilerplate and are taken out of every document, unless they hold more
-than ``max_share`` of a document's characters: such a document is a copy as a whole, which is
-for the near-duplicate step, and is left as it is.
+more are cross-site boilerplate. With ``max_share`` None they are taken out of every document
+that has a line of its own, whatever their share; a document without one is a copy as a whole,
+which is for the near-duplicate step, and is left as it is. With a number, as in the SQL of
+op6_line_dedup, a document is left as it is if they hold more than that share of its characters.
 
 Defined results: a null text stays null with no lines; empty lines are never boilerplate; a
 null site counts as one site of its own; repeated rows and clashing extra columns are kept.
@@ -57,7 +58,7 @@ def _bounded(lines: DataFrame, counted: DataFrame) -> DataFrame:
 
 
 def remove_boilerplate(docs: DataFrame, text: str = "text", site: str = "source", key: str = "doc_id",
-                       min_sites: int = 10, max_share: float = 0.5) -> DataFrame:
+                       min_sites: int = 10, max_share: float | None = 0.5) -> DataFrame:
     """``docs`` with the cleaned ``text`` and the columns n_lines, removed_lines (long)."""
     docs = docs.drop(*(c for c in docs.columns if c.lower() in ("n_lines", "removed_lines")))
     bad = saved(boilerplate_lines(docs, text, site, min_sites), "boilerplate")
@@ -73,7 +74,11 @@ def remove_boilerplate(docs: DataFrame, text: str = "text", site: str = "source"
     gone = F.when(F.size("_bad") > 0, F.filter(lines, is_bad)).otherwise(F.array().cast("array<string>"))
     both = both.withColumns({"_gone": gone, "n_lines": F.when(F.col(text).isNull(), 0).otherwise(F.size(lines)).cast("long")})
     chars = F.aggregate("_gone", F.lit(0), lambda a, x: a + F.length(x))
-    cut = (F.size("_gone") > 0) & (chars <= F.length(F.col(text)) * max_share)
+    if max_share is None:
+        left_alone = ~F.exists(lines, lambda x: x.rlike(r"\S") & ~is_bad(x))
+    else:
+        left_alone = chars > F.length(F.col(text)) * max_share
+    cut = (F.size("_gone") > 0) & ~left_alone
     return (both.withColumn("_cut", cut)
                 .withColumns({text: F.when(F.col("_cut"), F.array_join(F.filter(lines, lambda x: ~is_bad(x)), "\n"))
                                      .otherwise(F.col(text)),

@@ -223,6 +223,17 @@ def test_boilerplate_equals_exact_counts(spark, docs_of):
     assert line_dedup.remove_boilerplate(docs_of(rows).limit(0)).count() == 0
 
 
+def test_pipeline_removes_boilerplate_of_any_share(spark, docs_of):
+    import corpus_pipeline
+    menu, note = "menu " * 10, "notice " * 10
+    rows = [(i, f"{menu}\n{note}", f"s{i}") for i in range(12)]
+    rows += [(20, f"{menu}\n{'own ' * 15}\n{note}", "s1"), (21, f"{menu}\nown", "s2"), (22, f"{menu}\n \t\n", "s3"), (23, "own", "s4"),
+             (24, None, "s5"), (25, "", None)]
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in corpus_pipeline.drop_boilerplate(spark, docs_of(rows), "").collect()}
+    want = {i: t for i, t, _ in rows} | {20: "own " * 15, 21: "own"}
+    assert got == {i: (t, len(t or "")) for i, t in want.items()}
+
+
 # HTML
 
 def test_extract_keeps_rows_and_columns(spark):
