@@ -135,6 +135,29 @@ def q_f13(spark, sf):
                     C.apply_chain("html_title", [("htmldecode",), ("htmldecode",)]).alias("twice"))
 
 
+@query("F13_htmldecode_full", """
+SELECT page_id, replace(replace(replace(replace(replace(replace(replace(replace(html, '&quot;', '"'), '&copy;', chr(169)),
+       '&middot;', chr(183)), '&lt;', '<'), '&gt;', '>'), '&nbsp;', chr(160)), '&#39;', chr(39)), '&amp;', '&') AS out FROM pages""")
+def q_f13_full(spark, sf):
+    """The whole page, every entity in one pass; the SQL has those that the pages hold."""
+    return table(spark, sf, "pages", spread=True).select("page_id", C.f_htmldecode("html", full=True).alias("out"))
+
+
+#: Characters and entities of the round trip, in an order in which no entity is encoded again.
+ROUND_TRIP_ENTITIES = [("&", "&amp;"), ("#", "&num;"), ("o", "&#111;"), ("T", "&#x54;"), ("ü", "&#XFC;"), ("è", "&#0232;"),
+                       ("é", "&eacute;"), ("ñ", "&ntilde;"), ("ß", "&szlig;"), ("$", "&dollar;"), ("%", "&percnt;"), (".", "&period;")]
+
+
+@query("F13_htmldecode_round_trip", "SELECT doc_id, text AS out FROM documents")
+def q_f13_round_trip(spark, sf):
+    """Whole texts with named, decimal and hexadecimal entities, decoded again."""
+    d = table(spark, sf, "documents", spread=True)
+    encoded = F.col("text")
+    for char, entity in ROUND_TRIP_ENTITIES:
+        encoded = F.replace(encoded, F.lit(char), F.lit(entity))
+    return d.select("doc_id", C.f_htmldecode(encoded, full=True).alias("out"))
+
+
 @query("F14_htmlencode", """
 SELECT doc_id, replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'),
        '"', '&quot;'), '''', '&#39;') AS out FROM documents""")
