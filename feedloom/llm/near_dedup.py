@@ -18,8 +18,9 @@ shingles alone, and then meet under the key, or they share a light one, and then
 that; either way only pairs of different components with one outside the key's largest one
 are made. Every link is confirmed on the full sets.
 
-Defined results: null or blank texts have an empty set, link to nothing and are kept; rows
-that share a doc_id count as one document, so their links are joined; rows without a doc_id
+Defined results: null or blank texts have an empty set, link to nothing and are kept; of rows
+that share a doc_id each has the component of its own text, and links of texts that the id itself
+represents are joined; keep_one decides such rows by their texts; rows without a doc_id
 join no links, have a null component_id and are kept; an empty table gives an empty result.
 """
 
@@ -257,8 +258,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row per group of near-duplicates: the row of its smallest id. Rows that
-    repeat a kept id keep one row, of the smallest text; rows without an id are kept."""
+    """``docs`` with one row per group of near-duplicates: the row of its smallest id. Of equal
+    rows, or rows of one id and linked texts, one is kept, of the smallest text; rows of one id and
+    texts that are not linked are different documents; rows without an id are kept."""
+    marked = F.coalesce(F.xxhash64(text), F.lit(0))
+    differ = (docs.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(marked).alias("lo"), F.max(marked).alias("hi"))
+                  .where(F.col("lo") != F.col("hi")))
+    if not differ.isEmpty():
+        return _keep_by_text(docs, key, text)
     ids = near_duplicates(docs, key, text).where(F.col("kept") & F.col("doc_id").isNotNull())
     ids = ids.select(F.col("doc_id").alias("_kept")).distinct()
     rows = docs.join(ids, docs[key] == ids["_kept"], "left").where(F.col("_kept").isNotNull() | F.col(key).isNull())
@@ -266,6 +273,19 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     return rows.drop("_kept") if twice.isEmpty() else _first_rows(rows, key, text)
 
 
+def _keep_by_text(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """keep_one where ids repeat with different texts: every id and text is a document of its own."""
+    own = F.when(F.col(key).isNotNull(), F.xxhash64(F.col(key), F.col(text), F.col(text).isNull()))
+    named = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("_id"), F.col(text).alias("_text"), own.alias("_own"))
+    groups = near_duplicates(named, "_own", "_text").select(F.col("doc_id").alias("_own"), "component_id").distinct()
+    order = F.struct("_id", F.xxhash64("_text"))
+    kept = (named.join(groups, "_own").groupBy("component_id").agg(F.min_by("_own", order).alias("_kept"))
+                 .select("_kept"))
+    rows = docs.withColumn("_own", own)
+    rows = rows.join(kept, rows["_own"] == kept["_kept"], "left").where(F.col("_kept").isNotNull() | F.col(key).isNull())
+    return _first_rows(rows.drop("_own"), key, text)
+
+
 def _first_rows(rows: DataFrame, key: str, text: str) -> DataFrame:
     names = [c for c in rows.columns if c != "_kept"]
     lone = rows.where(F.col(key).isNull()).select(*names)

@@ -128,6 +128,13 @@ def test_keep_one_of_each_group(spark, docs_of):
     assert near_dedup.keep_one(df.limit(0)).columns == df.columns
 
 
+def test_one_id_with_different_texts_loses_no_text(spark, docs_of):
+    a, b, c = "a b c d e f g", "k l m n o p q", "r s t u v w x"
+    rows = [(1, a, "s"), (5, a, "s"), (5, b, "s"), (5, b, "s"), (5, "", "s"), (7, b, "t"), (8, c, "s"), (8, b, "s"), (9, None, "s"), (None, a, "s")]
+    got = near_dedup.keep_one(docs_of(rows)).select("doc_id", "text").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, [(1, a), (5, b), (5, ""), (8, c), (9, None), (None, a)]))
+
+
 def test_components_of_long_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 50)] + [(3, 3), (7, 8)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
