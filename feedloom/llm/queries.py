@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators and the DuckDB SQL of those that SQL can express."""
+"""Registered queries of the operators and the DuckDB SQL of those that SQL can express."""
 
 from __future__ import annotations
 
@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bit_sliced, html_extract, line_dedup, mixing, near_dedup, order_minhash, packing, quality, url_filter,
-               warc)
+from . import (bit_sliced, bpe, html_extract, line_dedup, mixing, near_dedup, order_minhash, packing, prefix_trie, quality,
+               url_filter, warc, whitening)
 from .common import table
 
 #: (host, path, verdict); fixed by the query's contract.
@@ -66,9 +66,29 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", (F.col("n") * F.col("size")).alias("taken"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(prefix_trie.rebuild(prefix_trie.records(table(spark, sf_dir, "conversations"))))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, pattern, keep=["doc_id"])
+    digests = encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                             F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"), "ids")
+    return bpe.decode(digests, path, pattern, keep=["doc_id", "n_tokens", "ids_sha256"]).select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_url_filter, op2_order_minhash, op3_near_dedup, op4_quality, op5_warc, op6_line_dedup,
-                            op7_html_text, op8_bit_sliced_topk, op9_packing, op10_mixing)}
+                            op7_html_text, op8_bit_sliced_topk, op9_packing, op10_mixing, op11_prefix_trie, op12_whitening,
+                            op13_byte_bpe)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _VALUES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
@@ -119,4 +139,28 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
       FROM v q, v c WHERE q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20""",
+    # the CRC-32 is folded over the digits of the id, eight shifts each
+    "op11_prefix_trie": """
+WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k,
+                  {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS x FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list(x ORDER BY k) AS turns FROM t GROUP BY conv_id),
+crc AS (SELECT conv_id, turns, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+            lambda c: CAST(ascii(c) AS BIGINT))),
+          lambda acc, byte: list_reduce([xor(acc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+                                        lambda v, z: xor(v >> 1, 3988292384 * (v & 1))))) % 6 AS h FROM own),
+built AS (SELECT c.conv_id, list_concat(coalesce(own.turns[1:c.h], []), c.turns[c.h + 1:]) AS turns
+          FROM crc c LEFT JOIN own ON own.conv_id = c.conv_id - c.conv_id % 100),
+steps AS (SELECT conv_id, len(turns) AS size, unnest(range(0, len(turns) + 1)) AS depth, turns FROM built),
+prefixes AS (SELECT conv_id, size, depth, turns[1:depth] AS p FROM steps),
+nodes AS (SELECT p, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(size) = depth AS leaf,
+                 sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE size = depth), '')) AS ends_sha256,
+                 (count(*) - 1) * CASE WHEN depth = 0 THEN 0 ELSE length(p[-1].text) END AS saved FROM prefixes GROUP BY p, depth),
+below AS (SELECT a.p, a.depth, sum(CAST(b.leaf AS BIGINT)) AS n_leaves, sum(b.saved) AS saved_tokens,
+                 sum(CAST(b.depth = a.depth + 1 AS BIGINT)) AS n_children
+          FROM (SELECT p AS q, depth AS d, leaf, saved, unnest(range(0, depth + 1)) AS up FROM nodes) e
+          JOIN nodes a ON a.depth = e.up AND a.p = e.q[1:e.up], LATERAL (SELECT e.leaf AS leaf, e.saved AS saved, e.d AS depth) b
+          GROUP BY a.p, a.depth)
+SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs, CAST(b.n_children AS BIGINT) AS n_children,
+       CAST(b.n_leaves AS BIGINT) AS n_leaves, CAST(b.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN below b ON b.p = n.p AND b.depth = n.depth LEFT JOIN nodes u ON u.depth = n.depth - 1 AND u.p = n.p[1:n.depth - 1]""",
 }

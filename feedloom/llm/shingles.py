@@ -27,7 +27,8 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def byte_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the hash base and of its inverse, n of each at least."""
     if len(_POWERS.get("up", ())) < n:
         size = max(n, 1 << 16)
         up, down = np.full(size, _BASE, np.uint64), np.full(size, _INVERSE, np.uint64)
@@ -79,7 +80,7 @@ def _piece_words(body: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.nda
     begins[cuts] = inside[cuts]
     ends[cuts - 1] = inside[cuts - 1]
     starts, stops = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    up, down = _powers(len(body) + 1)
+    up, down = byte_powers(len(body) + 1)
     sums = np.zeros(len(body) + 1, np.uint64)
     np.cumsum((_LOWER[body].astype(np.uint64) + np.uint64(1)) * up[:len(body)], out=sums[1:])
     return starts, mix64((sums[stops] - sums[starts]) * down[starts])
