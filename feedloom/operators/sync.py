@@ -264,7 +264,9 @@ def run_sync(old: DataFrame, new: DataFrame, out_path: str, rule_sets: Mapping[i
     """One sync run, as one plan ending in one write (returns the per-status report, or
     None when there is nothing to do).
 
-    1. change set: full outer join of the snapshots, computed once (``materialize``);
+    Catalogues are addressed by (version, key), and one that holds an address twice is refused.
+
+    1. change set: full outer join of the snapshots, computed once (``materialize``), hashes only;
     2. guards: nothing to do -> no write (M15); more than ``max_changes`` -> refuse (O6);
     3. block list: added keys on it are dropped (M8);
     4. replaces: keys replaced by an item that was added and not blocked disappear in every
@@ -277,27 +279,50 @@ def run_sync(old: DataFrame, new: DataFrame, out_path: str, rule_sets: Mapping[i
     """
     from ..sources.sinks import write_records
 
-    diff = materialize(snapshot_diff(old, new, key))
+    at = ["version", key]
+    for side, name in ((old, "old"), (new, "new")):
+        if not side.groupBy(*at).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+            raise ValueError(f"the {name} catalogue holds a (version, {key}) twice")
+    diff = materialize(snapshot_diff(old, new, at).select(*at, "status", "old_hash", "new_hash"))
     if nothing_to_do(diff):
         return None
     if max_changes is not None:
         from .query import cap_guard
         cap_guard(diff, max_changes, "changes")
-    status = diff.select(key, "status")
+    status = diff.select(*at, "status")
     if blocked is not None:
         status = blocklist(status, blocked, key)
     added = status.filter(F.col("status") == "A").select(key)
-    items = new.join(status.filter(F.col("status").isin("A", "M")).select(key), key, "left_semi")
-    unchanged = new.join(diff.select(key), key, "left_anti")
+    items = new.join(status.filter(F.col("status").isin("A", "M")), at, "inner")
+    unchanged = new.join(diff.select(*at), at, "left_anti")
     if pairs is not None:
         pairs = pairs.join(added, key, "left_semi")
         items, unchanged = replaces(items, pairs, key), replaces(unchanged, pairs, key)
-    moves = relocate_version(items, key, "version", rule_sets, next_version)
-    placed = items.join(moves.select(key, "to_version", "from_version"), key, "inner")
-    rows = placed.select(key, F.col("to_version").alias("version"), "content").unionByName(
-        unchanged.select(key, "version", "content"))
-    modified = status.filter(F.col("status") == "M").select(key)
-    kept_old = (placed.filter(F.col("to_version") != F.col("from_version")).join(modified, key, "left_semi")
-                      .select(key).join(old.select(key, "version", "content"), key, "inner"))
-    write_records(rows.unionByName(kept_old), out_path, ["version"], "overwrite", dynamic=False)
+    gone = diff.filter(F.col("status") == "D").select(key).join(items.select(key), key, "left_anti")
+    unchanged = cascade_remove(unchanged, gone, key)
+    # a moved item takes the place of whatever stands at its new version
+    placed = place_items(items, rule_sets, next_version, key)
+    moved = placed.select(F.col("to_version").alias("version"), key)
+    kept_old = (placed.filter((F.col("to_version") != F.col("version")) & (F.col("status") == "M")).select(*at)
+                      .join(old.select(*at, "content"), at, "inner"))
+    rows = (unchanged.select(*at, "content").unionByName(kept_old.select(*at, "content")).join(moved, at, "left_anti")
+            .unionByName(placed.select(F.col("to_version").alias("version"), key, "content")))
+    write_records(rows.select(key, "version", "content"), out_path, ["version"], "overwrite", dynamic=False)
     return change_report(status)
+
+
+def place_items(items: DataFrame, rule_sets: Mapping[int, Sequence[Rule]], next_version: int, key: str = "key") -> DataFrame:
+    """M10 over whole item rows: ``items`` with their ``to_version``, one row per (to_version,
+    key). Where several versions of a key come to stand at one, the item that was there wins,
+    then the one of the highest version."""
+    passes = {v: F.size(failures(rs)) == 0 for v, rs in rule_sets.items()}
+    best = F.greatest(*[F.when(p, F.lit(v)) for v, p in passes.items()], F.lit(0))
+    own_ok = F.lit(False)
+    for v, p in passes.items():
+        own_ok = F.when(F.col("version") == v, p).otherwise(own_ok)
+    to = F.when(own_ok, F.col("version")).when(best > 0, best).otherwise(F.lit(next_version)).cast("int")
+    others = [c for c in items.columns if c != key]
+    row = F.struct(*others)
+    return (items.withColumn("to_version", to).groupBy("to_version", key)
+                 .agg(F.max_by(row, F.struct(F.col("version") == F.col("to_version"), "version")).alias("_r"))
+                 .select("to_version", key, "_r.*"))

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from ..operators import quality as L
 from ..operators import sync as M
+from ..operators import sync_flow
+from ..sources import catalogue as store
 from .fixtures import BLOCKLIST_SQL, blocklist_df
 from .registry import query
 from .tables import table
@@ -389,3 +391,110 @@ def q_m_sync_run(spark, sf):
     report = M.run_sync(old, new, out, rules, 12, blocked=blocked, pairs=pairs)
     assert report is not None
     return spark.read.parquet(out).select("key", F.col("version").cast("int").alias("version"), "content")
+
+
+@query("M_sync_run_versions", """
+WITH o AS (SELECT o_orderkey AS k, 'o' || CAST(o_orderkey AS VARCHAR) AS key, o_orderstatus || '|' || CAST(o_custkey AS VARCHAR) AS c,
+                  o_orderstatus = 'F' AS f FROM orders),
+old AS (SELECT 11 AS version, key, c AS content FROM o UNION ALL SELECT 10, key, c || '|ten' FROM o WHERE f),
+new AS (SELECT 11 AS version, key, CASE WHEN k % 89 = 0 THEN c || '|changed' WHEN k % 53 = 0 THEN c || '|more' ELSE c END AS content
+        FROM o WHERE k % 97 <> 0 UNION ALL SELECT 10, key, c || '|ten' FROM o WHERE f AND k % 101 <> 0),
+d AS (SELECT coalesce(a.version, b.version) AS version, coalesce(a.key, b.key) AS key, b.content AS content,
+             CASE WHEN b.key IS NULL THEN 'D' WHEN a.key IS NULL THEN 'A' WHEN a.content <> b.content THEN 'M' END AS status
+      FROM old a FULL OUTER JOIN new b ON a.version = b.version AND a.key = b.key),
+placed AS (SELECT CASE WHEN version = 11 AND contains(content, 'changed') THEN 10 ELSE version END AS to_version, * FROM d WHERE status IN ('A', 'M')),
+gone AS (SELECT key FROM d WHERE status = 'D' AND key NOT IN (SELECT key FROM placed)),
+stays AS (SELECT version, key, content FROM d WHERE status IS NULL AND key NOT IN (SELECT key FROM gone)
+          UNION ALL SELECT old.version, old.key, old.content FROM old JOIN placed p ON p.version = old.version AND p.key = old.key
+          WHERE p.status = 'M' AND p.to_version <> p.version)
+SELECT CAST(version AS INTEGER) AS version, key, content FROM stays s
+WHERE NOT EXISTS (SELECT 1 FROM placed p WHERE p.to_version = s.version AND p.key = s.key)
+UNION ALL SELECT CAST(to_version AS INTEGER), key, content FROM placed""")
+def q_m_sync_versions(spark, sf):
+    """run_sync where a third of the keys stand in two versions: one changed version leaves the
+    other alone, a moved one takes the other's place, one removed from a version only leaves both."""
+    import uuid
+
+    from ..session import scratch_path
+    k = F.col("o_orderkey")
+    o = table(spark, sf, "orders").select(k.alias("k"), F.concat(F.lit("o"), k.cast("string")).alias("key"),
+                                          F.concat_ws("|", "o_orderstatus", F.col("o_custkey").cast("string")).alias("c"),
+                                          (F.col("o_orderstatus") == "F").alias("f"))
+    ten = o.where("f").select("k", F.lit(10).alias("version"), "key", F.concat("c", F.lit("|ten")).alias("content"))
+    old = o.select("k", F.lit(11).alias("version"), "key", F.col("c").alias("content")).unionByName(ten)
+    eleven = o.where("k % 97 <> 0").select("k", F.lit(11).alias("version"), "key", F.concat("c", F.when(F.col("k") % 89 == 0, "|changed").when(
+        F.col("k") % 53 == 0, "|more").otherwise("")).alias("content"))
+    new = eleven.unionByName(ten.where("k % 101 <> 0"))
+    out = scratch_path(spark, f"sync_run/{uuid.uuid4().hex}")
+    M.run_sync(*(x.drop("k").withColumn("content_hash", M.content_hash("content")) for x in (old, new)), out, _content_rules("changed"), 12)
+    return spark.read.parquet(out).select(F.col("version").cast("int").alias("version"), "key", "content")
+
+
+def _content_rules(word):
+    required = L.dq_required("content", "content")
+    return {10: [required], 11: [required, L.dq_value_pattern("content", word, negate=True, path="content")]}
+
+
+def _batch_sql(i: int) -> str:
+    """One batch of the replay: the catalogue c{i} from c{i - 1} and the log rows of its range."""
+    return f"""
+last{i} AS (SELECT version, key, arg_max(op, seq) AS op, arg_max(content, seq) AS content FROM log
+            WHERE seq > top * {i - 1} // 3 AND seq <= top * {i} // 3 GROUP BY version, key),
+ch{i} AS (SELECT l.version, l.key, l.content, CASE WHEN op = 'D' THEN 'D' WHEN c.key IS NULL THEN 'A' ELSE 'M' END AS status
+          FROM last{i} l LEFT JOIN c{i - 1} c ON c.version = l.version AND c.key = l.key
+          WHERE CASE WHEN op = 'D' THEN c.key IS NOT NULL ELSE c.key IS NULL OR c.content <> l.content END),
+ok{i} AS (SELECT * FROM ch{i} WHERE NOT (status = 'A' AND key IN (SELECT key FROM blocked))),
+out{i} AS (SELECT DISTINCT replaced AS key FROM pairs WHERE key IN (SELECT key FROM ok{i} WHERE status = 'A')),
+gone{i} AS (SELECT key FROM ok{i} WHERE status = 'D' AND key NOT IN (SELECT key FROM ok{i} WHERE status <> 'D') UNION SELECT key FROM out{i}),
+to{i} AS (SELECT CASE WHEN version = 11 AND contains(content, 'odd') THEN 10 ELSE version END AS to_version, * FROM ok{i}
+          WHERE status <> 'D' AND key NOT IN (SELECT key FROM out{i})),
+up{i} AS (SELECT to_version AS version, key, arg_max(content, CASE WHEN version = to_version THEN 100 ELSE version END) AS content
+          FROM to{i} GROUP BY to_version, key),
+c{i} AS MATERIALIZED (SELECT version, key, content FROM c{i - 1} c WHERE key NOT IN (SELECT key FROM gone{i})
+          AND NOT EXISTS (SELECT 1 FROM ok{i} o WHERE o.status = 'D' AND o.version = c.version AND o.key = c.key)
+          AND NOT EXISTS (SELECT 1 FROM up{i} u WHERE u.version = c.version AND u.key = c.key)
+          UNION ALL SELECT version, key, content FROM up{i})"""
+
+
+@query("M_sync_catalogue", f"""
+WITH m AS (SELECT max(event_id) + 1 AS top FROM events),
+log AS (SELECT event_id + 1 AS seq, 10 + event_id % 2 AS version, 'u' || CAST(user_id AS VARCHAR) AS key,
+               CASE event_type WHEN 'signup' THEN 'A' WHEN 'error' THEN 'D' ELSE 'M' END AS op,
+               event_type || ':' || CAST(event_id AS VARCHAR) || CASE WHEN event_id % 11 = 0 THEN '|odd' ELSE '' END AS content, top
+        FROM events, m WHERE NOT (event_type = 'view' AND event_id % 5 = 0)),
+blocked AS (SELECT 'u' || CAST(c_custkey AS VARCHAR) AS key FROM customer WHERE c_custkey % 50 = 7),
+pairs AS (SELECT 'u' || CAST(c_custkey AS VARCHAR) AS key, 'u' || CAST(c_custkey + 1 AS VARCHAR) AS replaced FROM customer WHERE c_custkey % 40 = 0),
+c0 AS (SELECT 11 AS version, 'u' || CAST(c_custkey AS VARCHAR) AS key, c_name AS content FROM customer WHERE c_custkey % 3 <> 0
+       UNION ALL SELECT 10, 'u' || CAST(c_custkey AS VARCHAR), c_name FROM customer WHERE c_mktsegment = 'BUILDING'),
+{",".join(_batch_sql(i) for i in (1, 2, 3))}
+SELECT CAST(version AS INTEGER) AS version, key, content FROM c3""")
+def q_m_sync_catalogue(spark, sf):
+    """The whole flow: a catalogue of customers in two versions, the events as an ordered log of
+    changes to it, applied in three batches (each its own commit), the last one twice.
+    Returns the current snapshot; the repeated batch must be a no-op."""
+    import uuid
+
+    from ..session import scratch_path
+    c = table(spark, sf, "customer")
+    key = lambda k: F.concat(F.lit("u"), k.cast("string"))
+    start = c.where("c_custkey % 3 <> 0").select(F.lit(11).alias("version"), key(F.col("c_custkey")).alias("key"), F.col("c_name").alias("content")) \
+        .unionByName(c.where("c_mktsegment = 'BUILDING'").select(F.lit(10).alias("version"), key(F.col("c_custkey")).alias("key"),
+                                                                 F.col("c_name").alias("content")))
+    blocked = c.where("c_custkey % 50 = 7").select(key(F.col("c_custkey")).alias("key"))
+    pairs = c.where("c_custkey % 40 = 0").select(key(F.col("c_custkey")).alias("key"), key(F.col("c_custkey") + 1).alias("replaced"))
+    e, n = table(spark, sf, "events"), F.col("event_id")
+    path = F.when((F.col("event_type") == "view") & (n % 5 == 0), F.concat(F.lit("docs/"), key(F.col("user_id")), F.lit(".md"))) \
+        .otherwise(F.concat(F.lit("definitions/v"), (n % 2 + 10).cast("string"), F.lit("/"), key(F.col("user_id")), F.lit(".yml")))
+    log = e.select((n + 1).alias("seq"), path.alias("path"),
+                   F.when(F.col("event_type") == "signup", "A").when(F.col("event_type") == "error", "D").otherwise("M").alias("op"),
+                   F.concat("event_type", F.lit(":"), n.cast("string"), F.when(n % 11 == 0, "|odd").otherwise("")).alias("content"),
+                   F.lit(None).cast("string").alias("old_path"))
+    top = log.agg(F.max("seq")).first()[0] or 0
+    root = scratch_path(spark, f"catalogue/{uuid.uuid4().hex}")
+    store.commit(spark, root, start, buckets=4)
+    for i in (1, 2, 3, 3):
+        last, before = sync_flow.replay(spark, root, log.where(F.col("seq") <= top * i // 3), "events", _content_rules("odd"), 12, blocked, pairs), \
+            store.read_manifest(spark, root).number
+    if last is not None or before > 4:
+        raise RuntimeError("a repeated batch was applied again")
+    return store.read_catalogue(spark, root).select("version", "key", "content")
