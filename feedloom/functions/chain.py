@@ -180,8 +180,10 @@ def f_diacritics(c, mode: str = "replace") -> Column:
     """strip accents (mode ``replace``, the only one in use)."""
     if mode != "replace":
         raise ValueError(f"unsupported diacritics mode {mode!r}")
-    # combining accents go, letters with a built-in accent become their base letter
-    return F.translate(F.regexp_replace(col_of(c), r"[\u0300-\u036f]", ""), _ACCENT_SRC, _ACCENT_DST)
+    # combining accents go, letters with a built-in accent become their base letter; texts of
+    # ASCII alone hold neither
+    x = col_of(c)
+    return F.when(x.rlike(r"[^\x00-\x7F]"), F.translate(F.regexp_replace(x, r"[\u0300-\u036f]", ""), _ACCENT_SRC, _ACCENT_DST)).otherwise(x)
 
 
 VALIDATE_SPLIT = r"[,;/|\s]+"

@@ -191,6 +191,39 @@ def q_q15(spark, sf):
     return Q.andmatch_prefix(_doc_records(spark, sf), "text", "tion enfants pour", 4).select("doc_id")
 
 
+def _text_index(spark, sf):
+    import uuid
+
+    from ..operators import keyword_index
+    from ..session import scratch_path
+    d = table(spark, sf, "documents", spread=True).select("doc_id", "text")
+    path = scratch_path(spark, f"keyword_index/{uuid.uuid4().hex}")
+    keyword_index.write_index(d, "doc_id", "text", path)
+    return keyword_index, d, path
+
+
+@query("Q1_search_q_indexed", """
+SELECT doc_id FROM documents WHERE contains(lower(text), 'theat') AND contains(lower(text), 'of')""")
+def q_q1_indexed(spark, sf):
+    index, d, path = _text_index(spark, sf)
+    return index.indexed_search_q(d, "doc_id", "text", path, "TheaT  of").select("doc_id")
+
+
+@query("Q14_andmatch_indexed", """
+SELECT doc_id FROM documents WHERE contains(lower(strip_accents(text)), 'ementere') AND contains(lower(strip_accents(text)), 'elle')""")
+def q_q14_indexed(spark, sf):
+    """Both words are intersected through the postings of their rarest trigrams."""
+    index, d, path = _text_index(spark, sf)
+    return index.indexed_andmatch(d, "doc_id", "text", path, "Ementère; elle").select("doc_id")
+
+
+@query("Q15_andmatch_prefix_indexed", """
+SELECT doc_id FROM documents WHERE contains(lower(strip_accents(text)), 'erenth')""")
+def q_q15_indexed(spark, sf):
+    index, d, path = _text_index(spark, sf)
+    return index.indexed_andmatch(d, "doc_id", "text", path, "erenthoust and more", 6).select("doc_id")
+
+
 @query("Q16_capability_filter", f"""
 WITH c AS (SELECT * FROM {CAPABILITIES_SQL})
 SELECT e.event_type AS source, count(*) AS n_events
