@@ -76,12 +76,12 @@ def reverse_category(request: DataFrame, cmap: DataFrame, req_code: str = "req_c
 
 
 def default_categories(request: DataFrame, cmap: DataFrame, source: str = "source") -> DataFrame:
-    """A request without categories uses the source's default ids."""
-    defaults = (cmap.filter("is_default").groupBy(source)
-                    .agg(F.array_sort(F.collect_set("site_id")).alias("_defaults")))
-    return (request.join(F.broadcast(defaults), source, "left")
-                   .withColumn("site_ids", F.coalesce(F.col("site_ids"), F.col("_defaults")))
-                   .drop("_defaults"))
+    """A request without categories uses the source's default ids. The defaults, one entry
+    per source of the definitions, are one map that each request looks up: no join."""
+    per_source = cmap.filter(F.col("is_default") & F.col(source).isNotNull()).groupBy(source).agg(
+        F.array_sort(F.collect_set("site_id")).alias("ids"))
+    defaults = per_source.agg(F.map_from_entries(F.collect_list(F.struct(source, "ids")))).scalar()
+    return request.withColumn("site_ids", F.coalesce(F.col("site_ids"), F.try_element_at(defaults, F.col(source))))
 
 
 def simple_categories(df: DataFrame, map_col: str, keep: Sequence[str] = ()) -> DataFrame:

@@ -287,6 +287,21 @@ def q_o3(spark, sf):
     return Q.page_offset(Q.sort_requested(o, [("o_orderdate", "desc"), ("o_orderkey", "asc")]), 3, 50)
 
 
+@query("O3_page_by_ranges", """
+WITH n AS (SELECT count(*) // 50 // 2 AS page FROM events)
+SELECT event_id, value, event_type FROM events ORDER BY value DESC NULLS LAST, event_id LIMIT 50 OFFSET (SELECT page * 50 FROM n)""")
+def q_o3_ranges(spark, sf):
+    """The middle page of all events, read from the ranges it lies in."""
+    import uuid
+
+    from ..operators import paging
+    from ..session import scratch_path
+    e = table(spark, sf, "events").select("event_id", "value", "event_type")
+    path, keys = scratch_path(spark, f"paging/{uuid.uuid4().hex}"), [("value", "desc"), ("event_id", "asc")]
+    paging.write_ordered(e, keys, path)
+    return paging.read_page(spark, path, e.schema, keys, e.count() // 50 // 2, 50)
+
+
 @query("O4_top_per_group", """
 SELECT l_returnflag, rank, l_orderkey, l_linenumber, l_extendedprice FROM (
   SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber,

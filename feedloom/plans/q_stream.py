@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from ..streaming.feed import incremental_feed
+from ..streaming.feed import emit_once, emitted, incremental_feed
 from .registry import query
 
 
@@ -32,3 +32,19 @@ def q_s1(spark, sf):
     q.awaitTermination()
     res = spark.read.parquet(out)
     return res.select("user_id", "event_type", F.col("hour").cast("timestamp_ntz").alias("hour"))
+
+
+@query("S1_feed_once", """
+SELECT DISTINCT user_id, event_type, date_trunc('hour', ts) AS hour FROM events""")
+def q_s1_once(spark, sf):
+    """The events arrive in several files, one per trigger, so keys repeat in later batches, most
+    of them far beyond any watermark; each is emitted once."""
+    run = uuid.uuid4().hex
+    base = scratch_path(spark, f"incremental_feed/{run}")
+    events = spark.read.parquet(f"{sf.rstrip('/')}/events.parquet")
+    events.repartition(4, "event_id").write.parquet(f"{base}/in")
+    q = emit_once(spark, f"{base}/in", events.schema, f"{base}/out", f"{base}/checkpoint", ["user_id", "event_type", "hour"],
+                  transform=_transform, max_files_per_trigger=1)
+    q.awaitTermination()
+    res = emitted(spark, f"{base}/out", _transform(events.limit(0)).schema)
+    return res.select("user_id", "event_type", F.col("hour").cast("timestamp_ntz").alias("hour"))

@@ -299,10 +299,26 @@ def fan_in_paths(dfs: Mapping[int, DataFrame]) -> DataFrame:
 
 def route_paths(requests: DataFrame, paths: DataFrame, on: str = "categories") -> DataFrame:
     """Pair each request with the paths whose category set meets it; a path without
-    a set always applies. ``paths`` is the per-source path list (bounded by definitions),
-    so it is broadcast and the overlap test runs map-side."""
-    cond = F.arrays_overlap(requests[f"req_{on}"], paths[f"path_{on}"]) | paths[f"path_{on}"].isNull()
-    return requests.join(F.broadcast(paths), cond, "inner")
+    a set always applies.
+
+    Both sides are exploded to a row per code and joined on it. A pair that meets in several
+    codes is kept for the least common one only, so no distinct is needed and repeated rows stay
+    repeated. Paths without a set stand under a mark that every request carries as well. The
+    size of the path side is left to AQE, which broadcasts it if it is small."""
+    req, own = f"req_{on}", f"path_{on}"
+    kind = requests.schema[req].dataType.elementType
+    mark = lambda any_, code: F.struct(F.lit(any_).alias("any"), code.cast(kind).alias("code"))
+    every = F.array(mark(True, F.lit("0")))
+    codes = lambda c: F.transform(F.array_distinct(F.filter(c, lambda x: x.isNotNull())), lambda x: mark(False, x))
+    left = requests.withColumn("_k", F.explode(F.concat(every, F.coalesce(codes(F.col(req)), F.array().cast(every_type(kind))))))
+    right = paths.withColumn("_p", F.explode(F.when(F.col(own).isNull(), every).otherwise(codes(F.col(own)))))
+    both = left.join(right, (F.col("_k.any") == F.col("_p.any")) & (F.col("_k.code") == F.col("_p.code")), "inner")
+    return both.where(F.col("_k.any") | (F.col("_k.code") == F.array_min(F.array_intersect(F.col(req), F.col(own))))).drop("_k", "_p")
+
+
+def every_type(kind: T.DataType) -> T.DataType:
+    """The type of a list of marked codes in ``route_paths``."""
+    return T.ArrayType(T.StructType([T.StructField("any", T.BooleanType(), False), T.StructField("code", kind)]))
 
 
 def flatten_documents(df: DataFrame, key: str, content: str) -> dict[str, DataFrame]:
