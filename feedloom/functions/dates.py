@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .text import col_of
@@ -146,6 +146,8 @@ def _unit_seconds(u: Column) -> Column:
 def ago_seconds(c) -> Column:
     """'2 days 4 hours ago' -> 187200.0 (month = 30 days, year = 365 days)."""
     t = F.lower(col_of(c))
+    # a comma between digits is a decimal one, or one of thousands if it stands before three digits
+    t = F.regexp_replace(F.regexp_replace(t, r"(?<=\d),(?=\d{3}(?!\d))", ""), r"(?<=\d),(?=\d)", ".")
     t = F.regexp_replace(t, r",|\bago\b|\band\b", " ")
     amounts = F.regexp_extract_all(t, F.lit(_AGO_PAIR), 1)
     units = F.regexp_extract_all(t, F.lit(_AGO_PAIR), 2)
@@ -196,7 +198,10 @@ def _at_day(as_of: Column, days_back: Column, tod: Column) -> Column:
     return F.timestamp_seconds(F.unix_seconds(midnight) - days_back * 86400 + tod)
 
 
-_WEEKDAY_RE = r"\b(" + "|".join(WEEKDAYS) + r")\b"
+# a day word with nothing but a time after it; a weekday before a full date is part of that date
+_DAY_REST = r"[\s,.]*(?:(?:at|@)\s*)?(?:\d{1,2}:\d{2}(?::\d{2})?\s*(?:[ap]m)?)?$"
+_TODAY_RE, _YESTERDAY_RE = r"^today" + _DAY_REST, r"^yesterday" + _DAY_REST
+_WEEKDAY_RE = r"^(?:(?:last|on)\s+)?(" + "|".join(WEEKDAYS) + r")" + _DAY_REST
 # a time without a day, and text that starts as an ISO date does
 _BARE_TIME_RE = r"^t?\d{1,2}:\d{2}(:\d{2})?\s*([ap]m)?$"
 _ISO_RE = r"^\d{4}-\d{1,2}"
@@ -207,7 +212,7 @@ def f_fuzzytime(c, as_of, formats: list[str] | None = None) -> Column:
     """today / yesterday / weekday / relative / formatted / ISO text -> timestamp.
 
     Weekday names resolve to the latest earlier date with that weekday (1-7 days back),
-    a [choice]. Unparseable text gives null. The input is read by every branch: pass a
+    a [choice]; day words count only where nothing but a time follows. Unparseable text gives null. The input is read by every branch: pass a
     column (by name), not an expression, so the text is computed once per row.
     """
     a = as_of_col(as_of)
@@ -219,8 +224,8 @@ def f_fuzzytime(c, as_of, formats: list[str] | None = None) -> Column:
     back = ((dow_asof - wd + 6) % 7) + 1
     branches = (F.when(t.rlike(_NOW_RE), a)
                 .when(t.rlike(_BARE_TIME_RE), _at_day(a, F.lit(0), tod))
-                .when(t.startswith("today"), _at_day(a, F.lit(0), tod))
-                .when(t.startswith("yesterday"), _at_day(a, F.lit(1), tod))
+                .when(t.rlike(_TODAY_RE), _at_day(a, F.lit(0), tod))
+                .when(t.rlike(_YESTERDAY_RE), _at_day(a, F.lit(1), tod))
                 .when(wd > 0, _at_day(a, back, tod))
                 .when(F.regexp_replace(t, r"\s+", " ").rlike(_REL_RE), _minus_seconds(a, ago_seconds(t))))
     parsed = [f_dateparse(col_of(c), f, guard=True) for f in (formats or [])]
@@ -301,3 +306,44 @@ def localised_months(c, lang: str | list[str]) -> Column:
     whole = F.regexp_extract(x, pat, 0)
     en = F.element_at(lookup, F.lower(F.rtrim(whole, F.lit("."))))
     return F.when(whole != "", F.replace(x, whole, en)).otherwise(x)
+
+
+# ----------------------------------------------------------------------------- formats by row
+
+#: Distinct (format, zone, language) combinations that one dispatch holds, at most.
+MOST_FORMATS = 1000
+
+
+def parse_by_source(df: DataFrame, text: str, specs: DataFrame, on: str = "source", out: str = "parsed") -> DataFrame:
+    """F18, N3, N5 for a table of many sources: every row's ``text`` is parsed by the formats of
+    its source. ``specs`` is (source, seq, format, zone, lang), a definition-sized dimension: formats
+    are tried by ``seq``, ``zone`` (``+03:00``, or null) is attached to the text, and ``lang`` (or
+    null) names the language of its months. Sources without specs and texts that fit none give
+    null; rows are neither lost nor repeated.
+
+    The distinct combinations are read once and become one CASE whose branches have literal
+    formats, so no formatter is built per row; the dimension joins the records by source."""
+    specs = specs.where(F.col(on).isNotNull() & F.col("format").isNotNull())
+    combos = [tuple(r) for r in specs.select("format", "zone", "lang").distinct().limit(MOST_FORMATS + 1).collect()]
+    if len(combos) > MOST_FORMATS:
+        raise ValueError(f"more than {MOST_FORMATS} date formats")
+    combos.sort(key=lambda c: tuple(x or "" for x in c))
+    numbers = F.create_map(*[x for i, c in enumerate(combos) for x in (F.lit("\x00".join(x or "" for x in c)), F.lit(i))]) if combos else None
+    lists = (specs.select(on, "seq", F.element_at(numbers, F.concat_ws("\x00", "format", F.coalesce("zone", F.lit("")), F.coalesce("lang", F.lit("")))).alias("n"))
+                  .groupBy(on).agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", "n"))), lambda s: s["n"]).alias("_formats"))) if combos else None
+    if lists is None:
+        return df.withColumn(out, F.lit(None).cast("timestamp"))
+
+    def parse(x: Column, number: Column) -> Column:
+        case = F.lit(None).cast("timestamp")
+        for i, (fmt, zone, lang) in enumerate(combos):
+            v = localised_months(x, lang) if lang else x
+            done = f_dateparse(attach_zone(v, zone), f"{fmt} zzz", guard=True) if zone else f_dateparse(v, fmt, guard=True)
+            case = F.when(number == i, done) if i == 0 else case.when(number == i, done)
+        return case
+
+    most = lists.agg(F.max(F.size("_formats"))).first()[0] or 0
+    joined = df.join(lists, on, "left")
+    tries = [parse(F.col(text), F.get("_formats", F.lit(k))) for k in range(most)]
+    return joined.withColumn(out, F.coalesce(*tries) if tries else F.lit(None).cast("timestamp")).select(
+        *[c for c in df.columns if c.lower() != out.lower()], out)

@@ -17,7 +17,11 @@ SIZE_POWERS = {"b": 0, "k": 1, "m": 2, "g": 3, "t": 4, "p": 5}
 # Cyrillic unit spellings -> Latin.
 LOCAL_SIZE_UNITS = [("КБ", "KB"), ("МБ", "MB"), ("ГБ", "GB"), ("ТБ", "TB"), ("Б", "B")]
 
-_SIZE = r"(?i)([0-9][0-9.,]*)\s*([kmgtp]?i?b(?:ytes?)?)?"
+# a number, perhaps in blocks of three, that no letter or digit stands before
+_NUMBER = r"(?<![\p{L}\d.,])([0-9]{1,3}(?:[ \u00a0\u202f][0-9]{3})+(?:[.,][0-9]+)?(?![0-9])|[0-9][0-9.,]*)"
+# the number that has a unit, else the first one; a sign makes neither a size
+_SIZED = r"(?i)((?<![\p{L}\d])-)?" + _NUMBER + r"\s*([kmgtp]i?b(?:ytes?)?|b(?:ytes?)?(?!\p{L}))"
+_UNSIZED = r"((?<![\p{L}\d])-)?([0-9][0-9.,]*)"
 
 
 def localise_size_units(c) -> Column:
@@ -30,12 +34,15 @@ def localise_size_units(c) -> Column:
 def to_bytes(c) -> Column:
     """N1: '1.5 GB' / '512 MB' / '1 ГБ' / '1,024 KiB' / '1,5 GB' -> bytes as BIGINT (1024 base).
 
-    With both separators the last one is the decimal one. One kind alone is a thousands
-    separator if it stands more than once, or is a comma before exactly three digits. A size
-    beyond BIGINT gives null."""
+    The number that a unit follows counts ('x264 700 MB'), blanks between blocks of three are
+    thousands. With both separators the last one is the decimal one. One kind alone is a
+    thousands separator if it stands more than once, or is a comma before exactly three digits.
+    A size beyond BIGINT and a negative one give null."""
     t = localise_size_units(col_of(c))
-    num = F.regexp_extract(t, _SIZE, 1)
-    unit = F.lower(F.regexp_extract(t, _SIZE, 2))
+    sized = t.rlike(_SIZED)
+    part = lambda i: F.when(sized, F.regexp_extract(t, _SIZED, i)).otherwise(F.regexp_extract(t, _UNSIZED, i))
+    num = F.regexp_replace(part(2), r"[ \u00a0\u202f]", "")
+    unit = F.when(sized, F.lower(F.regexp_extract(t, _SIZED, 3))).otherwise("")
     num = F.regexp_replace(num, r"[.,]+$", "")
     comma_last = F.instr(F.reverse(num), ",") < F.instr(F.reverse(num), ".")
     european = F.replace(F.replace(num, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
@@ -48,13 +55,24 @@ def to_bytes(c) -> Column:
                                                      for x in (F.lit(k), F.lit(v))]),
                                     F.substring(unit, 1, 1)), F.lit(0))
     val = num.try_cast("double") * F.pow(F.lit(1024.0), power)
-    return F.round(val).try_cast("bigint")
+    return F.when(part(1) == "", F.round(val).try_cast("bigint"))
+
+
+_COUNT = r"(?i)(-?(?:[0-9]{1,3}(?:[,.' \u00a0\u202f][0-9]{3})+(?![0-9])|[0-9]+))([.,][0-9]+)?\s*([km](?!\p{L}))?"
 
 
 def to_count(c) -> Column:
-    """N6: '1,234' -> 1234; anything without digits -> 0."""
-    digits = F.regexp_replace(col_of(c).cast("string"), r"[^0-9]", "")
-    return F.coalesce(digits.try_cast("bigint"), F.lit(0).cast("bigint"))
+    """The first number of a text: '1,234' -> 1234, '1.5k' -> 1500, '12 of 30' -> 12, '-5' -> -5.
+
+    A separator before exactly three digits is one of thousands; decimals are cut off. Text
+    without digits and null give 0, a number beyond BIGINT null."""
+    t = col_of(c).cast("string")
+    whole = F.regexp_replace(F.regexp_extract(t, _COUNT, 1), r"[,.' \u00a0\u202f]", "")
+    rest = F.replace(F.regexp_extract(t, _COUNT, 2), F.lit(","), F.lit("."))
+    suffix = F.lower(F.regexp_extract(t, _COUNT, 3))
+    scaled = F.concat(whole, rest).try_cast("decimal(38,9)") * F.when(suffix == "m", F.lit(1_000_000)).otherwise(F.lit(1000))
+    number = F.when(suffix == "", whole.try_cast("bigint")).otherwise(scaled.try_cast("bigint"))
+    return F.when(t.rlike("[0-9]"), number).otherwise(F.lit(0).cast("bigint"))
 
 
 # How each external id is written in links.
@@ -110,9 +128,39 @@ def to_boolean(c) -> Column:
 
 
 def resolve_url(c, base) -> Column:
-    """Relative link -> absolute against ``base`` (the source's first link)."""
-    x = col_of(c)
-    b = F.rtrim(lit_str(base), F.lit("/"))
-    return (F.when(x.rlike(r"^(?i)(https?|magnet|ftp):"), x)
-            .when(x.startswith("//"), F.concat(F.lit("https:"), x))
-            .otherwise(F.concat(b, F.lit("/"), F.ltrim(x, F.lit("/")))))
+    """A link -> absolute, with ``base`` (the source's first link) as a folder."""
+    return resolve_reference(c, F.concat(F.rtrim(lit_str(base), F.lit("/")), F.lit("/")))
+
+
+# The parts of a reference as RFC 3986, appendix B splits them.
+_REFERENCE = r"^(?:([^:/?#]+):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
+
+
+def remove_dot_segments(path: Column) -> Column:
+    """'/a/b/../c/./d' -> '/a/c/d': a fold over the parts of an absolute path; '..' at the root
+    stays at the root, and a final dot segment leaves its folder."""
+    parts = F.split(path, "/", -1)
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda done, p: F.when(
+        p == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(1)))).when(p == ".", done).otherwise(F.concat(done, F.array(p))))
+    last = F.element_at(parts, -1)
+    return F.array_join(F.when(last.isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept), "/")
+
+
+def resolve_reference(c, base) -> Column:
+    """A reference against the address of the document that holds it, as RFC 3986, 5.2 has it.
+    References with a scheme (``mailto:``, ``magnet:``) are absolute and stay as they are; a null
+    reference or base gives null."""
+    x, b = col_of(c), lit_str(base)
+    of = lambda text, i: F.regexp_extract(text, _REFERENCE, i)
+    path, base_path = of(x, 3), of(b, 3)
+    origin = F.concat(of(b, 1), F.lit("://"), of(b, 2))
+    query = F.regexp_extract(x, r"^[^?#]*(\?[^#]*)", 1)
+    fragment = F.regexp_extract(x, r"(#.*)$", 1)
+    folder = F.regexp_extract(base_path, r"^(.*/)", 1)
+    merged = F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), path)
+    at = (F.when(path == "", F.concat(base_path, F.when(query == "", F.regexp_extract(b, r"^[^?#]*(\?[^#]*)", 1)).otherwise(query)))
+          .when(path.startswith("/"), F.concat(remove_dot_segments(path), query))
+          .otherwise(F.concat(remove_dot_segments(merged), query)))
+    other_host = F.concat(of(b, 1), F.lit("://"), of(x, 2), F.when(path == "", path).otherwise(remove_dot_segments(path)), query, fragment)
+    return (F.when(x.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), x).when(x.startswith("//"), other_host)
+            .otherwise(F.concat(origin, at, fragment)))

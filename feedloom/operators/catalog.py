@@ -130,18 +130,17 @@ min_policy = source_dimension
 
 def filtered_settings(defaults: DataFrame, user: DataFrame, on: Sequence[str] = ("source", "name"),
                       options: DataFrame | None = None) -> DataFrame:
-    """User settings over defaults; a select value outside its options is rejected
-    (falls back to the default)."""
+    """User settings over defaults. Of a setting that ``options`` (source, name, opt_key)
+    lists, a value outside its options is rejected and the default stands; settings without
+    options (text, checkbox, password) keep the user's value. Rows are kept one by one."""
     j = defaults.join(user, list(on), "left")
-    val = F.coalesce(F.col("user_value"), F.col("default"))
+    columns, val = j.columns, F.coalesce(F.col("user_value"), F.col("default"))
     if options is not None:
-        ok = options.select(*on, F.col("opt_key").alias("_ok")).distinct()
-        j = j.join(ok, [*on], "left").withColumn(
-            "_valid", F.col("user_value").isNull() | (F.col("user_value") == F.col("_ok")))
-        j = j.groupBy(*[c for c in j.columns if c not in ("_ok", "_valid")]).agg(
-            F.max("_valid").alias("_valid"))
-        val = F.when(F.col("_valid"), val).otherwise(F.col("default"))
-    return j.withColumn("value", val)
+        listed = options.select(*on, F.col("opt_key").alias("user_value")).distinct()
+        j = (j.join(listed.select(*on).distinct().withColumn("_listed", F.lit(True)), list(on), "left")
+              .join(listed.withColumn("_valid", F.lit(True)), [*on, "user_value"], "left"))
+        val = F.when(F.col("_listed") & F.col("_valid").isNull(), F.col("default")).otherwise(val)
+    return j.withColumn("value", val).select(*columns, "value")
 
 
 def alias_hosts(df: DataFrame, url: str, aliases: DataFrame) -> DataFrame:
@@ -156,6 +155,9 @@ def alias_hosts(df: DataFrame, url: str, aliases: DataFrame) -> DataFrame:
 
 
 def source_profile(df: DataFrame, dims: Sequence[str], cube: bool = True) -> DataFrame:
-    """Record counts per dimension combination (``cube``, or plain group)."""
-    g = df.cube(*dims) if cube else df.groupBy(*dims)
-    return g.agg(F.count(F.lit(1)).alias("n"))
+    """Record counts per dimension combination (``cube``, or plain group). ``level`` has a bit
+    per dimension, the first one highest, that is set where the row sums over it, so a null
+    value (bit 0) and a subtotal (bit 1) are told apart."""
+    if not cube:
+        return df.groupBy(*dims).agg(F.count(F.lit(1)).alias("n")).withColumn("level", F.lit(0).cast("long"))
+    return df.cube(*dims).agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("level"))

@@ -187,11 +187,13 @@ def report_first(df: DataFrame, key: str, rules: Sequence[Rule]) -> DataFrame:
 
 def validation_summary(items: DataFrame, errors: DataFrame, key: str, by: str | None = None) -> DataFrame:
     """G1: total / errors / success per group, with an overall line (``rollup``).
-    Errors are reduced to one row per key before the join, so the join is 1:1."""
+    Errors are reduced to one row per key before the join, so the join is 1:1. ``level`` is 1
+    on the overall line and 0 on a group's, also where the group is null."""
     bad = errors.select(key).distinct().withColumn("_bad", F.lit(1))
     j = items.join(bad, key, "left")
     g = j.rollup(by) if by else j.groupBy()
-    out = g.agg(F.count(F.lit(1)).alias("total"), F.count("_bad").alias("errors"))
+    level = F.grouping_id() if by else F.lit(1).cast("long")
+    out = g.agg(F.count(F.lit(1)).alias("total"), F.count("_bad").alias("errors"), level.alias("level"))
     return out.withColumn("success", F.col("total") - F.col("errors"))
 
 

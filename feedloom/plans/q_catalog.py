@@ -216,3 +216,34 @@ SELECT lang, source, count(*) AS n FROM documents GROUP BY CUBE (lang, source)""
 def q_g6(spark, sf):
     d = table(spark, sf, "documents")
     return C.source_profile(d, ["lang", "source"]).select("lang", "source", "n")
+
+
+@query("C12_settings_kinds", """
+SELECT c_custkey, name, CASE WHEN name = 'sort' THEN CASE WHEN c_custkey % 3 = 0 THEN 'size' ELSE 'time' END
+                             WHEN name = 'user' THEN c_name WHEN c_custkey % 2 = 0 THEN 'true' ELSE 'off' END AS value
+FROM customer, (VALUES ('sort'), ('user'), ('freeleech')) AS s(name)
+WHERE c_custkey % 5 <> 0 UNION ALL SELECT c_custkey, name, CASE name WHEN 'sort' THEN 'time' WHEN 'user' THEN '' ELSE 'off' END
+FROM customer, (VALUES ('sort'), ('user'), ('freeleech')) AS s(name) WHERE c_custkey % 5 = 0""")
+def q_c12_kinds(spark, sf):
+    """A select setting with options, a text and a checkbox setting without; every fifth
+    customer has set nothing."""
+    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("source"), "c_name")
+    defaults = c.select("source", F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.lit(d).alias("default")) for n, d in (
+        ("sort", "time"), ("user", ""), ("freeleech", "off"))])).alias("s")).select("source", "s.*")
+    k = F.col("source")
+    user = c.where(k % 5 != 0).select("source", F.explode(F.array(
+        F.struct(F.lit("sort").alias("name"), F.when(k % 3 == 0, "size").otherwise("bogus").alias("user_value")),
+        F.struct(F.lit("user").alias("name"), F.col("c_name").alias("user_value")),
+        F.struct(F.lit("freeleech").alias("name"), F.when(k % 2 == 0, "true").alias("user_value")))).alias("s")).select("source", "s.*")
+    options = defaults.where("name = 'sort'").select("source", "name", F.explode(F.array(F.lit("time"), F.lit("size"))).alias("opt_key"))
+    return C.filtered_settings(defaults, user, options=options).select(F.col("source").alias("c_custkey"), "name", "value")
+
+
+@query("G6_profile_levels", """
+SELECT lang, site, count(*) AS n, CAST(GROUPING(lang, site) AS BIGINT) AS level
+FROM (SELECT CASE WHEN doc_id % 7 <> 0 THEN lang END AS lang, CASE WHEN doc_id % 5 <> 0 THEN source END AS site FROM documents) GROUP BY CUBE (lang, site)""")
+def q_g6_levels(spark, sf):
+    """Null values of a dimension beside its subtotals."""
+    d = table(spark, sf, "documents").select(F.when(F.col("doc_id") % 7 != 0, F.col("lang")).alias("lang"),
+                                             F.when(F.col("doc_id") % 5 != 0, F.col("source")).alias("site"))
+    return C.source_profile(d, ["lang", "site"])

@@ -430,3 +430,83 @@ def q_f24_by_source(spark, sf):
     d = table(spark, sf, "documents", spread=True).select("doc_id", "source", "text")
     rules = spark.createDataFrame(SOURCE_RULES, "source string, seq int, pattern string, replacement string")
     return C.cleanup_titles_by_source(d, "text", rules, out="out").select("doc_id", "out")
+
+
+# (format, how Spark renders it, zone, language, unit the text is exact to); our own fixture, one source each
+SOURCE_FORMATS = [
+    ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss", None, None, "second"),
+    ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "+03:00", None, "second"),
+    ("dd.MM.yyyy HH:mm", "dd.MM.yyyy HH:mm", None, None, "minute"),
+    ("dd/MM/yyyy HH:mm:ss", "dd/MM/yyyy HH:mm:ss", "-05:00", None, "second"),
+    ("MM/dd/yyyy HH:mm", "MM/dd/yyyy HH:mm", None, None, "minute"),
+    ("dd-MM-yyyy HH:mm:ss", "dd-MM-yyyy HH:mm:ss", None, None, "second"),
+    ("yyyy/MM/dd HH:mm", "yyyy/MM/dd HH:mm", None, None, "minute"),
+    ("yyyy.MM.dd HH:mm:ss", "yyyy.MM.dd HH:mm:ss", "+08:00", None, "second"),
+    ("MMM d yyyy hh:mm tt", "MMM d yyyy hh:mm a", None, None, "minute"),
+    ("d MMM yyyy HH:mm", "d MMM yyyy HH:mm", None, None, "minute"),
+    ("dd MMM yyyy HH:mm:ss", "dd MMM yyyy HH:mm:ss", "+02:00", None, "second"),
+    ("MMM dd, yyyy HH:mm", "MMM dd, yyyy HH:mm", None, None, "minute"),
+    ("ddd, dd MMM yyyy HH:mm:ss", "EEE, dd MMM yyyy HH:mm:ss", None, None, "second"),
+    ("dddd, d MMMM yyyy", "EEEE, d MMMM yyyy", None, None, "day"),
+    ("yyyyMMddHHmmss", "yyyyMMddHHmmss", None, None, "second"),
+    ("yyyyMMdd HH:mm", "yyyyMMdd HH:mm", "-02:00", None, "minute"),
+    ("HH:mm dd.MM.yyyy", "HH:mm dd.MM.yyyy", None, None, "minute"),
+    ("HH:mm:ss dd/MM/yyyy", "HH:mm:ss dd/MM/yyyy", "+01:00", None, "second"),
+    ("dd/MM/yy HH:mm", "dd/MM/yy HH:mm", None, None, "minute"),
+    ("yyyy-MM-ddTHH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", None, None, "second"),
+    ("MMMM d, yyyy h:mm tt", "MMMM d, yyyy h:mm a", None, None, "minute"),
+    ("d MMM yyyy HH:mm", "d '%' yyyy HH:mm", None, "fr", "minute"),
+    ("d MMM yyyy, HH:mm", "d '%' yyyy, HH:mm", None, "de", "minute"),
+    ("d MMM yyyy HH:mm:ss", "d '%' yyyy HH:mm:ss", None, "es", "second"),
+    ("d MMM yyyy, HH:mm", "d '%' yyyy, HH:mm", "+03:00", "ru", "minute"),
+]
+
+
+def _formats_sql():
+    cases = " ".join(f"WHEN {i} THEN date_trunc('{unit}', ts) - INTERVAL ({_offset_hours(zone or '')}) HOUR"
+                     for i, (_, _, zone, _, unit) in enumerate(SOURCE_FORMATS))
+    n = len(SOURCE_FORMATS) + 1  # the last source declares no format
+    return f"SELECT event_id, 's' || CAST(event_id % {n} AS VARCHAR) AS source, CASE event_id % {n} {cases} END AS parsed FROM events"
+
+
+@query("F18_formats_by_source", _formats_sql())
+def q_f18_sources(spark, sf):
+    """One table of many sources, each with its own format, zone and month language; a format
+    that fits nothing is tried first for every other source."""
+    ts, n = F.col("ts").cast("timestamp"), len(SOURCE_FORMATS) + 1
+    k = F.col("event_id") % n
+    text = F.lit("2020-01-02 03:04:05")
+    for i, (_, render, _, lang, _) in enumerate(SOURCE_FORMATS):
+        t = F.date_format(ts, render)
+        if lang:
+            months = F.array(*[F.lit(m) for m in D.MONTH_NAMES["ru_gen" if lang == "ru" else lang]])
+            t = F.replace(t, F.lit("%"), F.element_at(months, F.month(ts)))
+        text = F.when(k == i, t) if i == 0 else text.when(k == i, t)
+    e = table(spark, sf, "events", spread=True).select(
+        "event_id", F.concat(F.lit("s"), k.cast("string")).alias("source"), text.otherwise("2020-01-02 03:04:05").alias("txt"))
+    specs = [(f"s{i}", 2, fmt, zone, lang) for i, (fmt, _, zone, lang, _) in enumerate(SOURCE_FORMATS)]
+    specs += [(f"s{i}", 1, "yyyy|MM", None, None) for i in range(0, len(SOURCE_FORMATS), 2)]
+    dim = spark.createDataFrame(specs, "source string, seq int, format string, zone string, lang string")
+    return D.parse_by_source(e, "txt", dim).select("event_id", "source", F.col("parsed").cast("timestamp_ntz").alias("parsed"))
+
+
+@query("F20_decimal_amounts", f"""
+SELECT event_id, TIMESTAMP '{AS_OF}' - to_minutes(CAST(user_id % 30 * 60 + 30 AS INTEGER)) AS posted,
+       TIMESTAMP '{AS_OF}' - to_minutes(CAST(1000 + user_id % 30 AS INTEGER)) AS thousands FROM events""")
+def q_f20_decimal(spark, sf):
+    n = F.col("user_id") % 30
+    e = table(spark, sf, "events", spread=True).select(
+        "event_id", F.concat(n.cast("string"), F.lit(",5 hours ago")).alias("a"),
+        F.concat(F.lit("1,0"), F.lpad(n.cast("string"), 2, "0"), F.lit(" mins ago")).alias("b"))
+    return e.select("event_id", D.f_timeago("a", AS_OF).cast("timestamp_ntz").alias("posted"),
+                    D.f_timeago("b", AS_OF).cast("timestamp_ntz").alias("thousands"))
+
+
+@query("F22_weekday_dates", """
+SELECT event_id, CASE event_id % 3 WHEN 0 THEN date_trunc('day', ts) WHEN 1 THEN date_trunc('minute', ts) END AS posted FROM events""")
+def q_f22_dates(spark, sf):
+    """A weekday before a full date belongs to the date; 'yesterdays ...' is no day."""
+    ts, k = F.col("ts").cast("timestamp"), F.col("event_id") % 3
+    e = table(spark, sf, "events", spread=True).select("event_id", F.when(k == 0, F.date_format(ts, "EEEE, d MMMM yyyy")).when(
+        k == 1, F.date_format(ts, "EEEE d MMM yyyy HH:mm")).otherwise(F.concat(F.lit("yesterdays news "), F.date_format(ts, "HH:mm"))).alias("txt"))
+    return e.select("event_id", D.f_fuzzytime("txt", AS_OF, ["dddd, d MMMM yyyy", "dddd d MMM yyyy HH:mm"]).cast("timestamp_ntz").alias("posted"))

@@ -212,3 +212,52 @@ def q_n13(spark, sf):
 
 
 
+
+
+@query("N1_sizes_in_text", """
+SELECT p_partkey, CAST(p_size AS BIGINT) * 1048576 AS after_codec, CAST(round((p_size + 0.5) * 1073741824) AS BIGINT) AS after_season,
+       CAST(p_size + 1 AS BIGINT) * 1000 * 1048576 AS blank_thousands, CAST(NULL AS BIGINT) AS negative FROM part""")
+def q_n1_text(spark, sf):
+    """The number with a unit is the size, not the first number of the text."""
+    n = F.col("p_size").cast("string")
+    p = table(spark, sf, "part", spread=True).select(
+        "p_partkey", F.concat(F.lit("Show x264 "), n, F.lit(" MB [1080p]")).alias("a"), F.concat(F.lit("S01E02 "), n, F.lit(".5 GB")).alias("b"),
+        F.concat((F.col("p_size") + 1).cast("string"), F.lit(" 000 MB")).alias("c"), F.concat(F.lit("-"), n, F.lit(" MB")).alias("d"))
+    return p.select("p_partkey", N.to_bytes("a").alias("after_codec"), N.to_bytes("b").alias("after_season"),
+                    N.to_bytes("c").alias("blank_thousands"), N.to_bytes("d").alias("negative"))
+
+
+@query("N6_counts_in_text", """
+SELECT p_partkey, CAST(p_size * 1000 + 500 AS BIGINT) AS thousands, CAST(p_size AS BIGINT) AS first_of_two, CAST(-p_size AS BIGINT) AS negative,
+       CAST(NULL AS BIGINT) AS too_large FROM part""")
+def q_n6_text(spark, sf):
+    n = F.col("p_size").cast("string")
+    p = table(spark, sf, "part", spread=True).select("p_partkey", F.concat(n, F.lit(".5k")).alias("a"), F.concat(n, F.lit(" of 9999")).alias("b"),
+                                                     F.concat(F.lit("-"), n).alias("c"), F.concat(n, F.lit("9" * 20)).alias("d"))
+    return p.select("p_partkey", N.to_count("a").alias("thousands"), N.to_count("b").alias("first_of_two"), N.to_count("c").alias("negative"),
+                    N.to_count("d").alias("too_large"))
+
+
+# The examples of RFC 3986, 5.4, against http://a/b/c/d;p?q; here "@" stands for http://a
+REFERENCES = [
+    ("g:h", "g:h"), ("g", "@/b/c/g"), ("./g", "@/b/c/g"), ("g/", "@/b/c/g/"), ("/g", "@/g"), ("//g", "http://g"), ("?y", "@/b/c/d;p?y"),
+    ("g?y", "@/b/c/g?y"), ("#s", "@/b/c/d;p?q#s"), ("g#s", "@/b/c/g#s"), ("g?y#s", "@/b/c/g?y#s"), (";x", "@/b/c/;x"), ("g;x", "@/b/c/g;x"),
+    ("g;x?y#s", "@/b/c/g;x?y#s"), ("", "@/b/c/d;p?q"), (".", "@/b/c/"), ("./", "@/b/c/"), ("..", "@/b/"), ("../", "@/b/"), ("../g", "@/b/g"),
+    ("../..", "@/"), ("../../", "@/"), ("../../g", "@/g"), ("../../../g", "@/g"), ("../../../../g", "@/g"), ("/./g", "@/g"), ("/../g", "@/g"),
+    ("g.", "@/b/c/g."), (".g", "@/b/c/.g"), ("g..", "@/b/c/g.."), ("..g", "@/b/c/..g"), ("./../g", "@/b/g"), ("./g/.", "@/b/c/g/"),
+    ("g/./h", "@/b/c/g/h"), ("g/../h", "@/b/c/h"), ("g;x=1/./y", "@/b/c/g;x=1/y"), ("g;x=1/../y", "@/b/c/y"), ("g?y/./x", "@/b/c/g?y/./x"),
+    ("g?y/../x", "@/b/c/g?y/../x"), ("g#s/./x", "@/b/c/g#s/./x"), ("g#s/../x", "@/b/c/g#s/../x"), ("http:g", "http:g"),
+]
+
+
+@query("N13_references", f"""
+WITH r AS (SELECT * FROM (VALUES {', '.join(f"({i}, '{a}', '{b}')" for i, (a, b) in enumerate(REFERENCES))}) AS t(k, ref, want))
+SELECT page_id, ref, replace(want, '@', 'http://' || regexp_extract(url, '^[a-z]+://([^/?#]+)', 1)) AS link
+FROM pages JOIN r ON page_id % {len(REFERENCES)} = k""")
+def q_n13_references(spark, sf):
+    """Every page's host takes the place of the examples' one; the references rotate over the pages."""
+    refs = F.array(*[F.lit(a) for a, _ in REFERENCES])
+    p = table(spark, sf, "pages").select(
+        "page_id", F.concat(F.lit("http://"), F.regexp_extract("url", r"^[a-z]+://([^/?#]+)", 1), F.lit("/b/c/d;p?q")).alias("base"),
+        F.element_at(refs, (F.col("page_id") % len(REFERENCES) + 1).cast("int")).alias("ref"))
+    return p.select("page_id", "ref", N.resolve_reference("ref", F.col("base")).alias("link"))

@@ -277,3 +277,14 @@ def q_g1(spark, sf):
 @query("O5_sort_errors", f"SELECT doc_id, path, rule, value FROM {SQL_DOC_ERRORS} e")
 def q_o5(spark, sf):
     return L.sort_errors(L.check(_docs(spark, sf), "doc_id", _doc_rules()), "doc_id")
+
+
+@query("G1_summary_levels", """
+WITH d AS (SELECT doc_id, CASE WHEN doc_id % 7 <> 0 THEN lang END AS lang, n_chars > 1000 AS bad FROM documents)
+SELECT lang, count(*) AS total, count(*) FILTER (WHERE bad) AS errors, count(*) FILTER (WHERE NOT bad) AS success,
+       CAST(GROUPING(lang) AS BIGINT) AS level FROM d GROUP BY ROLLUP (lang)""")
+def q_g1_levels(spark, sf):
+    """Documents without a language are a group of their own beside the overall line."""
+    d = table(spark, sf, "documents").select("doc_id", F.when(F.col("doc_id") % 7 != 0, F.col("lang")).alias("lang"), "n_chars")
+    errors = L.check(d, "doc_id", [L.dq_rule("long", "n_chars", F.col("n_chars") > 1000, F.col("n_chars"))])
+    return L.validation_summary(d.select("doc_id", "lang"), errors, "doc_id", "lang")
