@@ -99,15 +99,77 @@ def q_a1(spark, sf):
                      F.lit("text/html").alias("content_type"))
 
 
-@query("A2_html_irregular")
+@query("A2_html_irregular", r"""
+WITH plain AS (SELECT page_id, regexp_replace(regexp_replace(html, '<(script|style)[^>]*>.*?</(script|style)>', '', 'gs'), '<!--.*?-->', '', 'gs') AS h FROM pages),
+cut AS (SELECT page_id, string_split(h, '<p>') AS parts FROM plain),
+p AS (SELECT page_id, unnest(range(1, len(parts))) AS pos, unnest(parts[2:]) AS part FROM cut),
+t AS (SELECT page_id, pos, regexp_replace(regexp_extract(part, '^(.*?)(?:</p>|</article>|</div>|</footer>|<div|<h[1-6]|<ul|<table|<footer|$)', 1, 's'), '<[^>]*>', '', 'g') AS x FROM p)
+SELECT page_id, pos, CAST(length(trim(replace(replace(replace(replace(replace(replace(x, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'),
+       '&amp;', '&'), chr(32) || chr(9) || chr(10) || chr(13))) AS BIGINT) AS n_chars FROM t""")
 def q_a2_irregular(spark, sf):
-    """Slow path (rows-only check): html.parser over every page, one row per <p>."""
+    """One row per <p> of every page, most of which hold one without an end tag."""
     from ..sources.extract import html_rows_irregular
     pages = table(spark, sf, "pages", spread=True).select("page_id", "html")
     return html_rows_irregular(pages, "html", "p", ["page_id"]).select(
         "page_id", F.col("pos").cast("bigint").alias("pos"), F.length("text").cast("bigint").alias("n_chars"))
 
 
+def _blocks_of(df, key, per, item):
+    """Rows rendered by ``item`` and joined in order, ``per`` neighbouring keys a page."""
+    return df.groupBy(F.floor(F.col(key) / per).alias("block")).agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(F.col(key).alias("k"), item.alias("x")))), lambda s: s["x"]), "").alias("items"))
+
+
+@query("A2_unclosed_cells", """
+SELECT p_partkey // 50 AS block, row_number() OVER (PARTITION BY p_partkey // 50 ORDER BY p_partkey) AS pos, CAST(p_partkey AS VARCHAR) AS row_key,
+       p_name || ' & co' AS first_cell, p_brand AS second_cell, 'a > ' || p_type AS second_title, CAST(p_size AS VARCHAR) AS last_cell, p_size % 2 = 0 AS marked
+FROM part""")
+def q_a2_cells(spark, sf):
+    """Tables whose rows and cells have no end tags: attributes, nth and last cells, ``:has``."""
+    from ..sources import elements as E
+    p = table(spark, sf, "part")
+    mark = F.when(F.col("p_size") % 2 == 0, "<img class=free src='/x.png'>").otherwise("")
+    row = F.concat(F.lit("<tr data-k="), F.col("p_partkey").cast("string"), F.lit("><td><b>"), F.col("p_name"), F.lit("</b> &amp; co"), mark,
+                   F.lit('<TD title="a > '), F.col("p_type"), F.lit('">'), F.col("p_brand"), F.lit("<td>"), F.col("p_size").cast("string"))
+    pages = _blocks_of(p, "p_partkey", 50, row).select("block", F.concat(
+        F.lit("<!-- <tr><td>no --><table><thead><tr><th>Key<th>Name<tbody>"), "items", F.lit("</table><script>var t='<tr><td>';</script>")).alias("html"))
+    rows = E.rows_of(E.page_elements(pages, "html", ["block"]), "tr", ["block"], within="tbody")
+    e, every = F.col("e"), F.col("elements")
+    rows = rows.withColumn("cells", E.children_of(every, e, "td"))
+    cell = lambda n: F.element_at("cells", n)
+    return rows.select("block", F.col("pos").cast("bigint").alias("pos"), F.element_at(e["attrs"], F.lit("data-k")).alias("row_key"),
+                       E.text_of(cell(1)).alias("first_cell"), E.text_of(cell(2)).alias("second_cell"),
+                       F.element_at(cell(2)["attrs"], F.lit("title")).alias("second_title"), E.text_of(cell(-1)).alias("last_cell"),
+                       E.has(every, e, "img", "class", "free").alias("marked"))
+
+
+@query("A2_nested_lists", """
+WITH c AS (SELECT c_custkey // 100 AS block, c_custkey // 10 % 10 AS grp, c_custkey, c_name, c_mktsegment FROM customer),
+g AS (SELECT block, grp, count(*) AS n FROM c GROUP BY block, grp)
+SELECT c.block, row_number() OVER (PARTITION BY c.block, c.grp ORDER BY c.c_custkey) AS inner_pos,
+       dense_rank() OVER (PARTITION BY c.block ORDER BY c.grp) AS outer_pos, g.n AS inner_items,
+       '/c/' || CAST(c_custkey AS VARCHAR) || '?a=1&b=2' AS href, c_name AS title, c_mktsegment AS note
+FROM c JOIN g ON g.block = c.block AND g.grp = c.grp""")
+def q_a2_lists(spark, sf):
+    """Lists in list items, no item closed: the outer rows, their inner rows, links and text."""
+    from ..sources import elements as E
+    k = F.col("c_custkey")
+    inner = F.concat(F.lit("<li class='c'><a href='/c/"), k.cast("string"), F.lit("?a=1&amp;b=2'>"), F.col("c_name"), F.lit("</a> <i>"),
+                     F.col("c_mktsegment"), F.lit("</i>"))
+    c = table(spark, sf, "customer")
+    groups = _blocks_of(c, "c_custkey", 10, inner).select(F.col("block").alias("g"), F.concat(F.lit("<li>group<ul>"), "items", F.lit("</ul>")).alias("x"))
+    pages = _blocks_of(groups, "g", 10, F.col("x")).select("block", F.concat(F.lit("<ul id=top>"), "items", F.lit("</ul><p>end")).alias("html"))
+    outer = E.rows_of(E.page_elements(pages, "html", ["block"]), "li", ["block"], outermost=True)
+    every, e = F.col("elements"), F.col("e")
+    nested = outer.withColumn("rows", E.descendants(every, e, "li")).select(
+        "block", "page_text", "elements", F.col("pos").alias("outer_pos"), F.size("rows").alias("n"), F.posexplode("rows").alias("i", "r"))
+    r = F.col("r")
+    link = F.get(E.descendants(every, r, "a"), F.lit(0))
+    return nested.select("block", (F.col("i") + 1).cast("bigint").alias("inner_pos"), F.col("outer_pos").cast("bigint").alias("outer_pos"),
+                         F.col("n").cast("bigint").alias("inner_items"), F.element_at(link["attrs"], F.lit("href")).alias("href"),
+                         E.text_of(link).alias("title"), E.text_of(F.get(E.descendants(every, r, "i"), F.lit(0))).alias("note"))
+
+
 # ----------------------------------------------------------------------------- A3-A7
 
 # Payloads are rendered per (key, block of 1000 ids): bounded size, like a result page.

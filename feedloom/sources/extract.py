@@ -56,60 +56,13 @@ def html_rows(df: DataFrame, body: str, item_pattern: str, keep: Sequence[str] =
 
 
 def html_rows_irregular(df: DataFrame, body: str, tag: str, key_cols: Sequence[str]) -> DataFrame:
-    """A2 slow path: irregular markup parsed with ``html.parser`` in ``mapInPandas``.
+    """A2 for irregular markup: ``(*key_cols, pos, text, attrs)`` for each ``tag`` element, with missing
+    end tags supplied (see ``elements``); ``attrs`` is a JSON object, text is trimmed."""
+    from .elements import page_elements, rows_of, text_of
 
-    Emits ``(*key_cols, pos, text, attrs_json)`` for each ``tag`` element; one payload is
-    handled inside the task holding it, in Arrow batches.
-    """
-    out_schema = T.StructType([*[df.schema[k] for k in key_cols],
-                               T.StructField("pos", T.IntegerType()),
-                               T.StructField("text", T.StringType()),
-                               T.StructField("attrs", T.StringType())])
-
-    def parse(batches):
-        import json
-        from html.parser import HTMLParser
-
-        import pandas as pd
-
-        class P(HTMLParser):
-            """Elements of ``tag`` do not nest: a new start tag (or the end of the
-            document) closes an open one, as browsers do for p / li / td."""
-
-            def __init__(self):
-                super().__init__(convert_charrefs=True)
-                self.out, self.open, self.buf, self.attrs = [], False, [], None
-
-            def _close(self):
-                if self.open:
-                    self.out.append(("".join(self.buf).strip(), json.dumps(self.attrs)))
-                    self.open = False
-
-            def handle_starttag(self, t, a):
-                if t == tag:
-                    self._close()
-                    self.open, self.buf, self.attrs = True, [], dict(a)
-
-            def handle_endtag(self, t):
-                if t == tag:
-                    self._close()
-
-            def handle_data(self, d):
-                if self.open:
-                    self.buf.append(d)
-
-        for pdf in batches:
-            rows = []
-            for rec in pdf.itertuples(index=False):
-                p = P()
-                p.feed(getattr(rec, body) or "")
-                p.close()
-                p._close()
-                for i, (txt, at) in enumerate(p.out, 1):
-                    rows.append((*[getattr(rec, k) for k in key_cols], i, txt, at))
-            yield pd.DataFrame(rows, columns=[*key_cols, "pos", "text", "attrs"])
-
-    return df.select(*key_cols, body).mapInPandas(parse, out_schema)
+    rows = rows_of(page_elements(df, body, key_cols), tag, key_cols)
+    text = F.regexp_replace(text_of(F.col("e")), r"^\s+|\s+$", "")
+    return rows.select(*key_cols, F.col("pos").cast("int").alias("pos"), text.alias("text"), F.to_json("e.attrs").alias("attrs"))
 
 
 # ----------------------------------------------------------------------------- A3-A7
