@@ -228,15 +228,79 @@ def f_cleanup_titles(c, rules: Sequence[tuple[str, str]]) -> Column:
     return out
 
 
+#: What may follow a character and make it optional, and characters that are not themselves in a pattern.
+_OPTIONAL, _SPECIAL = "?*{", "\\^$.|?*+()[]{}"
+
+
+def required_literal(pattern: str | None) -> str | None:
+    """The longest lower-cased ASCII text that every match of a regular expression holds, or None.
+
+    Only plain characters outside groups and classes count; alternatives at the top level and
+    flags beyond ``(?i)`` give None. This reads a pattern as Java's and Python's rules have in
+    common and is never wrong in saying None."""
+    p = re.sub(r"^\(\?i\)", "", pattern or "")
+    best, run, depth, i = "", "", 0, 0
+    while i < len(p):
+        c, size = p[i], 1
+        plain = None
+        if c == "\\":
+            if p[i + 1:i + 2] in ("", "Q", "E"):
+                return None
+            size = 2
+            if p[i + 1] in "pPxukNcog0123456789":  # longer escapes: skip their braces as well
+                rest = re.match(r"\\(?:[pPxukNog](?:\{[^}]*\}|<[^>]*>)|[pPNX].|x..|u....|c.|\d+|.)", p[i:], re.S)
+                size = rest.end()
+            elif not p[i + 1].isalnum():
+                plain = p[i + 1]
+        elif c == "[":
+            size, inner = 1, 1
+            while i + size < len(p) and inner:
+                if p[i + size] == "\\":
+                    size += 1
+                else:
+                    inner += {"[": 1, "]": -1 if size > 1 and not p[i + 1:i + size].strip("^") == "" else 0}.get(p[i + size], 0)
+                size += 1
+            if inner:
+                return None
+        elif c == "(":
+            if p[i + 1:i + 2] == "?" and p[i + 2:i + 3] not in (":", "=", "!", "<", ">"):
+                return None
+            depth += 1
+        elif c == ")":
+            depth -= 1
+        elif c == "|" and depth == 0:
+            return None
+        elif c not in _SPECIAL:
+            plain = c
+        after = p[i + size:i + size + 1]
+        if plain is not None and depth == 0 and plain.isascii() and after not in tuple(_OPTIONAL):
+            run += plain
+        else:
+            best, run = max(best, run, key=len), ""
+        if plain is not None and after == "+":
+            best, run = max(best, run, key=len), ""
+        i += size
+    best = max(best, run, key=len).lower()
+    return best or None
+
+
 def cleanup_titles_by_source(df, col: str, rules, source: str = "source", out: str | None = None):
     """F24 with rules that differ per source: ``rules`` is a table
     ``(source, seq, pattern, replacement)``. The rules of a source become one ordered array,
-    which is joined to its records and folded over the text; no rule passes the driver."""
-    per = rules.groupBy(source).agg(F.array_sort(F.collect_list(F.struct("seq", "pattern", "replacement"))).alias("_rules"))
+    which is joined to its records and folded over the text; no rule passes the driver.
+
+    Each rule carries the text that all its matches hold (``required_literal``), found once per
+    rule. Where the text, as the rules before left it, lacks it, the regular expression is neither
+    compiled nor run, so a source may have a thousand rules of which a row meets a few."""
+    from pyspark.sql import types as T
+
+    literal = F.udf(required_literal, T.StringType())  # on the rules, not on the records
+    per = (rules.withColumn("literal", literal("pattern")).groupBy(source)
+                .agg(F.array_sort(F.collect_list(F.struct("seq", "pattern", "replacement", "literal"))).alias("_rules")))
     joined = df.join(per, source, "left")
     none = F.array().cast(joined.schema["_rules"].dataType)
-    folded = F.aggregate(F.coalesce("_rules", none), F.col(col),
-                         lambda acc, r: F.regexp_replace(acc, r["pattern"], r["replacement"]))
+    folded = F.aggregate(F.coalesce("_rules", none), F.col(col), lambda acc, r: F.when(
+        r["literal"].isNull() | F.lower(acc).contains(r["literal"]), F.regexp_replace(acc, r["pattern"], r["replacement"])).otherwise(acc))
     return joined.withColumn(out or col, folded).drop("_rules")
 
 

@@ -49,7 +49,7 @@ def optional_default(c, default=None) -> Column:
 def required_field(df: DataFrame, names: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Rows missing a required field go to a quarantine frame (with the reason)
     instead of failing the job. ``good + rejected`` = input, row for row."""
-    missing = F.array_compact(F.array(*[F.when(nz(col_of(n)).isNull(), F.lit(n)) for n in names]))
+    missing = F.array_compact(F.array(*[F.when(nz(col_of(n).cast("string")).isNull(), F.lit(n)) for n in names]))
     tagged = df.withColumn("_missing", missing)
     good = tagged.filter(F.size("_missing") == 0).drop("_missing")
     bad = tagged.filter(F.size("_missing") > 0).withColumn(
@@ -179,16 +179,29 @@ CANONICAL_NAMES = [f.name for f in CANONICAL_SCHEMA.fields]
 
 def canonical_project(df: DataFrame, strict: bool = True) -> DataFrame:
     """Project to the canonical record: cast every known field, add missing ones as
-    null, drop private ``_x`` fields; an unknown public name is an error when ``strict``. A value
-    that does not fit its type becomes null (reject such rows with ``required_field``)."""
+    null, drop private ``_x`` fields. Suffix variants (``date_year``, ``title_alt``) fold into their
+    field: the first of the field itself and its variants, in column order, that is not empty and
+    fits the type. Another unknown public name is an error when ``strict``. A value that fits
+    no type becomes null; ``canonical_records`` also enforces what must not be null."""
     public = [c for c in df.columns if not c.startswith("_")]
-    unknown = [c for c in public if c not in CANONICAL_NAMES]
+    field_of = {c: c if c in CANONICAL_NAMES else c.split("_", 1)[0] for c in public}
+    unknown = [c for c, f in field_of.items() if f not in CANONICAL_NAMES]
     if unknown and strict:
         raise ValueError(f"fields outside the canonical record: {unknown}")
     cols = []
     for f in CANONICAL_SCHEMA.fields:
-        if f.name in df.columns:
-            cols.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
-        else:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+        given = sorted((c for c in public if field_of[c] == f.name), key=lambda c: c != f.name)
+        values = [F.col(c).try_cast(f.dataType) for c in given]
+        if f.dataType == T.StringType() and len(values) > 1:
+            values = [nz(v) for v in values]
+        cols.append((F.coalesce(*values) if values else F.lit(None).cast(f.dataType)).alias(f.name))
     return df.select(*cols)
+
+
+def canonical_records(df: DataFrame, strict: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(records, rejected). Records hold what the schema says is never null; rejected
+    rows have the record as far as it could be read and a ``reject_reason``. Every input row is
+    in one of the two."""
+    record = canonical_project(df, strict)
+    needed = [f.name for f in CANONICAL_SCHEMA.fields if not f.nullable]
+    return required_field(record, needed)

@@ -10,21 +10,38 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import col_of
 
 
+#: Groups that the sketch reports, counters it keeps, and rows of a hot group in a bucket.
+HOT_GROUPS, HOT_COUNTERS, BUCKET_ROWS = 100, 10_000, 65_536
+
+
+def hot_buckets(df: DataFrame, group: Sequence[str], least: int, bucket_rows: int = BUCKET_ROWS) -> Column:
+    """How many buckets a row's group is dealt over: ``least``, or for the most frequent groups as
+    many as their size needs. A frequent-item sketch of the group keys (map-side, of bounded
+    size) is read once as a scalar; a group it does not report holds less than one row in
+    HOT_GROUPS."""
+    sketch = df.select(F.xxhash64(*group).alias("h")).agg(
+        F.expr(f"map_from_entries(transform(filter(approx_top_k(h, {HOT_GROUPS}, {HOT_COUNTERS}), x -> x.count > {least * bucket_rows}L), "
+               f"x -> struct(x.item, x.count)))")).scalar()
+    rows = F.try_element_at(sketch, F.xxhash64(*group))
+    return F.coalesce(F.ceil(rows / F.lit(bucket_rows)), F.lit(least)).cast("bigint")
+
+
 def number_within(df: DataFrame, group: Sequence[str], order: str, buckets: int = 64,
-                  out: str = "rn") -> DataFrame:
+                  out: str = "rn", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """1-based numbering of rows inside each group, skew-safe.
 
-    Rows are spread over ``buckets`` sub-groups by hash of ``order``; each sub-group is
-    numbered by its own window (bounded work per task), and a small table of sub-group
-    sizes gives each sub-group its offset. The numbering is deterministic: by
-    (bucket, order)."""
-    b = df.withColumn("_b", F.pmod(F.xxhash64(col_of(order)), F.lit(buckets)))
+    Rows are spread over ``buckets`` sub-groups by hash of ``order``, those of a hot group over
+    one per ``bucket_rows`` rows (``hot_buckets``); each sub-group is numbered by its own window
+    (bounded work per task), and a small table of sub-group sizes gives each sub-group its
+    offset. The numbering is deterministic but for the number of a hot group's buckets, which
+    follows its size: by (bucket, order)."""
+    b = df.withColumn("_b", F.pmod(F.xxhash64(col_of(order)), hot_buckets(df, group, buckets, bucket_rows)))
     local = b.withColumn("_lrn", F.row_number().over(Window.partitionBy(*group, "_b").orderBy(order)))
     sizes = b.groupBy(*group, "_b").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)

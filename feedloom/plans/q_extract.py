@@ -502,6 +502,38 @@ def q_a15_filters(spark, sf):
     return parts["filters"].select("key", "field", F.col("pos").cast("bigint").alias("pos"), "filter")
 
 
+_DOCS_SQL = f"""
+WITH n AS (SELECT o_custkey, o_orderkey, (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // {MAPPINGS_PER_DOCUMENT} AS blk FROM orders),
+k AS (SELECT DISTINCT o_custkey AS c, 'c' || o_custkey || '-' || blk AS key FROM n WHERE o_custkey IN (SELECT c_custkey FROM customer))"""
+
+
+def _child(name, *columns):
+    def build(spark, sf):
+        from ..sources.extract import flatten_documents
+        docs = documents_nested(spark, sf).select(F.from_json("json", DOCUMENT_SCHEMA).alias("d")).select("d.*")
+        out = flatten_documents(docs, "key", "content")[name]
+        if "pos" in columns:
+            out = out.withColumn("pos", F.col("pos").cast("bigint"))
+        return out.select(*columns)
+    return build
+
+
+query("A15_flatten_links", _DOCS_SQL + """
+SELECT key, CAST(1 AS BIGINT) AS pos, 'https://c' || c || '.example/' AS link FROM k""")(_child("links", "key", "pos", "link"))
+query("A15_flatten_modes", _DOCS_SQL + """
+SELECT key, mode, param FROM k, (VALUES ('search', 'q'), ('tv-search', 'q'), ('tv-search', 'season'), ('tv-search', 'ep')) AS m(mode, param)""")(
+    _child("modes", "key", "mode", "param"))
+query("A15_flatten_settings", _DOCS_SQL + """
+SELECT key, CAST(1 AS BIGINT) AS pos, 'sort' AS name, 'select' AS type, 'Sort' AS label, 'time' AS default FROM k""")(
+    _child("settings", "key", "pos", "name", "type", "label", "default"))
+query("A15_flatten_options", _DOCS_SQL + """
+SELECT key, 'sort' AS setting, opt_key, opt_value FROM k, (VALUES ('time', 'created'), ('size', 'size')) AS o(opt_key, opt_value)""")(
+    _child("options", "key", "setting", "opt_key", "opt_value"))
+query("A15_flatten_fields", _DOCS_SQL + """
+SELECT key, 'title' AS field, 'td a' AS selector, CAST(NULL AS VARCHAR) AS attribute, FALSE AS optional FROM k""")(
+    _child("fields", "key", "field", "selector", "attribute", "optional"))
+
+
 @query("A16_write_records", """
 SELECT event_type, count(*) AS n, CAST(sum(user_id) AS BIGINT) AS user_sum FROM events GROUP BY event_type""")
 def q_a16(spark, sf):

@@ -189,3 +189,33 @@ def q_b13(spark, sf):
                    F.col("p_type").alias("_internal"))
     c = B.canonical_project(rec)
     return c.select("title", "size", "seeders", "leechers", "source", "pos", "downloadvolumefactor")
+
+
+def _variant_records(spark, sf):
+    """Records whose date is written in one of three ways, each in its own suffixed field; some have
+    no title or a seeder count that is no number."""
+    o, k = table(spark, sf, "orders", spread=True), F.col("o_orderkey")
+    ts = F.col("o_orderdate").cast("timestamp")
+    return o.select(
+        F.lit("orders").alias("source"), k.cast("int").alias("pos"),
+        F.when(k % 4 == 0, "").when(k % 4 == 1, F.concat(F.lit("order "), k.cast("string"))).alias("title"),
+        F.when(k % 4 != 3, F.concat(F.lit("other "), k.cast("string"))).alias("title_alt"),
+        F.when(k % 3 == 0, F.date_format(ts, "yyyy-MM-dd")).alias("date_year"), F.when(k % 3 == 1, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")).alias("date_iso"),
+        F.when(k % 3 == 2, "no date").alias("date_day"), F.when(k % 5 == 0, "many").otherwise((k % 50).cast("string")).alias("seeders"))
+
+
+@query("B13_suffix_variants", """
+SELECT CAST(o_orderkey AS INTEGER) AS pos, CASE WHEN o_orderkey % 4 = 1 THEN 'order ' ELSE 'other ' END || o_orderkey AS title,
+       CASE WHEN o_orderkey % 3 < 2 THEN o_orderdate END AS date, CAST(o_orderkey % 50 AS INTEGER) AS seeders
+FROM orders WHERE o_orderkey % 4 <> 3 AND o_orderkey % 5 <> 0""")
+def q_b13_variants(spark, sf):
+    good, _ = B.canonical_records(_variant_records(spark, sf))
+    return good.select("pos", "title", F.col("date").cast("timestamp_ntz").alias("date"), "seeders")
+
+
+@query("B13_quarantine", """
+SELECT CAST(o_orderkey AS INTEGER) AS pos, 'missing: ' || concat_ws(',', CASE WHEN o_orderkey % 4 = 3 THEN 'title' END,
+       CASE WHEN o_orderkey % 5 = 0 THEN 'seeders' END) AS reject_reason FROM orders WHERE o_orderkey % 4 = 3 OR o_orderkey % 5 = 0""")
+def q_b13_quarantine(spark, sf):
+    _, bad = B.canonical_records(_variant_records(spark, sf))
+    return bad.select("pos", "reject_reason")

@@ -89,3 +89,50 @@ def test_null_groups_are_not_totals(spark):
     levels = sorted((r["g"] or "", r["level"], r["n"]) for r in C.source_profile(items, ["g"]).collect())
     assert levels == [("", 0, 2), ("", 1, 3), ("a", 0, 1)]
     assert C.source_profile(items, ["g"], cube=False).where(F.col("level") == 0).count() == 2
+
+
+def test_literals_that_every_match_holds():
+    from feedloom.functions.chain import required_literal
+    cases = {r"(?i)\btoken\b": "token", r"TOKEN = ": "token = ", r"[0-9]+": None, r"a|b": None, r"colou?r": "colo", r"ab*c": "a", r"x+y": "x",
+             r"\[HD\] (foo|bar) long end": " long end", r"(?u)k": None, r"a{2}bc": "bc", r"\Qa\E": None, r"[a\]b]xy": "xy", r"[]a]xy": "xy", r"[^]]zz": "zz",
+             r"\p{L}+end": "end", r"\x41Bq": "bq", r"": None, None: None, r"S(\d+)E(\d+)": "s", r"(abc)?d": "d", r"é.ÀBC": "bc", r"a(?=long)b": "a"}
+    assert {p: required_literal(p) for p in cases} == cases
+
+
+def test_a_thousand_rules_fold_like_all_of_them(spark):
+    import re
+
+    from feedloom.functions import chain as C
+    rules = [("a", i, rf"(?i)\bword{i}\b", f"w{i + 1}ord") for i in range(1000)] + [("a", 1000, r"w(\d+)ord", "[$1]"), ("b", 1, "x", "word7"), ("b", 2, "word7", "y")]
+    texts = ["Word3 and WORD999 wordx", "none", "", None, "word1word", "word12 word12"]
+    df = spark.createDataFrame([(s, t) for s in ("a", "b", None) for t in texts], "source string, t string")
+    got = C.cleanup_titles_by_source(df, "t", spark.createDataFrame(rules, "source string, seq int, pattern string, replacement string"), out="o").collect()
+    for r in got:
+        want = r["t"]
+        for s, _, p, rep in rules:
+            if want is not None and s == r["source"]:
+                want = re.sub(p, rep.replace("$1", r"\1"), want)
+        assert r["o"] == want, r
+
+
+def test_hot_groups_get_buckets_by_their_size(spark):
+    from feedloom.operators.numbering import hot_buckets, number_within
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("g"), F.col("id").alias("k"))
+    sized = {r["hot"]: r["n"] for r in df.select((F.col("g") == -1).alias("hot"), hot_buckets(df, ["g"], 4, 20).alias("n")).distinct().collect()}
+    assert sized == {True: 50, False: 4}
+    got = number_within(df, ["g"], "k", buckets=4, bucket_rows=20)
+    assert sorted(r["rn"] for r in got.where("g = -1").collect()) == list(range(1, 1001)) and got.where("g <> -1 and rn <> 1").count() == 0
+    assert number_within(df.limit(0), ["g"], "k").count() == 0
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan.split("Subquery")[0]
+
+
+def test_variants_fold_and_null_titles_are_rejected(spark):
+    from feedloom.operators import fields as B
+    df = spark.createDataFrame([("", "b", None, "2020-01-02", "1", "p"), ("a", "b", "2021-01-01", "2020-01-02", "x", "p"), (None, None, "bad", None, None, "p")],
+                               "title string, title_alt string, date_x string, date string, seeders string, _private string")
+    good, bad = B.canonical_records(df)
+    assert [(r["title"], str(r["date"]), r["seeders"]) for r in good.collect()] == [("b", "2020-01-02 00:00:00", 1)]
+    assert sorted(r["reject_reason"] for r in bad.collect()) == ["missing: seeders", "missing: title,seeders"]
+    with pytest.raises(ValueError, match="outside"):
+        B.canonical_project(df.withColumn("nothing_like", F.lit(1)))
