@@ -11,7 +11,9 @@ adverts, forms, scripts, styles, comments, hidden parts), by tag, role, or class
 are left out before. An article element is never left out for its names, and a name, role or
 form is overruled if it stands on what is around the page's article, or holds MOST of the scored
 text, or if nothing with a score would be left; this is looked at where the parts left out by
-name hold an article element or more text than the rest.
+name hold an article element or more text than the rest. Names on headings and ids of sections
+inside the article are those of its own headings and leave nothing out. Reader comments, by
+class or id, are left out however much of the page they are, unless it holds nothing else.
 
 Defined results: null or empty html and pages without text give an empty string; unclosed and
 misnested tags close as browsers close them; the whole page is read whatever its length;
@@ -31,9 +33,10 @@ from pyspark.sql import functions as F
 from .common import bounded_batches
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]{0,5000}+\"|'[^']{0,5000}+')*+)>"
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|(?<=\s)(hidden)(?=[\s>/]|$)", re.S)
+_MAIN_ROLE = re.compile(r"\brole\s*=\s*[\"']?main\b", re.I)
 _WORDS = re.compile(r"[a-z0-9]+")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 
@@ -54,7 +57,11 @@ NAMES = frozenset(
     "sidebars aside widget widgets footer header masthead topbar toolbar comment comments disqus reply replies respond discussion "
     "share sharing social related recommended recommendations newsletter subscribe subscription signup login search pagination "
     "pager disclaimer paywall".split())
+#: Reader comments, which are left out even where they are most of a page.
+COMMENTS = frozenset("comment comments disqus replies respond".split())
 _NOT_A_PART = frozenset("no with without has have".split())
+_NO_COMMENTS = _NOT_A_PART | frozenset("open closed status enabled disabled allowed on off count counts link links".split())
+_HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 #: A start tag closes these open elements first.
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
            "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"thead", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}}
@@ -69,11 +76,13 @@ MOST = 0.8
 NAMED, ALWAYS = 1, 2
 
 
-def _left_out(tag: str, attributes: str, inside: bool) -> int:
-    """0, NAMED or ALWAYS; inside: within an article or main element, whose own header holds its headline."""
+def _left_out(tag: str, attributes: str, inside: bool, comments: bool = False) -> int:
+    """0, NAMED or ALWAYS; inside: within an article or main element, whose own header holds its
+    headline and whose sections have ids that their headings gave them; comments: whether
+    reader comments are read as other named parts are."""
     if tag in LEFT_OUT or tag == "header" and not inside:
         return ALWAYS
-    if tag in ("html", "body", "main"):
+    if tag in ("html", "body", "main") or tag in _HEADINGS and "hidden" not in attributes and "display" not in attributes:
         return 0
     out = NAMED if tag == "form" else 0
     for m in _ATTRIBUTE.finditer(attributes) if "=" in attributes or "hidden" in attributes else ():
@@ -82,11 +91,18 @@ def _left_out(tag: str, attributes: str, inside: bool) -> int:
             return ALWAYS
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return ALWAYS
+        if tag in _HEADINGS:
+            continue
+        if name in ("class", "id"):
+            for one in value.split():
+                found = set(_WORDS.findall(one))
+                if not comments and found & COMMENTS and not found & _NO_COMMENTS:
+                    return ALWAYS
         if tag == "article":
             continue
         if name == "role" and value in ROLES:
             out = NAMED
-        if name in ("class", "id"):
+        if name in ("class", "id") and not (inside and tag == "section" and name == "id"):
             for one in value.split():
                 found = set(_WORDS.findall(one))
                 hits = found & NAMES - ({"header"} if inside else set())
@@ -95,7 +111,7 @@ def _left_out(tag: str, attributes: str, inside: bool) -> int:
     return out
 
 
-def blocks(page: str, kept: frozenset[int] | None = frozenset()) -> tuple[list[tuple[tuple[int, ...], str, str]], set[int], bool]:
+def blocks(page: str, kept: frozenset[int] | None = frozenset(), comments: bool = False) -> tuple[list[tuple[tuple[int, ...], str, str]], set[int], bool]:
     """(ids of the open elements, tag path, text) of every block with text, in page order; the
     ids of the named parts; and whether those left out hold an article, or more text than is read.
 
@@ -104,6 +120,7 @@ def blocks(page: str, kept: frozenset[int] | None = frozenset()) -> tuple[list[t
     stack: list[tuple[str, int, int]] = []  # tag, id, how left out
     hidden = always = read = left = 0
     named: set[int] = set()
+    mains: set[int] = set()  # elements of the role main
     article = False
 
     def flush() -> None:
@@ -165,8 +182,10 @@ def blocks(page: str, kept: frozenset[int] | None = frozenset()) -> tuple[list[t
                 if stack[i][0] in _CLOSES.get(tag, ()):
                     pop(i)
                     break
-        kind = _left_out(tag, attributes, any(x[0] in ARTICLE for x in stack))
+        kind = _left_out(tag, attributes, any(x[0] in ARTICLE or x[1] in mains for x in stack), comments)
         serial += 1
+        if "main" in attributes and _MAIN_ROLE.search(attributes):
+            mains.add(serial)
         if kind == NAMED:
             named.add(serial)
             if kept is None:
@@ -200,10 +219,10 @@ def _content(found: list[tuple[tuple[int, ...], str, str]]) -> list[int]:
     return np.flatnonzero(score >= min(score.std(), score.max())).tolist()
 
 
-def _overruled(page: str) -> frozenset[int]:
+def _overruled(page: str, comments: bool) -> frozenset[int]:
     """Named parts that are read all the same: what is around the page's article, what holds MOST
     of the scored text, and every named part if nothing with a score is left without them."""
-    found, named, _ = blocks(page, None)
+    found, named, _ = blocks(page, None, comments)
     scored = set(_content(found)) if found else set()
     rows = [(ids, path.split("/"), len(t) * (k in scored)) for k, (ids, path, t) in enumerate(found)]
     kept: set[int] = set()
@@ -255,9 +274,13 @@ def _common(a: tuple[int, ...], b: tuple[int, ...]) -> tuple[int, ...]:
 
 
 def main_text(page: str | None) -> str:
-    found, _, doubtful = blocks(page or "")
-    if doubtful and (kept := _overruled(page)):
-        found = blocks(page, kept)[0]
+    found: list[tuple[tuple[int, ...], str, str]] = []
+    for comments in (False, True):  # reader comments are read only where a page has nothing else
+        found, _, doubtful = blocks(page or "", comments=comments)
+        if doubtful and (kept := _overruled(page, comments)):
+            found = blocks(page, kept, comments)[0]
+        if found:
+            break
     if not found:
         return ""
     content = _content(found)
@@ -274,9 +297,6 @@ def main_text(page: str | None) -> str:
     return "\n".join(t for x, _, t in found if x[:len(ids)] == ids)
 
 
-_HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
-
-
 def _main_texts(pages: pa.Array) -> pa.Array:
     return pa.array([main_text(x) for x in pages.to_pylist()], pa.string())
 

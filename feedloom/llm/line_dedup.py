@@ -4,13 +4,13 @@ Every distinct line of a document counts for the document's site. A HyperLogLog
 line hash estimates on how many sites the line stands; sketches merge by aggregation, so a
 line that a third of all documents share costs one small sketch per task. Lines whose
 estimate lies near the threshold get an exact distinct count. Lines on ``min_sites`` sites or
-more are cross-site boilerplate. With ``max_share`` None they are taken out of every document
-that has a line of its own, whatever their share; a document without one is a copy as a whole,
-which is for the near-duplicate step, and is left as it is. With a number, as in the SQL of
-op6_line_dedup, a document is left as it is if they hold more than that share of its characters.
+more are cross-site boilerplate and are taken out of every document that has a line of its own,
+whatever their share; a document without one is a copy as a whole, which is for the
+near-duplicate step: it is left as it is and marked ``only_boilerplate``.
 
 Defined results: a null text stays null with no lines; empty lines are never boilerplate; a
-null site counts as one site of its own; repeated rows and clashing extra columns are kept.
+null site counts as one site of its own; repeated rows and clashing extra columns are kept,
+columns named like the three added ones are replaced.
 """
 
 from __future__ import annotations
@@ -58,29 +58,26 @@ def _bounded(lines: DataFrame, counted: DataFrame) -> DataFrame:
 
 
 def remove_boilerplate(docs: DataFrame, text: str = "text", site: str = "source", key: str = "doc_id",
-                       min_sites: int = 10, max_share: float | None = 0.5) -> DataFrame:
-    """``docs`` with the cleaned ``text`` and the columns n_lines, removed_lines (long)."""
-    docs = docs.drop(*(c for c in docs.columns if c.lower() in ("n_lines", "removed_lines")))
+                       min_sites: int = 10) -> DataFrame:
+    """``docs`` with the cleaned ``text`` and the columns n_lines, removed_lines (long), only_boilerplate."""
+    docs = docs.drop(*(c for c in docs.columns if c.lower() in ("n_lines", "removed_lines", "only_boilerplate")))
     bad = saved(boilerplate_lines(docs, text, site, min_sites), "boilerplate")
     hashes = F.array_distinct(F.transform(_lines(F.col(text)), _hash))
-    held = (docs.select(F.col(key).alias("_key"), F.explode(hashes).alias("line_hash"))
+    held = (docs.select(F.col(key).alias("key"), F.explode(hashes).alias("line_hash"))
                 .join(_bounded(bad, bad), "line_hash")
-                .groupBy("_key").agg(F.collect_set("line_hash").alias("_bad")))
-    none = F.array().cast("array<bigint>")
-    both = docs.join(held, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
-    both = both.withColumn("_bad", F.coalesce("_bad", none))
-    lines = _lines(F.col(text))
-    is_bad = lambda x: F.array_contains(F.col("_bad"), F.xxhash64(x))
-    gone = F.when(F.size("_bad") > 0, F.filter(lines, is_bad)).otherwise(F.array().cast("array<string>"))
-    both = both.withColumns({"_gone": gone, "n_lines": F.when(F.col(text).isNull(), 0).otherwise(F.size(lines)).cast("long")})
-    chars = F.aggregate("_gone", F.lit(0), lambda a, x: a + F.length(x))
-    if max_share is None:
-        left_alone = ~F.exists(lines, lambda x: x.rlike(r"\S") & ~is_bad(x))
-    else:
-        left_alone = chars > F.length(F.col(text)) * max_share
-    cut = (F.size("_gone") > 0) & ~left_alone
-    return (both.withColumn("_cut", cut)
-                .withColumns({text: F.when(F.col("_cut"), F.array_join(F.filter(lines, lambda x: ~is_bad(x)), "\n"))
-                                     .otherwise(F.col(text)),
-                              "removed_lines": F.when(F.col("_cut"), F.size("_gone")).otherwise(0).cast("long")})
-                .drop("_bad", "_gone", "_cut"))
+                .groupBy("key").agg(F.collect_set("line_hash").alias("bad")))
+    # the row is one struct, so no column of it can clash with those of the work
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(key).alias("own_key"), F.col(text).alias("body"))
+    both = rows.join(held, F.col("own_key").eqNullSafe(F.col("key")), "left").drop("key", "own_key")
+    both = both.withColumn("bad", F.coalesce("bad", F.array().cast("array<bigint>")))
+    lines = _lines(F.col("body"))
+    is_bad = lambda x: F.array_contains(F.col("bad"), F.xxhash64(x))
+    n_bad = F.when(F.size("bad") > 0, F.size(F.filter(lines, is_bad))).otherwise(0).cast("long")
+    own_line = F.exists(lines, lambda x: x.rlike(r"[^\x09-\x0D\x20]") & ~is_bad(x))
+    both = both.withColumns({"n_bad": n_bad, "whole": (F.size("bad") > 0) & ~own_line,
+                             "lines": F.when(F.col("body").isNull(), 0).otherwise(F.size(lines)).cast("long")})
+    cut = (F.col("n_bad") > 0) & ~F.col("whole")
+    cleaned = F.when(cut, F.array_join(F.filter(lines, lambda x: ~is_bad(x)), "\n")).otherwise(F.col("body"))
+    return both.select(*[cleaned.alias(c) if c.lower() == text.lower() else F.col("row").getField(c).alias(c) for c in docs.columns],
+                       F.col("lines").alias("n_lines"), F.when(cut, F.col("n_bad")).otherwise(0).cast("long").alias("removed_lines"),
+                       F.col("whole").alias("only_boilerplate"))

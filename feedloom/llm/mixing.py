@@ -10,8 +10,10 @@ totals hold exactly. Each block leaves at most six open documents; blocks of ope
 are joined and moved again, level by level, until one small landing problem a source is left:
 at most 13 open documents, of which the rounding nearest to the target is taken.
 
-Defined results: rows equal in (doc_id, source, size) are one unit and share the decision; a
-null text has size 0; the null source is a source of its own and sorts last; an empty table
+Defined results: m rows equal in (doc_id, source, size) are one unit; of the m * (t - floor(t))
+extra copies it expects, the whole number is given outright and only the fraction is drawn, so
+a unit of any number of rows meets its share; the extra copies go to its first rows, told
+apart by their place in the table. A null text has size 0; the null source is a source of its own and sorts last; an empty table
 gives an empty result. All draws are hashes of the rows, so reruns agree at any partitioning.
 """
 
@@ -25,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.numbering import number_within
 from .common import bounded_batches, drop_saved, saved, word_count
 
 EPS = 1e-9
@@ -101,8 +104,7 @@ def _land(p: np.ndarray, a: np.ndarray) -> np.ndarray:
 def _move(last: bool):
     def block(t: pa.Table) -> pa.Table:
         t = t.sort_by([("size", "descending"), ("unit", "ascending"), ("copies", "ascending")])
-        m = t["copies"].to_numpy().astype(float)
-        a = np.column_stack([m, m * t["size"].to_numpy()])
+        a = np.column_stack([np.ones(len(t)), t["size"].to_numpy().astype(float)])
         seed = zlib.crc32(f"{t['source'][0].as_py()}|{t['block'][0].as_py()}|{len(t)}".encode())
         p = _flight(t["p"].to_numpy(), a, np.random.default_rng(seed), LANDING if last else SPARED)
         p = _land(p, a) if last else p
@@ -133,7 +135,8 @@ def draw_extra(units: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id",
         weights: Sequence[float] = (5, 2, 1), epochs: float = 1.5, cap: float = 2.0) -> DataFrame:
-    """(key, source, size) -> source_size, target, n: how often each unit is taken."""
+    """(key, source, size) -> source_size, target, copies, whole, extra: each of the unit's ``copies``
+    rows is taken ``whole`` times, and ``extra`` of them once more."""
     bounded_batches(docs.sparkSession)
     sized = docs.select(F.col(key).alias("key"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"))
     rows = saved(sized.groupBy("key", "source", "size").agg(F.count(F.lit(1)).alias("copies")), "mix-units")
@@ -144,27 +147,45 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
     per_b = per_b.withColumnRenamed("source", "_source")
     t = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.floor(t + EPS)
-    left = F.greatest(t - whole, F.lit(0.0))
+    # extra copies that the unit's rows expect together: the whole part is given, the rest drawn
+    expected = F.greatest(t - whole, F.lit(0.0)) * F.col("copies")
+    given = F.floor(expected + EPS)
+    left = F.greatest(expected - given, F.lit(0.0))
     # an id in text form names the unit for order and draws; nulls have a name too
     unit = F.coalesce(F.col("key").cast("string"), F.lit("null"))
     both = (rows.join(per_b, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-                .withColumns({"whole": whole, "p": F.when(left < EPS, 0.0).otherwise(left),
+                .withColumns({"whole": whole, "given": given, "p": F.when(left < EPS, 0.0).otherwise(left),
                               "unit": unit, "blocks": F.ceil(F.col("units") / F.lit(BLOCK))}))
     extra = draw_extra(both)
     drop_saved(rows)
-    return extra.select("key", "source", "size", "source_size", "target",
-                        (F.col("whole") + F.round("p").cast("long")).alias("n"))
+    return extra.select("key", "source", "size", "source_size", "target", "copies", F.col("whole").cast("long").alias("whole"),
+                        (F.col("given") + F.round("p")).cast("long").alias("extra"))
 
 
 def decide(sized: DataFrame, mixed: DataFrame, source: str = "source", key: str = "doc_id") -> DataFrame:
-    """``sized`` (with key, source and a column size) joined with its units' decisions of ``mix``:
-    source_size, target and n."""
-    m = mixed.select(*(F.col(c).alias(f"_{c}") for c in mixed.columns))
-    on = (F.col(key).eqNullSafe(F.col("_key")) & F.col(source).eqNullSafe(F.col("_source")) & (F.col("size") == F.col("_size")))
-    out = sized.drop("source_size", "target", "n").join(m, on)
-    for c in ("source_size", "target", "n"):
-        out = out.withColumnRenamed(f"_{c}", c)
-    return out.drop("_key", "_source", "_size")
+    """``sized`` (with key, source and a column size) with source_size, target and n, how often the
+    mix takes the row, by its unit's decision of ``mix``. Columns of those names are replaced.
+
+    A unit whose rows are not all taken alike has its rows numbered, in two levels, so one that
+    holds a third of all rows is spread over tasks."""
+    kept = [c for c in sized.columns if c.lower() not in ("source_size", "target", "n")]
+    rows = sized.select(F.struct(*kept).alias("row"), F.col(key).alias("k"), F.col(source).alias("s"), F.col("size").alias("z"))
+
+    def joined(units: DataFrame) -> DataFrame:
+        return rows.join(units, F.col("k").eqNullSafe(F.col("key")) & F.col("s").eqNullSafe(F.col("source")) & (F.col("z") == F.col("size")))
+
+    def out(df: DataFrame, n) -> DataFrame:
+        return df.select(*[F.col("row").getField(c).alias(c) for c in kept], "source_size", "target", n.alias("n"))
+
+    some = (F.col("extra") > 0) & (F.col("extra") < F.col("copies"))
+    alike = out(joined(mixed.where(~some)), F.col("whole") + (F.col("extra") > 0).cast("long"))
+    split = mixed.where(some)
+    if split.isEmpty():
+        return alike
+    placed = saved(joined(split).withColumn("place", F.monotonically_increasing_id())
+                   .withColumn("u", F.xxhash64("k", "s", "z", F.col("k").isNull(), F.col("s").isNull())), "mix-split")
+    numbered = number_within(placed, ["u", "z"], "place")
+    return alike.unionByName(out(numbered, F.col("whole") + (F.col("rn") <= F.col("extra")).cast("long")))
 
 
 def mixture(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", **weights) -> DataFrame:

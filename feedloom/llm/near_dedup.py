@@ -267,10 +267,15 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     if not differ.isEmpty():
         return _keep_by_text(docs, key, text)
     ids = near_duplicates(docs, key, text).where(F.col("kept") & F.col("doc_id").isNotNull())
-    ids = ids.select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.join(ids, docs[key] == ids["_kept"], "left").where(F.col("_kept").isNotNull() | F.col(key).isNull())
-    twice = rows.where(F.col("_kept").isNotNull()).groupBy("_kept").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    return rows.drop("_kept") if twice.isEmpty() else _first_rows(rows, key, text)
+    rows = _beside(docs, F.col(key), ids.select(F.col("doc_id").alias("kept")).distinct())
+    twice = rows.where(F.col("kept").isNotNull()).groupBy("kept").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    return rows.select("row.*") if twice.isEmpty() else _first_rows(rows, key, text)
+
+
+def _beside(docs: DataFrame, own, kept: DataFrame) -> DataFrame:
+    """(row, kept): rows of ``docs``, each one struct, that ``kept`` names by ``own`` or that have no key."""
+    rows = docs.select(F.struct(*docs.columns).alias("row"), own.alias("own"))
+    return rows.join(kept, F.col("own") == F.col("kept"), "left").where(F.col("kept").isNotNull() | F.col("own").isNull()).drop("own")
 
 
 def _keep_by_text(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -279,16 +284,13 @@ def _keep_by_text(docs: DataFrame, key: str, text: str) -> DataFrame:
     named = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("_id"), F.col(text).alias("_text"), own.alias("_own"))
     groups = near_duplicates(named, "_own", "_text").select(F.col("doc_id").alias("_own"), "component_id").distinct()
     order = F.struct("_id", F.xxhash64("_text"))
-    kept = (named.join(groups, "_own").groupBy("component_id").agg(F.min_by("_own", order).alias("_kept"))
-                 .select("_kept"))
-    rows = docs.withColumn("_own", own)
-    rows = rows.join(kept, rows["_own"] == kept["_kept"], "left").where(F.col("_kept").isNotNull() | F.col(key).isNull())
-    return _first_rows(rows.drop("_own"), key, text)
+    kept = named.join(groups, "_own").groupBy("component_id").agg(F.min_by("_own", order).alias("kept")).select("kept")
+    return _first_rows(_beside(docs, own, kept), key, text)
 
 
 def _first_rows(rows: DataFrame, key: str, text: str) -> DataFrame:
-    names = [c for c in rows.columns if c != "_kept"]
-    lone = rows.where(F.col(key).isNull()).select(*names)
-    picked = rows.where(F.col(key).isNotNull()).groupBy("_kept").agg(
-        F.min_by(F.struct(*names), F.struct(F.col(text), F.col(key))).alias("r")).select("r.*")
+    lone = rows.where(F.col("kept").isNull()).select("row.*")
+    row = F.col("row")
+    picked = rows.where(F.col("kept").isNotNull()).groupBy("kept").agg(
+        F.min_by("row", F.struct(row.getField(text).alias("t"), row.getField(key).alias("k"), row.alias("r"))).alias("row")).select("row.*")
     return lone.unionByName(picked)

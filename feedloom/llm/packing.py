@@ -37,8 +37,8 @@ LENGTH, END = 2048, 1
 BINS, DIMS, BITS = 1024, 4, 8
 #: Words whose ids a Python worker remembers, at most.
 REMEMBER = 650_000
-#: Rows whose keys set the range bounds, and ranges for each shuffle partition.
-SAMPLE, RANGES_PER_PARTITION = 2_000, 4
+#: Rows for each range whose keys set the range bounds (2,000 at least), and ranges for each shuffle partition.
+SAMPLE_PER_RANGE, SAMPLE, RANGES_PER_PARTITION = 20, 2_000, 4
 #: Characters that Python, but not the tokenizer, takes for white space.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _MARKS = ".,;:!?#$%&*|"
@@ -232,13 +232,17 @@ def _encode(path: str, bounds: list[tuple[int, int]]):
 
 
 def _bounds(docs: DataFrame, tokenizer: str, ranges: int) -> list[tuple[int, int]]:
-    """Range bounds (curve, id) from about SAMPLE rows."""
+    """Range bounds (curve, id) from a sample that grows with the number of ranges; the driver
+    holds two numbers for each of its rows."""
     n = docs.count()
     if not n or ranges < 2:
         return []
-    got = docs.sample(min(1.0, SAMPLE / n), seed=17).mapInArrow(_encode(tokenizer, []), CODED).select("curve", "doc_id").collect()
-    keys = sorted((r["curve"], _LOW if r["doc_id"] is None else r["doc_id"]) for r in got)
-    return [keys[len(keys) * i // ranges] for i in range(1, ranges)] if len(keys) >= ranges else keys[1:]
+    share = min(1.0, max(SAMPLE, SAMPLE_PER_RANGE * ranges) / n)
+    got = docs.sample(share, seed=17).mapInArrow(_encode(tokenizer, []), CODED).select("curve", F.coalesce("doc_id", F.lit(_LOW)).alias("id")).toArrow()
+    curve, ids = got["curve"].to_numpy(), got["id"].to_numpy()
+    order = np.lexsort((ids, curve))
+    at = order[[len(order) * i // ranges for i in range(1, ranges)]] if len(order) >= ranges else order[1:]
+    return list(zip(curve[at].tolist(), ids[at].tolist(), strict=True))
 
 
 def _sizes(left: int) -> list[int]:
@@ -313,5 +317,7 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
     plain = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     ranges = RANGES_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
     coded = plain.mapInArrow(_encode(tokenizer, _bounds(plain, tokenizer, ranges)), CODED)
-    return (coded.repartition("bucket").sortWithinPartitions("bucket", "curve", "doc_id")
+    # as many ranges to a partition, where hashing the numbers would put some together
+    partitions = max(1, -(-ranges // RANGES_PER_PARTITION))
+    return (coded.repartitionById(partitions, F.col("bucket") % partitions).sortWithinPartitions("bucket", "curve", "doc_id")
                  .select("doc_id", "bucket", "ids").mapInArrow(_pack(kind, length), PIECES))

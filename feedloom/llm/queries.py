@@ -14,7 +14,7 @@ from .common import table
 #: (host, path, verdict); fixed by the query's contract.
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
              ("net", "/es/", "block"), ("net", "/fr/", "block")]
-MIN_SITES, MAX_SHARE = 10, 0.5
+MIN_SITES = 10
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,8 +41,8 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup.remove_boilerplate(table(spark, sf_dir, "documents"), min_sites=MIN_SITES, max_share=MAX_SHARE)
-    return out.select("doc_id", "n_lines", "removed_lines", F.sha2("text", 256).alias("text_sha256"))
+    out = line_dedup.remove_boilerplate(table(spark, sf_dir, "documents"), min_sites=MIN_SITES)
+    return out.select("doc_id", "n_lines", "removed_lines", "only_boilerplate", F.sha2("text", 256).alias("text_sha256"))
 
 
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,11 +126,11 @@ bad AS (SELECT line FROM l WHERE line <> '' GROUP BY line HAVING count(DISTINCT
 d AS (SELECT doc_id, text, CASE WHEN text IS NULL THEN 0 ELSE len(string_split(text, chr(10))) END AS n_lines,
              list_filter(string_split(text, chr(10)), lambda x: list_contains(b, x)) AS gone
       FROM documents, (SELECT coalesce(list(line), []) AS b FROM bad)),
-c AS (SELECT doc_id, text, n_lines, gone, len(gone) > 0 AND
-             list_sum(list_transform(gone, lambda x: length(x))) <= {MAX_SHARE} * length(text) AS cut FROM d)
-SELECT doc_id, n_lines, CASE WHEN cut THEN len(gone) ELSE 0 END AS removed_lines,
-       sha256(CASE WHEN cut THEN array_to_string(list_filter(string_split(text, chr(10)), lambda x: NOT list_contains(gone, x)), chr(10))
-                   ELSE text END) AS text_sha256 FROM c""",
+w AS (SELECT *, len(gone) > 0 AND len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x09-\\x0D\\x20]')
+             AND NOT list_contains(gone, x))) = 0 AS whole FROM d)
+SELECT doc_id, n_lines, CASE WHEN NOT whole THEN len(gone) ELSE 0 END AS removed_lines, coalesce(whole, FALSE) AS only_boilerplate,
+       sha256(CASE WHEN len(gone) > 0 AND NOT whole THEN array_to_string(list_filter(string_split(text, chr(10)), lambda x: NOT list_contains(gone, x)), chr(10))
+                   ELSE text END) AS text_sha256 FROM w""",
     "op8_bit_sliced_topk": """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),

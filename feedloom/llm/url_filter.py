@@ -90,8 +90,9 @@ def judge_urls(df: DataFrame, rules: DataFrame, url: str = "url", default: str =
     (host, path), pre-aggregated before the shuffle, and joined back; a hot URL's rows are
     split by the skew join."""
     new = ("host", "path", "rule", "verdict")
-    keyed = df.drop(*(c for c in df.columns if c.lower() in new and c != url))
-    keyed = keyed.withColumns({"host": url_host(F.col(url)), "path": url_path(F.col(url))})
+    kept = [c for c in df.columns if c.lower() not in new or c == url]
+    # the row is one struct, so no column of it can clash with those of the work
+    keyed = df.select(F.struct(*kept).alias("row"), url_host(F.col(url)).alias("host"), url_path(F.col(url)).alias("path"))
     urls = keyed.select("host", "path")
     index = small(rule_index(urls, rules), BROADCAST_RULES)
     found = (urls.withColumn("token", F.explode(F.concat(_tokens(F.col("host"), F.col("path")), F.array(F.lit("")))))
@@ -100,7 +101,6 @@ def judge_urls(df: DataFrame, rules: DataFrame, url: str = "url", default: str =
                  .groupBy("host", "path")
                  .agg(F.max_by(F.struct("rule", "rule_verdict"),
                                F.struct(F.length("rule"), F.length("rule_host"), "rule", "rule_verdict")).alias("best")))
-    return (keyed.join(found, ["host", "path"], "left")
-                 .withColumns({"rule": F.col("best.rule"),
-                               "verdict": F.coalesce("best.rule_verdict", F.lit(default))})
-                 .drop("best"))
+    return keyed.join(found, ["host", "path"], "left").select(
+        *[F.col("row").getField(c).alias(c) for c in kept], "host", "path", F.col("best.rule").alias("rule"),
+        F.coalesce("best.rule_verdict", F.lit(default)).alias("verdict"))

@@ -223,10 +223,11 @@ def test_boilerplate_equals_exact_counts(spark, docs_of):
         want = []
         for i, t, _ in rows:
             gone = [x for x in (t or "").split("\n") if x in bad]
-            cut = bool(gone) and sum(map(len, gone)) <= 0.5 * len(t)
+            whole = bool(gone) and not any(x.strip() and x not in bad for x in t.split("\n"))
+            cut = bool(gone) and not whole
             want.append((i, "\n".join(x for x in t.split("\n") if x not in bad) if cut else t,
-                         0 if t is None else len(t.split("\n")), len(gone) if cut else 0))
-        assert sorted(((r["doc_id"], r["text"], r["n_lines"], r["removed_lines"]) for r in got), key=str) == sorted(want, key=str)
+                         0 if t is None else len(t.split("\n")), len(gone) if cut else 0, whole))
+        assert sorted(((r["doc_id"], r["text"], r["n_lines"], r["removed_lines"], r["only_boilerplate"]) for r in got), key=str) == sorted(want, key=str)
     assert line_dedup.remove_boilerplate(docs_of(rows).limit(0)).count() == 0
 
 
