@@ -294,6 +294,9 @@ def cleanup_titles_by_source(df, col: str, rules, source: str = "source", out: s
     compiled nor run, so a source may have a thousand rules of which a row meets a few."""
     from pyspark.sql import types as T
 
+    from ..session import ship_package
+
+    ship_package(rules.sparkSession)
     literal = F.udf(lambda p: required_literal(p), T.StringType())  # on the rules, not on the records
     per = (rules.withColumn("literal", literal("pattern")).groupBy(source)
                 .agg(F.array_sort(F.collect_list(F.struct("seq", "pattern", "replacement", "literal"))).alias("_rules")))
