@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import re
 import unicodedata
+import zlib
 from collections.abc import Callable, Iterable, Sequence
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -116,7 +118,12 @@ HTML_ENTITIES = [
 ]
 
 
-_ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+# Names that the HTML standard also takes without their semicolon; not before a letter, digit or
+# "=", where they may be the next parameter of a link.
+_BARE_NAMES = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n)))
+_ENTITY = rf"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;|(?:{_BARE_NAMES})(?![A-Za-z0-9=]))"
+# Shards of the name table: a literal map is searched in order.
+_NAME_SHARDS = 128
 
 
 def f_htmldecode(c, full: bool = False) -> Column:
@@ -124,7 +131,8 @@ def f_htmldecode(c, full: bool = False) -> Column:
 
     ``full=False``: the core named entities, one after another.
     ``full=True``: every named and numeric entity in one pass over the text, so decoded text is
-    not decoded again; unknown names and impossible numbers stay as they are.
+    not decoded again; unknown names and impossible numbers stay as they are. Numbers may have any
+    count of digits, numbers and the old names may lack the semicolon.
     """
     out = col_of(c)
     if full:
@@ -136,17 +144,31 @@ def f_htmldecode(c, full: bool = False) -> Column:
     return out
 
 
+def _entity_names() -> Column:
+    """The names of the HTML standard's list and their text, as maps by the checksum of the name."""
+    shards: list[list[Column]] = [[] for _ in range(_NAME_SHARDS)]
+    for name, text in sorted(html5.items()):
+        if name.endswith(";"):
+            shards[zlib.crc32(name[:-1].encode()) % _NAME_SHARDS] += [F.lit(name[:-1]), F.lit(text)]
+    return F.array(*[F.create_map(*x) if x else F.create_map().cast("map<string,string>") for x in shards])
+
+
 def _entity_text(e: Column) -> Column:
-    """The text of one entity: a number's character, or a name of the HTML standard's list."""
-    from html.entities import html5
-    names = F.create_map(*[F.lit(x) for k, v in sorted(html5.items()) if k.endswith(";") for x in (k[:-1], v)])
-    inner = F.substr(e, F.lit(2), F.length(e) - 2)
-    hexed = F.when(inner.rlike("^#[xX]"), F.substr(inner, F.lit(3))).when(
-        inner.startswith("#"), F.conv(F.substr(inner, F.lit(2)), 10, 16))
-    code = F.conv(hexed, 16, 10).cast("long")
-    fine = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
-    number = F.decode(F.unhex(F.lpad(hexed, 8, "0")), "UTF-32")
-    return F.when(hexed.isNotNull(), F.when(fine, number).otherwise(e)).otherwise(F.coalesce(F.try_element_at(names, inner), e))
+    """The text of one entity: a number's character (0x80-0x9F as in windows-1252, as browsers do), or
+    that of a name."""
+    inner = F.rtrim(F.substr(e, F.lit(2)), F.lit(";"))
+    is_hex, is_number = inner.rlike("^#[xX]"), inner.startswith("#")
+    digits = F.ltrim(F.when(is_hex, F.substr(inner, F.lit(3))).otherwise(F.substr(inner, F.lit(2))), F.lit("0"))
+    short = F.when(F.length(digits).between(1, 7), digits)  # the longest character number has seven digits
+    code = F.when(is_hex, F.conv(short, 16, 10)).otherwise(F.conv(F.when(is_number, short), 10, 10)).cast("long")
+    fine = (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+    windows = bytes(range(0x80, 0xA0)).decode("cp1252", "replace")
+    old = F.nullif(F.substr(F.lit(windows), (code - 0x7F).cast("int"), F.lit(1)), F.lit("\ufffd"))
+    plain = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    number = F.when(code.between(0x80, 0x9F), F.coalesce(old, plain)).otherwise(plain)
+    shard = F.element_at(_entity_names(), (F.crc32(inner) % _NAME_SHARDS + 1).cast("int"))
+    return F.when(is_number, F.when(F.coalesce(fine, F.lit(False)), number).otherwise(e)).otherwise(
+        F.coalesce(F.try_element_at(shard, inner), e))
 
 
 def f_htmlencode(c) -> Column:

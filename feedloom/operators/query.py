@@ -191,7 +191,7 @@ def capability_filter(caps: DataFrame, mode: str, params: Sequence[str]) -> Data
 def required_params(caps: DataFrame, mode: str, params: Mapping[str, object],
                     sources: DataFrame) -> DataFrame:
     """Q17: per source: which requested parameters it supports (used) and which it ignores;
-    a source without the mode is skipped (``skip`` true)."""
+    a source without the mode is skipped (``skip`` true). Other columns of ``sources`` stay."""
     req = [k for k, v in params.items() if v not in (None, "")]
     need = F.array(*[F.lit(p) for p in req]) if req else F.array().cast("array<string>")
     m = caps.filter(F.col("mode") == mode).select("source", "params")
@@ -200,18 +200,23 @@ def required_params(caps: DataFrame, mode: str, params: Mapping[str, object],
         "source",
         F.col("params").isNull().alias("skip"),
         F.array_join(F.array_sort(F.array_intersect(need, F.coalesce("params", F.array().cast("array<string>")))), ",").alias("used"),
-        F.array_join(F.array_sort(F.array_except(need, F.coalesce("params", F.array().cast("array<string>")))), ",").alias("ignored"))
+        F.array_join(F.array_sort(F.array_except(need, F.coalesce("params", F.array().cast("array<string>")))), ",").alias("ignored"),
+        *[sources[c] for c in sources.columns if c not in ("source", "skip", "used", "ignored")])
+
+
+def tag_errors(df: DataFrame, preds: Sequence[tuple[str, Column]], message: Column | None = None) -> DataFrame:
+    """Q18 in one pass: every payload with ``error_rule``, the first matching rule, or null, and
+    ``error_message`` if asked for."""
+    rule = F.coalesce(*[F.when(p, F.lit(name)) for name, p in preds]) if preds else F.lit(None).cast("string")
+    tagged = df.withColumn("error_rule", rule)
+    return tagged if message is None else tagged.withColumn("error_message", message)
 
 
 def error_rows(df: DataFrame, preds: Sequence[tuple[str, Column]],
                message: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """Q18: split payloads into good rows and error pages (first matching rule named)."""
-    rule = None
-    for name, p in preds:
-        rule = F.when(p, F.lit(name)) if rule is None else rule.when(p, F.lit(name))
-    tagged = df.withColumn("error_rule", rule)
-    if message is not None:
-        tagged = tagged.withColumn("error_message", message)
+    """Q18: split payloads into good rows and error pages (first matching rule named). A job
+    that needs both halves at once reads ``tag_errors``, which scans once."""
+    tagged = tag_errors(df, preds, message)
     good = tagged.filter(F.col("error_rule").isNull()).drop("error_rule", "error_message")
     bad = tagged.filter(F.col("error_rule").isNotNull())
     return good, bad

@@ -240,26 +240,18 @@ CHILDREN_PER_PAYLOAD = 100
 def _order_payloads(spark, sf, returned_only: bool):
     """Nested-JSON payloads of orders with their lines: one payload per order and 100 lines,
     by the lines' number in the order. Each payload carries how many lines come before it.
-    The numbering has two levels and the payloads are grouped by (order, chunk), so an order
-    holding a third of all lines is spread over many tasks."""
-    from ..operators.numbering import number_in_order
+    An order holding a third of all lines is numbered in blocks, spread over many tasks."""
+    from ..operators.numbering import arrays_in_order
     o = table(spark, sf, "orders", spread=True).select("o_orderkey", "o_orderpriority")
     li = table(spark, sf, "lineitem", spread=True)
     if returned_only:
         li = li.filter(F.col("l_returnflag") == "R")
-    li = number_in_order(li.select("l_orderkey", "l_linenumber", "l_quantity"), ["l_orderkey"], "l_linenumber",
-                         ties=["l_quantity"])
-    li = li.withColumn("chunk", F.floor((F.col("rn") - 1) / CHILDREN_PER_PAYLOAD))
-    kids = (li.groupBy("l_orderkey", "chunk")
-              .agg(F.array_sort(F.collect_list(F.struct("rn", "l_linenumber", "l_quantity"))).alias("items")))
+    kids = arrays_in_order(li.select("l_orderkey", "l_linenumber", "l_quantity"), ["l_orderkey"], "l_linenumber",
+                           ["l_linenumber", "l_quantity"], CHILDREN_PER_PAYLOAD, ties=["l_quantity"])
     j = o.join(kids, o.o_orderkey == kids.l_orderkey, "left")
-    none = F.array().cast("array<struct<rn:bigint,l_linenumber:int,l_quantity:double>>")
-    items = F.transform(F.coalesce(F.col("items"), none), lambda i: F.struct(i["l_linenumber"].alias("l_linenumber"),
-                                                                             i["l_quantity"].alias("l_quantity")))
-    start = F.coalesce(F.col("chunk"), F.lit(0)) * CHILDREN_PER_PAYLOAD
-    body = F.to_json(F.struct(F.array(F.struct(F.col("o_orderkey").alias("key"),
-                                               F.col("o_orderpriority").alias("priority"), start.alias("start"),
-                                               items.alias("items"))).alias("results")))
+    items = F.coalesce("items", F.array().cast("array<struct<l_linenumber:int,l_quantity:double>>"))
+    body = F.to_json(F.struct(F.array(F.struct(F.col("o_orderkey").alias("key"), F.col("o_orderpriority").alias("priority"),
+                                               F.coalesce("start", F.lit(0)).alias("start"), items.alias("items"))).alias("results")))
     return j.select("o_orderkey", F.size(items).alias("total"), body.alias("body"))
 
 

@@ -69,9 +69,7 @@ def q_b5(spark, sf):
     d = table(spark, sf, "documents", spread=True)
     f = d.select("doc_id", F.regexp_extract("text", r"^([A-Z][^.\n]*)", 1).alias("title"),
                  F.regexp_extract("text", r"[A-Fa-f0-9]{40}", 0).alias("infohash"))
-    good, bad = B.required_field(f, ["title", "infohash"])
-    return (good.select("doc_id", "title", F.lit(None).cast("string").alias("reject_reason"))
-                .unionByName(bad.select("doc_id", "title", "reject_reason")))
+    return B.tag_required(f, ["title", "infohash"]).select("doc_id", "title", "reject_reason")
 
 
 _PRIORITY_CODES = {"1-URGENT": 1, "2-HIGH": 2, "3-MEDIUM": 3, "4-NOT SPECIFIED": 4, "5-LOW": 5}

@@ -136,3 +136,55 @@ def test_variants_fold_and_null_titles_are_rejected(spark):
     assert sorted(r["reject_reason"] for r in bad.collect()) == ["missing: seeders", "missing: title,seeders"]
     with pytest.raises(ValueError, match="outside"):
         B.canonical_project(df.withColumn("nothing_like", F.lit(1)))
+
+
+def test_arrays_in_order_cut_hot_and_null_groups(spark):
+    from feedloom.operators.numbering import arrays_in_order, number_in_order
+    rows = [("hot", i * 3 % 401) for i in range(401)] + [("a", 7), ("a", 5)] + [(None, i) for i in range(100)]
+    df = spark.createDataFrame(rows, "g string, o int")
+    got = {}
+    for r in arrays_in_order(df, ["g"], "o", ["o"], 10, block=32).collect():
+        assert 0 < len(r["items"]) <= 10
+        got.setdefault(r["g"], []).append((r["start"], [x["o"] for x in r["items"]]))
+    for g, parts in got.items():
+        whole = []
+        for start, part in sorted(parts):
+            assert start == len(whole)
+            whole += part
+        assert whole == sorted(o for h, o in rows if h == g)
+    assert set(got) == {"hot", "a", None}
+    numbered = number_in_order(df, ["g"], "o", block=32).collect()
+    assert sorted((r["g"] or "", r["o"]) for r in numbered) == sorted((g or "", o) for g, o in rows)
+    assert all(r["rn"] == r["o"] + 1 for r in numbered if r["g"] != "a")
+    assert arrays_in_order(df.limit(0), ["g"], "o", ["o"], 10).count() == 0
+
+
+def test_entities_of_any_length_and_without_semicolon(spark):
+    from feedloom.functions import chain as C
+    cases = {"&#00000038;x": "&x", "&#x0000026;": "&", "&#38 &#x41g &#65b": "& Ag Ab", "a &amp b &copy": "a & b \u00a9", "&#150;&#x80;&#129;": "\u2013\u20ac\u0081",
+             "?a=1&copy=2&regions=3": "?a=1&copy=2&regions=3", "&#99999999999999999999;&#x110000;&#xFFFFFFFFFFFF;": "&#99999999999999999999;&#x110000;&#xFFFFFFFFFFFF;",
+             "&#;&#x;": "&#;&#x;", "&CounterClockwiseContourIntegral;&NotEqualTilde;": "\u2233\u2242\u0338", "&amp;lt;": "&lt;"}
+    df = spark.createDataFrame(list(cases.items()), "x string, want string")
+    for r in df.select("want", C.f_htmldecode("x", full=True).alias("got")).collect():
+        assert r["got"] == r["want"]
+
+
+def test_every_named_entity_is_decoded(spark):
+    from html.entities import html5
+
+    from feedloom.functions import chain as C
+    names = [(f"&{n}", t) for n, t in html5.items()]
+    df = spark.createDataFrame(names, "x string, want string")
+    assert df.where(C.f_htmldecode("x", full=True) != F.col("want")).count() == 0
+
+
+def test_tagging_reads_the_input_once(spark):
+    from feedloom.operators import fields as B
+    from feedloom.operators import query as Q
+    df = spark.createDataFrame([("a", "b"), ("", None), (None, "b")], "x string, y string")
+    assert [r["reject_reason"] for r in B.tag_required(df, ["x", "y"]).collect()] == [None, "missing: x,y", "missing: x"]
+    good, bad = B.required_field(df, ["x", "y"])
+    assert (good.columns, good.count(), bad.count()) == (["x", "y"], 1, 2)
+    preds = [("one", F.col("x") == "a"), ("two", F.col("y") == "b")]
+    assert [r["error_rule"] for r in Q.tag_errors(df, preds).collect()] == ["one", None, "two"]
+    assert [r["error_rule"] for r in Q.tag_errors(df, []).collect()] == [None] * 3
