@@ -10,6 +10,7 @@ import re
 import unicodedata
 import zlib
 from collections.abc import Callable, Iterable, Sequence
+from functools import lru_cache
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -123,7 +124,7 @@ HTML_ENTITIES = [
 _BARE_NAMES = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n)))
 _ENTITY = rf"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;|(?:{_BARE_NAMES})(?![A-Za-z0-9=]))"
 # Shards of the name table: a literal map is searched in order.
-_NAME_SHARDS = 128
+_NAME_SHARDS = 64
 
 
 def f_htmldecode(c, full: bool = False) -> Column:
@@ -137,20 +138,24 @@ def f_htmldecode(c, full: bool = False) -> Column:
     out = col_of(c)
     if full:
         between, found = F.split(out, _ENTITY, -1), F.regexp_extract_all(out, F.lit(_ENTITY), F.lit(0))
-        return F.array_join(F.zip_with(between, F.transform(found, _entity_text),
-                                       lambda text, e: F.concat(text, F.coalesce(e, F.lit("")))), "")
+        kinds = F.array_distinct(found)  # each kind of entity is read once a text
+        joined = F.transform(F.array(F.map_from_arrays(kinds, F.transform(kinds, _entity_text))), lambda of: F.array_join(
+            F.zip_with(between, found, lambda text, e: F.concat(text, F.coalesce(of[e], F.lit("")))), ""))
+        return joined[0]
     for ent, ch in HTML_ENTITIES:
         out = F.replace(out, F.lit(ent), F.lit(ch))
     return out
 
 
-def _entity_names() -> Column:
-    """The names of the HTML standard's list and their text, as maps by the checksum of the name."""
-    shards: list[list[Column]] = [[] for _ in range(_NAME_SHARDS)]
+@lru_cache(maxsize=1)
+def _entity_names() -> str:
+    """The names of the HTML standard's list and their text, as SQL: maps by the checksum of the name."""
+    shards: list[list[str]] = [[] for _ in range(_NAME_SHARDS)]
     for name, text in sorted(html5.items()):
         if name.endswith(";"):
-            shards[zlib.crc32(name[:-1].encode()) % _NAME_SHARDS] += [F.lit(name[:-1]), F.lit(text)]
-    return F.array(*[F.create_map(*x) if x else F.create_map().cast("map<string,string>") for x in shards])
+            quoted = text.replace("\\", "\\\\").replace("'", "\\'")
+            shards[zlib.crc32(name[:-1].encode()) % _NAME_SHARDS].append(f"'{name[:-1]}', '{quoted}'")
+    return "array(" + ", ".join(f"map({', '.join(x)})" for x in shards) + ")"
 
 
 def _entity_text(e: Column) -> Column:
@@ -166,7 +171,7 @@ def _entity_text(e: Column) -> Column:
     old = F.nullif(F.substr(F.lit(windows), (code - 0x7F).cast("int"), F.lit(1)), F.lit("\ufffd"))
     plain = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
     number = F.when(code.between(0x80, 0x9F), F.coalesce(old, plain)).otherwise(plain)
-    shard = F.element_at(_entity_names(), (F.crc32(inner) % _NAME_SHARDS + 1).cast("int"))
+    shard = F.element_at(F.expr(_entity_names()), (F.crc32(inner) % _NAME_SHARDS + 1).cast("int"))
     return F.when(is_number, F.when(F.coalesce(fine, F.lit(False)), number).otherwise(e)).otherwise(
         F.coalesce(F.try_element_at(shard, inner), e))
 
