@@ -9,6 +9,7 @@ each sub-group its offset.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -61,15 +62,18 @@ def _in_blocks(df: DataFrame, group: Sequence[str], order: str, block: int, ties
     partitioned by the returned columns. A group is one block, but for hot groups of more than
     ``block`` rows, whose blocks are ``block`` consecutive ``order`` values. Only those need a table of
     sizes: where there are none, the sizes are empty and their join is dropped at run time."""
-    rows = df.withColumn("_hot", hot_rows(df, group, block).isNotNull())
-    rows = rows.withColumn("_blk", F.when(F.col("_hot"), F.floor(col_of(order) / F.lit(block))))
+    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in group])
+    rows = df.withColumn("_hot", known & hot_rows(df, group, block).isNotNull())
+    # plain, never null join keys keep the window's partitioning through the join
+    of_order = F.coalesce(F.floor(col_of(order) / F.lit(block)).cast("bigint"), F.lit(-2**63).cast("bigint"))
+    rows = rows.withColumn("_blk", F.when(F.col("_hot"), of_order).otherwise(F.lit(0).cast("bigint")))
     keys = [*group, "_hot", "_blk"]
     local = rows.withColumn("_lrn", F.row_number().over(Window.partitionBy(*keys).orderBy(order, *ties)))
     sizes = rows.where("_hot").groupBy(*[F.col(c).alias(f"_s_{c}") for c in keys]).agg(F.count(F.lit(1)).alias("_n"))
     before = (Window.partitionBy(*[f"_s_{c}" for c in group]).orderBy("_s__blk")
               .rowsBetween(Window.unboundedPreceding, -1))
     offs = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    same = [local[c].eqNullSafe(offs[f"_s_{c}"]) for c in keys]
+    same = [local[c] == offs[f"_s_{c}"] for c in keys]
     # a hot block that is not among the sizes would be numbered wrong: it ends the job
     off = F.when(F.col("_hot"), F.coalesce("_off", F.raise_error("a hot block without its size").cast("bigint"))).otherwise(F.lit(0))
     return local.join(offs, same, "left").withColumn("_off", off).drop(*[f"_s_{c}" for c in keys]), keys
@@ -81,8 +85,9 @@ def number_in_order(df: DataFrame, group: Sequence[str], order: str, out: str =
 
     Sub-groups of a hot group are blocks of ``block`` consecutive ``order`` values, so rows keep
     their true order: a row's number is its number inside its block plus the sizes of all
-    earlier blocks of the group. Other groups are one window. ``order`` with ``ties`` should be
-    unique within a group, as for ``row_number``. Null groups are groups; null orders come first."""
+    earlier blocks of the group. Other groups, and those with a null key, are one window.
+    ``order`` with ``ties`` should be unique within a group, as for ``row_number``. Null orders
+    come first."""
     numbered, _ = _in_blocks(df, group, order, block, ties)
     return (numbered.withColumn(out, (F.col("_off") + F.col("_lrn")).cast("bigint"))
                     .drop("_hot", "_blk", "_lrn", "_off"))
