@@ -16,7 +16,9 @@ Only keys that still hold several components are looked at again. There, shingle
 holders (heavy) and of few (light) are told apart: two documents can be similar by their heavy
 shingles alone, and then meet under the key, or they share a light one, and then meet under
 that; either way only pairs of different components with one outside the key's largest one
-are made. Every link is confirmed on the full sets.
+are made. Under a key, one of the two must hold six sevenths of its shingles as heavy ones, or
+their heavy shingles cannot reach 0.75; so documents of one template that all differ by more are
+never paired. Every pair made is confirmed on the full sets, whatever its signatures' distance.
 
 Defined results: null or blank texts have an empty set, link to nothing and are kept; of rows
 that share a doc_id each has the component of its own text, and links of texts that the id itself
@@ -35,16 +37,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, drop_saved, lean, saved, small
+from .common import bounded_batches, drop_saved, lean, saved
 from .components import components
 from .shingles import mix64, shingles
 
 SHINGLE = 5
 CHUNKS, WIDTH, ERRORS = 14, 5, 1
 SYMBOLS = CHUNKS * WIDTH
-#: Pairs further apart than this are not confirmed: 4.5 standard deviations beyond the
-#: expected distance at a similarity of 0.75 (one pair in 300,000 there).
-MAX_DISTANCE = 34
 #: A shingle is light if at most so many of the documents in open keys hold it.
 LIGHT = 16
 #: Hash parts of the heavy shingles' numbers.
@@ -118,17 +117,11 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch.column(0), lists], ["node", "items"])
 
 
-def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b, sig_a, sig_b) within the signature distance."""
-    for batch in batches:
-        x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, SYMBOLS) for i in (2, 3))
-        keep = pa.array((x != y).sum(axis=1) <= MAX_DISTANCE)
-        yield pa.record_batch([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
-
-
 def _node_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, items): the full sets of some nodes (node, text_hash), from the texts again."""
-    rows = docs.join(small(nodes, BROADCAST_IDS), (docs["doc_id"] == nodes["node"]) & (docs["text_hash"] == nodes["text_hash"]))
+    # nodes is a saved table: its files hold the count
+    few = F.broadcast(nodes) if nodes.count() <= BROADCAST_IDS else nodes
+    rows = docs.join(few, (docs["doc_id"] == nodes["node"]) & (docs["text_hash"] == nodes["text_hash"]))
     return rows.select("node", "text").mapInArrow(lean(_sets), "node long, items array<long>")
 
 
@@ -149,7 +142,7 @@ def _bounds(sets: DataFrame) -> DataFrame:
 def _split_items(sets: DataFrame, open_: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Shingles of the nodes in open keys, split by how many of these nodes hold them.
 
-    heavy: (node, n, h0, h1, ...) with the numbers of a node's shingles that more than LIGHT
+    heavy: (node, n, h0, h1, ..., strong) with the numbers of a node's shingles that more than LIGHT
     nodes hold, by PARTS hash parts; the sum of two nodes' smaller numbers bounds their heavy
     intersection. light: (node, component, out, item) of the others that two nodes hold."""
     nodes = open_.groupBy("node").agg(F.first("component").alias("component"), F.first("n").alias("n"), F.max("out").alias("out"))
@@ -160,7 +153,7 @@ def _split_items(sets: DataFrame, open_: DataFrame) -> tuple[DataFrame, DataFram
     part = F.pmod("item", F.lit(PARTS))
     many = marked.where(F.col("df") > LIGHT).groupBy("node").agg(*(F.count_if(part == i).cast("int").alias(h) for i, h in enumerate(_H)))
     heavy = nodes.join(many, "node", "left").select("node", "n", *(F.coalesce(h, F.lit(0)).alias(h) for h in _H))
-    return saved(heavy, "heavy"), marked.where(F.col("df") <= LIGHT).drop("df")
+    return saved(heavy.withColumn("strong", _strong()), "heavy"), marked.where(F.col("df") <= LIGHT).drop("df")
 
 
 def _light_pairs(heavy: DataFrame, light: DataFrame) -> DataFrame:
@@ -189,9 +182,16 @@ def _heavy_bound():
     return reduce(add, (F.least(f"{h}a", f"{h}b") for h in _H))
 
 
+def _strong():
+    """Whether a set can be similar by its h heavy shingles alone to a set of its size. Of two
+    similar sets one can: 7 * h >= 3 * (na + nb) holds for the h of both, so the smaller set has
+    7 * h >= 6 * n."""
+    return reduce(add, map(F.col, _H)) * 7 >= F.col("n") * 6
+
+
 def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b): pairs whose full sets have 100 * intersection >= 75 * union."""
-    left = pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("x")), "a")
+    left = saved(pairs.distinct(), "pairs").join(sets.select(F.col("node").alias("a"), F.col("items").alias("x")), "a")
     both = left.join(sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
     ok = common * 100 >= (F.size("x") + F.size("y") - common) * 75
@@ -217,13 +217,6 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     member = saved(shared.join(bounds, "node"), "members")
     drop_saved(shared)
 
-    def near(pairs: DataFrame) -> DataFrame:
-        """Distinct pairs whose signatures are within the distance threshold."""
-        p = pairs.distinct()
-        for x in "ab":
-            p = p.join(reps.select(F.col("node").alias(x), F.col("sig").alias(f"s{x}")), x)
-        return saved(p.select("a", "b", "sa", "sb").mapInArrow(lean(_near), "a long, b long").distinct(), "pairs")
-
     def side(df: DataFrame, x: str, *more, numbers=("n", "c")) -> DataFrame:
         return df.select("key", *(F.col(c).alias(f"{c}{x}") for c in ("node", *numbers)), *more)
 
@@ -231,7 +224,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
                        .select("key", "h.*"), "a")
     star = (side(member, "b").join(heads, "key").where((F.col("nodea") != F.col("nodeb")) & _possible())
             .select(F.col("nodea").alias("a"), F.col("nodeb").alias("b")))
-    found = saved(components(_confirm(near(star), sets)), "components")
+    found = saved(components(_confirm(star, sets)), "components")
     # keys that still hold several components: who is outside a key's largest one meets the others
     member = saved(member.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), "members")
     sizes = member.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
@@ -241,13 +234,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
                         .withColumn("out", F.col("component") != F.col("top")), "open-keys")
     heavy, light = _split_items(sets, open_)
     open_ = open_.drop("n").join(heavy, "node")
-    left = side(open_.where("out"), "a", F.col("component").alias("ca_"), numbers=("n", *_H))
-    right = side(open_, "b", F.col("component").alias("cb_"), "out", numbers=("n", *_H))
-    by_key = (left.join(right, "key")
-                  .where((F.col("ca_") != F.col("cb_")) & _reaches(_heavy_bound()) & ((F.col("nodea") < F.col("nodeb")) | ~F.col("out")))
-                  .select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b")))
-    cross = by_key.unionByName(_light_pairs(heavy, light))
-    more = _confirm(near(cross), sets)
+    left = lambda rows: side(open_.where(rows), "a", F.col("component").alias("ca_"), numbers=("n", *_H))
+    right = lambda rows: side(open_.where(rows), "b", F.col("component").alias("cb_"), (F.col("out") & F.col("strong")).alias("twin"),
+                              numbers=("n", *_H))
+    out, strong = F.col("out"), F.col("strong")
+    # one with another component outside the largest; one is strong: in a pair of twins the smaller id comes first
+    by_key = left(out & strong).join(right(F.lit(True)), "key").unionByName(left(out & ~strong).join(right(~out & strong), "key"))
+    by_key = (by_key.where((F.col("ca_") != F.col("cb_")) & _reaches(_heavy_bound()) & ((F.col("nodea") < F.col("nodeb")) | ~F.col("twin")))
+                    .select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b")))
+    more = _confirm(by_key.unionByName(_light_pairs(heavy, light)), sets)
     final = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     named = reps.select("cls", "node").join(final, "node", "left").select(
         F.col("cls").alias("_cls"), F.coalesce("component", "node").alias("component"))

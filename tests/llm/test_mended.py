@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedloom.llm import html_extract, line_dedup, mixing, near_dedup, packing, url_filter
+from tests.llm.test_operators import brute_components
 
 LONG = "This is a sentence of the article, with commas, and full stops. It goes on for a while. " * 4
 
@@ -79,3 +80,27 @@ def test_ranges_grow_beyond_a_fixed_sample(spark, docs_of):
     docs = docs_of([(i, f"word{i * 7919 % 5003} text {i}", "s") for i in range(6000)]).select("doc_id", "text")
     bounds = packing._bounds(docs, public_tokenizers.path("word_bpe_49k.json"), 2500)
     assert len(bounds) == 2499 and bounds == sorted(bounds) and len(set(bounds)) == 2499
+
+
+def test_near_misses_of_one_template_are_not_paired(spark, docs_of, monkeypatch):
+    template = [f"b{i}" for i in range(120)]
+
+    def variant(name, run):
+        return template[:50] + [f"{name}_{j}" for j in range(run)] + template[50 + run:]
+
+    rows = [(i, " ".join(variant(i, 16))) for i in range(300)]  # 96 of 116 shingles in common: 0.706
+    rows += [(1000 + i, " ".join(variant(i, 16)[:-1] + ["end"])) for i in range(0, 300, 30)]  # links to some
+    rows += [(2000 + i, " ".join(variant(f"few{i}", 8))) for i in range(5)]  # 104 of 116: links among themselves and to the others
+    made, real = [], near_dedup.saved
+
+    def counted(df, name):
+        out = real(df, name)
+        if name == "pairs":
+            made.append(out.count())
+        return out
+    monkeypatch.setattr(near_dedup, "saved", counted)
+    for some in (rows[:310], rows):
+        made.clear()
+        got = near_dedup.near_duplicates(docs_of([(i, t, "s") for i, t in some])).collect()
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_components(some)
+        assert sum(made) <= 8 * len(some)
