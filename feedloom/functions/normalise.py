@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import col_of, lit_str
+from .text import col_of, let, lit_str
 
 # Size unit prefixes (first letter after the number) -> power of 1024.
 # Localised units are rewritten to these letters first (see LOCAL_SIZE_UNITS).
@@ -25,10 +25,12 @@ _UNSIZED = r"((?<![\p{L}\d])-)?([0-9][0-9.,]*)"
 
 
 def localise_size_units(c) -> Column:
-    out = col_of(c)
-    for loc, lat in LOCAL_SIZE_UNITS:
-        out = F.regexp_replace(out, "(?iu)" + loc + r"(?!\p{L})", lat)
-    return out
+    def latin(x: Column) -> Column:
+        out = x
+        for loc, lat in LOCAL_SIZE_UNITS:
+            out = F.regexp_replace(out, "(?iu)" + loc + r"(?!\p{L})", lat)
+        return F.when(x.contains("Б") | x.contains("б"), out).otherwise(x)  # each of the units has this letter
+    return let(col_of(c).cast("string"), latin)
 
 
 def to_bytes(c) -> Column:
@@ -38,24 +40,31 @@ def to_bytes(c) -> Column:
     thousands. With both separators the last one is the decimal one. One kind alone is a
     thousands separator if it stands more than once, or is a comma before exactly three digits.
     A size beyond BIGINT and a negative one give null."""
-    t = localise_size_units(col_of(c))
-    sized = t.rlike(_SIZED)
-    part = lambda i: F.when(sized, F.regexp_extract(t, _SIZED, i)).otherwise(F.regexp_extract(t, _UNSIZED, i))
-    num = F.regexp_replace(part(2), r"[ \u00a0\u202f]", "")
-    unit = F.when(sized, F.lower(F.regexp_extract(t, _SIZED, 3))).otherwise("")
-    num = F.regexp_replace(num, r"[.,]+$", "")
-    comma_last = F.instr(F.reverse(num), ",") < F.instr(F.reverse(num), ".")
-    european = F.replace(F.replace(num, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
-    plain = F.replace(num, F.lit(","), F.lit(""))
-    num = (F.when(num.contains(",") & num.contains("."), F.when(comma_last, european).otherwise(plain))
-            .when(num.rlike(r"^\d{1,3}(,\d{3})+$"), plain)
-            .when(num.rlike(r"^\d+(\.\d{3}){2,}$"), european)
-            .otherwise(F.replace(num, F.lit(","), F.lit("."))))
+    return let(localise_size_units(c), lambda t: let(F.regexp_extract(t, _SIZED, 0), lambda size: F.when(
+        size != "", _bytes(size, _SIZED)).otherwise(let(F.regexp_extract(t, _UNSIZED, 0), lambda x: _bytes(x, _UNSIZED)))))
+
+
+def _bytes(found: Column, pattern: str) -> Column:
+    """The bytes of a size cut out of a text by one of the patterns."""
+    unit = F.lower(F.regexp_extract(found, pattern, 3)) if pattern == _SIZED else F.lit("")
     power = F.coalesce(F.element_at(F.create_map(*[x for k, v in SIZE_POWERS.items()
                                                      for x in (F.lit(k), F.lit(v))]),
                                     F.substring(unit, 1, 1)), F.lit(0))
-    val = num.try_cast("double") * F.pow(F.lit(1024.0), power)
-    return F.when(part(1) == "", F.round(val).try_cast("bigint"))
+    digits = F.rtrim(F.translate(F.regexp_extract(found, pattern, 2), " \u00a0\u202f", ""), F.lit(".,"))
+    val = let(digits, _decimal).try_cast("double") * F.pow(F.lit(1024.0), power)
+    return F.when(F.regexp_extract(found, pattern, 1) == "", F.round(val).try_cast("bigint"))
+
+
+def _decimal(num: Column) -> Column:
+    """A number with either separator -> digits and at most a decimal point."""
+    comma_last = F.instr(F.reverse(num), ",") < F.instr(F.reverse(num), ".")
+    european = F.replace(F.replace(num, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
+    plain = F.replace(num, F.lit(","), F.lit(""))
+    return (F.when(~(num.contains(",") | num.contains(".")), num)
+             .when(num.contains(",") & num.contains("."), F.when(comma_last, european).otherwise(plain))
+             .when(num.rlike(r"^\d{1,3}(,\d{3})+$"), plain)
+             .when(num.rlike(r"^\d+(\.\d{3}){2,}$"), european)
+             .otherwise(F.replace(num, F.lit(","), F.lit("."))))
 
 
 _COUNT = r"(?i)(-?(?:[0-9]{1,3}(?:[,.' \u00a0\u202f][0-9]{3})+(?![0-9])|[0-9]+))([.,][0-9]+)?\s*([km](?!\p{L}))?"

@@ -6,6 +6,8 @@ returns null if any input is null. ``s`` and ``truthy`` keep both rules in one p
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,3 +36,9 @@ def nz(c) -> Column:
 def truthy(c) -> Column:
     """Non-null, non-empty text is true (the template truth rule)."""
     return s(c) != F.lit("")
+
+
+def let(value, of: Callable[[Column], Column]) -> Column:
+    """``of(value)`` with the value worked out once a row, however often ``of`` names it: a Column
+    named twice is an expression that Spark may run twice, and one built in steps doubles with each."""
+    return F.transform(F.array(col_of(value)), of)[0]

@@ -11,7 +11,7 @@ from ..operators.catalog import source_dimension
 from ..operators.fields import select_attribute
 from ..sources.extract import html_rows
 from .registry import query
-from .tables import AS_OF, table
+from .tables import AS_OF, dealt, table
 
 # ----------------------------------------------------------------------------- N1
 
@@ -23,7 +23,7 @@ SELECT p_partkey,
   CAST(p_size AS BIGINT) * 1073741824 AS local_unit_bytes
 FROM part""")
 def q_n1(spark, sf):
-    p = table(spark, sf, "part", spread=True)
+    p = dealt(table(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice"))
     unit = F.element_at(F.array(*[F.lit(u) for u in ("KB", "MB", "GB", "TB", "PB")]),
                         (F.col("p_partkey") % 5 + 1).cast("int"))
     t1 = F.concat(F.col("p_size").cast("string"), F.lit(" "), unit)
@@ -220,7 +220,7 @@ SELECT p_partkey, CAST(p_size AS BIGINT) * 1048576 AS after_codec, CAST(round((p
 def q_n1_text(spark, sf):
     """The number with a unit is the size, not the first number of the text."""
     n = F.col("p_size").cast("string")
-    p = table(spark, sf, "part", spread=True).select(
+    p = dealt(table(spark, sf, "part").select("p_partkey", "p_size")).select(
         "p_partkey", F.concat(F.lit("Show x264 "), n, F.lit(" MB [1080p]")).alias("a"), F.concat(F.lit("S01E02 "), n, F.lit(".5 GB")).alias("b"),
         F.concat((F.col("p_size") + 1).cast("string"), F.lit(" 000 MB")).alias("c"), F.concat(F.lit("-"), n, F.lit(" MB")).alias("d"))
     return p.select("p_partkey", N.to_bytes("a").alias("after_codec"), N.to_bytes("b").alias("after_season"),

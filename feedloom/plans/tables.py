@@ -25,3 +25,10 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) ->
     n = df.sparkSession.conf.get("spark.feedloom.spreadPartitions", None)
     # a hash of the first two columns: deterministic on retry, and one key's rows are split
     return df.repartition(int(n), *df.columns[:2]) if n and (spread or _SPREAD_ALL) else df
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """Narrow rows that take long each, dealt evenly over all cores. Parquet files are read by whole
+    row groups of up to a million rows, so a scan may give a few tasks all the rows."""
+    scan = df.rdd.getNumPartitions()
+    return df.repartition(max(scan, 3 * df.sparkSession.sparkContext.defaultParallelism))

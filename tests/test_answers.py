@@ -27,6 +27,21 @@ def test_sizes(spark):
                                                     None, None, 1024 * 1024, 3 * 1024 ** 4 // 2]
 
 
+def test_a_size_reads_its_text_once(spark):
+    steps = spark.range(1).select(F.concat(F.lit("Show "), "id", F.lit(" MB")).alias("x")).select(N.to_bytes("x").alias("v"))
+    plan = steps._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Show ") == 1 and plan.count("Б") < 20
+    assert values(spark, ["700 МБ", "1,5 гб x", "5 Б", "5 Бит", "-5 КБ", "1\u00a0234 КБ", "5 MB."], N.to_bytes("x")) == [
+        700 * 1024 ** 2, 3 * 1024 ** 3 // 2, 5, 5, None, 1234 * 1024, 5 * 1024 ** 2]
+
+
+def test_coarse_scans_are_dealt_over_all_cores(spark, tmp_path):
+    from feedloom.plans.q_normalise import q_n1_text
+    spark.range(100).selectExpr("id AS p_partkey", "CAST(1 AS INT) AS p_size").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    sizes = q_n1_text(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) >= spark.sparkContext.defaultParallelism and sum(r["count"] for r in sizes) == 100
+
+
 def test_counts(spark):
     texts = ["1.5k", "12 of 30", "-5", "9" * 30, "1,234 seeders", "2m", "1 234", "1.234.567", "n/a", None, "7.9", "x3y"]
     assert values(spark, texts, N.to_count("x")) == [1500, 12, -5, None, 1234, 2_000_000, 1234, 1234567, 0, 0, 7, 3]
