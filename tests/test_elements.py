@@ -44,3 +44,20 @@ def test_rows_children_and_has(spark):
     assert sorted(tuple(r) for r in rows.collect()) == [(1, 1, True, ["x", "y"]), (1, 1, True, ["x", "y"]), (1, 2, False, ["z"]), (1, 2, False, ["z"])]
     assert E.rows_of(got, "li", ["p"], outermost=True).count() == 2 and E.rows_of(got, "li", ["p"]).count() == 4
     assert E.rows_of(got, "td", ["p"], within="ul").count() == 0
+
+
+def test_a_batch_is_parsed_in_slices(spark):
+    import pyarrow as pa
+    sizes = list(E._slices(pa.array([None, "", "<a>", "<p>" * E.SLICE_CHARS, "<b>é"] + ["<i>" * 1000] * 200)))
+    assert sizes[:2] == [(0, 3), (3, 1)] and sizes[2][0] == 4 and len(sizes) == 5 and sum(n for _, n in sizes) == 205
+    assert list(E._slices(pa.array([], pa.string()))) == []
+
+    class Taken:  # stands for the frame: the function that Spark would send to its workers
+        sparkSession, schema = spark, spark.range(1).selectExpr("id AS p", "'' AS h").schema
+        select = lambda self, *_: self
+        mapInArrow = lambda self, run, _: run
+    html = "<tr><td>x" * 1000
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300)), pa.array([html] * 300)], names=["p", "h"])
+    out = list(E.page_elements(Taken(), "h", ["p"])(iter([batch])))
+    assert len(out) > 5 and max(len(b) for b in out) * len(html) <= E.SLICE_CHARS
+    assert [k for b in out for k in b.column(0).to_pylist()] == list(range(300)) and all(len(e) == 2000 for b in out for e in b.column(2))
