@@ -203,3 +203,13 @@ def test_tagging_reads_the_input_once(spark):
     preds = [("one", F.col("x") == "a"), ("two", F.col("y") == "b")]
     assert [r["error_rule"] for r in Q.tag_errors(df, preds).collect()] == ["one", None, "two"]
     assert [r["error_rule"] for r in Q.tag_errors(df, []).collect()] == [None] * 3
+
+
+def test_entities_beside_marks_and_of_many_kinds(spark):
+    from feedloom.functions import chain as CH
+    many = "".join(f"&#{i};" for i in range(0x4E00, 0x4E00 + 200)) * 2
+    texts = ["&&#35;35;&amp;lt;", "\ufdd0&lt;\ufdd1&amp;", "&#xFDD0;&amp;lt;&#xFDD1;&lt;", many, "$1\\&amp;&ampx&amp;&amp", "none", "", None, "a & b"]
+    assert values(spark, texts, CH.f_htmldecode("x", full=True)) == [
+        "&#35;&lt;", "\ufdd0<\ufdd1&", "\ufdd0&lt;\ufdd1<", "".join(map(chr, range(0x4E00, 0x4E00 + 200))) * 2, "$1\\&&ampx&&", "none", "", None, "a & b"]
+    once = spark.range(1).select(F.concat(F.lit("Show "), "id").alias("x")).select(CH.f_htmldecode("x", full=True).alias("v"))
+    assert once._jdf.queryExecution().optimizedPlan().toString().count("Show ") == 1  # the text, perhaps dear to make, is made once
