@@ -28,6 +28,8 @@ _BREAK = r"[\x00-\x2f\x3a-\x40\x5b-\x5e\x60\x7b-\x7f]+"
 GRAM = 3
 #: Grams whose postings are intersected: more read more and prune little.
 MOST_GRAMS = 4
+#: Parts of a bucket at least, by id; more if there are more shuffle partitions than these give.
+CUTS = 4
 
 
 def grams(text) -> Column:
@@ -46,8 +48,11 @@ def _bucket(gram, buckets: int) -> Column:
 def write_index(df: DataFrame, id: str, text: str, path: str, buckets: int = 64) -> None:
     """Write the index of ``text`` by ``id`` to ``path``."""
     rows = df.where(F.col(id).isNotNull() & F.col(text).isNotNull()).select(F.col(id).alias("id"), F.explode(grams(text)).alias("gram"))
-    # a bucket is cut by ranges of (gram, id), so a gram that most rows have is split as well
-    placed = rows.withColumn("bucket", _bucket("gram", buckets)).repartitionByRange("bucket", "gram", "id")
+    # a bucket is cut by the ids, so a gram that most rows have is split as well; ranges of (gram, id)
+    # would need samples, and for them all texts a second time
+    placed = rows.withColumn("bucket", _bucket("gram", buckets))
+    parts = max(CUTS, -(-2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // buckets))
+    placed = placed.repartition("bucket", F.pmod(F.xxhash64("id"), F.lit(parts)))
     placed.sortWithinPartitions("bucket", "gram", "id").write.partitionBy("bucket").parquet(f"{path}/postings")
     spark = df.sparkSession
     postings = spark.read.schema(placed.schema).parquet(f"{path}/postings")

@@ -56,3 +56,16 @@ def test_a_common_gram_is_split_over_files(spark, tmp_path):
     K.write_index(empty, "k", "t", str(tmp_path / "e"))
     assert K.indexed_andmatch(df, "k", "t", str(tmp_path / "e"), "SAME").count() == 0
     assert K.indexed_andmatch(df, "k", "t", str(tmp_path / "e"), "x").count() == 0
+
+
+def test_texts_are_read_once_to_place_their_grams(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    df = spark.range(300).selectExpr("id AS k", "concat('word', id) AS t").mapInArrow(count, "k long, t string")
+    K.write_index(df, "k", "t", str(tmp_path / "i"), buckets=4)
+    assert seen.value == 300
+    assert K.indexed_andmatch(df, "k", "t", str(tmp_path / "i"), "word299").count() == 1
