@@ -61,3 +61,29 @@ def test_a_batch_is_parsed_in_slices(spark):
     out = list(E.page_elements(Taken(), "h", ["p"])(iter([batch])))
     assert len(out) > 5 and max(len(b) for b in out) * len(html) <= E.SLICE_CHARS
     assert [k for b in out for k in b.column(0).to_pylist()] == list(range(300)) and all(len(e) == 2000 for b in out for e in b.column(2))
+
+
+def test_elements_take_little_more_room_than_their_markup(spark):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    class Taken:  # as above
+        sparkSession, schema = spark, spark.range(1).selectExpr("id AS p", "'' AS h").schema
+        select = lambda self, *_: self
+        mapInArrow = lambda self, run, _: run
+    html = "<p>ab<b class=k>c</b>" * 20_000  # one long page stands alone in its slice
+    run = E.page_elements(Taken(), "h", ["p"])
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array([None, html, "<i>x"])], names=["p", "h"])
+    tracemalloc.start()
+    try:
+        out = list(run(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 20 * len(html)
+    got = [dict(zip(("p", "text", "elements"), r.values(), strict=True)) for b in out for r in b.to_pylist()]
+    assert [(r["p"], len(r["text"]), len(r["elements"])) for r in got] == [(1, 0, 0), (2, 60_000, 40_000), (3, 1, 1)]
+    assert [r["elements"] for r in got] == [E.parse_page(h)[1] for h in (None, html, "<i>x")]
+    assert got[1]["elements"][-1] == {"start": 99_997, "end": 99_999, "depth": 1, "tag": "b", "attrs": [("class", "k")], "parent": 99_995, "nth": 1,
+                                      "nth_of_tag": 1, "text_from": 59_999, "text_to": 60_000}
